@@ -307,19 +307,12 @@ def normalize_entity_join(df: DataFrame, column: str, dim: DataFrame, out: str =
     few next to rows, so the fan-out never touches the fact table.
     """
     names = df.select(F.col(column).alias("_name")).where(F.col("_name").isNotNull()).distinct()
-    lengths = dim.agg(F.sort_array(F.collect_set(F.length("short")))).scalar()
-    probes = names.select(
-        "_name",
-        F.explode(
-            F.concat(
-                F.array(F.struct(F.lit(0).alias("tier"), F.col("_name").alias("probe"))),
-                F.transform(
-                    F.filter(lengths, lambda n: n <= F.length("_name")),
-                    lambda n: F.struct(F.lit(1).alias("tier"), F.substring(F.col("_name"), F.lit(1), n).alias("probe")),
-                ),
-            )
-        ).alias("p"),
-    ).select("_name", "p.tier", "p.probe")
+    longest = dim.agg(F.max(F.length("short")).alias("n")).scalar()
+    lengths = F.explode(F.sequence(F.lit(1), F.greatest(F.least(F.length("_name"), longest), F.lit(1))))
+    starts = names.select("_name", lengths.alias("_n"))
+    probes = names.select("_name", F.lit(0).alias("tier"), F.col("_name").alias("probe")).unionByName(
+        starts.select("_name", F.lit(1).alias("tier"), F.substring("_name", F.lit(1), F.col("_n")).alias("probe"))
+    )
     exact = dim.select(
         "ordinal",
         "short",

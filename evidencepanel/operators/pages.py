@@ -9,11 +9,14 @@ Unclosed tags therefore cost nothing, however deep they nest.
 from __future__ import annotations
 
 import re
+import sys
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evidencepanel.functions.text import net_location
 from evidencepanel.operators.groups import need
@@ -34,10 +37,21 @@ VOID_TAGS = frozenset(
     "basefont bgsound command frame image isindex nextid spacer".split()
 )
 
-PAGE_SCHEMA = (
-    "title string, headers array<string>, paragraphs array<string>, markdown_like string, "
-    "plain_text string, word_count int, links array<string>, status string, error string"
+PAGE_TYPE = (
+    T.StructType()
+    .add("title", T.StringType())
+    .add("headers", T.ArrayType(T.StringType()))
+    .add("paragraphs", T.ArrayType(T.StringType()))
+    .add("markdown_like", T.StringType())
+    .add("plain_text", T.StringType())
+    .add("word_count", T.IntegerType())
+    .add("links", T.ArrayType(T.StringType()))
+    .add("status", T.StringType())
+    .add("error", T.StringType())
 )
+# The parser travels with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _SPACES = re.compile(r"\s+")
 
 
@@ -147,7 +161,7 @@ class PageReader(HTMLParser):
 
 
 def read_page(html: str | None) -> tuple:
-    """One page as a tuple in ``PAGE_SCHEMA`` order; a bad page keeps its row."""
+    """One page as a tuple in ``PAGE_TYPE`` order; a bad page keeps its row."""
     try:
         if html is None:
             raise ValueError("no html")
@@ -179,10 +193,10 @@ def read_page(html: str | None) -> tuple:
         return "", [], [], "", "", 0, [], "error", str(exc)[:ERROR_CHARS]
 
 
-@F.pandas_udf(PAGE_SCHEMA)
+@F.pandas_udf(PAGE_TYPE)
 def _read_pages(html: pd.Series) -> pd.DataFrame:
-    names = [f.split()[0] for f in PAGE_SCHEMA.split(", ")]
-    return pd.DataFrame([read_page(None if pd.isna(h) else h) for h in html], columns=names)
+    rows = [read_page(None if pd.isna(h) else h) for h in html]
+    return pd.DataFrame(rows, columns=PAGE_TYPE.names)
 
 
 def page_archive(pages: DataFrame, html: str = "html") -> DataFrame:
