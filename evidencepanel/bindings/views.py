@@ -156,7 +156,8 @@ VIEWS: dict[str, str] = {
             || '.xlsx' AS source_file,
           CASE WHEN o_custkey % 23 = 0 THEN 'NOTE' WHEN o_custkey % 23 = 1 THEN 'Nowhere2015' ELSE
             eng_name || cast(20 + cast(extract(year FROM o_orderdate) AS int) AS string) END AS sheet,
-          l_orderkey * 8 + l_linenumber AS row_no,
+          (l_orderkey * 8 + l_linenumber) * 1000000
+            + (l_partkey * 31 + cast(round(l_extendedprice * 100) AS bigint)) % 1000000 AS row_no,
           CASE WHEN l_partkey % 11 = 0 THEN ' Transportation, Storage,Post and Telecommunication Services '
             WHEN l_partkey % 11 = 1 THEN 'transportation, storage, post (all)' WHEN l_partkey % 11 = 2 THEN 'Road Transport'
             ELSE 'Sector ' || cast(l_partkey % 11 AS string) END AS label,

@@ -28,6 +28,8 @@ def read_panel(spark: SparkSession, path: str | Sequence[str], multi_line: bool
         inferSchema=False,
         enforceSchema=False,
         encoding="UTF-8",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     )
     cols = table.columns
     placed = table.select(

@@ -28,7 +28,16 @@ def write_panel(
         return False
     rows = df.orderBy(order) if order in df.columns else df
     rows.select(*cols).write.mode("overwrite").csv(
-        path, header=True, quote='"', escape='"', emptyValue="", nullValue="", encoding="UTF-8"
+        path,
+        header=True,
+        quote='"',
+        escape='"',
+        emptyValue="",
+        nullValue="",
+        encoding="UTF-8",
+        # A cell keeps its own white space.
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     )
     return True
 
