@@ -306,6 +306,8 @@ def normalize_entity_join(df: DataFrame, column: str, dim: DataFrame, out: str =
     dimension on equality; the lowest (tier, ordinal) wins.  Distinct names are
     few next to rows, so the fan-out never touches the fact table.
     """
+    from evidencepanel.operators.groups import same_key
+
     names = df.select(F.col(column).alias("_name")).where(F.col("_name").isNotNull()).distinct()
     longest = dim.agg(F.max(F.length("short")).alias("n")).scalar()
     lengths = F.explode(F.sequence(F.lit(1), F.greatest(F.least(F.length("_name"), longest), F.lit(1))))
@@ -330,7 +332,7 @@ def normalize_entity_join(df: DataFrame, column: str, dim: DataFrame, out: str =
         .groupBy("_name")
         .agg(F.min_by("short", F.struct("tier", "form", "ordinal")).alias(out))
     )
-    return df.join(found, df[column] == found["_name"], "left").drop("_name")
+    return df.join(found, same_key([(df[column], found["_name"])]), "left").drop("_name")
 
 
 # Address parts of the population rules.

@@ -6,19 +6,23 @@
   plans a partial group limit below the shuffle for small ``k``; beyond its
   threshold the group is first cut inside hash slices, which is exact because a
   row among the first ``k`` of a group is among the first ``k`` of its slice;
+* lookups against one row per key: ``same_key`` joins, whose hot keys the
+  adaptive planner splits;
 * numbering all rows: quantile buckets numbered in parallel, plus the running
   size of the buckets before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evidencepanel.functions.text import all_of
+
 ROW = "_row"
-SLICES = 64
+SLICES = 1024
 
 
 def need(df: DataFrame, *names: str) -> None:
@@ -27,6 +31,22 @@ def need(df: DataFrame, *names: str) -> None:
         raise ValueError(f"missing columns {missing}; table has {df.columns}")
 
 
+def same_key(pairs: Iterable[tuple[Column, Column]]) -> Column:
+    """Join condition: the key pairs are equal.
+
+    The adaptive planner splits a skewed partition only when both join inputs
+    come straight from an exchange.  A side that was just folded to one row per
+    key is already partitioned by that key and would be joined without one.  The
+    added slot, which is 0 on both sides, is not part of that partitioning, so
+    the (small, folded) side is exchanged again and hot keys of the other side
+    can be split.  A side small enough to broadcast is broadcast as before.
+    """
+    pairs = list(pairs)
+    left = F.pmod(F.xxhash64(*[a for a, _ in pairs]), F.lit(1))
+    right = F.pmod(F.xxhash64(*[b for _, b in pairs]), F.lit(1))
+    return all_of(a == b for a, b in pairs) & (left == right)
+
+
 def pick_by(df: DataFrame, keys: Sequence[str], order: Column | str, last: bool, extra: Sequence[Column] = ()) -> DataFrame:
     """One whole row per key: the one with the highest or lowest order value."""
     need(df, *keys)

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidencepanel.functions.entity import PROVINCES, EntityDim, entity_or_raw
-from evidencepanel.functions.text import all_of, has_text, is_blank, raw, strip, to_int, to_number
-from evidencepanel.operators.groups import ROW, need, pick_by
+from evidencepanel.functions.text import has_text, is_blank, raw, strip, to_int, to_number
+from evidencepanel.operators.groups import ROW, need, pick_by, same_key
 
 # CO2 factors per ton of fuel.
 GASOLINE_FACTOR = 2.925
@@ -45,7 +45,7 @@ def merge_panel(
         F.col(order).alias("_o"),
     )
     patch = pick_by(patch, [f"_k{i}" for i in range(len(keys))], "_o", last=True)
-    joined = base.join(patch, all_of(raw(base[k]) == patch[f"_k{i}"] for i, k in enumerate(keys)), "left")
+    joined = base.join(patch, same_key((raw(base[k]), patch[f"_k{i}"]) for i, k in enumerate(keys)), "left")
     writes = {c: has_text(patch[f"_c{i}"]) for i, c in enumerate(known)}
 
     def cell(c: str) -> Column:
@@ -83,7 +83,7 @@ def reference_fill(
         *[strip(k).alias(n) for k, n in zip(keys, names)], strip(value_col).alias("_ref"), F.col(order).alias("_o")
     )
     side = pick_by(side, names, "_o", last=True)
-    joined = data.join(side, all_of(strip(data[k]) == side[n] for k, n in zip(keys, names)), "left")
+    joined = data.join(side, same_key((strip(data[k]), side[n]) for k, n in zip(keys, names)), "left")
     scanned = strip(data[year_col]).isin([str(y) for y in years]) if years else F.lit(True)
     fills = scanned & is_blank(data[value_col]) & has_text(side["_ref"])
     cells = [
@@ -222,7 +222,7 @@ def overwrite_columns(
         F.col(order).alias("_o"),
     )
     side = pick_by(side, names, "_o", last=True)
-    joined = panel.join(side, all_of(strip(panel[k]) == side[n] for k, n in zip(keys, names)), "left")
+    joined = panel.join(side, same_key((strip(panel[k]), side[n]) for k, n in zip(keys, names)), "left")
     gate = strip(panel[year_col]).isin([str(y) for y in years]) if years else F.lit(True)
     hit = gate & F.coalesce(side["_ok"], F.lit(False))
     spot = {c: side[f"_c{i}"] for i, c in enumerate(cols)}
@@ -345,10 +345,14 @@ def fill_with_status(
     # Only wanted pages carry their text into the shuffle.
     wanted = specs.select(F.col("source_url").alias("url")).distinct()
     texts = pages.select("url", "text").join(wanted, "url", "left_semi")
-    texts = texts.groupBy(F.col("url").alias("source_url")).agg(F.min("text").alias("_text"))
+    texts = texts.groupBy(F.col("url").alias("_url")).agg(F.min("text").alias("_text"))
+    cells = cells.select(F.col("province").alias("_p"), F.col("year").alias("_y"), "_old", "_old_url")
+    by_cell = same_key([(specs["province"], cells["_p"]), (specs["year"], cells["_y"])])
+    by_url = same_key([(specs["source_url"], texts["_url"])])
     tried = (
-        specs.join(cells, keys, "left")
-        .join(texts, "source_url", "left")
+        specs.join(cells, by_cell, "left")
+        .join(texts, by_url, "left")
+        .select(*[specs[c] for c in specs.columns], "_old", "_old_url", "_text")
         .withColumn("_text", F.regexp_replace("_text", r"(?U)[\s\x1c-\x1f]+", " "))
         .withColumn("_hit", extract_with_window("_text", "pattern"))
     )

@@ -11,7 +11,7 @@ from evidencepanel.functions.entity import PROVINCES, EntityDim
 from evidencepanel.functions.extraction import POPULATION_TERM
 from evidencepanel.functions.grading import REJECTED, score_shortlist, suggest_level
 from evidencepanel.functions.text import extract_domain, plain_decimal, raw, strip
-from evidencepanel.operators.groups import need, pick_by, top_per_group
+from evidencepanel.operators.groups import need, pick_by, same_key, top_per_group
 
 ORD = "ord"
 
@@ -178,8 +178,10 @@ def first_engine_only(
     """
     order = F.array_position(F.array(*[F.lit(e) for e in engines]), F.col(engine))
     ranked = df.withColumn("_e", order).where(F.col("_e") > 0)
-    best = ranked.groupBy(*query).agg(F.min("_e").alias("_best"))
-    return ranked.join(best, list(query)).where(F.col("_e") == F.col("_best")).select(*df.columns)
+    names = [f"_q{i}" for i in range(len(query))]
+    best = ranked.groupBy(*[F.col(q).alias(n) for q, n in zip(query, names)]).agg(F.min("_e").alias("_best"))
+    joined = ranked.join(best, same_key((ranked[q], best[n]) for q, n in zip(query, names)))
+    return joined.where(F.col("_e") == F.col("_best")).select(*[ranked[c] for c in df.columns])
 
 
 def concat_urls(first: DataFrame, second: DataFrame, limit: int | None = None, order: str = ORD) -> DataFrame:
@@ -195,7 +197,8 @@ def concat_urls(first: DataFrame, second: DataFrame, limit: int | None = None, o
 def candidate_totals(discovery: DataFrame, entities: DataFrame | Sequence[str]) -> DataFrame:
     """Addresses and candidates found over a list of entities; absent counts 0."""
     if isinstance(entities, DataFrame):
-        wanted = discovery.join(entities.select("entity").distinct(), "entity", "left_semi")
+        names = entities.select(F.col("entity").alias("_name")).distinct()
+        wanted = discovery.join(names, same_key([(discovery["entity"], names["_name"])]), "left_semi")
     else:
         wanted = discovery.where(F.col("entity").isin(list(entities)))
     return wanted.agg(

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidencepanel.functions.text import all_of, any_of, first_text, has_text, has_value, is_blank, raw, strip
-from evidencepanel.operators.groups import ROW, keep_first, need, number_rows, pick_by, top_per_group
+from evidencepanel.functions.text import any_of, first_text, has_text, has_value, is_blank, raw, strip
+from evidencepanel.operators.groups import ROW, keep_first, need, number_rows, pick_by, same_key, top_per_group
 
 TUPLE = ("source_level", "source_name", "source_url")
 UNMATCHED = "unmatched"
@@ -61,8 +61,8 @@ def match_registry(rows: DataFrame, reg: DataFrame, order: str = ROW) -> DataFra
     need(reg, "source_id", *TUPLE, order)
     by_id = _registry_side(reg, [strip("source_id")], has_text("source_id"), "_i", order)
     by_tuple = _registry_side(reg, [strip(c) for c in TUPLE], any_of(has_text(c) for c in TUPLE), "_t", order)
-    joined = rows.join(by_id, strip(rows["source_id"]) == by_id["_i0"], "left")
-    joined = joined.join(by_tuple, all_of(strip(rows[c]) == by_tuple[f"_t{i}"] for i, c in enumerate(TUPLE)), "left")
+    joined = rows.join(by_id, same_key([(strip(rows["source_id"]), by_id["_i0"])]), "left")
+    joined = joined.join(by_tuple, _same_tuple(rows, by_tuple), "left")
     mode = (
         F.when(F.col("_irow").isNotNull(), F.lit("source_id"))
         .when(F.col("_trow").isNotNull(), F.lit("source_tuple"))
@@ -91,6 +91,10 @@ def resolve_provenance(matched: DataFrame) -> DataFrame:
     return matched.withColumn("provenance", F.struct(*fields))
 
 
+def _same_tuple(rows: DataFrame, side: DataFrame) -> Column:
+    return same_key((strip(rows[c]), side[f"_t{i}"]) for i, c in enumerate(TUPLE))
+
+
 def _known_tuples(reg: DataFrame) -> DataFrame:
     return reg.groupBy(*[strip(c).alias(f"_t{i}") for i, c in enumerate(TUPLE)]).agg(
         F.max(has_text("cross_check_url")).alias("_crossed")
@@ -101,10 +105,10 @@ def add_registry_flags(rows: DataFrame, reg: DataFrame) -> DataFrame:
     """Adds ``_in_registry``, ``_crossed`` and ``_id_known`` with two equality joins."""
     tuples = _known_tuples(reg)
     ids = reg.select(strip("source_id").alias("_sid")).distinct()
-    out = rows.join(tuples, all_of(strip(rows[c]) == tuples[f"_t{i}"] for i, c in enumerate(TUPLE)), "left")
+    out = rows.join(tuples, _same_tuple(rows, tuples), "left")
     flags = [F.col("_t0").isNotNull().alias("_in_registry"), F.col("_crossed")]
     if "source_id" in rows.columns:
-        out = out.join(ids, strip(rows["source_id"]) == ids["_sid"], "left")
+        out = out.join(ids, same_key([(strip(rows["source_id"]), ids["_sid"])]), "left")
         flags.append(F.col("_sid").isNotNull().alias("_id_known"))
     return out.select(*[rows[c] for c in rows.columns], *flags)
 
@@ -113,16 +117,14 @@ def unregistered_rows(rows: DataFrame, reg: DataFrame, value_cols: Sequence[str]
     """Valued rows whose (level, name, url) is not in the registry."""
     tuples = _known_tuples(reg)
     valued = rows.where(has_value(value_cols))
-    same = all_of(strip(valued[c]) == tuples[f"_t{i}"] for i, c in enumerate(TUPLE))
-    return valued.join(tuples, same, "left_anti")
+    return valued.join(tuples, _same_tuple(valued, tuples), "left_anti")
 
 
 def uncrossed_c_rows(rows: DataFrame, reg: DataFrame, value_cols: Sequence[str] = ()) -> DataFrame:
     """Valued level-C rows that are registered but nowhere cross-checked."""
     lacking = _known_tuples(reg.where(strip("source_level") == "C")).where(~F.col("_crossed"))
     c_rows = rows.where(has_value(value_cols) & (strip("source_level") == "C"))
-    same = all_of(strip(c_rows[c]) == lacking[f"_t{i}"] for i, c in enumerate(TUPLE))
-    return c_rows.join(lacking, same, "left_semi")
+    return c_rows.join(lacking, _same_tuple(c_rows, lacking), "left_semi")
 
 
 def misaligned_source_ids(rows: DataFrame, reg: DataFrame, value_cols: Sequence[str] = ()) -> DataFrame:
@@ -131,7 +133,7 @@ def misaligned_source_ids(rows: DataFrame, reg: DataFrame, value_cols: Sequence[
         return rows.where(F.lit(False)).withColumn("reason", F.lit(""))
     ids = reg.select(strip("source_id").alias("_sid")).distinct().withColumn("_known", F.lit(True))
     valued = rows.where(has_value(value_cols))
-    joined = valued.join(ids, strip(valued["source_id"]) == ids["_sid"], "left")
+    joined = valued.join(ids, same_key([(strip(valued["source_id"]), ids["_sid"])]), "left")
     return joined.where(is_blank("source_id") | F.col("_known").isNull()).select(
         *[valued[c] for c in rows.columns], source_id_reason("source_id").alias("reason")
     )

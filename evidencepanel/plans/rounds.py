@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidencepanel.functions.entity import PROVINCES, EntityDim
-from evidencepanel.operators.coverage import Coverage, coverage_stats, gained_keys, gap_matrix
+from evidencepanel.functions.entity import PROVINCES, EntityDim, normalize_entity
+from evidencepanel.functions.text import has_text, has_value, strip, to_int
+from evidencepanel.operators.coverage import gap_matrix, key_columns, universe_size
+from evidencepanel.operators.groups import need
 from evidencepanel.operators.panel import merge_panel, reference_fill
 from evidencepanel.operators.quality import round_passes, validate_round
 from evidencepanel.plans.session import shared_dir
@@ -24,21 +26,61 @@ def round_metrics(
     last_year: int,
     dim: EntityDim = PROVINCES,
 ) -> DataFrame:
-    """Keys gained, gaps before and after, and the two fill rates, as one row."""
-    years = range(first_year, last_year + 1)
-    old = coverage_stats(before, keys, value_cols, years, dim)
-    new = coverage_stats(after, keys, value_cols, years, dim)
-
-    def gaps(df: DataFrame) -> DataFrame:
-        return gap_matrix(df, value_cols[0], first_year, last_year, dim).agg(F.count(F.lit(1)).alias("n"))
-
-    gained = gained_keys(new.filled_keys, old.filled_keys).agg(F.count(F.lit(1)).alias("n"))
-    return new.summary.select(
-        gained.scalar().alias("gained_keys"),
-        gaps(before).scalar().alias("missing_before"),
-        gaps(after).scalar().alias("missing_after"),
-        old.summary.select("fill_rate").scalar().alias("fill_rate_before"),
-        F.col("fill_rate").alias("fill_rate_after"),
+    """Keys gained, gaps before and after, and the two fill rates, as one row.
+
+    Both panels go through one aggregate by key: a key carries whether either
+    side has it and fills it.  Everything else follows from the folded keys.
+    """
+    for side in (before, after):
+        need(side, *keys, *value_cols, "province", "year")
+    names = [f"k_{k}" for k in keys]
+
+    def side(df: DataFrame, new: bool) -> DataFrame:
+        first = has_text(value_cols[0])
+        # The (entity, year) pair that the first value column covers, if any.
+        entity = normalize_entity(strip("province"), dim)
+        year = to_int("year")
+        covers = first & entity.isNotNull() & year.between(first_year, last_year)
+        return df.select(
+            *key_columns(keys, dim),
+            F.when(covers, F.struct(entity.alias("e"), year.alias("y"))).alias("pair"),
+            has_value(value_cols).alias("filled"),
+            F.lit(new).alias("new"),
+        )
+
+    rows = side(before, False).unionByName(side(after, True))
+    new = F.col("new")
+    folded = rows.groupBy(*names, "pair").agg(
+        F.max(~new).alias("in_old"),
+        F.max(new).alias("in_new"),
+        F.max(~new & F.col("filled")).alias("old"),
+        F.max(new & F.col("filled")).alias("now"),
+    )
+    flags = ["in_old", "in_new", "old", "now"]
+    per_key = folded.groupBy(*names).agg(*[F.max(c).alias(c) for c in flags])
+
+    def count(test: Column) -> Column:
+        return F.count(F.when(test, 1))
+
+    whole = per_key.agg(
+        count(F.col("now") & ~F.col("old")).alias("gained_keys"),
+        *[count(F.col(c)).alias(c) for c in flags],
+    )
+    pairs = folded.where(F.col("pair").isNotNull()).groupBy("pair").agg(F.max("in_old").alias("o"), F.max("in_new").alias("n"))
+    covered = pairs.agg(count(F.col("o")).alias("o"), count(F.col("n")).alias("n"))
+    grid = len(dim) * max(0, last_year - first_year + 1)
+    size = universe_size(keys, range(first_year, last_year + 1), dim)
+
+    def rate(filled: str, known: str) -> Column:
+        total = F.lit(size) if size is not None else F.col(known)
+        return F.coalesce(F.try_divide(F.col(filled), total) * 100, F.lit(0.0))
+
+    return whole.select(
+        "gained_keys",
+        (F.lit(grid) - covered.select("o").scalar()).alias("missing_before"),
+        (F.lit(grid) - covered.select("n").scalar()).alias("missing_after"),
+        rate("old", "in_old").alias("fill_rate_before"),
+        rate("now", "in_new").alias("fill_rate_after"),
     )
 
 
@@ -111,20 +153,12 @@ def run_rounds(
     the driver.
     """
     shared_dir(panel.sparkSession)
-    years = range(first_year, last_year + 1)
     run = RoundRun(panel)
-
-    def missing(df: DataFrame) -> int:
-        return gap_matrix(df, value_cols[0], first_year, last_year, dim).count()
-
-    def cover(df: DataFrame) -> tuple[Coverage, dict]:
-        stats = coverage_stats(df, keys, value_cols, years, dim)
-        return stats, stats.summary.first().asDict()
-
-    before, before_row = cover(panel)
-    gaps = missing(panel)
+    gaps: int | None = None
     streak = 0
     for number, patch in enumerate(patches, start=1):
+        if gaps is None:
+            gaps = gap_matrix(panel, value_cols[0], first_year, last_year, dim).count()
         if gaps == 0:
             run.stopped = "no gaps left"
             break
@@ -138,20 +172,10 @@ def run_rounds(
         ):
             run.panel, run.stopped = changed, "checks failed"
             break
-        after, after_row = cover(changed)
-        gained = gained_keys(after.filled_keys, before.filled_keys).count()
-        left = missing(changed)
-        run.rounds.append(
-            {
-                "round": number,
-                "gained": gained,
-                "missing_before": gaps,
-                "missing_after": left,
-                "fill_rate_before": before_row["fill_rate"],
-                "fill_rate_after": after_row["fill_rate"],
-            }
-        )
-        run.panel, before, before_row, gaps = changed, after, after_row, left
+        row = round_metrics(run.panel, changed, keys, value_cols, first_year, last_year, dim).first().asDict()
+        gained = row.pop("gained_keys")
+        run.rounds.append({"round": number, "gained": gained, **row})
+        run.panel, gaps = changed, row["missing_after"]
         streak = streak + 1 if gained < min_gain else 0
         if streak >= patience:
             run.stopped = f"{streak} low-gain rounds"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from evidencepanel.functions.entity import ENGLISH_NAMES, alias_to_entity
 from evidencepanel.functions.text import is_http, strip, to_int, to_number
-from evidencepanel.operators.groups import ROW, keep_last, need
+from evidencepanel.operators.groups import ROW, keep_last, need, same_key
 
 
 def read_panel(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
@@ -41,8 +41,13 @@ def read_panel(spark: SparkSession, path: str | Sequence[str], multi_line: bool
     # One row per file split: first id, size, and the rows of all splits before.
     splits = placed.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
-    numbered = placed.join(splits, ["_file", "_block"])
+    splits = splits.select(
+        F.col("_file").alias("_f"),
+        F.col("_block").alias("_b"),
+        "_first",
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
+    )
+    numbered = placed.join(splits, same_key([(placed["_file"], splits["_f"]), (placed["_block"], splits["_b"])]))
     row = (F.col("_id") - F.col("_first") + F.col("_before") + 1).cast("bigint")
     return numbered.select(*cols, row.alias(ROW))
 
