@@ -717,19 +717,40 @@ def _(v: Views) -> DataFrame:
 
 
 # ------------------------------------------------------------------- streaming
-OLD = "SELECT _row, 'E' || cast(ck AS string) AS province, cast(yr AS string) AS year, CASE WHEN n % 3 = 0 THEN '' ELSE cast(whole AS string) END AS stock_10k FROM base"
+OLD = "SELECT _row, 'E' || cast(ck AS string) AS province, cast(yr AS string) AS year, CASE WHEN n % 3 = 0 THEN '' ELSE cast(whole AS string) END AS stock_10k FROM base WHERE ck % 4 <> 1"
 NEW = "SELECT ck * 16 + (yr - 1990) AS _row, 'E' || cast(ck AS string) AS province, cast(yr AS string) AS year, cast(qty AS string) AS stock_10k FROM shipped WHERE ck % 3 = 0"
 
 
+def _stream(v: Views) -> str:
+    """Runs the stream over all patch rows and gives its state folder."""
+    state, incoming = scratch_path(v.spark, "state"), scratch_path(v.spark, "incoming")
+    patches.start_panel(v.sql(OLD), state, "stock_10k")
+    new = v.sql(NEW)
+    new.write.parquet(incoming)
+    query = patches.stream_rounds(v.spark, incoming, state, new.schema, "stock_10k", files_per_round=2)
+    query.awaitTermination()
+    return state
+
+
 @query(
     "x1_stream_rounds",
     f"""SELECT coalesce(n.province, o.province) AS province, coalesce(n.year, o.year) AS year, coalesce(n.stock_10k, o.stock_10k) AS stock_10k
         FROM ({OLD}) o FULL JOIN ({NEW}) n ON n.province = o.province AND n.year = o.year""",
 )
 def _(v: Views) -> DataFrame:
-    state, incoming = scratch_path(v.spark, "state"), scratch_path(v.spark, "incoming")
-    patches.start_panel(v.sql(OLD), state)
-    new = v.sql(NEW)
-    new.write.parquet(incoming)
-    patches.stream_rounds(v.spark, incoming, state, new.schema, "stock_10k", files_per_round=1000).awaitTermination()
-    return patches.latest_panel(v.spark, state).select("province", "year", "stock_10k")
+    return patches.latest_panel(v.spark, _stream(v)).select("province", "year", "stock_10k")
+
+
+@query(
+    "x1_round_history",
+    f"""SELECT count(*) AS rows, count(*) FILTER (coalesce(n.stock_10k, o.stock_10k) <> '') AS filled_rows,
+          count(*) FILTER (coalesce(n.stock_10k, o.stock_10k) <> '' AND coalesce(o.stock_10k, '') = '') AS gained_keys
+        FROM ({OLD}) o FULL JOIN ({NEW}) n ON n.province = o.province AND n.year = o.year""",
+)
+def _(v: Views) -> DataFrame:
+    history = patches.round_history(v.spark, _stream(v))
+    return history.agg(
+        F.max_by("rows", "version").alias("rows"),
+        F.max_by("filled_rows", "version").alias("filled_rows"),
+        F.sum("gained_keys").alias("gained_keys"),
+    )

@@ -1,51 +1,112 @@
-"""Patches that arrive as files: each micro-batch is one round on the panel."""
+"""Patches that arrive as files: each micro-batch is one round on the panel.
+
+The panel is kept as a log: a base and one small delta per batch.  A batch costs
+what it brings, not what the panel holds: its rows are folded to one per key and
+written, and only the keys they touch are looked up in the log.  Reading folds
+the log; ``compact`` turns it into a new base.
+
+Layout below the state folder: ``log/version=N`` (0 is the first base),
+``base/version=N`` (compacted up to N) and ``metrics/version=N``.  Every output is
+named by its batch, so a replayed batch overwrites its own result and no other.
+"""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from evidencepanel.functions.text import has_text
-from evidencepanel.operators.panel import upsert
+from evidencepanel.functions.text import has_text, raw, strip, to_int
+from evidencepanel.operators.groups import ROW, need, same_key
 
+KEY = ("_e", "_y")
 
-def _version(state_dir: str, number: int) -> str:
-    return f"{state_dir.rstrip('/')}/panel/version={number}"
 
+def _at(state_dir: str, part: str, version: int | None = None) -> str:
+    folder = f"{state_dir.rstrip('/')}/{part}"
+    return folder if version is None else f"{folder}/version={version}"
 
-def apply_patch(spark: SparkSession, batch: DataFrame, batch_id: int, state_dir: str, value_col: str) -> None:
-    """Version ``batch_id + 1`` of the panel is version ``batch_id`` with the batch upserted.
-
-    Both outputs are named by the batch, so a replayed batch overwrites its own
-    result and nothing else.
-    """
-    before = spark.read.parquet(_version(state_dir, batch_id))
-    # New rows of a batch follow one another in their own order.
-    after = upsert(before, batch)
-    after.write.mode("overwrite").parquet(_version(state_dir, batch_id + 1))
-    written = spark.read.parquet(_version(state_dir, batch_id + 1))
-
-    def filled(df: DataFrame) -> DataFrame:
-        return df.where(has_text(value_col)).select("province", "year").distinct()
-
-    gained = filled(written).join(filled(before), ["province", "year"], "left_anti")
-    metrics = written.agg(
+
+def _fold(rows: DataFrame, cols: list[str], order: Column) -> DataFrame:
+    """The last row of every key, whole."""
+    last = F.max_by(F.struct(*cols), order).alias("_last")
+    return rows.groupBy(*KEY).agg(last).select(*KEY, *[F.col("_last")[c].alias(c) for c in cols])
+
+
+def start_panel(panel: DataFrame, state_dir: str, value_col: str) -> None:
+    """Version 0: the panel's last row per key; rows without entity or year go."""
+    need(panel, "province", "year", value_col, ROW)
+    cols = panel.columns
+    keyed = panel.select(*cols, strip("province").alias("_e"), F.coalesce(to_int("year"), F.lit(0)).alias("_y"))
+    keyed = keyed.where((F.col("_e") != "") & (F.col("_y") != 0))
+    _fold(keyed, cols, F.col(ROW)).write.mode("overwrite").parquet(_at(state_dir, "log", 0))
+    spark = panel.sparkSession
+    first = spark.read.parquet(_at(state_dir, "log", 0)).agg(
         F.count(F.lit(1)).alias("rows"), F.count(F.when(has_text(value_col), 1)).alias("filled_rows")
-    ).select(
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-        "rows",
-        "filled_rows",
-        gained.agg(F.count(F.lit(1)).alias("n")).scalar().alias("gained_keys"),
     )
-    metrics.write.mode("overwrite").parquet(f"{state_dir.rstrip('/')}/metrics/batch={batch_id}")
+    first = first.select(F.lit(-1).cast("bigint").alias("batch_id"), "rows", "filled_rows", F.lit(0).cast("bigint").alias("gained_keys"))
+    first.write.mode("overwrite").parquet(_at(state_dir, "metrics", 0))
+
+
+def _last_base(spark: SparkSession, state_dir: str, upto: int) -> int:
+    try:
+        bases = spark.read.parquet(_at(state_dir, "base")).select("version")
+    except AnalysisException:
+        return -1
+    found = bases.where(F.col("version") <= upto).agg(F.max("version").alias("v")).first()["v"]
+    return -1 if found is None else found
+
+
+def read_log(spark: SparkSession, state_dir: str, upto: int) -> DataFrame:
+    """Base and deltas up to a version, unfolded, each row with its version."""
+    base = _last_base(spark, state_dir, upto)
+    log = spark.read.parquet(_at(state_dir, "log")).where((F.col("version") > base) & (F.col("version") <= upto))
+    if base < 0:
+        return log
+    return log.unionByName(spark.read.parquet(_at(state_dir, "base")).where(F.col("version") == base))
+
+
+def panel_at(spark: SparkSession, state_dir: str, version: int) -> DataFrame:
+    """The panel as of a version."""
+    log = read_log(spark, state_dir, version)
+    cols = [c for c in log.columns if c not in (*KEY, "version")]
+    return _fold(log, cols, F.col("version")).select(*cols)
 
 
-def start_panel(panel: DataFrame, state_dir: str) -> None:
-    """Version 0 of the panel."""
-    panel.write.mode("overwrite").parquet(_version(state_dir, 0))
+def compact(spark: SparkSession, state_dir: str, version: int) -> None:
+    """Writes the folded log up to a version as a new base."""
+    log = read_log(spark, state_dir, version)
+    cols = [c for c in log.columns if c not in (*KEY, "version")]
+    _fold(log, cols, F.col("version")).write.mode("overwrite").parquet(_at(state_dir, "base", version))
+
+
+def apply_patch(spark: SparkSession, batch: DataFrame, batch_id: int, state_dir: str, value_col: str) -> None:
+    """Writes the delta of a batch and its round metrics."""
+    version = batch_id + 1
+    cols = [c for c in spark.read.parquet(_at(state_dir, "log", 0)).columns if c not in KEY]
+    given = [(F.col(c) if c in batch.columns else F.lit(None).cast("string")).alias(c) for c in cols]
+    keyed = batch.select(*given, raw("province").alias("_e"), to_int("year").alias("_y"))
+    _fold(keyed, cols, F.col(ROW)).write.mode("overwrite").parquet(_at(state_dir, "log", version))
+
+    delta = spark.read.parquet(_at(state_dir, "log", version)).select(*KEY, has_text(value_col).alias("now"))
+    log = read_log(spark, state_dir, batch_id).select(*KEY, "version", has_text(value_col).alias("filled"))
+    names = delta.select(*[F.col(k).alias(f"{k}2") for k in KEY])
+    touched = log.join(names, same_key((log[k], names[f"{k}2"]) for k in KEY), "left_semi")
+    old = touched.groupBy(*KEY).agg(F.max_by("filled", "version").alias("old"))
+    change = delta.join(old, list(KEY), "left").agg(
+        F.count(F.when(F.col("old").isNull(), 1)).alias("added"),
+        F.count(F.when(F.col("now") & ~F.coalesce("old", F.lit(False)), 1)).alias("gained"),
+        F.count(F.when(~F.col("now") & F.coalesce("old", F.lit(False)), 1)).alias("lost"),
+    )
+    before = spark.read.parquet(_at(state_dir, "metrics", batch_id))
+    change.select(
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
+        (before.select("rows").scalar() + F.col("added")).alias("rows"),
+        (before.select("filled_rows").scalar() + F.col("gained") - F.col("lost")).alias("filled_rows"),
+        F.col("gained").alias("gained_keys"),
+    ).write.mode("overwrite").parquet(_at(state_dir, "metrics", version))
 
 
 def stream_rounds(
@@ -57,30 +118,25 @@ def stream_rounds(
     files_per_round: int = 1,
 ) -> StreamingQuery:
     """Upserts every waiting patch file into the panel, then stops."""
-    patches = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_round).parquet(source_dir)
-    )
+    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_round).parquet(source_dir)
+
+    def round_of(batch: DataFrame, batch_id: int) -> None:
+        apply_patch(batch.sparkSession, batch, batch_id, state_dir, value_col)
+
     return (
-        patches.writeStream.foreachBatch(
-            lambda batch, batch_id: apply_patch(batch.sparkSession, batch, batch_id, state_dir, value_col)
-        )
-        .option("checkpointLocation", f"{state_dir.rstrip('/')}/checkpoint")
+        arriving.writeStream.foreachBatch(round_of)
+        .option("checkpointLocation", _at(state_dir, "checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
 
 
-def latest_panel(spark: SparkSession, state_dir: str) -> DataFrame:
-    """The newest version: one past the last batch with metrics."""
-    try:
-        done = spark.read.parquet(f"{state_dir.rstrip('/')}/metrics").agg(F.max("batch_id").alias("b")).first()["b"]
-    except AnalysisException:
-        done = -1
-    return spark.read.parquet(_version(state_dir, done + 1))
-
-
 def round_history(spark: SparkSession, state_dir: str) -> DataFrame:
-    """Metrics of every batch so far."""
-    return spark.read.parquet(f"{state_dir.rstrip('/')}/metrics").drop("batch")
+    """Metrics of every version: version 0 is the start."""
+    return spark.read.parquet(_at(state_dir, "metrics"))
 
 
+def latest_panel(spark: SparkSession, state_dir: str) -> DataFrame:
+    """The panel as of the last version with metrics."""
+    done = round_history(spark, state_dir).agg(F.max("version").alias("v")).first()["v"]
+    return panel_at(spark, state_dir, done)
