@@ -175,9 +175,13 @@ PROVINCES = EntityDim(
 
 
 def _lookup(value: Column, table: Mapping[str, str]) -> Column:
-    """Constant lookup, null when absent."""
-    pairs = [F.lit(x) for kv in table.items() for x in kv]
-    return F.element_at(F.create_map(*pairs), value)
+    """Constant lookup, null when absent.  The map is one parsed literal."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    pairs = ", ".join(quoted(x) for kv in table.items() for x in kv)
+    return F.element_at(F.expr(f"map({pairs})"), value)
 
 
 def normalize_entity(c: ColumnLike, dim: EntityDim = PROVINCES, target: str = "short") -> Column:

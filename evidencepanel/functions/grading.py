@@ -70,15 +70,16 @@ def source_name_from_url(url: ColumnLike, label: str = SOURCE_LABEL, default: st
 
 
 def domain_quality(url: ColumnLike, trusted: Sequence[str] = TRUSTED_HOST_PARTS) -> Column:
+    # A blank host holds none of the parts.  With no test around the sum, the host
+    # is always needed, so code generation computes it once.
     host = extract_domain(url)
-    points = total(
+    return total(
         [
             weight_when(host.contains(".gov.cn"), 6),
             weight_when(contains_any(host, trusted), 2),
             weight_when(contains_any(host, SOCIAL_HOST_PARTS), -3),
         ]
     )
-    return F.when(host == "", F.lit(0)).otherwise(points)
 
 
 def engine_bonus(engine: ColumnLike, bonus: Mapping[str, int] = ENGINE_BONUS) -> Column:

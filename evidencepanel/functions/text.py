@@ -7,6 +7,7 @@ so they stay inside whole-stage code generation.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -22,6 +23,8 @@ SPACE_CHARS = (
 SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 SENTENCE_ENDERS = "。！？；"
 
+# Column names that can be written in an expression as they are.
+_PLAIN_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)*")
 _NUMBER = r"\A[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\z"
 _HOST = r"(?i)\A(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#]*@)?([^/?#:@\[\]]+)"
 _NETLOC = r"(?i)\A(?:[a-z][a-z0-9+.\-]*:)?//([^/?#]*)"
@@ -34,12 +37,21 @@ def col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _raw_sql(name: str) -> str:
+    quoted = ".".join(f"`{part}`" for part in name.split("."))
+    return f"coalesce(cast({quoted} as string), '')"
+
+
 def raw(c: ColumnLike) -> Column:
     """The cell as stored, null read as the empty string."""
+    if isinstance(c, str) and _PLAIN_NAME.fullmatch(c):
+        return F.expr(_raw_sql(c))
     return F.coalesce(col(c).cast("string"), F.lit(""))
 
 
 def strip(c: ColumnLike) -> Column:
+    if isinstance(c, str) and _PLAIN_NAME.fullmatch(c):
+        return F.expr(f"btrim({_raw_sql(c)}, '{SPACE_CHARS}')")
     return F.btrim(raw(c), F.lit(SPACE_CHARS))
 
 
@@ -53,10 +65,7 @@ def is_blank(c: ColumnLike) -> Column:
 
 def first_text(*cs: ColumnLike) -> Column:
     """The first stripped cell that is not blank, else the empty string."""
-    out = strip(cs[-1])
-    for c in reversed(cs[:-1]):
-        out = F.when(has_text(c), strip(c)).otherwise(out)
-    return out
+    return F.coalesce(*[F.nullif(strip(c), F.lit("")) for c in cs[:-1]], strip(cs[-1]))
 
 
 def collapse(c: ColumnLike) -> Column:

@@ -47,13 +47,24 @@ def same_key(pairs: Iterable[tuple[Column, Column]]) -> Column:
     return all_of(a == b for a, b in pairs) & (left == right)
 
 
+def key_hash(keys: Sequence[str]) -> Column:
+    """A leading group key that sorts fast.
+
+    Picking whole rows is a sort aggregate.  Text keys often share their first
+    characters, which makes sorting compare them in full; a hash in front tells
+    nearly all rows apart by its own 8 bytes.
+    """
+    return F.xxhash64(*[F.col(k) for k in keys]).alias("_h")
+
+
 def pick_by(df: DataFrame, keys: Sequence[str], order: Column | str, last: bool, extra: Sequence[Column] = ()) -> DataFrame:
     """One whole row per key: the one with the highest or lowest order value."""
     need(df, *keys)
     rest = [c for c in df.columns if c not in keys]
     choose = F.max_by if last else F.min_by
-    picked = df.groupBy(*keys).agg(choose(F.struct(*rest), order).alias("_pick"), *extra)
-    return picked.select(*[c for c in picked.columns if c != "_pick"], *[F.col("_pick")[c].alias(c) for c in rest])
+    picked = df.groupBy(key_hash(keys), *keys).agg(choose(F.struct(*rest), order).alias("_pick"), *extra)
+    kept = [c for c in picked.columns if c not in ("_pick", "_h")]
+    return picked.select(*kept, *[F.col("_pick")[c].alias(c) for c in rest])
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Column | str = ROW) -> DataFrame:
@@ -78,22 +89,28 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
-def number_rows(df: DataFrame, order: str, out: str = "_n", buckets: int = 256) -> DataFrame:
+def _slot_of(key: Column, bounds: Sequence[float], first: int = 0) -> Column:
+    """Number of bounds below the key, by halving: few comparisons per row."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    above = _slot_of(key, bounds[middle + 1 :], first + middle + 1)
+    return F.when(key > bounds[middle], above).otherwise(_slot_of(key, bounds[:middle], first))
+
+
+def number_rows(df: DataFrame, order: str, out: str = "_n", buckets: int | None = None) -> DataFrame:
     """Consecutive numbers from 1 over the whole table by a unique numeric column.
 
-    No task ever sees the whole table: quantile bounds cut it into even buckets,
-    each bucket is numbered on its own, and the bucket sizes (at most
-    ``buckets + 1`` rows) give the offsets.
+    No task ever sees the whole table: quantile bounds cut it into even buckets
+    (as many as shuffle partitions, within 8 and 1024), each bucket is numbered
+    on its own, and the bucket sizes give the offsets.
     """
     need(df, order)
+    if buckets is None:
+        buckets = min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 8), 1024)
     points = [i / buckets for i in range(1, buckets)]
     bounds = sorted(set(df.approxQuantile(order, points, 0.25 / buckets)))
-    key = F.col(order).cast("double")
-    slot = F.lit(0)
-    if bounds:
-        edges = F.array(*[F.lit(b) for b in bounds])
-        slot = F.size(F.filter(edges, lambda b: b < key))
-    placed = df.withColumn("_slot", slot)
+    placed = df.withColumn("_slot", _slot_of(F.col(order), bounds))
     sizes = placed.groupBy("_slot").count()
     before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_slot", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))

@@ -88,8 +88,9 @@ def scorecard(
     p = "provenance."
     valued = has_value(value_cols)
     level = F.col(p + "resolved_source_level")
-    present = sum((has_text(p + f).cast("int") for f in COMPLETE_FIELDS), F.lit(0))
-    crossed = has_text(p + "cross_check_url") | F.coalesce(has_text("registry.cross_check_url"), F.lit(False))
+    # Provenance fields are stripped already.
+    present = sum(((F.col(p + f) != "").cast("int") for f in COMPLETE_FIELDS), F.lit(0))
+    crossed = (F.col(p + "cross_check_url") != "") | F.coalesce(has_text("registry.cross_check_url"), F.lit(False))
     quality = F.lit(0)
     for name, points in LEVEL_SCORES.items():
         quality = F.when(level == name, F.lit(int(points))).otherwise(quality)

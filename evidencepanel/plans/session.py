@@ -15,6 +15,11 @@ SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes of byte code: let Spark
+    # leave whole-stage generation for such plans instead of running interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # No call-site capture for every column expression built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Pages are large: keep the Arrow batches given to the parser small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
@@ -27,6 +32,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, name: str =
         builder = builder.config(key, value)
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Small test data: keep all cores busy after a shuffle.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
         .getOrCreate()

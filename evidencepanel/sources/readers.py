@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from evidencepanel.functions.entity import ENGLISH_NAMES, alias_to_entity
 from evidencepanel.functions.text import is_http, strip, to_int, to_number
-from evidencepanel.operators.groups import ROW, keep_last, need, same_key
+from evidencepanel.operators.groups import ROW, keep_last, key_hash, need, same_key
 
 
 def read_panel(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
@@ -183,21 +183,24 @@ def extract_sector_rows(cells: DataFrame, names: Mapping[str, str] | DataFrame =
     sector gives a null value.
     """
     need(cells, "source_file", "sheet", "row_no", "label", "scope_1_total")
-    year = F.regexp_extract("source_file", r"(20\d{2})", 1)
-    named = F.regexp_extract("sheet", r"\A([A-Za-z]+)20\d{2}\z", 1)
-    rows = cells.select("*", year.try_cast("int").alias("year"), named.alias("_alias"))
-    rows = rows.where(F.col("year").isNotNull() & (F.col("_alias") != ""))
     label = strip("label")
-    tier = F.lit(len(SECTOR_TIERS))
-    for i, pattern in reversed(list(enumerate(SECTOR_TIERS))):
-        tier = F.when(label.rlike(pattern), F.lit(i)).otherwise(tier)
-    picked = rows.groupBy("source_file", "sheet", "year", "_alias").agg(
-        F.min_by(
-            F.struct(F.col("label"), F.col("scope_1_total").cast("string").alias("total"), tier.alias("tier")),
-            F.struct(tier, F.col("row_no")),
-        ).alias("b")
+    exact, phrase, word = SECTOR_TIERS
+    # Most labels miss the loosest word, which the other two contain.
+    tier = F.when(~label.rlike(word), len(SECTOR_TIERS)).when(label.rlike(exact), 0).when(label.rlike(phrase), 1)
+    rows = cells.select(
+        "source_file",
+        "sheet",
+        F.struct(tier.otherwise(2).alias("tier"), "row_no").alias("_place"),
+        F.struct("label", F.col("scope_1_total").cast("string").alias("total")).alias("_cell"),
+    )
+    picked = rows.groupBy(key_hash(["source_file", "sheet"]), "source_file", "sheet").agg(
+        F.min_by("_cell", "_place").alias("b"), F.min("_place").alias("_place")
     )
-    found = F.col("b.tier") < len(SECTOR_TIERS)
+    year = F.regexp_extract("source_file", r"(20\d{2})", 1).try_cast("int")
+    named = F.regexp_extract("sheet", r"\A([A-Za-z]+)20\d{2}\z", 1)
+    picked = picked.withColumns({"year": year, "_alias": named})
+    picked = picked.where(F.col("year").isNotNull() & (F.col("_alias") != ""))
+    found = F.col("_place.tier") < len(SECTOR_TIERS)
     picked = alias_to_entity(picked, "_alias", names)
     value = F.when(found, to_number("b.total"))
     return picked.select(
