@@ -111,7 +111,7 @@ def _(v: Views) -> DataFrame:
 # --------------------------------------------------------------- projections
 @query(
     "p11_render_templates",
-    """SELECT g.year, short_name AS entity, n AS template_no,
+    """SELECT cast(g.year AS int) AS year, short_name AS entity, n AS template_no,
          replace(replace(replace(t, '{year}', cast(g.year AS string)), '{YEAR}', cast(g.year AS string)), '{entity}', short_name) AS query
        FROM grid g JOIN (VALUES (0, '{省名} 充电桩 {year} 保有量 台'), (1, '{entity} {YEAR} stock_10k')) AS t(n, t) ON true
        WHERE NOT EXISTS (SELECT 1 FROM cover c WHERE c.year = g.year AND c.entity = g.short_name)""",
@@ -440,7 +440,7 @@ def _(v: Views) -> DataFrame:
 
 @query(
     "a5_year_gap_summary",
-    f"""SELECT year, covered, missing, CASE WHEN missing > 0 THEN row_number() OVER (ORDER BY missing = 0, missing, year) END AS focus_rank
+    f"""SELECT year, covered, missing, cast(CASE WHEN missing > 0 THEN row_number() OVER (ORDER BY missing = 0, missing, year) END AS int) AS focus_rank
         FROM (SELECT cast(y AS int) AS year, 30 - count(g.year) AS covered, count(g.year) AS missing
               FROM generate_series({FIRST_YEAR}, {LAST_YEAR}) AS t(y) LEFT JOIN gaps g ON g.year = y GROUP BY 1)""",
     COVER,

@@ -524,7 +524,12 @@ def _(v: Views) -> DataFrame:
     return out.select("entity", "ord", "score", F.col("_rank").cast("bigint").alias("rank"))
 
 
-@query("w8_distinct_in_order", "SELECT url, min(ord) AS ord FROM results GROUP BY 1 ORDER BY 2 LIMIT 80")
+@query("w8_distinct_in_order", "SELECT url, min(ord) AS ord FROM results GROUP BY 1")
+def _(v: Views) -> DataFrame:
+    return rk.distinct_in_order(v.results)
+
+
+@query("w8_first_distinct", "SELECT url, min(ord) AS ord FROM results GROUP BY 1 ORDER BY 2 LIMIT 80")
 def _(v: Views) -> DataFrame:
     return rk.distinct_in_order(v.results, limit=80)
 

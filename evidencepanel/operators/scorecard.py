@@ -259,14 +259,19 @@ def evidence_pack(
         used.orderBy("source_id").write.mode("overwrite").json(at("source_ids"))
         slim = records.select(F.col("provenance.match_mode").alias("match_mode"), "provenance")
         summary = match_summary(slim, level="own")
+        # Levels are free text, so their full counts are a table; the manifest has
+        # the known ones and the rest as one number.
+        summary.write.mode("overwrite").json(at("summary"))
+        kind, name, count = F.col("kind"), F.col("name"), F.col("count")
 
-        def counted(kind: str) -> Column:
-            # Modes and levels are few; the summary is already folded.
-            entries = F.collect_list(F.when(F.col("kind") == kind, F.struct("name", "count")))
-            return F.map_from_entries(F.array_sort(entries))
+        def counted(test: Column) -> Column:
+            return F.coalesce(F.sum(F.when(test, count)), F.lit(0))
 
+        modes = [counted((kind == "match_mode") & (name == m)).alias(m) for m in MATCH_MODES]
+        known = [counted((kind == "source_level") & (name == n)).alias(n) for n in LEVEL_SCORES]
+        rest = counted((kind == "source_level") & ~name.isin(*LEVEL_SCORES)).alias("other")
         manifest = summary.agg(
-            counted("match_mode").alias("match_summary"), counted("source_level").alias("source_level_summary")
+            F.struct(*modes).alias("match_summary"), F.struct(*known, rest).alias("source_level_summary")
         ).select(
             F.current_timestamp().alias("generated_at_utc"),
             F.lit(variable).alias("variable_filter"),
