@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidencepanel.functions.entity import PROVINCES, EntityDim, norm_key, normalize_entity, normalize_entity_join
-from evidencepanel.functions.text import has_text, has_value, raw, strip, to_int
+from evidencepanel.functions.text import any_of, has_text, has_value, raw, strip, to_int
 from evidencepanel.operators.groups import need
 from evidencepanel.operators.panel import panel_skeleton
 
@@ -48,9 +48,13 @@ def coverage_stats(
     """
     need(df, *keys, *value_cols)
     filled = has_value(value_cols) if value_cols else F.lit(False)
-    per_col = [F.count(F.when(has_text(c), 1)).alias(f"_c{i}") for i, c in enumerate(value_cols)]
-    per_key = df.groupBy(*key_columns(keys, dim)).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(filled).alias("_filled"), *per_col
+    cells = [has_text(c).alias(f"_t{i}") for i, c in enumerate(value_cols)]
+    facts = df.select(*key_columns(keys, dim), *cells)
+    texts = [F.col(f"_t{i}") for i in range(len(value_cols))]
+    per_key = facts.groupBy(*[f"k_{k}" for k in keys]).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max(any_of(texts)).alias("_filled"),
+        *[F.count(F.when(t, 1)).alias(f"_c{i}") for i, t in enumerate(texts)],
     )
     fixed = universe_size(keys, years, dim)
     whole = per_key.agg(

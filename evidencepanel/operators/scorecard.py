@@ -86,32 +86,41 @@ def scorecard(
     need(panel, *keys, *value_cols)
     rows = provenance_frame(panel, reg, variable, order)
     p = "provenance."
-    valued = has_value(value_cols)
-    level = F.col(p + "resolved_source_level")
     # Provenance fields are stripped already.
     present = sum(((F.col(p + f) != "").cast("int") for f in COMPLETE_FIELDS), F.lit(0))
     crossed = (F.col(p + "cross_check_url") != "") | F.coalesce(has_text("registry.cross_check_url"), F.lit(False))
+    # Facts of a row first, each computed once; the sums below only read them.
+    names = [f"k_{k}" for k in keys]
+    facts = rows.select(
+        *key_columns(keys, dim),
+        has_value(value_cols).alias("valued"),
+        F.col("match_mode").alias("mode"),
+        F.col(p + "resolved_source_level").alias("level"),
+        present.alias("present"),
+        crossed.alias("crossed"),
+    )
+    level, mode = F.col("level"), F.col("mode")
     quality = F.lit(0)
     for name, points in LEVEL_SCORES.items():
         quality = F.when(level == name, F.lit(int(points))).otherwise(quality)
 
     def tally(test: Column, amount: Column | None = None) -> Column:
-        return F.sum(F.when(valued & test, amount if amount is not None else F.lit(1)).otherwise(F.lit(0)))
+        return F.sum(F.when(F.col("valued") & test, amount if amount is not None else F.lit(1)).otherwise(F.lit(0)))
 
     yes = F.lit(True)
     sums: dict[str, Column] = {
         "rows": F.count(F.lit(1)),
         "filled": tally(yes),
-        "fields": tally(yes, present),
+        "fields": tally(yes, F.col("present")),
         "levels": tally(level != ""),
         "points": tally(level != "", quality),
         "c_rows": tally(level == "C"),
-        "c_crossed": tally((level == "C") & crossed),
-        **{f"mode_{m}": tally(F.col("match_mode") == m) for m in MATCH_MODES},
+        "c_crossed": tally((level == "C") & F.col("crossed")),
+        **{f"mode_{m}": tally(mode == m) for m in MATCH_MODES},
         **{f"level_{name}": tally(level == name) for name in LEVEL_SCORES},
         "level_other": tally((level != "") & ~level.isin(*LEVEL_SCORES)),
     }
-    per_key = rows.groupBy(*key_columns(keys, dim)).agg(*[c.alias(n) for n, c in sums.items()])
+    per_key = facts.groupBy(*names).agg(*[c.alias(n) for n, c in sums.items()])
     whole = per_key.agg(
         F.count(F.lit(1)).alias("unique_keys"),
         F.count(F.when(F.col("filled") > 0, 1)).alias("filled_keys"),

@@ -8,9 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidencepanel.functions.entity import PROVINCES, EntityDim, normalize_entity
+from evidencepanel.functions.entity import PROVINCES, EntityDim, norm_key, normalize_entity
 from evidencepanel.functions.text import has_text, has_value, strip, to_int
-from evidencepanel.operators.coverage import gap_matrix, key_columns, universe_size
+from evidencepanel.operators.coverage import gap_matrix, universe_size
 from evidencepanel.operators.groups import need
 from evidencepanel.operators.panel import merge_panel, reference_fill
 from evidencepanel.operators.quality import round_passes, validate_round
@@ -28,46 +28,43 @@ def round_metrics(
 ) -> DataFrame:
     """Keys gained, gaps before and after, and the two fill rates, as one row.
 
-    Both panels go through one aggregate by key: a key carries whether either
-    side has it and fills it.  Everything else follows from the folded keys.
+    Each panel is read once: its keys and covered pairs go through one aggregate
+    with map-side combine, and everything follows from the folded ids.
     """
     for side in (before, after):
         need(side, *keys, *value_cols, "province", "year")
-    names = [f"k_{k}" for k in keys]
 
     def side(df: DataFrame, new: bool) -> DataFrame:
-        first = has_text(value_cols[0])
-        # The (entity, year) pair that the first value column covers, if any.
-        entity = normalize_entity(strip("province"), dim)
-        year = to_int("year")
-        covers = first & entity.isNotNull() & year.between(first_year, last_year)
-        return df.select(
-            *key_columns(keys, dim),
-            F.when(covers, F.struct(entity.alias("e"), year.alias("y"))).alias("pair"),
-            has_value(value_cols).alias("filled"),
-            F.lit(new).alias("new"),
+        # A row speaks for its key and, through the first value column, for the
+        # (entity, year) pair it covers.
+        entity, year = normalize_entity(strip("province"), dim), to_int("year")
+        covers = has_text(value_cols[0]) & entity.isNotNull() & year.between(first_year, last_year)
+        key = F.array(*[norm_key(k, dim) for k in keys])
+        pair = F.when(covers, F.array(entity, year.cast("string")))
+        ids = F.array(
+            F.struct(F.lit(True).alias("is_key"), key.alias("id")), F.struct(F.lit(False).alias("is_key"), pair.alias("id"))
         )
+        return df.select(F.explode(ids).alias("i"), has_value(value_cols).alias("filled"), F.lit(new).alias("new"))
 
-    rows = side(before, False).unionByName(side(after, True))
+    rows = side(before, False).unionByName(side(after, True)).where(F.col("i.id").isNotNull())
     new = F.col("new")
-    folded = rows.groupBy(*names, "pair").agg(
+    folded = rows.groupBy("i.is_key", "i.id").agg(
         F.max(~new).alias("in_old"),
         F.max(new).alias("in_new"),
         F.max(~new & F.col("filled")).alias("old"),
         F.max(new & F.col("filled")).alias("now"),
     )
-    flags = ["in_old", "in_new", "old", "now"]
-    per_key = folded.groupBy(*names).agg(*[F.max(c).alias(c) for c in flags])
 
     def count(test: Column) -> Column:
         return F.count(F.when(test, 1))
 
-    whole = per_key.agg(
-        count(F.col("now") & ~F.col("old")).alias("gained_keys"),
-        *[count(F.col(c)).alias(c) for c in flags],
+    is_key = F.col("is_key")
+    whole = folded.agg(
+        count(is_key & F.col("now") & ~F.col("old")).alias("gained_keys"),
+        *[count(is_key & F.col(c)).alias(c) for c in ("in_old", "in_new", "old", "now")],
+        count(~is_key & F.col("in_old")).alias("covered_old"),
+        count(~is_key & F.col("in_new")).alias("covered_new"),
     )
-    pairs = folded.where(F.col("pair").isNotNull()).groupBy("pair").agg(F.max("in_old").alias("o"), F.max("in_new").alias("n"))
-    covered = pairs.agg(count(F.col("o")).alias("o"), count(F.col("n")).alias("n"))
     grid = len(dim) * max(0, last_year - first_year + 1)
     size = universe_size(keys, range(first_year, last_year + 1), dim)
 
@@ -77,8 +74,8 @@ def round_metrics(
 
     return whole.select(
         "gained_keys",
-        (F.lit(grid) - covered.select("o").scalar()).alias("missing_before"),
-        (F.lit(grid) - covered.select("n").scalar()).alias("missing_after"),
+        (F.lit(grid) - F.col("covered_old")).alias("missing_before"),
+        (F.lit(grid) - F.col("covered_new")).alias("missing_after"),
         rate("old", "in_old").alias("fill_rate_before"),
         rate("now", "in_new").alias("fill_rate_after"),
     )
