@@ -8,7 +8,6 @@ Unclosed tags therefore cost nothing, however deep they nest.
 
 from __future__ import annotations
 
-import re
 import sys
 from html.parser import HTMLParser
 
@@ -52,7 +51,6 @@ PAGE_TYPE = (
 # The parser travels with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_SPACES = re.compile(r"\s+")
 
 
 class PageReader(HTMLParser):
@@ -83,7 +81,11 @@ class PageReader(HTMLParser):
             self.title_runs.append(text)
         if self.dropped or self.hidden:
             return
-        text = text.strip()
+        self.add(text)
+
+    def add(self, text: str) -> None:
+        # Collapsed once here, so elements that share a piece need not do it again.
+        text = " ".join(text.split())
         if text:
             self.pieces.append(text)
 
@@ -147,13 +149,11 @@ class PageReader(HTMLParser):
     def unknown_decl(self, data: str) -> None:
         self.flush()
         if data.upper().startswith("CDATA[") and not (self.dropped or self.hidden):
-            text = data[len("CDATA[") :].strip()
-            if text:
-                self.pieces.append(text)
+            self.add(data[len("CDATA[") :])
 
     def text_of(self, mark: int) -> str:
         start, end = self.ranges[mark]
-        return _SPACES.sub(" ", " ".join(self.pieces[start : end if end >= 0 else len(self.pieces)]))
+        return " ".join(self.pieces[start : end if end >= 0 else len(self.pieces)])
 
     def title(self) -> str:
         runs = self.title_runs or []
@@ -186,7 +186,7 @@ def read_page(html: str | None) -> tuple:
         title = reader.title()
         lines = [f"# {title}"] if title else []
         lines += [f"## {h}" for h in headers[:MAX_HEADERS_IN_TEXT]] + paragraphs
-        plain = _SPACES.sub(" ", " ".join(reader.pieces)).strip()
+        plain = " ".join(reader.pieces)
         text = "\n\n".join(lines).strip()
         return title, headers, paragraphs, text, plain, len(plain.split()), reader.links, "ok", ""
     except Exception as exc:  # a page that cannot be read is a result, not a failure
