@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidencepanel.functions.text import ColumnLike, any_of, col, raw, strip, year_key
+from evidencepanel.functions.text import ColumnLike, any_of, raw, strip, year_key
 
 FORMS = ("short", "full", "code")
 MAX_LITERAL_ENTITIES = 500
