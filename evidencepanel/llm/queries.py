@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from evidencepanel.llm.exact_dedup import exact_duplicates
 from evidencepanel.llm.near_dedup import near_duplicates
+from evidencepanel.llm.packing import packed_pieces
+from evidencepanel.llm.pieces import piece_digests
+from evidencepanel.llm.token_output import packed_matrices
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -20,11 +23,32 @@ def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), percent=85)
 
 
+def op4_concatenate_and_cut(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_pieces(_table(spark, folder, "documents"), window=2048)
+
+
+def op5_packed_matrices(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_matrices(_table(spark, folder, "documents"), window=2048)
+
+
+def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_digests(_table(spark, folder, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(_table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Build] = {f.__name__: f for f in (op2_minhash_near_dedup, op9_exact_dedup)}
+QUERIES: dict[str, Build] = {
+    f.__name__: f
+    for f in (
+        op2_minhash_near_dedup,
+        op4_concatenate_and_cut,
+        op5_packed_matrices,
+        op7_sentence_pieces,
+        op9_exact_dedup,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {
     "op9_exact_dedup": """
