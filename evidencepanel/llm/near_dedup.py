@@ -5,13 +5,10 @@ bin is the signature.  Empty bins borrow from a bin drawn by a hash of (bin, att
 the same for every document, until a filled one is met (optimal densification).  Bands
 of the signature name buckets.
 
-Candidates never are all pairs of a bucket.  First, each member meets the least
-document of its bucket (a star).  Links found merge documents into components.  Where
-a bucket still holds several components, growing random tiers of its members become
-further star centres and meet only members of *other* components.  The last tier
-covers the whole bucket, so every pair of a bucket that could still join two
-components is checked once; in a group that hangs together nearly all are settled by
-the first centres.  Every candidate is confirmed on the full shingle sets.
+Candidates never are all pairs of a bucket.  Each member meets the head of its bucket (a
+star), and the exact overlap is kept.  Links found merge documents into components.
+Where a bucket still holds several, only pairs meet that the overlaps with the head do
+not rule out (see ``open_pairs``).  Every candidate is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -31,7 +28,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE_WORDS = 5
 BINS = 192
 MISS = 1e-6
-TIER_STEP = 4
 
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, buckets array<long>"
 
@@ -132,17 +128,18 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges ``a, b`` (with set sizes ``n_a, n_b``) whose full sets reach the threshold."""
-    able = edges.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b")
-    left = able.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s_a")), "a")
-    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s_b")), "b")
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    return (
-        both.select("a", "b", common.alias("common"), (F.size("s_a") + F.size("s_b")).alias("total"))
-        .where(f"100 * common >= {percent} * (total - common)")
-        .select("a", "b")
-    )
+def _with_sets(edges: DataFrame, sets: DataFrame) -> DataFrame:
+    left = edges.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s_a")), "a")
+    return left.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s_b")), "b")
+
+
+def compared(edges: DataFrame, sets: DataFrame) -> DataFrame:
+    """The edges ``a, b, n_a, n_b`` with the number of shingles both full sets hold."""
+    return _with_sets(edges, sets).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("s_a", "s_b")).cast("long").alias("common"))
+
+
+def linked(facts: DataFrame, percent: int) -> DataFrame:
+    return facts.where(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -168,13 +165,57 @@ def components(links: DataFrame) -> DataFrame:
         seen = state
 
 
-def _star_round(members: DataFrame, tier_start: float, tier_end: float) -> DataFrame:
-    """Pairs of tier members with later members of another component of the same bucket."""
-    place = F.expr("(xxhash64(doc) & 9007199254740991) / 9007199254740992D")
-    placed = members.withColumn("place", place)
-    centres = placed.where(F.col("place").between(tier_start, tier_end)).selectExpr("bucket", "doc AS c", "n AS n_c", "comp AS comp_c", "place AS place_c")
-    met = placed.join(centres, "bucket").where("comp <> comp_c AND (place_c < place OR (place_c = place AND c < doc))")
-    return met.selectExpr("least(c, doc) AS a", "greatest(c, doc) AS b", "if(c < doc, n_c, n) AS n_a", "if(c < doc, n, n_c) AS n_b").distinct()
+def stars(reps: DataFrame) -> DataFrame:
+    """``bucket, doc, n, head`` of the buckets with several members.
+
+    The head is the member whose buckets hold most documents in all, then the least: in
+    a group of copies that is the text that the others were made from, if it is there.
+    """
+    sizes = reps.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = stored(reps.join(sizes, "bucket"), "members")
+    degree = members.groupBy("doc").agg(F.sum("size").alias("degree"))
+    heads = members.join(degree, "doc").groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("doc")).alias("least"))).alias("top"))
+    return stored(members.join(heads, "bucket").select("bucket", "doc", "n", (-F.col("top.least")).alias("head")), "stars")
+
+
+def _pairs(rows: DataFrame, keys: list[str], percent: int, more: str = "true") -> DataFrame:
+    """Pairs of rows of different components under equal keys whose sizes allow a link."""
+    left = rows.select(*keys, F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("c_a"), F.col("common").alias("i_a"))
+    right = rows.select(*keys, F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("c_b"), F.col("common").alias("i_b"))
+    able = F.expr(f"a < b AND c_a <> c_b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) AND {more}")
+    same = [left[k] == right[k] for k in keys]
+    return left.join(right, [*same, able]).select("a", "b", "n_a", "n_b").distinct()
+
+
+def open_pairs(members: DataFrame, facts: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket that may still link two components; no link of a bucket is missed.
+
+    Every member's overlap with the head is known.  Two members can share only what both
+    share with the head, and shingles outside it.  So a pair that may be linked either
+    has enough in common with the head on both sides, or shares a shingle that the head
+    lacks, and then one among the first ``outside - needed + 1`` on both sides (prefix
+    filter), where ``needed`` shingles outside the head are the least that a link takes.
+    """
+    known = labels.select(F.col("doc_id").alias("doc"), F.col("component_id").alias("comp"))
+    labelled = members.join(known, "doc", "left").select("bucket", "head", "doc", "n", F.coalesce("comp", "doc").alias("comp"))
+    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("n").alias("least_n")).where("x <> y")
+    shared = facts.select(F.col("a").alias("head"), F.col("b").alias("doc"), "common")
+    rows = stored(
+        labelled.join(mixed.select("bucket", "least_n"), "bucket")
+        .join(shared, ["head", "doc"], "left")
+        .select("bucket", "head", "doc", "n", "comp", "least_n", F.coalesce("common", "n").alias("common")),
+        "open",
+    )
+    whole = 100 + percent
+    near = rows.where(f"{whole} * common >= {percent} * (n + greatest(least_n, n * {percent} / 100))")
+    inside = _pairs(near, ["bucket"], percent, f"{whole} * least(i_a, i_b) >= {percent} * (n_a + n_b)")
+
+    edges = rows.where("doc <> head").select(F.col("head").alias("a"), F.col("doc").alias("b"), "n", "comp", "common").distinct()
+    needed = F.greatest(F.ceil(F.col("n") * percent / 100) - F.col("common"), F.lit(1))
+    outside = _with_sets(edges, sets).select("a", "b", "n", "comp", "common", F.array_sort(F.array_except("s_b", "s_a")).alias("outside"), needed.cast("int").alias("needed"))
+    first = F.slice("outside", F.lit(1), F.greatest(F.size("outside") - F.col("needed") + 1, F.lit(0)))
+    spread = outside.select(F.col("a").alias("head"), F.col("b").alias("doc"), "n", "comp", "common", F.explode(first).alias("shingle"))
+    return inside.unionByName(_pairs(spread, ["head", "shingle"], percent)).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS, bins: int = BINS) -> DataFrame:
@@ -194,39 +235,24 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     classes = stored(named.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     firsts = named.join(classes.where("copies > 1").withColumnRenamed("rep", "first"), key, "left")
     reps = firsts.where("first IS NULL OR first = doc_id").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("buckets").alias("bucket"))
-    heads = reps.groupBy("bucket").agg(F.min("doc").alias("head"), F.max("doc").alias("last")).where("head <> last").select("bucket", "head")
-    members = stored(reps.join(heads, "bucket").distinct(), "members")
+    members = stars(reps)
 
     used = members.select(F.col("doc").alias("doc_id")).distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(used, "doc_id", "left_semi")
-    sets = stored(shingle_sets(texts, "doc_id", "text", width).dropDuplicates(["doc_id"]), "sets")
+    if not named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["doc_id"])
+    sets = stored(shingle_sets(texts, "doc_id", "text", width), "sets")
 
     sizes = members.where("doc = head").selectExpr("doc AS a", "n AS n_a").distinct()
-    stars = members.where("doc <> head").selectExpr("head AS a", "doc AS b", "n AS n_b").distinct().join(sizes, "a")
-    tested = stored(stars, "stars")
-    links = stored(confirmed(tested, sets, percent), "links")
+    edges = members.where("doc <> head").selectExpr("head AS a", "doc AS b", "n AS n_b").distinct().join(sizes, "a")
+    facts = stored(compared(edges, sets), "facts")
+    links = linked(facts, percent)
     labels = components(links)
 
-    tier_end = 0.0
-    while True:
-        known = labels.withColumnRenamed("doc_id", "doc").withColumnRenamed("component_id", "comp")
-        labelled = members.join(known, "doc", "left").select("bucket", "doc", "n", F.coalesce("comp", "doc").alias("comp"))
-        mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("size")).where("x <> y")
-        if tier_end >= 1:
-            break
-        open_buckets = stored(labelled.join(mixed.select("bucket", "size"), "bucket"), "open")
-        largest = open_buckets.agg(F.max("size")).first()[0]
-        if largest is None:
-            break
-        tier_start, tier_end = tier_end, max(TIER_STEP / largest, tier_end * TIER_STEP)
-        tier_end = 1.0 if tier_end * TIER_STEP > 1 else tier_end
-        pairs = _star_round(open_buckets.select("bucket", "doc", "n", "comp"), tier_start, tier_end)
-        fresh = stored(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "stars")
-        tested = tested.select("a", "b").unionByName(fresh.select("a", "b"))
-        more = stored(confirmed(fresh, sets, percent), "links")
-        links = links.unionByName(more)
-        if not more.isEmpty():
-            labels = components(links)
+    rest = open_pairs(members, facts, labels, sets, percent)
+    more = stored(linked(compared(rest, sets), percent), "links")
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
 
     own = found.join(classes.where("copies > 1").select(*key, "rep"), key, "left")
     rep = F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id"))

@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from evidencepanel.llm.exact_dedup import exact_duplicates
 from evidencepanel.llm.near_dedup import near_duplicates
 from evidencepanel.llm.packing import packed_pieces
 from evidencepanel.llm.pieces import piece_digests
+from evidencepanel.llm.pii import personal_data
+from evidencepanel.llm.quality import quality_scores
 from evidencepanel.llm.token_output import packed_matrices
+from evidencepanel.llm.topk import top_k
+from evidencepanel.llm.warc import archived_pages
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +28,10 @@ def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), percent=85)
 
 
+def op3_quality_machine(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"), threshold=0.3)
+
+
 def op4_concatenate_and_cut(spark: SparkSession, folder: str) -> DataFrame:
     return packed_pieces(_table(spark, folder, "documents"), window=2048)
 
@@ -31,26 +40,55 @@ def op5_packed_matrices(spark: SparkSession, folder: str) -> DataFrame:
     return packed_matrices(_table(spark, folder, "documents"), window=2048)
 
 
+def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digests(_table(spark, folder, "documents"))
 
 
+def op8_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(_table(spark, folder, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op10_web_archive(spark: SparkSession, folder: str) -> DataFrame:
+    # Pages carry no capture time; their number, as seconds, gives each a time of its own.
+    found = archived_pages(_table(spark, folder, "pages"), captured=F.timestamp_seconds("page_id"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Build] = {
     f.__name__: f
     for f in (
         op2_minhash_near_dedup,
+        op3_quality_machine,
         op4_concatenate_and_cut,
         op5_packed_matrices,
+        op6_exact_top_k,
         op7_sentence_pieces,
+        op8_contextual_pii,
         op9_exact_dedup,
+        op10_web_archive,
     )
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_exact_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op10_web_archive": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+  f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest""",
     "op9_exact_dedup": """
 WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
   g AS (SELECT low, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY low)
