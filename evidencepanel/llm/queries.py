@@ -12,6 +12,7 @@ from evidencepanel.llm.near_dedup import near_duplicates
 from evidencepanel.llm.packing import packed_pieces
 from evidencepanel.llm.pieces import piece_digests
 from evidencepanel.llm.pii import personal_data
+from evidencepanel.llm.pseudo_likelihood import pseudo_likelihood
 from evidencepanel.llm.quality import quality_scores
 from evidencepanel.llm.token_output import packed_matrices
 from evidencepanel.llm.topk import top_k
@@ -24,6 +25,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudo_likelihood(_table(spark, folder, "documents"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), percent=85)
 
@@ -65,6 +70,7 @@ def op10_web_archive(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Build] = {
     f.__name__: f
     for f in (
+        op1_pseudo_likelihood,
         op2_minhash_near_dedup,
         op3_quality_machine,
         op4_concatenate_and_cut,
