@@ -238,7 +238,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     members = stars(reps)
 
     used = members.select(F.col("doc").alias("doc_id")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(used, "doc_id", "left_semi")
+    # The list of numbers grows with the documents: it is dealt out, never sent whole.
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = given.join(used.hint("merge"), "doc_id", "left_semi")
     if not named.groupBy("doc_id").count().where("count > 1").isEmpty():
         texts = texts.dropDuplicates(["doc_id"])
     sets = stored(shingle_sets(texts, "doc_id", "text", width), "sets")
