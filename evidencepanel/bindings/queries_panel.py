@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from evidencepanel.bindings.catalog import ENT, KEYED, has, number, query, s, year
 from evidencepanel.bindings.views import FIRST_YEAR, LAST_YEAR, Views
 from evidencepanel.functions import entity as ent
+from evidencepanel.functions.entity import norm_key
 from evidencepanel.functions.text import has_value
 from evidencepanel.operators import coverage as cov
 from evidencepanel.operators import panel as pan
@@ -77,7 +78,7 @@ def _(v: Views) -> DataFrame:
 
 @query("p4_norm_key", "SELECT _row, k_province, k_year, series AS k_series FROM keyed", KEYED)
 def _(v: Views) -> DataFrame:
-    return v.panel.select("_row", *cov.key_columns(KEYS))
+    return v.panel.select("_row", *[norm_key(k).alias(f"k_{k}") for k in KEYS])
 
 
 @query("p5_has_value", f"SELECT _row FROM panel WHERE {has('stock_10k')} OR {has('aux_value')}")
@@ -267,8 +268,8 @@ def _(v: Views) -> DataFrame:
 def _other_panel(v: Views) -> DataFrame:
     """The panel after a fill, with some cells changed."""
     return v.sql(
-        "SELECT _row, province, year, series, CASE WHEN _row % 7 = 0 THEN aux_value ELSE stock_10k END AS stock_10k, "
-        "aux_value, 'x' AS extra FROM panel WHERE _row % 5 <> 0"
+        "SELECT _row, CASE WHEN _row % 5 = 0 THEN 'elsewhere' ELSE province END AS province, year, series, "
+        "CASE WHEN _row % 7 = 0 THEN aux_value ELSE stock_10k END AS stock_10k, aux_value, 'x' AS extra FROM panel"
     )
 
 
@@ -284,8 +285,8 @@ def _diff(c: str) -> str:
 @query(
     "j14_compare_panels",
     " UNION ALL ".join(_diff(c) for c in VALUES),
-    "b AS (SELECT _row, province, year, series, CASE WHEN _row % 7 = 0 THEN aux_value ELSE stock_10k END AS stock_10k, aux_value "
-    "FROM panel WHERE _row % 5 <> 0)",
+    "b AS (SELECT _row, CASE WHEN _row % 5 = 0 THEN 'elsewhere' ELSE province END AS province, year, series, "
+    "CASE WHEN _row % 7 = 0 THEN aux_value ELSE stock_10k END AS stock_10k, aux_value FROM panel)",
 )
 def _(v: Views) -> DataFrame:
     out = pan.compare_panels(v.panel, _other_panel(v), KEYS)
@@ -309,16 +310,16 @@ def _(v: Views) -> DataFrame:
 
 PATTERN = r"新能源汽车保有量(?:达到|约为|为)? ?([0-9]+(?:\.[0-9]+)?) ?万?辆"
 SPECS = f"""
-    SELECT _row * 2 + dup AS _row, 'E' || cast(ck AS string) AS province, cast(t.yr AS string) AS year,
+    SELECT _row * 2 + dup AS _row, CASE WHEN ck % 3 = 1 THEN 'X' ELSE 'E' END || cast(ck AS string) AS province, cast(t.yr AS string) AS year,
       'SRC_J' || cast(_row * 2 + dup AS string) AS source_id, 'A' AS source_level, 'bulletin' AS source_name,
       CASE WHEN ck % 11 = 2 THEN 'http://gone.example' ELSE b.url END AS source_url,
       '{PATTERN}' AS pattern, 'n' || cast(dup AS string) AS note
     FROM (SELECT *, 0 AS dup FROM base UNION ALL SELECT *, 1 AS dup FROM base WHERE ck % 4 = 1) t
-      JOIN bulletins b ON b.ord = t._row WHERE ck % 3 <> 1"""
+      JOIN bulletins b ON b.ord = t._row"""
 STRICT = """
-    SELECT _row, 'E' || cast(ck AS string) AS province, cast(yr AS string) AS year,
+    SELECT _row, CASE WHEN ck % 7 = 3 THEN 'Y' ELSE 'E' END || cast(ck AS string) AS province, cast(yr AS string) AS year,
       CASE WHEN ck % 6 = 0 THEN cast(whole AS string) ELSE ' ' END AS stock_10k, 'https://own.example' AS source_url
-    FROM base WHERE ck % 7 <> 3"""
+    FROM base"""
 FILLED = f"""specs AS ({SPECS}), strict AS ({STRICT}),
     tried AS (SELECT sp.*, st._row AS st_row, {s('st.stock_10k')} AS old, b.text, regexp_extract(b.text, sp.pattern, 1) AS got
       FROM specs sp LEFT JOIN strict st ON st.province = sp.province AND st.year = sp.year LEFT JOIN bulletins b ON b.url = sp.source_url),
@@ -355,6 +356,17 @@ def _(v: Views) -> DataFrame:
     return _fill(v)["panel"].select("_row", "stock_10k", "source_id", "note")
 
 
+@query(
+    "j15_registry_additions",
+    """SELECT _row, source_id, 'stock_10k' AS variable, source_level, source_name, source_url, '2025-01-01' AS access_date, note
+       FROM done WHERE status = 'ok'""",
+    FILLED,
+)
+def _(v: Views) -> DataFrame:
+    names = ["_row", "source_id", "variable", "source_level", "source_name", "source_url", "access_date", "note"]
+    return _fill(v)["registry"].select(*names)
+
+
 @query("w1_keep_last", "SELECT _row, province, year, series, stock_10k FROM (SELECT *, row_number() OVER (PARTITION BY province, year, series ORDER BY _row DESC) AS rn FROM patch) WHERE rn = 1")
 def _(v: Views) -> DataFrame:
     return keep_last(v.patch, KEYS).select("_row", *KEYS, "stock_10k")
@@ -416,25 +428,96 @@ def _(v: Views) -> DataFrame:
     return cov.gap_matrix(v.panel, "stock_10k", FIRST_YEAR, LAST_YEAR)
 
 
-@query(
-    "a4_gap_matrix_large",
-    f"""SELECT cast(y AS int) AS year, 'C' || cast(c_custkey AS string) AS entity FROM customer, generate_series({FIRST_YEAR}, {LAST_YEAR}) AS g(y)
-        WHERE NOT EXISTS (SELECT 1 FROM base WHERE ck = c_custkey AND yr = y AND frac >= 20)""",
-)
-def _(v: Views) -> DataFrame:
+def customer_dim(v: Views) -> DataFrame:
+    """One entity per customer: as many as the table holds."""
     name = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
-    dim = v.table("customer").select(
+    return v.table("customer").select(
         F.col("c_custkey").alias("ordinal"),
         F.rpad(name, 20, "_").alias("short"),
         name.alias("full"),
         F.concat(F.lit("code"), F.col("c_custkey").cast("string")).alias("code"),
     )
+
+
+#: The panel with an entity per customer, written by full name, by code, or in no known way.
+MANY_NAMES = """SELECT _row, CASE ck % 5 WHEN 0 THEN 'code' || cast(ck AS string) WHEN 1 THEN '?' || cast(ck AS string) ELSE ' C' || cast(ck AS string) END AS province,
+    cast(yr AS string) AS year, CASE WHEN frac >= 20 THEN '1' ELSE ' ' END AS stock_10k FROM base"""
+LARGE = f"large AS (SELECT _row, trim(province) AS raw, CASE WHEN ck % 5 = 1 THEN trim(province) ELSE rpad('C' || cast(ck AS string), 20, '_') END AS entity, yr, ck, frac >= 20 AS filled FROM ({MANY_NAMES}) JOIN base USING (_row))"
+N_LARGE = f"((SELECT count(*) FROM customer) * {len(YEARS)})"
+
+
+@query(
+    "p2_strict_names_large",
+    "SELECT _row, CASE WHEN ck % 5 > 1 THEN 'C' || cast(ck AS string) END AS full_form, CASE WHEN ck % 5 > 1 THEN entity END AS short_form FROM large",
+    LARGE,
+)
+def _(v: Views) -> DataFrame:
+    rows = v.sql(MANY_NAMES).withColumn("province", F.trim("province"))
+    return ent.strict_names(rows, "province", customer_dim(v)).select("_row", "full_form", "short_form")
+
+
+@query(
+    "j1_merge_panel_large",
+    """SELECT ck * 16 + (yr - 1990) AS _row, rpad('C' || cast(ck AS string), 20, '_') AS province, cast(yr AS string) AS year,
+         CASE WHEN ck % 5 <> 1 AND frac >= 20 THEN '1' ELSE '0' END AS stock_10k FROM base""",
+)
+def _(v: Views) -> DataFrame:
+    base = v.sql("SELECT _row, rpad('C' || cast(ck AS string), 20, '_') AS province, cast(yr AS string) AS year, '0' AS stock_10k FROM base")
+    out = pan.merge_panel(base, v.sql(MANY_NAMES), ["province", "year"], ["stock_10k"], "short", customer_dim(v))
+    return out.drop("_written")
+
+
+@query(
+    "a3_coverage_large",
+    f"""SELECT cast(sum(n) AS bigint) AS total_rows, cast(any_value({N_LARGE}) AS bigint) AS all_keys_count, count(*) FILTER (f) AS filled_keys_count,
+          round(count(*) FILTER (f) / any_value({N_LARGE}) * 100, 4) AS fill_rate
+        FROM (SELECT entity, yr, count(*) AS n, bool_or(filled) AS f FROM large GROUP BY 1, 2)""",
+    LARGE,
+)
+def _(v: Views) -> DataFrame:
+    out = cov.coverage_stats(v.sql(MANY_NAMES), ["province", "year"], ["stock_10k"], YEARS, customer_dim(v)).summary
+    return out.withColumn("fill_rate", F.round("fill_rate", 4))
+
+
+@query(
+    "r1_round_metrics_large",
+    f"""SELECT cast(0 AS bigint) AS gained_keys, {N_LARGE} - c AS missing_before, {N_LARGE} - c AS missing_after,
+          round(f / {N_LARGE} * 100, 4) AS fill_rate_before, round(f / {N_LARGE} * 100, 4) AS fill_rate_after
+        FROM (SELECT count(DISTINCT (ck, yr)) FILTER (filled AND ck % 5 <> 1 AND yr BETWEEN {FIRST_YEAR} AND {LAST_YEAR}) AS c,
+              count(DISTINCT (entity, yr)) FILTER (filled) AS f FROM large)""",
+    LARGE,
+)
+def _(v: Views) -> DataFrame:
+    rows = v.sql(MANY_NAMES)
+    out = rounds.round_metrics(rows, rows, ["province", "year"], ["stock_10k"], FIRST_YEAR, LAST_YEAR, customer_dim(v))
+    return out.select(
+        "gained_keys",
+        "missing_before",
+        "missing_after",
+        *[F.round(c, 4).alias(c) for c in ("fill_rate_before", "fill_rate_after")],
+    )
+
+
+@query("q8_entity_form_large", "SELECT _row FROM large WHERE ck % 5 < 2", LARGE)
+def _(v: Views) -> DataFrame:
+    from evidencepanel.operators.quality import check_entity_form
+
+    out = check_entity_form(v.sql(MANY_NAMES), "full", customer_dim(v))
+    return out.select((F.col("line") - 1).alias("_row"))
+
+
+@query(
+    "a4_gap_matrix_large",
+    f"""SELECT cast(y AS int) AS year, 'C' || cast(c_custkey AS string) AS entity FROM customer, generate_series({FIRST_YEAR}, {LAST_YEAR}) AS g(y)
+        WHERE NOT EXISTS (SELECT 1 FROM base WHERE ck = c_custkey AND yr = y AND frac >= 20)""",
+)
+def _(v: Views) -> DataFrame:
     rows = v.base.select(
         F.concat(F.lit("C"), F.col("ck").cast("string")).alias("province"),
         F.col("yr").cast("string").alias("year"),
         F.when(F.col("frac") >= 20, "1").otherwise(" ").alias("stock_10k"),
     )
-    out = cov.gap_matrix(rows, "stock_10k", FIRST_YEAR, LAST_YEAR, dim)
+    out = cov.gap_matrix(rows, "stock_10k", FIRST_YEAR, LAST_YEAR, customer_dim(v))
     return out.select("year", F.rtrim(F.replace("entity", F.lit("_"), F.lit(" "))).alias("entity"))
 
 

@@ -117,7 +117,7 @@ OTHER_RULES = {
     ),
 )
 def _(v: Views) -> DataFrame:
-    schema = ex.parse_extractor_schema(OTHER_RULES)
+    schema = ex.rules_from_json(OTHER_RULES)
     rows = v.bulletins.where(F.col("text").contains(schema.required_term))
     return rows.withColumn("_v", ex.extract_value("text", schema)).select("ord", "_v.value_raw", "_v.unit")
 
@@ -148,10 +148,12 @@ def sentence_score(x: str, entity: str, own: str, url: str) -> str:
     f"SELECT ord, {sentence_score('text', 'entity', 'short_name', 'url')} AS score FROM bulletins JOIN dim ON full_name = entity",
 )
 def _(v: Views) -> DataFrame:
-    from evidencepanel.functions.entity import explicit_name
+    from evidencepanel.functions.entity import hinted_url, with_names, with_other_entity
 
-    score = ex.score_sentence(F.col("entity"), explicit_name("entity"), F.col("text"), F.col("url"), SOURCE_YEAR)
-    return v.bulletins.select("ord", score.alias("score"))
+    rows = with_other_entity(with_names(v.bulletins, "entity"), "text", "_own")
+    hint = hinted_url("entity", "url")
+    score = ex.score_sentence(F.col("entity"), F.col("_own"), F.col("text"), SOURCE_YEAR, F.col("_other"), hint)
+    return rows.select("ord", score.alias("score"))
 
 
 def scope_hit(x: str) -> str:
@@ -168,7 +170,7 @@ FOUND = (
     + f""", found AS (SELECT *, cast({value_of('x', 1)} AS double) AS value_raw, {value_of('x', 2)} AS unit FROM parts
     WHERE contains(x, '保有量') AND {any_in('x', ('新能源', '电动汽车'))} AND NOT contains(x, '全国新能源汽车保有量')
       AND ({NAMED} OR ({scope_hit('x')} AND coalesce({hinted('entity', 'url', URL_HINTS)}, true)))),
-  cands AS (SELECT ord, cast(sentence_no AS int) AS sentence_no, entity, url, substr(x, 1, 260) AS sentence, value_raw, unit,
+  cands AS (SELECT ord, cast(sentence_no AS int) AS sentence_no, entity, url, x AS sentence, value_raw, unit,
     round_even(value_raw * CASE unit WHEN '辆' THEN 0.0001::DOUBLE ELSE 1 END, 6) AS value_10k,
     {sentence_score('x', 'entity', 'short_name', 'url')} AS score, {NAMED} AS explicit FROM found WHERE value_raw IS NOT NULL)"""
 )
@@ -194,7 +196,7 @@ POP_SCORE = points(
 )
 POP = (
     PARTS
-    + f""", pop AS (SELECT ord, cast(sentence_no AS int) AS sentence_no, entity, url, short_name, full_name, x, substr(x, 1, 260) AS sentence,
+    + f""", pop AS (SELECT ord, cast(sentence_no AS int) AS sentence_no, entity, url, short_name, full_name, x, x AS sentence,
     cast(CASE WHEN regexp_matches(x, '{P1}') THEN regexp_extract(x, '{P1}', 1) WHEN regexp_matches(x, '{P2}') THEN regexp_extract(x, '{P2}', 1) END AS double) AS value_10k_person,
     {POP_SCORE} AS score, {NAMED} AS explicit FROM parts WHERE contains(x, '常住人口') AND ({NAMED} OR NOT contains(x, '全国'))
       AND ({NAMED} OR ({POP_SCOPE} AND coalesce({hinted('entity', 'url', POPULATION_URL_HINTS)}, true)))),
@@ -232,6 +234,18 @@ def _(v: Views) -> DataFrame:
     )
 
 
+@query(
+    "t7_engine_lists",
+    f"""SELECT ord, {points(*[(f"trim(split_part(engines, ',', 1)) = '{e}'", p) for e, p in grading.ENGINE_BONUS.items()])} AS score
+        FROM (SELECT ord, CASE ord % 3 WHEN 0 THEN engine || ', bing' WHEN 1 THEN 'x,' || engine ELSE engine END AS engines FROM results)""",
+)
+def _(v: Views) -> DataFrame:
+    third = F.col("ord") % 3
+    listed = F.when(third == 0, F.concat("engine", F.lit(", bing"))).when(third == 1, F.concat(F.lit("x,"), "engine"))
+    rows = v.results.withColumn("engines", listed.otherwise(F.col("engine")))
+    return rows.select("ord", grading.engine_bonus("engines").alias("score"))
+
+
 POP_WORDS = points(
     (f"contains({W}, short_name) OR contains({W}, entity)", 4),
     (f"contains({W}, '常住人口')", 5),
@@ -308,7 +322,7 @@ def _(v: Views) -> DataFrame:
 )
 def _(v: Views) -> DataFrame:
     rows = _population(v).withColumn("place", F.col("ord") * 1000 + F.col("sentence_no"))
-    out = rk.shortlist(rows, "value_10k_person", SOURCE_YEAR, order="place")["rows"]
+    out = rk.shortlist(rows, "value_10k_person", SOURCE_YEAR, order="place", sentence_chars=500)["rows"]
     return out.select("province", "value_10k_person", "source_url", "confidence", "evidence_sentence", "rule_flags")
 
 
@@ -388,7 +402,7 @@ def _field(name: str, cast: str, tries: list[tuple[str, int]]) -> str:
 )
 def _(v: Views) -> DataFrame:
     rules = ex.parse_field_rules(RULES)
-    wide = v.table("documents").select("doc_id", ex.extract_fields("text", rules).alias("f"))
+    wide = v.table("documents").select("doc_id", ex.extract_fields("text", rules, ex.EVIDENCE_CHARS).alias("f"))
     named = F.array(*[F.struct(F.lit(r.name).alias("field"), F.col(f"f.{r.name}").alias("g")) for r in rules])
     rows = wide.select("doc_id", F.explode(named).alias("n")).where(F.col("n.g").isNotNull())
     return rows.select("doc_id", "n.field", "n.g.value_str", "n.g.value_num", "n.g.raw", "n.g.evidence")
@@ -419,11 +433,11 @@ UNESCAPED = "replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&
     rf"""SELECT page_id, url, regexp_extract(url, '(?i)^(?:[a-z][a-z0-9+.\-]*:)?//([^/?#]*)', 1) AS host, 'ok' AS status,
           trim({UNESCAPED.format("regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1)")}, {' || '.join(f'chr({c})' for c in (32, 9, 10, 13, 160))}) AS title,
           cast(len(regexp_extract_all({PAGE_TEXT}, '(?i)<a\s[^>]*href="[^"]+"')) AS int) AS links_count,
-          cast(least(len(regexp_extract_all({PAGE_TEXT}, '(?i)<h[123][ >]')), 40) AS int) AS headers_count FROM pages""",
+          cast(len(regexp_extract_all({PAGE_TEXT}, '(?i)<h[123][ >]')) AS int) AS headers_count, '' AS error FROM pages""",
 )
 def _(v: Views) -> DataFrame:
-    archive = pg.page_archive(v.table("pages"))
-    summary = pg.page_summary(archive.withColumn("url", F.concat_ws("\u0001", "page_id", "url")))
+    numbered = v.table("pages").withColumn("url", F.concat_ws("\u0001", "page_id", "url"))
+    summary = pg.page_summary(numbered)
     parts = F.split("url", "\u0001")
     return summary.select(
         parts[0].cast("bigint").alias("page_id"),
@@ -433,6 +447,7 @@ def _(v: Views) -> DataFrame:
         "title",
         "links_count",
         "headers_count",
+        "error",
     )
 
 
@@ -489,35 +504,44 @@ def _(v: Views) -> DataFrame:
     return out.select("entity", "url", "ord", F.col("_rank").cast("bigint").alias("rank"))
 
 
+# Each candidate three times: with its score as text, with a lower or missing one, with a higher one or none.
+MANY = """many AS (SELECT entity, (ord * 1000 + sentence_no) * 3 + copy AS ord, url, value_10k, sentence,
+      CASE copy WHEN 0 THEN cast(score AS string) WHEN 1 THEN CASE WHEN ord % 3 = 0 THEN NULL ELSE cast(score - 20 AS string) END
+        ELSE CASE WHEN ord % 5 = 0 THEN cast(score + 1 AS string) || '.0' ELSE 'n/a' END END AS score
+      FROM cands CROSS JOIN (VALUES (0), (1), (2)) AS c(copy))"""
+POINTS = "coalesce(try_cast(score AS double), 0)"
+
+
 @query(
     "w5_dedup_candidates",
-    """SELECT ord, url, value_10k, sentence, score FROM (SELECT *, row_number() OVER (PARTITION BY url, value_10k, sentence ORDER BY score DESC, ord) AS rn FROM many) WHERE rn = 1""",
-    FOUND
-    + ", many AS (SELECT ord * 1000 + sentence_no AS ord, substr(url, 1, 22) AS url, value_10k, substr(sentence, -6) AS sentence, score FROM cands)",
+    f"""SELECT ord, url, value_10k, sentence, score FROM (SELECT *, row_number() OVER (PARTITION BY url, value_10k, sentence ORDER BY {POINTS} DESC, ord) AS rn FROM many) WHERE rn = 1""",
+    FOUND + ", " + MANY,
 )
 def _(v: Views) -> DataFrame:
     return rk.dedup_candidates(_many(v)).select("ord", "url", "value_10k", "sentence", "score")
 
 
 def _many(v: Views) -> DataFrame:
-    """Candidates with addresses and sentences cut short, so that copies arise."""
     rows = cand.extract_candidates(v.bulletins, SOURCE_YEAR)
+    rows = rows.withColumn("copy", F.explode(F.array(*map(F.lit, range(3)))))
+    score = F.col("score")
+    lower = F.when(F.col("ord") % 3 != 0, (score - 20).cast("string"))
+    higher = F.when(F.col("ord") % 5 == 0, F.concat((score + 1).cast("string"), F.lit(".0"))).otherwise(F.lit("n/a"))
     return rows.select(
         "entity",
-        (F.col("ord") * 1000 + F.col("sentence_no")).alias("ord"),
-        F.substring("url", 1, 22).alias("url"),
+        ((F.col("ord") * 1000 + F.col("sentence_no")) * 3 + F.col("copy")).alias("ord"),
+        "url",
         "value_10k",
-        F.substring("sentence", -6, 6).alias("sentence"),
-        "score",
+        "sentence",
+        F.when(F.col("copy") == 0, score.cast("string")).when(F.col("copy") == 1, lower).otherwise(higher).alias("score"),
     )
 
 
 @query(
     "w6_top_candidates",
-    """SELECT entity, ord, score, pos AS rank FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY score DESC, ord) AS pos FROM
-         (SELECT *, row_number() OVER (PARTITION BY entity, url, value_10k, sentence ORDER BY score DESC, ord) AS rn FROM many) WHERE rn = 1) WHERE pos <= 4""",
-    FOUND
-    + ", many AS (SELECT entity, ord * 1000 + sentence_no AS ord, substr(url, 1, 22) AS url, value_10k, substr(sentence, -6) AS sentence, score FROM cands)",
+    f"""SELECT entity, ord, score, pos AS rank FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY {POINTS} DESC, ord) AS pos FROM
+         (SELECT *, row_number() OVER (PARTITION BY entity, url, value_10k, sentence ORDER BY {POINTS} DESC, ord) AS rn FROM many) WHERE rn = 1) WHERE pos <= 4""",
+    FOUND + ", " + MANY,
 )
 def _(v: Views) -> DataFrame:
     out = rk.top_candidates(_many(v), 4)
@@ -548,11 +572,11 @@ def _(v: Views) -> DataFrame:
 @query(
     "u1_concat_urls",
     "SELECT url, arg_min(l, l * 1000000000000 + ord) AS first_list, arg_min(ord, l * 1000000000000 + ord) AS ord FROM "
-    "(SELECT 0 AS l, ord, url FROM results WHERE engine = 'bing' UNION ALL SELECT 1, page_id, url FROM pages) GROUP BY 1",
+    "(SELECT 0 AS l, ord, url FROM results UNION ALL SELECT 1, page_id, url FROM pages) GROUP BY 1",
 )
 def _(v: Views) -> DataFrame:
     listed = v.table("pages").select(F.col("page_id").alias("ord"), "url")
-    return rk.concat_urls(v.results.where("engine = 'bing'"), listed).select("url", F.col("_list").alias("first_list"), "ord")
+    return rk.concat_urls(v.results, listed).select("url", F.col("_list").alias("first_list"), "ord")
 
 
 # ---------------------------------------------------------------------- routes
@@ -722,8 +746,8 @@ def _(v: Views) -> DataFrame:
 
 
 # ------------------------------------------------------------------- streaming
-OLD = "SELECT _row, 'E' || cast(ck AS string) AS province, cast(yr AS string) AS year, CASE WHEN n % 3 = 0 THEN '' ELSE cast(whole AS string) END AS stock_10k FROM base WHERE ck % 4 <> 1"
-NEW = "SELECT ck * 16 + (yr - 1990) AS _row, 'E' || cast(ck AS string) AS province, cast(yr AS string) AS year, cast(qty AS string) AS stock_10k FROM shipped WHERE ck % 3 = 0"
+OLD = "SELECT _row, 'E' || cast(ck AS string) AS province, cast(yr AS string) AS year, CASE WHEN n % 3 = 0 THEN '' ELSE cast(whole AS string) END AS stock_10k FROM base"
+NEW = "SELECT ck * 16 + (yr - 1990) AS _row, CASE WHEN ck % 3 = 0 THEN 'E' ELSE 'N' END || cast(ck AS string) AS province, cast(yr AS string) AS year, cast(qty AS string) AS stock_10k FROM shipped"
 
 
 def _stream(v: Views) -> str:

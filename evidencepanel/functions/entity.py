@@ -17,41 +17,40 @@ from pyspark.sql import functions as F
 from evidencepanel.functions.text import ColumnLike, any_of, raw, strip, year_key
 
 FORMS = ("short", "full", "code")
-MAX_LITERAL_ENTITIES = 500
 
 # The 30 units of the bundled dimension, in order: short, full, code.
-PROVINCES_TEXT = """
-北京 北京市 110000
-天津 天津市 120000
-河北 河北省 130000
-山西 山西省 140000
-内蒙古 内蒙古自治区 150000
-辽宁 辽宁省 210000
-吉林 吉林省 220000
-黑龙江 黑龙江省 230000
-上海 上海市 310000
-江苏 江苏省 320000
-浙江 浙江省 330000
-安徽 安徽省 340000
-福建 福建省 350000
-江西 江西省 360000
-山东 山东省 370000
-河南 河南省 410000
-湖北 湖北省 420000
-湖南 湖南省 430000
-广东 广东省 440000
-广西 广西壮族自治区 450000
-海南 海南省 460000
-重庆 重庆市 500000
-四川 四川省 510000
-贵州 贵州省 520000
-云南 云南省 530000
-陕西 陕西省 610000
-甘肃 甘肃省 620000
-青海 青海省 630000
-宁夏 宁夏回族自治区 640000
-新疆 新疆维吾尔自治区 650000
-"""
+PROVINCE_ROWS: tuple[tuple[str, str, str], ...] = (
+    ("北京", "北京市", "110000"),
+    ("天津", "天津市", "120000"),
+    ("河北", "河北省", "130000"),
+    ("山西", "山西省", "140000"),
+    ("内蒙古", "内蒙古自治区", "150000"),
+    ("辽宁", "辽宁省", "210000"),
+    ("吉林", "吉林省", "220000"),
+    ("黑龙江", "黑龙江省", "230000"),
+    ("上海", "上海市", "310000"),
+    ("江苏", "江苏省", "320000"),
+    ("浙江", "浙江省", "330000"),
+    ("安徽", "安徽省", "340000"),
+    ("福建", "福建省", "350000"),
+    ("江西", "江西省", "360000"),
+    ("山东", "山东省", "370000"),
+    ("河南", "河南省", "410000"),
+    ("湖北", "湖北省", "420000"),
+    ("湖南", "湖南省", "430000"),
+    ("广东", "广东省", "440000"),
+    ("广西", "广西壮族自治区", "450000"),
+    ("海南", "海南省", "460000"),
+    ("重庆", "重庆市", "500000"),
+    ("四川", "四川省", "510000"),
+    ("贵州", "贵州省", "520000"),
+    ("云南", "云南省", "530000"),
+    ("陕西", "陕西省", "610000"),
+    ("甘肃", "甘肃省", "620000"),
+    ("青海", "青海省", "630000"),
+    ("宁夏", "宁夏回族自治区", "640000"),
+    ("新疆", "新疆维吾尔自治区", "650000"),
+)
 
 # Entities whose scope words differ from the suffix rule.
 SCOPE_OVERRIDES: dict[str, tuple[str, ...]] = {
@@ -129,7 +128,11 @@ CITY_SCOPE = ("全市", "我市")
 
 @dataclass(frozen=True)
 class EntityDim:
-    """Bounded, ordered dimension that is compiled into expressions."""
+    """Short, ordered dimension that is compiled into expressions.
+
+    A dimension that grows with the data is a DataFrame (ordinal, short, full, code)
+    instead: every operator takes either, see ``resolve_entity``.
+    """
 
     entities: tuple[tuple[str, str, str], ...]
     overrides: Mapping[str, Sequence[str]] = field(default_factory=dict)
@@ -138,11 +141,6 @@ class EntityDim:
     def __post_init__(self) -> None:
         if not self.entities:
             raise ValueError("an entity dimension needs at least one entity")
-        if len(self.entities) > MAX_LITERAL_ENTITIES:
-            raise ValueError(
-                f"{len(self.entities)} entities exceed the literal bound of {MAX_LITERAL_ENTITIES}; "
-                "use the *_join functions with the dimension as a DataFrame"
-            )
 
     def __len__(self) -> int:
         return len(self.entities)
@@ -154,11 +152,8 @@ class EntityDim:
         rows = [(i, *e) for i, e in enumerate(self.entities)]
         return spark.createDataFrame(rows, "ordinal int, short string, full string, code string")
 
-    @classmethod
-    def from_frame(cls, df: DataFrame) -> EntityDim:
-        """Read a dimension table; refuses one beyond the literal bound."""
-        rows = df.orderBy("ordinal").select(*FORMS).limit(MAX_LITERAL_ENTITIES + 1).collect()
-        return cls(tuple(tuple(r) for r in rows))
+
+Dim = EntityDim | DataFrame
 
 
 def form_index(form: str) -> int:
@@ -168,7 +163,7 @@ def form_index(form: str) -> int:
 
 
 PROVINCES = EntityDim(
-    tuple(tuple(line.split()) for line in PROVINCES_TEXT.strip().splitlines()),
+    PROVINCE_ROWS,
     overrides=SCOPE_OVERRIDES,
     url_hints=URL_HINTS,
 )
@@ -221,6 +216,18 @@ def full_to_short(c: ColumnLike, dim: EntityDim = PROVINCES) -> Column:
     return _lookup(raw(c), table)
 
 
+def strict_names(df: DataFrame, column: str, dim: Dim = PROVINCES, full: str = "full_form", short: str = "short_form") -> DataFrame:
+    """Adds both forms of a name that is a short or full name, else null; ``dim`` of any size."""
+    if isinstance(dim, EntityDim):
+        return df.withColumns({full: short_to_full(column, dim), short: full_to_short(column, dim)})
+    from evidencepanel.operators.groups import same_key
+
+    forms = dim.select("short", "full", F.explode(F.array(F.struct(F.lit(1).alias("p"), F.col("short").alias("n")), F.struct(F.lit(0).alias("p"), F.col("full").alias("n")))).alias("f"))
+    table = forms.groupBy(F.col("f.n").alias("_n")).agg(F.min_by(F.struct("short", "full"), F.struct("f.p", "full")).alias("_e"))
+    out = df.join(table, same_key([(raw(df[column]), table["_n"])]), "left")
+    return out.withColumns({full: F.col("_e.full"), short: F.col("_e.short")}).drop("_n", "_e")
+
+
 def entity_universe(spark: SparkSession, dim: EntityDim = PROVINCES, form: str = "short") -> DataFrame:
     form_index(form)
     return dim.frame(spark).select("ordinal", F.col(form).alias("entity")).orderBy("ordinal")
@@ -231,11 +238,16 @@ def norm_key(
     dim: EntityDim = PROVINCES,
     entity_col: str = "province",
     year_col: str = "year",
+    known: Column | None = None,
 ) -> Column:
-    """Key cell in comparable form: short entity, year without leading zeros."""
+    """Key cell in comparable form: short entity, year without leading zeros.
+
+    ``known`` is the entity where ``resolve_entity`` has found it already.
+    """
     text = strip(name)
     if name == entity_col:
-        return F.when(text != "", entity_or_raw(text, dim)).otherwise(text)
+        entity = F.coalesce(known, text) if known is not None else entity_or_raw(text, dim)
+        return F.when(text != "", entity).otherwise(text)
     if name == year_col:
         return year_key(name)
     return text
@@ -261,33 +273,47 @@ def _words(words: Sequence[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
 
-def explicit_name(entity: ColumnLike, dim: EntityDim = PROVINCES) -> Column:
-    """The name that counts as naming the entity outright."""
-    text = raw(entity)
-    out = F.coalesce(normalize_entity(text, dim), _suffix_free(text))
-    if dim.overrides:
-        out = F.coalesce(_lookup(text, {k: v[0] for k, v in dim.overrides.items()}), out)
-    return out
+def _explicit(text: Column, short: Column, overrides: Mapping[str, Sequence[str]]) -> Column:
+    out = F.coalesce(short, _suffix_free(text))
+    return F.coalesce(_lookup(text, {k: v[0] for k, v in overrides.items()}), out) if overrides else out
 
 
-def scope_words(entity: ColumnLike, dim: EntityDim = PROVINCES) -> Column:
-    """Words by which a text speaks of the entity as a whole."""
-    text = raw(entity)
-    full = F.coalesce(normalize_entity(text, dim, "full"), text)
+def _scope(text: Column, full: Column, overrides: Mapping[str, Sequence[str]]) -> Column:
+    full = F.coalesce(full, text)
     out = (
         F.when(full.contains("自治区") & full.endswith("市"), _words((*REGION_SCOPE, *CITY_SCOPE)))
         .when(full.contains("自治区"), _words(REGION_SCOPE))
         .when(full.endswith("市"), _words(CITY_SCOPE))
         .otherwise(_words(PROVINCE_SCOPE))
     )
-    for name, words in dim.overrides.items():
+    for name, words in overrides.items():
         out = F.when(text == name, _words(words[1:])).otherwise(out)
     return out
 
 
-def entity_aliases(df: DataFrame, entity: str = "full", dim: EntityDim = PROVINCES) -> DataFrame:
+def explicit_name(entity: ColumnLike, dim: EntityDim = PROVINCES) -> Column:
+    """The name that counts as naming the entity outright."""
+    return _explicit(raw(entity), normalize_entity(raw(entity), dim), dim.overrides)
+
+
+def scope_words(entity: ColumnLike, dim: EntityDim = PROVINCES) -> Column:
+    """Words by which a text speaks of the entity as a whole."""
+    return _scope(raw(entity), normalize_entity(raw(entity), dim, "full"), dim.overrides)
+
+
+def with_names(df: DataFrame, entity: str, dim: Dim = PROVINCES, own: str = "_own", scope: str = "_scope") -> DataFrame:
+    """Adds the explicit name and the scope words of the row's entity."""
+    if isinstance(dim, EntityDim):
+        return df.withColumns({own: explicit_name(entity, dim), scope: scope_words(entity, dim)})
+    out = resolve_entity(resolve_entity(df, entity, dim, "short", "_short"), entity, dim, "full", "_full")
+    named = out.withColumns({own: _explicit(raw(entity), F.col("_short"), {}), scope: _scope(raw(entity), F.col("_full"), {})})
+    return named.drop("_short", "_full")
+
+
+def entity_aliases(df: DataFrame, entity: str = "full", dim: Dim = PROVINCES) -> DataFrame:
     """Adds ``aliases``: the explicit name followed by the scope words."""
-    return df.withColumn("aliases", F.concat(F.array(explicit_name(entity, dim)), scope_words(entity, dim)))
+    named = with_names(df, entity, dim)
+    return named.withColumn("aliases", F.concat(F.array("_own"), "_scope")).drop("_own", "_scope")
 
 
 def names_other_entity(sentence: Column, own_short: Column, dim: EntityDim = PROVINCES) -> Column:
@@ -303,25 +329,75 @@ def hinted_url(entity: ColumnLike, url: ColumnLike, dim: EntityDim = PROVINCES)
     return out
 
 
-def normalize_entity_join(df: DataFrame, column: str, dim: DataFrame, out: str = "entity") -> DataFrame:
+def with_other_entity(df: DataFrame, sentence: str, own: str, dim: Dim = PROVINCES, out: str = "_other") -> DataFrame:
+    """Adds whether the text holds the short name of an entity other than ``own``.
+
+    For a DataFrame, each distinct text is cut to the lengths that short names have and
+    meets the names on equality.
+    """
+    if isinstance(dim, EntityDim):
+        return df.withColumn(out, names_other_entity(F.col(sentence), F.col(own), dim))
+    from evidencepanel.operators.groups import same_key
+
+    texts = df.select(F.col(sentence).alias("_t"), F.col(own).alias("_o")).distinct()
+    sizes = _short_lengths(dim)
+    cuts = F.flatten(
+        F.transform(
+            sizes,
+            lambda n: F.when(
+                F.length("_t") >= n,
+                F.transform(F.sequence(F.lit(1), F.length("_t") - n + 1), lambda i: F.substring(F.col("_t"), i, n)),
+            ).otherwise(F.array().cast("array<string>")),
+        )
+    )
+    probes = texts.select("_t", "_o", F.explode(F.array_distinct(cuts)).alias("_n"))
+    names = dim.select(F.col("short").alias("_s")).distinct()
+    found = probes.join(names, same_key([(probes["_n"], names["_s"])])).where(~F.col("_n").eqNullSafe(F.col("_o")))
+    found = found.select("_t", "_o").distinct().withColumn(out, F.lit(True))
+    same = (df[sentence] == found["_t"]) & df[own].eqNullSafe(found["_o"])
+    return df.join(found, same, "left").withColumn(out, F.coalesce(out, F.lit(False))).drop("_t", "_o")
+
+
+def _short_lengths(dim: DataFrame) -> Column:
+    """The few lengths that short names have, as an array."""
+    sizes = sorted(r[0] for r in dim.where(F.length("short") > 0).select(F.length("short")).distinct().collect())
+    return F.array(*map(F.lit, sizes)).cast("array<int>")
+
+
+def resolve_entity(df: DataFrame, column: str, dim: Dim = PROVINCES, target: str = "short", out: str = "_entity") -> DataFrame:
+    """Adds the entity that the stripped name means, null if unknown; ``dim`` of any size."""
+    if isinstance(dim, EntityDim):
+        return df.withColumn(out, normalize_entity(strip(column), dim, target))
+    named = df.withColumn("_stripped", strip(column))
+    return normalize_entity_join(named, "_stripped", dim, out, target).drop("_stripped")
+
+
+def entity_count(dim: Dim) -> Column:
+    """Number of entities, as a literal or a scalar subquery."""
+    if isinstance(dim, EntityDim):
+        return F.lit(len(dim)).cast("bigint")
+    return dim.agg(F.count(F.lit(1))).scalar()
+
+
+def normalize_entity_join(df: DataFrame, column: str, dim: DataFrame, out: str = "entity", target: str = "short") -> DataFrame:
     """``normalize_entity`` for a dimension of any size, by equality joins only.
 
-    Each distinct name is cut to every length a short name has and met with the
+    Each distinct name is cut to the lengths that short names have and met with the
     dimension on equality; the lowest (tier, ordinal) wins.  Distinct names are
     few next to rows, so the fan-out never touches the fact table.
     """
     from evidencepanel.operators.groups import same_key
 
-    names = df.select(F.col(column).alias("_name")).where(F.col("_name").isNotNull()).distinct()
-    longest = dim.agg(F.max(F.length("short")).alias("n")).scalar()
-    lengths = F.explode(F.sequence(F.lit(1), F.greatest(F.least(F.length("_name"), longest), F.lit(1))))
-    starts = names.select("_name", lengths.alias("_n"))
+    form_index(target)
+    names = df.select(F.col(column).alias("_name")).where(F.col(column).isNotNull()).distinct()
+    lengths = F.filter(_short_lengths(dim), lambda n: n <= F.length("_name"))
+    starts = names.select("_name", F.explode(lengths).alias("_n"))
     probes = names.select("_name", F.lit(0).alias("tier"), F.col("_name").alias("probe")).unionByName(
         starts.select("_name", F.lit(1).alias("tier"), F.substring("_name", F.lit(1), F.col("_n")).alias("probe"))
     )
     exact = dim.select(
         "ordinal",
-        "short",
+        F.col(target).alias("target"),
         F.explode(
             F.array(
                 F.struct(F.lit(0).alias("tier"), F.lit(0).alias("form"), F.col("full").alias("probe")),
@@ -330,11 +406,11 @@ def normalize_entity_join(df: DataFrame, column: str, dim: DataFrame, out: str =
                 F.struct(F.lit(1).alias("tier"), F.lit(2).alias("form"), F.col("short").alias("probe")),
             )
         ).alias("d"),
-    ).select("ordinal", "short", "d.tier", "d.form", "d.probe")
+    ).select("ordinal", "target", "d.tier", "d.form", "d.probe")
     found = (
         probes.join(exact, ["tier", "probe"])
         .groupBy("_name")
-        .agg(F.min_by("short", F.struct("tier", "form", "ordinal")).alias(out))
+        .agg(F.min_by("target", F.struct("tier", "form", "ordinal")).alias(out))
     )
     return df.join(found, same_key([(df[column], found["_name"])]), "left").drop("_name")
 

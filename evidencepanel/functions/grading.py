@@ -13,7 +13,7 @@ from evidencepanel.functions.extraction import (
     POPULATION_TERM,
     SCOPE_WORDS,
     VEHICLE_STOCK,
-    ExtractorSchema,
+    RuleSet,
 )
 from evidencepanel.functions.text import (
     ColumnLike,
@@ -83,7 +83,8 @@ def domain_quality(url: ColumnLike, trusted: Sequence[str] = TRUSTED_HOST_PARTS)
 
 
 def engine_bonus(engine: ColumnLike, bonus: Mapping[str, int] = ENGINE_BONUS) -> Column:
-    name = raw(engine)
+    # Of a comma list, the first engine counts.
+    name = strip(F.substring_index(raw(engine), ",", 1))
     return total(weight_when(name == e, b) for e, b in bonus.items())
 
 
@@ -92,16 +93,19 @@ def score_search_result(
     year: int,
     title: ColumnLike,
     snippet: ColumnLike,
-    schema: ExtractorSchema = VEHICLE_STOCK,
+    schema: RuleSet = VEHICLE_STOCK,
     dim: EntityDim = PROVINCES,
+    own: Column | None = None,
 ) -> Column:
+    """Points of the wording; ``own`` is the entity's name where ``with_names`` gave it."""
+    own = explicit_name(entity, dim) if own is None else own
     text = F.concat(raw(title), F.lit(" "), raw(snippet))
     terms = [*schema.search_positive_terms.items(), *schema.search_negative_terms.items()]
     marked = [(term.replace("{year}", str(year)), points) for term, points in terms]
     return total(
         [
             weight_when(
-                text.contains(explicit_name(entity, dim)) | text.contains(raw(entity)),
+                text.contains(own) | text.contains(raw(entity)),
                 schema.weight("search_province"),
             ),
             *[weight_when(text.contains(F.lit(word)), points) for word, points in marked if word],
@@ -111,12 +115,13 @@ def score_search_result(
 
 
 def score_population_result(
-    entity: ColumnLike, year: int, title: ColumnLike, snippet: ColumnLike, dim: EntityDim = PROVINCES
+    entity: ColumnLike, year: int, title: ColumnLike, snippet: ColumnLike, dim: EntityDim = PROVINCES, own: Column | None = None
 ) -> Column:
+    own = explicit_name(entity, dim) if own is None else own
     text = F.concat(raw(title), F.lit(" "), raw(snippet))
     return total(
         [
-            weight_when(text.contains(explicit_name(entity, dim)) | text.contains(raw(entity)), 4),
+            weight_when(text.contains(own) | text.contains(raw(entity)), 4),
             weight_when(text.contains(POPULATION_TERM), 5),
             weight_when(text.contains(F.lit(str(year))), 4),
             weight_when(text.contains("统计公报"), 3),
@@ -133,11 +138,12 @@ def rank_score(
     snippet: ColumnLike,
     url: ColumnLike,
     engine: ColumnLike,
-    schema: ExtractorSchema = VEHICLE_STOCK,
+    schema: RuleSet = VEHICLE_STOCK,
     dim: EntityDim = PROVINCES,
+    own: Column | None = None,
 ) -> Column:
     """Search score: wording, address and engine together."""
-    words = score_search_result(entity, year, title, snippet, schema, dim)
+    words = score_search_result(entity, year, title, snippet, schema, dim, own)
     return words + domain_quality(url) + engine_bonus(engine)
 
 
@@ -152,10 +158,17 @@ def score_shortlist(
     year: int = 2024,
     term: str = POPULATION_TERM,
     dim: EntityDim = PROVINCES,
+    own: Column | None = None,
+    other: Column | None = None,
 ) -> Column:
-    """``struct(score, flags)``; a hard reject scores -10000 with its reason."""
+    """``struct(score, flags)``; a hard reject scores -10000 with its reason.
+
+    ``own`` and ``other`` stand in for the dimension where ``with_names`` and
+    ``with_other_entity`` gave them.
+    """
     text, link, name = strip(sentence), strip(url), raw(entity)
-    short = explicit_name(entity, dim)
+    short = explicit_name(entity, dim) if own is None else own
+    other = names_other_entity(text, short, dim) if other is None else other
     absent = (F.col(value) if isinstance(value, str) else value).isNull()
     number = to_number(value)
     flagged = F.coalesce(F.col(explicit) if isinstance(explicit, str) else explicit, F.lit(False))
@@ -192,7 +205,7 @@ def score_shortlist(
         .when(number.isNull(), reject("value_non_numeric"))
         .when(~text.contains(F.lit(f"{year}年")), reject(f"year_{year}_not_explicit"))
         .when(~(named | scoped), reject("province_scope_not_clear"))
-        .when(names_other_entity(text, short, dim), reject("contains_other_province"))
+        .when(other, reject("contains_other_province"))
         .when(~text.contains(F.lit(term)), reject("keyword_missing"))
         .otherwise(F.struct(base.alias("score"), flags.alias("flags")))
     )

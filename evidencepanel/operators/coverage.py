@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidencepanel.functions.entity import PROVINCES, EntityDim, norm_key, normalize_entity, normalize_entity_join
+from evidencepanel.functions.entity import PROVINCES, Dim, EntityDim, entity_count, norm_key, normalize_entity, normalize_entity_join, resolve_entity
 from evidencepanel.functions.text import any_of, has_text, has_value, raw, strip, to_int
 from evidencepanel.operators.groups import need
 from evidencepanel.operators.panel import panel_skeleton
@@ -24,14 +24,23 @@ class Coverage:
     filled_keys: DataFrame
 
 
-def key_columns(keys: Sequence[str], dim: EntityDim = PROVINCES) -> list[Column]:
-    return [norm_key(k, dim).alias(f"k_{k}") for k in keys]
+def key_columns(keys: Sequence[str], known: Column | None = None) -> list[Column]:
+    return [norm_key(k, known=known).alias(f"k_{k}") for k in keys]
 
 
-def universe_size(keys: Sequence[str], years: Sequence[int] | None, dim: EntityDim) -> int | None:
+def with_key_columns(df: DataFrame, keys: Sequence[str], dim: Dim = PROVINCES) -> tuple[DataFrame, list[Column]]:
+    """The table with what its keys need, and the keys in comparable form."""
+    if isinstance(dim, EntityDim):
+        return df, [norm_key(k, dim).alias(f"k_{k}") for k in keys]
+    if "province" not in keys:
+        return df, key_columns(keys)
+    return resolve_entity(df, "province", dim), key_columns(keys, F.col("_entity"))
+
+
+def universe_size(keys: Sequence[str], years: Sequence[int] | None, dim: Dim) -> Column | None:
     """Entities times years when the keys are exactly these two, else unknown."""
     if years and set(keys) == {"province", "year"}:
-        return len(dim) * len(set(years))
+        return entity_count(dim) * len(set(years))
     return None
 
 
@@ -40,7 +49,7 @@ def coverage_stats(
     keys: Sequence[str],
     value_cols: Sequence[str],
     years: Sequence[int] | None = None,
-    dim: EntityDim = PROVINCES,
+    dim: Dim = PROVINCES,
 ) -> Coverage:
     """Filled keys against the key universe.
 
@@ -49,7 +58,8 @@ def coverage_stats(
     need(df, *keys, *value_cols)
     filled = has_value(value_cols) if value_cols else F.lit(False)
     cells = [has_text(c).alias(f"_t{i}") for i, c in enumerate(value_cols)]
-    facts = df.select(*key_columns(keys, dim), *cells)
+    keyed, key_cells = with_key_columns(df, keys, dim)
+    facts = keyed.select(*key_cells, *cells)
     texts = [F.col(f"_t{i}") for i in range(len(value_cols))]
     per_key = facts.groupBy(*[f"k_{k}" for k in keys]).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -59,10 +69,13 @@ def coverage_stats(
     fixed = universe_size(keys, years, dim)
     whole = per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
-        (F.lit(fixed) if fixed is not None else F.count(F.lit(1))).cast("bigint").alias("all_keys_count"),
+        F.count(F.lit(1)).alias("all_keys_count"),
         F.count(F.when(F.col("_filled"), 1)).alias("filled_keys_count"),
         *[F.coalesce(F.sum(f"_c{i}"), F.lit(0)).alias(f"_c{i}") for i in range(len(value_cols))],
-    ).withColumn(
+    )
+    if fixed is not None:
+        whole = whole.withColumn("all_keys_count", fixed.cast("bigint"))
+    whole = whole.withColumn(
         "fill_rate",
         F.coalesce(F.try_divide(F.col("filled_keys_count"), F.col("all_keys_count")) * 100, F.lit(0.0)),
     )
@@ -89,7 +102,7 @@ def gap_matrix(
     value_col: str,
     first_year: int,
     last_year: int,
-    dim: EntityDim | DataFrame = PROVINCES,
+    dim: Dim = PROVINCES,
     spark: SparkSession | None = None,
 ) -> DataFrame:
     """(year, entity) pairs without a value, entities in dimension order.

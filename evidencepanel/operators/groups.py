@@ -2,10 +2,8 @@
 
 * one row per group: ``max_by`` / ``min_by`` aggregates, which combine on the
   map side, so a hot group reaches the reducer as one row per map task;
-* first ``k`` rows per group: a ranking window under a ``<= k`` filter.  Spark
-  plans a partial group limit below the shuffle for small ``k``; beyond its
-  threshold the group is first cut inside hash slices, which is exact because a
-  row among the first ``k`` of a group is among the first ``k`` of its slice;
+* first ``k`` rows per group: a ranking window under a ``<= k`` filter over what
+  the same filter leaves of slices of each group;
 * lookups against one row per key: ``same_key`` joins, whose hot keys the
   adaptive planner splits;
 * numbering all rows: quantile buckets numbered in parallel, plus the running
@@ -22,7 +20,7 @@ from pyspark.sql import functions as F
 from evidencepanel.functions.text import all_of
 
 ROW = "_row"
-SLICES = 1024
+SLICES = 64
 
 
 def need(df: DataFrame, *names: str) -> None:
@@ -78,15 +76,18 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Column | str = ROW) ->
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "_rank") -> DataFrame:
-    """First ``k`` rows of every group in the given order, ranked from 1."""
+    """First ``k`` rows of every group in the given order, ranked from 1.
+
+    Whatever ``k``, rows are first cut inside slices dealt by their place in the input:
+    a row among the first ``k`` of its group is among the first ``k`` of its slice.  No
+    column but the keys and the order is read for that, so any type may ride along.
+    """
     need(df, *keys)
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if k > limit:
-        sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SLICES)))
-        inner = Window.partitionBy(*keys, "_slice").orderBy(*order)
-        df = sliced.withColumn("_in", F.row_number().over(inner)).where(F.col("_in") <= k).drop("_in", "_slice")
+    sliced = df.withColumn("_slice", F.pmod(F.monotonically_increasing_id(), F.lit(SLICES)))
+    inner = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    cut = sliced.withColumn(rank, F.row_number().over(inner)).where(F.col(rank) <= k).drop("_slice")
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
+    return cut.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
 def _slot_of(key: Column, bounds: Sequence[float], first: int = 0) -> Column:
@@ -102,12 +103,12 @@ def number_rows(df: DataFrame, order: str, out: str = "_n", buckets: int | None
     """Consecutive numbers from 1 over the whole table by a unique numeric column.
 
     No task ever sees the whole table: quantile bounds cut it into even buckets
-    (as many as shuffle partitions, within 8 and 1024), each bucket is numbered
-    on its own, and the bucket sizes give the offsets.
+    (as many as shuffle partitions, which are set by the size of the data), each bucket
+    is numbered on its own, and the bucket sizes give the offsets.
     """
     need(df, order)
     if buckets is None:
-        buckets = min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 8), 1024)
+        buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 8)
     points = [i / buckets for i in range(1, buckets)]
     bounds = sorted(set(df.approxQuantile(order, points, 0.25 / buckets)))
     placed = df.withColumn("_slot", _slot_of(F.col(order), bounds))

@@ -9,6 +9,8 @@ Unclosed tags therefore cost nothing, however deep they nest.
 from __future__ import annotations
 
 import sys
+from collections.abc import Sequence
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -20,13 +22,7 @@ from pyspark.sql import types as T
 from evidencepanel.functions.text import net_location
 from evidencepanel.operators.groups import need
 
-# Limits, element groups and elements without content.
-MAX_HEADERS = 40
-MAX_HEADERS_IN_TEXT = 20
-MAX_PARAGRAPHS = 300
-MIN_PARAGRAPH_CHARS = 8
-MAX_LINKS_ARCHIVED = 120
-ERROR_CHARS = 220
+# Element groups and elements without content.
 HEADER_TAGS = frozenset(("h1", "h2", "h3"))
 PARAGRAPH_TAGS = frozenset(("p", "li"))
 DROPPED_TAGS = frozenset(("script", "style", "noscript"))
@@ -160,7 +156,24 @@ class PageReader(HTMLParser):
         return runs[0].strip() if len(runs) == 1 and not self.title_children else ""
 
 
-def read_page(html: str | None) -> tuple:
+@dataclass(frozen=True)
+class PageLimits:
+    """How much of a page is kept; nothing is cut unless a number is given."""
+
+    headers: int | None = None
+    headers_in_text: int | None = None
+    paragraphs: int | None = None
+    paragraph_chars: int = 1  # paragraphs with less text are left out
+    links: int | None = None
+    error_chars: int | None = None
+
+
+EVERYTHING = PageLimits()
+# The limits of a short archive.
+SHORT_ARCHIVE = PageLimits(headers=40, headers_in_text=20, paragraphs=300, paragraph_chars=8, links=120, error_chars=220)
+
+
+def read_page(html: str | None, limits: PageLimits = EVERYTHING) -> tuple:
     """One page as a tuple in ``PAGE_TYPE`` order; a bad page keeps its row."""
     try:
         if html is None:
@@ -169,67 +182,58 @@ def read_page(html: str | None) -> tuple:
         reader.feed(html)
         reader.close()
         reader.flush()
-        headers: list[str] = []
-        for mark in reader.headers:
-            text = reader.text_of(mark)
-            if text:
-                headers.append(text)
-            if len(headers) == MAX_HEADERS:
-                break
-        paragraphs: list[str] = []
-        for mark in reader.paragraphs:
-            text = reader.text_of(mark)
-            if len(text) >= MIN_PARAGRAPH_CHARS:
-                paragraphs.append(text)
-            if len(paragraphs) == MAX_PARAGRAPHS:
-                break
+        headers = [t for t in map(reader.text_of, reader.headers) if t][: limits.headers]
+        paragraphs = [t for t in map(reader.text_of, reader.paragraphs) if len(t) >= limits.paragraph_chars][: limits.paragraphs]
         title = reader.title()
         lines = [f"# {title}"] if title else []
-        lines += [f"## {h}" for h in headers[:MAX_HEADERS_IN_TEXT]] + paragraphs
+        lines += [f"## {h}" for h in headers[: limits.headers_in_text]] + paragraphs
         plain = " ".join(reader.pieces)
         text = "\n\n".join(lines).strip()
         return title, headers, paragraphs, text, plain, len(plain.split()), reader.links, "ok", ""
     except Exception as exc:  # a page that cannot be read is a result, not a failure
-        return "", [], [], "", "", 0, [], "error", str(exc)[:ERROR_CHARS]
+        return "", [], [], "", "", 0, [], "error", str(exc)[: limits.error_chars]
+
 
+def _page_udf(limits: PageLimits, members: Sequence[str]):
+    """The parser as an Arrow UDF that returns the wanted members, lists as their sizes."""
+    kind = T.StructType()
+    for name in members:
+        kind = kind.add(name, T.IntegerType()) if name in COUNTED else kind.add(PAGE_TYPE[name])
 
-@F.pandas_udf(PAGE_TYPE)
-def _read_pages(html: pd.Series) -> pd.DataFrame:
-    rows = [read_page(None if pd.isna(h) else h) for h in html]
-    return pd.DataFrame(rows, columns=PAGE_TYPE.names)
+    def run(html: pd.Series) -> pd.DataFrame:
+        out = []
+        for h in html:
+            page = dict(zip(PAGE_TYPE.names, read_page(None if pd.isna(h) else h, limits), strict=True))
+            out.append([len(page[COUNTED[m]]) if m in COUNTED else page[m] for m in members])
+        return pd.DataFrame(out, columns=list(members))
 
+    run.__annotations__ = {"html": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(run, kind)
 
-def page_archive(pages: DataFrame, html: str = "html") -> DataFrame:
+
+COUNTED = {"headers_count": "headers", "links_count": "links"}
+
+
+def page_archive(pages: DataFrame, html: str = "html", limits: PageLimits = EVERYTHING) -> DataFrame:
     """Adds the parsed parts of every page; rows are kept on failure."""
     need(pages, html)
     kept = [c for c in pages.columns if c != html]
-    return pages.select(*kept, _read_pages(F.col(html)).alias("_p")).select(*kept, "_p.*")
-
-
-def page_summary(archive: DataFrame, url: str = "url") -> DataFrame:
-    """Address, host with port, status, title and counts per page."""
-    need(archive, url, "plain_text", "headers", "links")
-    failed = F.col("status") == "error"
-    return archive.select(
-        url,
-        net_location(url).alias("host"),
-        "status",
-        "title",
-        F.when(failed, F.lit(0)).otherwise(F.col("word_count")).alias("word_count"),
-        F.size("headers").alias("headers_count"),
-        F.size("links").alias("links_count"),
-        F.substring("error", 1, ERROR_CHARS).alias("error"),
-    )
-
-
-def archive_document(archive: DataFrame, url: str = "url") -> DataFrame:
-    """The archived form of a page: title, text, headers and the first links."""
-    return archive.where("status = 'ok'").select(
-        url,
-        "title",
-        "markdown_like",
-        "headers",
-        F.slice("links", 1, MAX_LINKS_ARCHIVED).alias("links"),
-    )
+    read = _page_udf(limits, PAGE_TYPE.names)
+    return pages.select(*kept, read(F.col(html)).alias("_p")).select(*kept, "_p.*")
+
+
+def page_summary(pages: DataFrame, url: str = "url", html: str = "html", limits: PageLimits = EVERYTHING) -> DataFrame:
+    """Address, host with port, status, title and counts per page.
+
+    Only these leave the parser, not the texts they are counted on.
+    """
+    need(pages, url, html)
+    read = _page_udf(limits, ["status", "title", "word_count", "headers_count", "links_count", "error"])
+    rows = pages.select(url, read(F.col(html)).alias("_p"))
+    return rows.select(url, net_location(url).alias("host"), "_p.*")
 
 
+def archive_document(archive: DataFrame, url: str = "url", limits: PageLimits = EVERYTHING) -> DataFrame:
+    """The archived form of a page: title, text, headers and links."""
+    links = F.col("links") if limits.links is None else F.slice("links", 1, limits.links)
+    return archive.where("status = 'ok'").select(url, "title", "markdown_like", "headers", links.alias("links"))

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidencepanel.functions.entity import PROVINCES, EntityDim, entity_or_raw
+from evidencepanel.functions.entity import PROVINCES, Dim, EntityDim, resolve_entity
 from evidencepanel.functions.text import has_text, is_blank, raw, strip, to_int, to_number
 from evidencepanel.operators.groups import ROW, need, pick_by, same_key
+from evidencepanel.plans.session import written_once
 
 # CO2 factors per ton of fuel.
 GASOLINE_FACTOR = 2.925
@@ -22,7 +23,7 @@ def merge_panel(
     keys: Sequence[str],
     cols: Sequence[str] | None = None,
     entity_form: str | None = None,
-    dim: EntityDim = PROVINCES,
+    dim: Dim = PROVINCES,
     entity_col: str = "province",
     order: str = ROW,
 ) -> DataFrame:
@@ -36,8 +37,12 @@ def merge_panel(
     cols = list(cols) if cols is not None else [c for c in new.columns if c not in (*keys, order)]
     known = [c for c in cols if c in new.columns]
 
+    bring = bool(entity_form) and entity_col in keys
+    if bring:
+        new = resolve_entity(new, entity_col, dim, entity_form)
+
     def new_key(k: str) -> Column:
-        return entity_or_raw(k, dim, entity_form) if entity_form and k == entity_col else raw(k)
+        return F.coalesce("_entity", raw(k)) if bring and k == entity_col else raw(k)
 
     patch = new.select(
         *[new_key(k).alias(f"_k{i}") for i, k in enumerate(keys)],
@@ -100,7 +105,7 @@ def fill_counts(filled: DataFrame) -> DataFrame:
 
 
 def panel_skeleton(
-    dim: EntityDim | DataFrame,
+    dim: Dim,
     first_year: int,
     last_year: int,
     form: str = "full",
@@ -124,14 +129,17 @@ def assemble_panel(
     parts: Sequence[DataFrame],
     columns: Sequence[str] | None = None,
     keys: Sequence[str] = ("province", "year"),
-    dim: EntityDim = PROVINCES,
+    dim: Dim = PROVINCES,
     entity_col: str = "province",
     form: str = "full",
 ) -> DataFrame:
     """Left-joins every part onto the skeleton, entity names brought to one form."""
     out = skeleton
     for part in parts:
-        side = part.withColumn(entity_col, entity_or_raw(entity_col, dim, form)) if entity_col in keys else part
+        side = part
+        if entity_col in keys:
+            side = resolve_entity(part, entity_col, dim, form)
+            side = side.withColumn(entity_col, F.coalesce("_entity", raw(entity_col))).drop("_entity")
         for k in keys:
             side = side.withColumn(k, side[k].cast(skeleton.schema[k].dataType))
         out = out.join(side, list(keys), "left")
@@ -318,13 +326,18 @@ def fill_with_status(
     access_date: str,
     note_prefix: str = "Round3严格补采; ",
     order: str = ROW,
+    evidence_chars: int | None = None,
+    text_order: str | None = None,
 ) -> dict[str, DataFrame]:
     """Tries one source rule per spec against stored page text.
 
     ``specs`` holds province, year, source_id, source_level, source_name,
     source_url, pattern, note and an order; ``pages`` holds url and text.
     Specs of one key act in order: the first that works fills the cell and the
-    later ones find it filled.  Gives ``evidence``, ``panel`` and ``registry``.
+    later ones find it filled.  Of several texts of an address all are tried, the first
+    with a match by ``text_order`` (the text itself if not named) counts.  Gives
+    ``evidence``, ``panel`` and ``registry``, all read from one stored table of the
+    tried specs.  ``evidence_chars`` cuts the evidence.
     """
     from evidencepanel.functions.extraction import extract_with_window
 
@@ -342,22 +355,26 @@ def fill_with_status(
         "_o",
         last=True,
     )
-    # Only wanted pages carry their text into the shuffle.
-    wanted = specs.select(F.col("source_url").alias("url")).distinct()
-    texts = pages.select("url", "text").join(wanted, "url", "left_semi")
-    texts = texts.groupBy(F.col("url").alias("_url")).agg(F.min("text").alias("_text"))
     cells = cells.select(F.col("province").alias("_p"), F.col("year").alias("_y"), "_old", "_old_url")
     by_cell = same_key([(specs["province"], cells["_p"]), (specs["year"], cells["_y"])])
-    by_url = same_key([(specs["source_url"], texts["_url"])])
-    tried = (
-        specs.join(cells, by_cell, "left")
-        .join(texts, by_url, "left")
-        .select(*[specs[c] for c in specs.columns], "_old", "_old_url", "_text")
-        .withColumn("_text", F.regexp_replace("_text", r"(?U)[\s\x1c-\x1f]+", " "))
-        .withColumn("_hit", extract_with_window("_text", "pattern"))
+    tried = specs.join(cells, by_cell, "left").select(*[specs[c] for c in specs.columns], "_old", "_old_url")
+    texts = pages.select(
+        F.col("url").alias("_url"),
+        F.regexp_replace("text", r"(?U)[\s\x1c-\x1f]+", " ").alias("_text"),
+        (F.col(text_order) if text_order else F.col("text")).alias("_at"),
+    )
+    rules = tried.select(order, F.col("source_url").alias("_u"), "pattern")
+    # One row per spec and text; a spec keeps the match of the first text that has one.
+    met = rules.join(texts, same_key([(rules["_u"], texts["_url"])])).select(
+        order, "_at", F.col("_text").isNotNull().alias("_has"), extract_with_window("_text", "pattern").alias("_m")
+    )
+    hits = met.groupBy(F.col(order).alias("_n")).agg(
+        F.max("_has").alias("_has_text"), F.min_by("_m", F.when(F.col("_m").isNotNull(), F.col("_at"))).alias("_hit")
     )
-    works = F.col("_old").isNotNull() & is_blank("_old") & F.col("_text").isNotNull() & F.col("_hit").isNotNull()
-    tried = tried.withColumn("_works", works)
+    tried = tried.join(hits, same_key([(tried[order], hits["_n"])]), "left").drop("_n")
+    has_page = F.coalesce("_has_text", F.lit(False))
+    works = F.col("_old").isNotNull() & is_blank("_old") & F.col("_hit").isNotNull()
+    tried = written_once(tried.withColumn("_works", works), "tried")
     winner = (
         tried.where("_works")
         .groupBy(*keys)
@@ -365,9 +382,9 @@ def fill_with_status(
             F.min_by(F.struct(F.col("_hit.value").alias("w_value"), F.col("source_url").alias("w_url")), order).alias("w"),
             F.min(order).alias("_first"),
         )
-        .select(*keys, "w.w_value", "w.w_url", "_first")
+        .select(*[F.col(k).alias(f"_{k}") for k in keys], "w.w_value", "w.w_url", "_first")
     )
-    done = tried.join(winner, keys, "left")
+    done = tried.join(winner, same_key((tried[k], winner[f"_{k}"]) for k in keys), "left").drop(*[f"_{k}" for k in keys])
     later = F.col("_first").isNotNull() & (F.col(order) > F.col("_first"))
     is_first = F.col("_works") & (F.col(order) == F.col("_first"))
     status = (
@@ -379,10 +396,11 @@ def fill_with_status(
     error = (
         F.when(F.col("_old").isNull(), F.lit("panel_row_not_found"))
         .when(has_text("_old") | later | is_first, F.lit(""))
-        .when(F.col("_text").isNull(), F.lit("no_text"))
+        .when(~has_page, F.lit("no_text"))
         .otherwise(F.lit("regex_not_matched"))
     )
     skipped = F.col("status") == "skipped_already_filled"
+    shown = F.col("_hit.evidence") if evidence_chars is None else F.substring("_hit.evidence", 1, evidence_chars)
     done = done.withColumns({"status": status, "error": error})
     evidence = done.select(
         order,
@@ -395,7 +413,7 @@ def fill_with_status(
         F.when(skipped, F.when(has_text("_old"), F.col("_old_url")).otherwise(F.col("w_url")))
         .otherwise(F.col("source_url"))
         .alias("source_url"),
-        F.when(F.col("status") == "ok", F.substring("_hit.evidence", 1, 500)).otherwise(F.lit("")).alias("evidence"),
+        F.when(F.col("status") == "ok", shown).otherwise(F.lit("")).alias("evidence"),
         "error",
     )
     ok = done.where(F.col("status") == "ok")
@@ -409,7 +427,7 @@ def fill_with_status(
         "source_url",
         F.lit("").alias("publish_date"),
         F.lit(access_date).alias("access_date"),
-        F.substring("_hit.evidence", 1, 500).alias("evidence"),
+        shown.alias("evidence"),
         F.concat(F.lit(note_prefix), raw("note")).alias("note"),
     )
     fresh = ok.select(

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidencepanel.functions.entity import PROVINCES, EntityDim, form_index, normalize_entity
+from evidencepanel.functions.entity import PROVINCES, Dim, form_index, resolve_entity
 from evidencepanel.functions.text import (
     contains_any,
     has_text,
@@ -290,15 +290,15 @@ def check_year_range(df: DataFrame, first: int, last: int, year_col: str = "year
 def check_entity_form(
     df: DataFrame,
     form: str = "short",
-    dim: EntityDim = PROVINCES,
+    dim: Dim = PROVINCES,
     entity_col: str = "province",
     order: str = ROW,
 ) -> DataFrame:
     """Entity names that are not in the one agreed form."""
     form_index(form)
-    checks = RowChecks(df, order, entity_col=entity_col)
+    checks = RowChecks(resolve_entity(df, entity_col, dim, form), order, entity_col=entity_col)
     name = strip(entity_col)
-    bad = ~F.coalesce(normalize_entity(name, dim, form) == name, F.lit(False))
+    bad = ~F.coalesce(F.col("_entity") == name, F.lit(False))
     return checks.issues([checks.when(bad, "entity_form", entity_col, name, f"not in {form} form")])
 
 

@@ -7,15 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidencepanel.functions.entity import PROVINCES, EntityDim
+from evidencepanel.functions.entity import PROVINCES, Dim, with_names, with_other_entity
 from evidencepanel.functions.extraction import POPULATION_TERM
 from evidencepanel.functions.grading import REJECTED, score_shortlist, suggest_level
-from evidencepanel.functions.text import extract_domain, plain_decimal, raw, strip
+from evidencepanel.functions.text import extract_domain, plain_decimal, raw, strip, to_number
 from evidencepanel.operators.groups import need, pick_by, same_key, top_per_group
 
 ORD = "ord"
 
 
+def score_value(score: str) -> Column:
+    """A score as a number: text is read, what is missing or no number counts 0."""
+    return F.coalesce(to_number(F.col(score).cast("string")), F.lit(0.0))
+
+
 def dedup_results(df: DataFrame, query: Sequence[str] = ("query",), order: str = ORD) -> DataFrame:
     """Per (query, url) the row with the longest wording, at the first row's place."""
     need(df, *query, "url", "title", "snippet", order)
@@ -39,7 +44,7 @@ def best_per_url(
     picked = pick_by(
         df.withColumnRenamed(order, "_o"),
         [*group, "url"],
-        F.struct(F.col(score), -F.col("_o")),
+        F.struct(score_value(score), -F.col("_o")),
         last=True,
         extra=[F.min("_o").alias(order)],
     )
@@ -59,7 +64,7 @@ def cap_per_domain(
     Rows past ``cap + max_pages`` of a host can never be chosen, so the per-host
     cut is exact and is taken below the shuffle even when one host is hot.
     """
-    order = list(rank) or [F.col("search_score").desc(), F.col(ORD).asc()]
+    order = list(rank) or [score_value("search_score").desc(), F.col(ORD).asc()]
     if max_pages <= 0:
         return df.where(F.lit(False)).withColumn("_rank", F.lit(0))
     if per_domain_cap <= 0:
@@ -80,7 +85,7 @@ def dedup_candidates(
 ) -> DataFrame:
     """Best score per (url, value, sentence), the first on ties."""
     need(df, *group, *key, score, order)
-    return pick_by(df, [*group, *key], F.struct(F.col(score), -F.col(order)), last=True).select(*df.columns)
+    return pick_by(df, [*group, *key], F.struct(score_value(score), -F.col(order)), last=True).select(*df.columns)
 
 
 def top_candidates(
@@ -93,7 +98,7 @@ def top_candidates(
 ) -> DataFrame:
     """First ``n`` (at least one) distinct candidates per group, best first."""
     distinct = dedup_candidates(df, group, key, score, order)
-    return top_per_group(distinct, group, [F.col(score).desc(), F.col(order).asc()], max(1, n))
+    return top_per_group(distinct, group, [score_value(score).desc(), F.col(order).asc()], max(1, n))
 
 
 def shortlist(
@@ -102,16 +107,19 @@ def shortlist(
     year: int = 2024,
     min_conf: int = 28,
     term: str = POPULATION_TERM,
-    dim: EntityDim = PROVINCES,
+    dim: Dim = PROVINCES,
     order: str = ORD,
+    sentence_chars: int | None = None,
 ) -> dict[str, DataFrame]:
     """Best scored candidate per entity, and per-entity accepted/rejected counts.
 
     ``rows`` are the accepted entities; ``status`` has one row per entity seen
     with ``n_rejected`` and ``accepted``.  Entities without any candidate are
-    found by ``shortlist_missing``.
+    found by ``shortlist_missing``.  ``sentence_chars`` cuts the evidence shown.
     """
-    scored = df.withColumn(
+    named = with_names(df.withColumn("_text", strip("sentence")), "entity", dim)
+    shown = raw("sentence") if sentence_chars is None else F.substring(raw("sentence"), 1, sentence_chars)
+    scored = with_other_entity(named, "_text", "_own", dim).withColumn(
         "_s",
         score_shortlist(
             "entity",
@@ -123,7 +131,8 @@ def shortlist(
             "explicit_province_in_sentence",
             year,
             term,
-            dim,
+            own=F.col("_own"),
+            other=F.col("_other"),
         ),
     )
     keep = F.col("_s.score") > REJECTED
@@ -135,7 +144,7 @@ def shortlist(
                 raw("url").alias("url"),
                 raw("search_engine").alias("search_engine"),
                 raw("search_query").alias("search_query"),
-                F.substring(raw("sentence"), 1, 500).alias("sentence"),
+                shown.alias("sentence"),
             ),
             F.when(keep, F.struct(F.col("_s.score"), -F.col(order))),
         ).alias("b"),

@@ -9,10 +9,10 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidencepanel.functions.entity import PROVINCES, EntityDim
+from evidencepanel.functions.entity import PROVINCES, Dim
 from evidencepanel.functions.grading import LEVEL_SCORES
 from evidencepanel.functions.text import has_text, has_value, raw, strip
-from evidencepanel.operators.coverage import key_columns, universe_size
+from evidencepanel.operators.coverage import universe_size, with_key_columns
 from evidencepanel.operators.groups import ROW, need
 from evidencepanel.operators.registry import UNMATCHED, match_registry, registry_scope, resolve_provenance
 
@@ -75,7 +75,7 @@ def scorecard(
     value_cols: Sequence[str] = (),
     keys: Sequence[str] = ("province", "year"),
     years: Sequence[int] | None = None,
-    dim: EntityDim = PROVINCES,
+    dim: Dim = PROVINCES,
     order: str = ROW,
 ) -> DataFrame:
     """Counts, level and mode distributions and the five metrics, as one row.
@@ -91,8 +91,9 @@ def scorecard(
     crossed = (F.col(p + "cross_check_url") != "") | F.coalesce(has_text("registry.cross_check_url"), F.lit(False))
     # Facts of a row first, each computed once; the sums below only read them.
     names = [f"k_{k}" for k in keys]
+    rows, key_cells = with_key_columns(rows, keys, dim)
     facts = rows.select(
-        *key_columns(keys, dim),
+        *key_cells,
         has_value(value_cols).alias("valued"),
         F.col("match_mode").alias("mode"),
         F.col(p + "resolved_source_level").alias("level"),
@@ -133,7 +134,7 @@ def scorecard(
         ),
     )
     fixed = universe_size(keys, years, dim)
-    expected = F.lit(fixed).cast("bigint") if fixed is not None else F.col("unique_keys")
+    expected = fixed.cast("bigint") if fixed is not None else F.col("unique_keys")
     filled = F.col("filled")
     table = whole.select(
         F.col("rows").alias("data_row_count"),

@@ -8,8 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidencepanel.functions.entity import PROVINCES, EntityDim, norm_key, normalize_entity
-from evidencepanel.functions.text import has_text, has_value, strip, to_int
+from evidencepanel.functions.entity import PROVINCES, Dim, entity_count, norm_key, resolve_entity
+from evidencepanel.functions.text import has_text, has_value, to_int
 from evidencepanel.operators.coverage import gap_matrix, universe_size
 from evidencepanel.operators.groups import need
 from evidencepanel.operators.panel import merge_panel, reference_fill
@@ -24,7 +24,7 @@ def round_metrics(
     value_cols: Sequence[str],
     first_year: int,
     last_year: int,
-    dim: EntityDim = PROVINCES,
+    dim: Dim = PROVINCES,
 ) -> DataFrame:
     """Keys gained, gaps before and after, and the two fill rates, as one row.
 
@@ -37,9 +37,10 @@ def round_metrics(
     def side(df: DataFrame, new: bool) -> DataFrame:
         # A row speaks for its key and, through the first value column, for the
         # (entity, year) pair it covers.
-        entity, year = normalize_entity(strip("province"), dim), to_int("year")
+        df = resolve_entity(df, "province", dim)
+        entity, year = F.col("_entity"), to_int("year")
         covers = has_text(value_cols[0]) & entity.isNotNull() & year.between(first_year, last_year)
-        key = F.array(*[norm_key(k, dim) for k in keys])
+        key = F.array(*[norm_key(k, known=entity) for k in keys])
         pair = F.when(covers, F.array(entity, year.cast("string")))
         ids = F.array(
             F.struct(F.lit(True).alias("is_key"), key.alias("id")), F.struct(F.lit(False).alias("is_key"), pair.alias("id"))
@@ -65,17 +66,17 @@ def round_metrics(
         count(~is_key & F.col("in_old")).alias("covered_old"),
         count(~is_key & F.col("in_new")).alias("covered_new"),
     )
-    grid = len(dim) * max(0, last_year - first_year + 1)
+    grid = entity_count(dim) * max(0, last_year - first_year + 1)
     size = universe_size(keys, range(first_year, last_year + 1), dim)
 
     def rate(filled: str, known: str) -> Column:
-        total = F.lit(size) if size is not None else F.col(known)
+        total = size if size is not None else F.col(known)
         return F.coalesce(F.try_divide(F.col(filled), total) * 100, F.lit(0.0))
 
     return whole.select(
         "gained_keys",
-        (F.lit(grid) - F.col("covered_old")).alias("missing_before"),
-        (F.lit(grid) - F.col("covered_new")).alias("missing_after"),
+        (grid - F.col("covered_old")).alias("missing_before"),
+        (grid - F.col("covered_new")).alias("missing_after"),
         rate("old", "in_old").alias("fill_rate_before"),
         rate("now", "in_new").alias("fill_rate_after"),
     )
@@ -140,7 +141,7 @@ def run_rounds(
     registry: DataFrame | None = None,
     variable: str = "",
     fill_only: bool = False,
-    dim: EntityDim = PROVINCES,
+    dim: Dim = PROVINCES,
     entity_form: str | None = None,
 ) -> RoundRun:
     """Applies one patch table per round until nothing is missing or gained.

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators count on; all are plain Spark configuration.
 SETTINGS: dict[str, str] = {
@@ -20,8 +20,6 @@ SETTINGS: dict[str, str] = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # No call-site capture for every column expression built.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Pages are large: keep the Arrow batches given to the parser small.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
 
 
@@ -62,3 +60,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """The table, computed once: written below the shared folder and read back.
+
+    For results that several outputs start from.  What is read back depends on shared
+    files alone, so a lost executor costs a re-read.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

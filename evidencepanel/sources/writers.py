@@ -48,5 +48,7 @@ def write_evidence(df: DataFrame, path: str) -> None:
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """A one-row document as a single JSON file."""
-    df.limit(1).coalesce(1).write.mode("overwrite").json(path, ignoreNullFields=False)
+    """A one-row document as a single JSON file; more rows are an error."""
+    if df.limit(2).count() > 1:
+        raise ValueError("a report is one row; use write_evidence for many")
+    df.coalesce(1).write.mode("overwrite").json(path, ignoreNullFields=False)

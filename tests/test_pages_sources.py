@@ -49,7 +49,7 @@ def test_title_with_markup_or_twice():
 
 def test_page_summary_keeps_failures(spark):
     rows = spark.createDataFrame([("http://A.b:8/x", "<title>t</title><p>some words here</p>"), ("u", None)], "url string, html string")
-    got = [tuple(r) for r in pg.page_summary(pg.page_archive(rows)).orderBy("url").collect()]
+    got = [tuple(r) for r in pg.page_summary(rows).orderBy("url").collect()]
     assert got[0][:5] == ("http://A.b:8/x", "A.b:8", "ok", "t", 4)
     assert got[1][1:5] == ("", "error", "", 0) and got[1][-1] == "no html"
     assert pg.archive_document(pg.page_archive(rows)).count() == 1

@@ -107,7 +107,9 @@ def test_extract_value(spark, text, want):
 
 
 def score(spark, sentence, entity="湖北省", url="https://example.com"):
-    column = ex.score_sentence(F.lit(entity), ent.explicit_name(F.lit(entity)), F.col("t"), F.lit(url), 2023)
+    own = ent.explicit_name(F.lit(entity))
+    other, hint = ent.names_other_entity(F.col("t"), own), ent.hinted_url(F.lit(entity), F.lit(url))
+    column = ex.score_sentence(F.lit(entity), own, F.col("t"), 2023, other, hint)
     return one(spark, column, sentence)
 
 
@@ -149,15 +151,17 @@ def test_dedup_candidates_keeps_best(spark):
 def test_schema_overrides(tmp_path):
     path = tmp_path / "rules.json"
     path.write_text('{"required_term": "常住人口", "unit_to_10k": {"万人": 1}, "score_weights": {"year_end": 9}}')
-    schema = ex.load_extractor_schema(path)
-    assert schema.required_term == "常住人口" and schema.unit_to_10k == {"万人": 1.0}
-    assert schema.weight("year_end") == 9 and schema.weight("url_hint") == 2
-    assert ex.load_extractor_schema(None) is ex.VEHICLE_STOCK
+    rules = ex.read_rules(path)
+    assert rules.required_term == "常住人口" and rules.unit_to_10k == {"万人": 1.0}
+    assert rules.weight("year_end") == 9 and rules.weight("url_hint") == 2
+    assert ex.read_rules(None) is ex.VEHICLE_STOCK
     for bad in ({"required_term": 1}, {"any_terms": "x"}, {"unit_to_10k": {}}, {"unit_to_10k": {"a": "b"}}, []):
         with pytest.raises(ValueError):
-            ex.parse_extractor_schema(bad)
+            ex.rules_from_json(bad)
+    with pytest.raises(ValueError, match="required_term.*any_terms"):
+        ex.rules_from_json({"required_term": 1, "any_terms": "x"})
     with pytest.raises(FileNotFoundError):
-        ex.load_extractor_schema(tmp_path / "none.json")
+        ex.read_rules(tmp_path / "none.json")
 
 
 def test_windows_and_snippets(spark):
