@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from evidencepanel.plans.session import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -37,18 +38,19 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def text_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
-    """Numbers and texts in runs of a few MB, so that work arrays stay small."""
+def text_slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[tuple[list, list[bytes]]]:
+    """Numbers and texts in runs of at most ``most`` bytes (or one text), so that work
+    arrays stay small."""
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1)
-        sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]).astype(np.int64) if len(texts) else []
+        ids, texts = batch.column(0), batch.column(1)
+        if not len(texts):
+            continue
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
-        while at < len(ids):
-            end, total = at + 1, int(sizes[at])
-            while end < len(ids) and total + int(sizes[end]) <= SLICE_BYTES:
-                total += int(sizes[end])
-                end += 1
-            yield ids[at:end], texts.slice(at, end - at).to_pylist()
+        while at < len(ends):
+            before = int(ends[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield ids.slice(at, end - at).to_pylist(), texts.slice(at, end - at).to_pylist()
             at = end
 
 

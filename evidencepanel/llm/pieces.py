@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
-from evidencepanel.llm.common import id_and_text, worker_cache
+from evidencepanel.llm.common import id_and_text, text_slices, worker_cache
 from evidencepanel.llm.subwords import DistinctWords, WordCache, spread, vocabulary_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -25,7 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SPACE = "▁"
 NO_RANK = np.int32(2**31 - 1)
 LONG_WORD = 2048  # symbols; beyond, a heap merges one word in n log n
-GROUP_BYTES = 24 << 20
+GROUP_BYTES = 8 << 20
 
 
 class PieceModel:
@@ -228,17 +228,8 @@ def encode_texts(model: PieceModel, texts: list[bytes]) -> list[tuple[np.ndarray
 
 
 def text_groups(batches):
-    """Numbers and texts of a batch in groups that share the work on distinct words."""
-    for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        at = 0
-        while at < len(ids):
-            end, total = at, 0
-            while end < len(ids) and (end == at or total + len(texts[end]) <= GROUP_BYTES):
-                total += len(texts[end])
-                end += 1
-            yield ids[at:end], texts[at:end]
-            at = end
+    """Numbers and texts in groups that share the work on distinct words."""
+    return text_slices(batches, GROUP_BYTES)
 
 
 def piece_ids(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -20,7 +20,7 @@ from evidencepanel.llm.common import SLICE_BYTES, span_hashes, worker_cache
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 END_ID = 1
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 800_000
 
 
 def vocabulary_path(name: str) -> str:
