@@ -636,15 +636,38 @@ R4 = (
 )
 
 
+def _rounds(v: Views, **more) -> rounds.RoundRun:
+    return rounds.run_rounds(v.panel, [v.patch] * 3, ["stock_10k"], FIRST_YEAR, LAST_YEAR, KEYS, **more)
+
+
 @query(
     "r4_run_rounds",
-    """SELECT 1 AS round, (SELECT count(*) FROM (SELECT * FROM fa EXCEPT SELECT * FROM fb)) AS gained
-       UNION ALL SELECT 2, 0""",
+    "SELECT gained, 'low gain' AS stopped FROM (SELECT count(*) AS gained FROM (SELECT * FROM fa EXCEPT SELECT * FROM fb))",
     R4,
 )
 def _(v: Views) -> DataFrame:
-    run = rounds.run_rounds(
-        v.panel, [v.patch] * 3, ["stock_10k"], FIRST_YEAR, LAST_YEAR, KEYS, entity_form="short"
-    )
-    rows = [(r["round"], r["gained"]) for r in run.rounds]
-    return v.spark.createDataFrame(rows, "round int, gained bigint")
+    """What the stored panel gained in all rounds, and why the loop ended."""
+    run = _rounds(v, entity_form="short")
+    before = cov.coverage_stats(v.panel, KEYS, ["stock_10k"]).filled_keys
+    gained = cov.gained_keys(cov.coverage_stats(run.panel, KEYS, ["stock_10k"]).filled_keys, before)
+    why = F.lit("low gain" if "low-gain" in run.stopped else run.stopped)
+    return gained.agg(F.count(F.lit(1)).alias("gained")).withColumn("stopped", why)
+
+
+@query("r4_final_panel", "SELECT _row, province, year, series, stock_10k FROM m", KEYED + ", " + _merged_sql())
+def _(v: Views) -> DataFrame:
+    return _rounds(v, entity_form="short").panel.select("_row", "province", "year", "series", "stock_10k")
+
+
+@query("r4_fill_only", "SELECT _row, CASE WHEN empty AND ref <> '' THEN ref ELSE stock_10k END AS stock_10k FROM r4f", f"""
+    r4r AS (SELECT {s('province')} AS p, {s('year')} AS y, {s('series')} AS se, arg_max({s('stock_10k')}, _row) AS ref FROM patch GROUP BY 1, 2, 3),
+    r4f AS (SELECT p._row, p.stock_10k, NOT {has('p.stock_10k')} AS empty, coalesce(r.ref, '') AS ref FROM panel p
+      LEFT JOIN r4r r ON r.p = {s('p.province')} AND r.y = {s('p.year')} AND r.se = {s('p.series')})""")
+def _(v: Views) -> DataFrame:
+    return _rounds(v, fill_only=True).panel.select("_row", "stock_10k")
+
+
+@query("r4_stops_on_failure", "SELECT 'checks failed' AS stopped, count(*) AS n_rows FROM panel")
+def _(v: Views) -> DataFrame:
+    run = _rounds(v, entity_form="short", registry=v.registry, variable="stock_10k")
+    return run.panel.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("stopped", F.lit(run.stopped))

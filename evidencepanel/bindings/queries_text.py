@@ -204,6 +204,41 @@ POP = (
 )
 
 
+def many_places(v: Views) -> DataFrame:
+    """The provinces and one place per customer, as a table."""
+    known = v.sql("SELECT ordinal, short_name AS short, full_name AS full, code FROM dim")
+    place = F.concat(F.lit("地"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"))
+    return known.unionByName(
+        v.table("customer").select(
+            (F.col("c_custkey") + 1000).cast("int").alias("ordinal"), place.alias("short"), F.concat(place, F.lit("县")).alias("full"), place.alias("code")
+        )
+    )
+
+
+# No address hints and no overrides with a table: the plain rules hold for every name.
+LARGE_SCOPE = f"""CASE WHEN contains(full_name, '自治区') THEN {any_in('x', ('全省', '我省', '全区', '我区'))}
+    WHEN full_name LIKE '%市' THEN {any_in('x', ('全市', '我市'))} ELSE {any_in('x', ('全省', '我省'))} END"""
+LARGE_FOUND = (
+    PARTS
+    + f""", found AS (SELECT *, cast({value_of('x', 1)} AS double) AS value_raw, {value_of('x', 2)} AS unit FROM parts
+    WHERE contains(x, '保有量') AND {any_in('x', ('新能源', '电动汽车'))} AND NOT contains(x, '全国新能源汽车保有量')
+      AND ({NAMED} OR {LARGE_SCOPE})),
+  candl AS (SELECT ord, cast(sentence_no AS int) AS sentence_no, x AS sentence, value_raw, unit,
+    round_even(value_raw * CASE unit WHEN '辆' THEN 0.0001::DOUBLE ELSE 1 END, 6) AS value_10k,
+    {points((any_in('x', ex.VEHICLE_STOCK.year_ends(SOURCE_YEAR)), 8), (any_in('x', ex.VEHICLE_STOCK.partial_year_markers), 5),
+            (any_in('x', ex.VEHICLE_STOCK.province_scope_markers), 4), (NAMED, 4), (any_in('x', ex.VEHICLE_STOCK.city_scope_markers), -5),
+            (any_in('x', ex.VEHICLE_STOCK.national_scope_markers), -9), (names_other('x', 'short_name'), -8))} AS score,
+    {NAMED} AS explicit FROM found WHERE value_raw IS NOT NULL)"""
+)
+
+
+@query("t6_extract_candidates_large", "SELECT ord, sentence_no, sentence, value_raw, unit, value_10k, score, explicit FROM candl", LARGE_FOUND)
+def _(v: Views) -> DataFrame:
+    out = cand.extract_candidates(v.bulletins, SOURCE_YEAR, dim=many_places(v))
+    names = ["ord", "sentence_no", "sentence", "value_raw", "unit", "value_10k", "score"]
+    return out.select(*names, F.col("explicit_province_in_sentence").alias("explicit"))
+
+
 @query("t6_extract_population", "SELECT ord, sentence_no, sentence, value_10k_person, score, explicit FROM popc", POP)
 def _(v: Views) -> DataFrame:
     out = cand.extract_population_candidates(v.bulletins, SOURCE_YEAR)
@@ -750,13 +785,19 @@ OLD = "SELECT _row, 'E' || cast(ck AS string) AS province, cast(yr AS string) AS
 NEW = "SELECT ck * 16 + (yr - 1990) AS _row, CASE WHEN ck % 3 = 0 THEN 'E' ELSE 'N' END || cast(ck AS string) AS province, cast(yr AS string) AS year, cast(qty AS string) AS stock_10k FROM shipped"
 
 
-def _stream(v: Views) -> str:
-    """Runs the stream over all patch rows and gives its state folder."""
+#: A second file changes half of the keys of the first.
+AGAIN = f"SELECT _row, province, year, stock_10k || '1' AS stock_10k FROM ({NEW}) WHERE _row % 2 = 0"
+LAST = f"SELECT _row, province, year, CASE WHEN _row % 2 = 0 THEN stock_10k || '1' ELSE stock_10k END AS stock_10k FROM ({NEW})"
+
+
+def _stream(v: Views, files_per_round: int) -> str:
+    """Runs the stream over all patch rows, in two files that share keys; gives its state folder."""
     state, incoming = scratch_path(v.spark, "state"), scratch_path(v.spark, "incoming")
-    patches.start_panel(v.sql(OLD), state, "stock_10k")
+    patches.start_panel(v.sql(OLD), state, "stock_10k", buckets=16)
     new = v.sql(NEW)
-    new.write.parquet(incoming)
-    query = patches.stream_rounds(v.spark, incoming, state, new.schema, "stock_10k", files_per_round=2)
+    new.coalesce(1).write.parquet(f"{incoming}/a")
+    v.sql(AGAIN).coalesce(1).write.parquet(f"{incoming}/b")
+    query = patches.stream_rounds(v.spark, f"{incoming}/*", state, new.schema, "stock_10k", files_per_round)
     query.awaitTermination()
     return state
 
@@ -764,10 +805,19 @@ def _stream(v: Views) -> str:
 @query(
     "x1_stream_rounds",
     f"""SELECT coalesce(n.province, o.province) AS province, coalesce(n.year, o.year) AS year, coalesce(n.stock_10k, o.stock_10k) AS stock_10k
-        FROM ({OLD}) o FULL JOIN ({NEW}) n ON n.province = o.province AND n.year = o.year""",
+        FROM ({OLD}) o FULL JOIN ({LAST}) n ON n.province = o.province AND n.year = o.year""",
+)
+def _(v: Views) -> DataFrame:
+    return patches.latest_panel(v.spark, _stream(v, 1)).select("province", "year", "stock_10k")
+
+
+@query(
+    "x1_one_batch",
+    f"""SELECT coalesce(n.province, o.province) AS province, coalesce(n.year, o.year) AS year, coalesce(n.stock_10k, o.stock_10k) AS stock_10k
+        FROM ({OLD}) o FULL JOIN ({LAST}) n ON n.province = o.province AND n.year = o.year""",
 )
 def _(v: Views) -> DataFrame:
-    return patches.latest_panel(v.spark, _stream(v)).select("province", "year", "stock_10k")
+    return patches.latest_panel(v.spark, _stream(v, 2)).select("province", "year", "stock_10k")
 
 
 @query(
@@ -777,7 +827,7 @@ def _(v: Views) -> DataFrame:
         FROM ({OLD}) o FULL JOIN ({NEW}) n ON n.province = o.province AND n.year = o.year""",
 )
 def _(v: Views) -> DataFrame:
-    history = patches.round_history(v.spark, _stream(v))
+    history = patches.round_history(v.spark, _stream(v, 1))
     return history.agg(
         F.max_by("rows", "version").alias("rows"),
         F.max_by("filled_rows", "version").alias("filled_rows"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from evidencepanel.functions.text import any_of, first_text, has_text, has_value, is_blank, raw, strip
 from evidencepanel.operators.groups import ROW, keep_first, need, number_rows, pick_by, same_key, top_per_group
+from evidencepanel.plans.session import written_once
 
 TUPLE = ("source_level", "source_name", "source_url")
 UNMATCHED = "unmatched"
@@ -160,7 +161,8 @@ def registry_prune(reg: DataFrame, panel: DataFrame, fallback: DataFrame, order:
     """Only sources the panel uses, by id; the fallback registry if none is left."""
     used = panel.where(has_text("source_id")).select(strip("source_id").alias("source_id")).distinct()
     last = pick_by(reg.withColumn("source_id", raw("source_id")), ["source_id"], order, last=True)
-    kept = last.join(used, "source_id", "left_semi").select(*reg.columns)
+    # Both the union and the test for an empty result read it: computed once.
+    kept = written_once(last.join(used, "source_id", "left_semi").select(*reg.columns), "kept-sources")
     spare = fallback.select(*reg.columns).where(~kept.select("source_id").exists())
     return kept.unionByName(spare).orderBy("source_id")
 

@@ -1,27 +1,27 @@
 """Patches that arrive as files: each micro-batch is one round on the panel.
 
-The panel is kept as a log: a base and one small delta per batch.  A batch costs
-what it brings, not what the panel holds: its rows are folded to one per key and
-written, and only the keys they touch are looked up in the log.  Reading folds
-the log; ``compact`` turns it into a new base.
-
-Layout below the state folder: ``log/version=N`` (0 is the first base),
-``base/version=N`` (compacted up to N) and ``metrics/version=N``.  Every output is
-named by its batch, so a replayed batch overwrites its own result and no other.
+The panel lies in parquet, cut into key buckets.  A batch reads only the buckets that
+its keys fall into, as they were before it, folds its rows in and writes these buckets
+anew; all others stay untouched and unread.  Outputs are named by the batch, so a
+replayed batch overwrites its own result and no other.
+
+Layout below the state folder: ``panel/version=N/bucket=B`` (0 is the start),
+``written/version=N`` (which buckets a version wrote) and ``metrics/version=N``.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from evidencepanel.functions.text import has_text, raw, strip, to_int
-from evidencepanel.operators.groups import ROW, need, same_key
+from evidencepanel.operators.groups import ROW, key_hash, need
 
 KEY = ("_e", "_y")
+BUCKETS = 256
+FILE = "_file"
 
 
 def _at(state_dir: str, part: str, version: int | None = None) -> str:
@@ -29,76 +29,103 @@ def _at(state_dir: str, part: str, version: int | None = None) -> str:
     return folder if version is None else f"{folder}/version={version}"
 
 
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("int")
+
+
 def _fold(rows: DataFrame, cols: list[str], order: Column) -> DataFrame:
     """The last row of every key, whole."""
     last = F.max_by(F.struct(*cols), order).alias("_last")
-    return rows.groupBy(*KEY).agg(last).select(*KEY, *[F.col("_last")[c].alias(c) for c in cols])
+    return rows.groupBy(key_hash(KEY), *KEY).agg(last).select(*KEY, *[F.col("_last")[c].alias(c) for c in cols])
+
 
+def _write(panel: DataFrame, state_dir: str, version: int, buckets: int) -> None:
+    placed = panel.withColumn("bucket", _bucket(buckets)).repartition("bucket")
+    placed.write.mode("overwrite").partitionBy("bucket").parquet(_at(state_dir, "panel", version))
 
-def start_panel(panel: DataFrame, state_dir: str, value_col: str) -> None:
-    """Version 0: the panel's last row per key; rows without entity or year go."""
+
+def start_panel(panel: DataFrame, state_dir: str, value_col: str, buckets: int = BUCKETS) -> None:
+    """Version 0: the panel's last row per key; rows without entity or year go.
+
+    ``buckets`` is fixed for the life of the state: choose it so that one bucket fits a task.
+    """
     need(panel, "province", "year", value_col, ROW)
     cols = panel.columns
     keyed = panel.select(*cols, strip("province").alias("_e"), F.coalesce(to_int("year"), F.lit(0)).alias("_y"))
     keyed = keyed.where((F.col("_e") != "") & (F.col("_y") != 0))
-    _fold(keyed, cols, F.col(ROW)).write.mode("overwrite").parquet(_at(state_dir, "log", 0))
+    _write(_fold(keyed, cols, F.col(ROW)), state_dir, 0, buckets)
     spark = panel.sparkSession
-    first = spark.read.parquet(_at(state_dir, "log", 0)).agg(
-        F.count(F.lit(1)).alias("rows"), F.count(F.when(has_text(value_col), 1)).alias("filled_rows")
-    )
+    every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"), F.lit(buckets).alias("buckets"))
+    every.write.mode("overwrite").parquet(_at(state_dir, "written", 0))
+    stored = _read(spark, state_dir, 0, None)
+    first = stored.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(has_text(value_col), 1)).alias("filled_rows"))
     first = first.select(F.lit(-1).cast("bigint").alias("batch_id"), "rows", "filled_rows", F.lit(0).cast("bigint").alias("gained_keys"))
     first.write.mode("overwrite").parquet(_at(state_dir, "metrics", 0))
 
 
-def _last_base(spark: SparkSession, state_dir: str, upto: int) -> int:
-    try:
-        bases = spark.read.parquet(_at(state_dir, "base")).select("version")
-    except AnalysisException:
-        return -1
-    found = bases.where(F.col("version") <= upto).agg(F.max("version").alias("v")).first()["v"]
-    return -1 if found is None else found
-
-
-def read_log(spark: SparkSession, state_dir: str, upto: int) -> DataFrame:
-    """Base and deltas up to a version, unfolded, each row with its version."""
-    base = _last_base(spark, state_dir, upto)
-    log = spark.read.parquet(_at(state_dir, "log")).where((F.col("version") > base) & (F.col("version") <= upto))
-    if base < 0:
-        return log
-    return log.unionByName(spark.read.parquet(_at(state_dir, "base")).where(F.col("version") == base))
+def _read(spark: SparkSession, state_dir: str, upto: int, touched: DataFrame | None) -> DataFrame:
+    """The panel as of a version; only the ``touched`` buckets if given.
+
+    The driver learns which version last wrote each bucket: one number per bucket.
+    """
+    written = spark.read.parquet(_at(state_dir, "written")).where(F.col("version") <= upto)
+    last = written.groupBy("bucket").agg(F.max("version").alias("version"))
+    if touched is not None:
+        last = last.join(touched, "bucket", "left_semi")
+    wanted: dict[int, list[int]] = {}
+    for r in last.collect():
+        wanted.setdefault(r["version"], []).append(r["bucket"])
+    schema = spark.read.parquet(_at(state_dir, "panel", 0)).schema
+    parts = [
+        spark.read.schema(schema).parquet(_at(state_dir, "panel", v)).where(F.col("bucket").isin(found))
+        for v, found in sorted(wanted.items())
+    ]
+    out = spark.createDataFrame([], schema) if not parts else parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.drop("bucket")
 
 
 def panel_at(spark: SparkSession, state_dir: str, version: int) -> DataFrame:
     """The panel as of a version."""
-    log = read_log(spark, state_dir, version)
-    cols = [c for c in log.columns if c not in (*KEY, "version")]
-    return _fold(log, cols, F.col("version")).select(*cols)
-
-
-def compact(spark: SparkSession, state_dir: str, version: int) -> None:
-    """Writes the folded log up to a version as a new base."""
-    log = read_log(spark, state_dir, version)
-    cols = [c for c in log.columns if c not in (*KEY, "version")]
-    _fold(log, cols, F.col("version")).write.mode("overwrite").parquet(_at(state_dir, "base", version))
+    return _read(spark, state_dir, version, None).drop(*KEY)
 
 
 def apply_patch(spark: SparkSession, batch: DataFrame, batch_id: int, state_dir: str, value_col: str) -> None:
-    """Writes the delta of a batch and its round metrics."""
+    """Folds a batch into the buckets it touches and writes its round metrics.
+
+    Of rows with one key, the last of the last file (by path, if ``batch`` has a
+    ``_file`` column) counts.
+    """
     version = batch_id + 1
-    cols = [c for c in spark.read.parquet(_at(state_dir, "log", 0)).columns if c not in KEY]
+    start = spark.read.parquet(_at(state_dir, "panel", 0))
+    cols = [c for c in start.columns if c not in (*KEY, "bucket")]
+    buckets = spark.read.parquet(_at(state_dir, "written", 0)).first()["buckets"]
     given = [(F.col(c) if c in batch.columns else F.lit(None).cast("string")).alias(c) for c in cols]
-    keyed = batch.select(*given, raw("province").alias("_e"), to_int("year").alias("_y"))
-    _fold(keyed, cols, F.col(ROW)).write.mode("overwrite").parquet(_at(state_dir, "log", version))
-
-    delta = spark.read.parquet(_at(state_dir, "log", version)).select(*KEY, has_text(value_col).alias("now"))
-    log = read_log(spark, state_dir, batch_id).select(*KEY, "version", has_text(value_col).alias("filled"))
-    names = delta.select(*[F.col(k).alias(f"{k}2") for k in KEY])
-    touched = log.join(names, same_key((log[k], names[f"{k}2"]) for k in KEY), "left_semi")
-    old = touched.groupBy(*KEY).agg(F.max_by("filled", "version").alias("old"))
-    change = delta.join(old, list(KEY), "left").agg(
-        F.count(F.when(F.col("old").isNull(), 1)).alias("added"),
-        F.count(F.when(F.col("now") & ~F.coalesce("old", F.lit(False)), 1)).alias("gained"),
-        F.count(F.when(~F.col("now") & F.coalesce("old", F.lit(False)), 1)).alias("lost"),
+    file = F.col(FILE) if FILE in batch.columns else F.lit("")
+    keyed = batch.select(*given, raw("province").alias("_e"), to_int("year").alias("_y"), file.alias(FILE))
+    delta = _fold(keyed, cols, F.struct(FILE, ROW))
+    touched = delta.select(_bucket(buckets).alias("bucket"), F.lit(buckets).alias("buckets")).distinct()
+    touched.write.mode("overwrite").parquet(_at(state_dir, "written", version))
+
+    touched = spark.read.parquet(_at(state_dir, "written", version)).select("bucket")
+    old = _read(spark, state_dir, batch_id, touched)
+    both = old.withColumn("_new", F.lit(0)).unionByName(delta.withColumn("_new", F.lit(1)))
+    _write(_fold(both, cols, F.col("_new")), state_dir, version, buckets)
+
+    filled = has_text(value_col)
+    now = spark.read.parquet(_at(state_dir, "panel", version))
+    sides = old.select(*KEY, filled.alias("filled"), F.lit(0).alias("side")).unionByName(
+        now.select(*KEY, filled.alias("filled"), F.lit(1).alias("side"))
+    )
+    per_key = sides.groupBy(*KEY).agg(
+        F.max(F.when(F.col("side") == 0, F.col("filled"))).alias("was"), F.max(F.when(F.col("side") == 1, F.col("filled"))).alias("now")
+    )
+    was = F.coalesce("was", F.lit(False))
+    change = per_key.agg(
+        F.count(F.when(F.col("was").isNull(), 1)).alias("added"),
+        F.count(F.when(F.col("now") & ~was, 1)).alias("gained"),
+        F.count(F.when(~F.col("now") & was, 1)).alias("lost"),
     )
     before = spark.read.parquet(_at(state_dir, "metrics", batch_id))
     change.select(
@@ -119,6 +146,7 @@ def stream_rounds(
 ) -> StreamingQuery:
     """Upserts every waiting patch file into the panel, then stops."""
     arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_round).parquet(source_dir)
+    arriving = arriving.select("*", F.col("_metadata.file_path").alias(FILE))
 
     def round_of(batch: DataFrame, batch_id: int) -> None:
         apply_patch(batch.sparkSession, batch, batch_id, state_dir, value_col)

@@ -107,7 +107,7 @@ def test_discovery_documents(spark, tmp_path):
     assert [r["url"] for r in rk.concat_urls(first, listed).collect()] == ["http://b", "http://z", "https://a"]
 
 
-def test_stream_is_replayable_and_compacts(spark, table, tmp_path):
+def test_stream_is_replayable(spark, table, tmp_path):
     state, incoming = str(tmp_path / "state"), tmp_path / "in"
     panel = table([{"province": "A", "year": "2020", "v": "1"}, {"province": "B", "year": "2020", "v": ""}])
     patches.start_panel(panel, state, "v")
@@ -127,5 +127,21 @@ def test_stream_is_replayable_and_compacts(spark, table, tmp_path):
     assert history == [(2, 1, 0), (3, 3, 2), (3, 2, 0)]
     patches.apply_patch(spark, two, 1, state, "v")  # the same batch again
     assert rows() == want
-    patches.compact(spark, state, 1)
     assert rows() == want and patches.panel_at(spark, state, 0).count() == 2
+
+
+def test_stream_reads_only_the_buckets_of_a_batch(spark, table, tmp_path):
+    state = str(tmp_path / "state")
+    panel = table([{"province": f"P{i}", "year": "2020", "v": "1"} for i in range(200)])
+    patches.start_panel(panel, state, "v", buckets=32)
+    patch = table([{"province": "P7", "year": "2020", "v": "2"}]).withColumn("_file", F.lit("b"))
+    older = table([{"province": "P7", "year": "2020", "v": "9"}]).withColumn("_file", F.lit("a"))
+    patches.apply_patch(spark, patch.unionByName(older), 0, state, "v")
+    touched = spark.read.parquet(f"{state}/written/version=1").select("bucket")
+    assert touched.count() == 1
+    seen = patches._read(spark, state, 0, touched)
+    assert 0 < seen.count() < 40
+    text = seen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in text
+    after = {r["province"]: r["v"] for r in patches.latest_panel(spark, state).collect()}
+    assert after["P7"] == "2" and after["P8"] == "1" and len(after) == 200
