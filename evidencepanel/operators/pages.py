@@ -12,6 +12,7 @@ import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 from html.parser import HTMLParser
+from itertools import islice
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -182,8 +183,9 @@ def read_page(html: str | None, limits: PageLimits = EVERYTHING) -> tuple:
         reader.feed(html)
         reader.close()
         reader.flush()
-        headers = [t for t in map(reader.text_of, reader.headers) if t][: limits.headers]
-        paragraphs = [t for t in map(reader.text_of, reader.paragraphs) if len(t) >= limits.paragraph_chars][: limits.paragraphs]
+        headers = list(islice((t for t in map(reader.text_of, reader.headers) if t), limits.headers))
+        long = (t for t in map(reader.text_of, reader.paragraphs) if len(t) >= limits.paragraph_chars)
+        paragraphs = list(islice(long, limits.paragraphs))
         title = reader.title()
         lines = [f"# {title}"] if title else []
         lines += [f"## {h}" for h in headers[: limits.headers_in_text]] + paragraphs

@@ -65,8 +65,6 @@ def test_universe_and_bad_form(spark):
         assert ent.entity_universe(spark, form=form).count() == 30
     with pytest.raises(ValueError):
         ent.entity_universe(spark, form="other")
-    with pytest.raises(ValueError):
-        ent.EntityDim(tuple((f"s{i}", f"f{i}", f"c{i}") for i in range(501)))
 
 
 def test_aliases(spark):
