@@ -443,7 +443,29 @@ def _(v: Views) -> DataFrame:
     return rows.select("doc_id", "n.field", "n.g.value_str", "n.g.value_num", "n.g.raw", "n.g.evidence")
 
 
-@query("t11_page_archive")
+PAGE_TEXT = "regexp_replace(html, '(?s)<(script|style|noscript)[^>]*>.*?</(script|style|noscript)>|<!--.*?-->', '', 'g')"
+UNESCAPED = "{0}"
+for _name, _to in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&nbsp;", "chr(160)"), ("&quot;", "chr(34)"), ("&copy;", "chr(169)"), ("&middot;", "chr(183)"), ("&amp;", "'&'")):
+    UNESCAPED = f"replace({UNESCAPED}, '{_name}', {_to})"
+
+
+def bare(html: str) -> str:
+    """Text of a piece of HTML: tags are gaps, entities resolved, white space collapsed."""
+    stripped = UNESCAPED.format(f"regexp_replace({html}, '<[^>]*>', ' ', 'g')")
+    return f"trim(regexp_replace({stripped}, '{SPACES}+', ' ', 'g'))"
+
+
+TITLE = f"""trim({UNESCAPED.format("regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1)")}, {' || '.join(f'chr({c})' for c in (32, 9, 10, 13, 160))})"""
+HEADERS = f"list_filter(list_transform(regexp_extract_all({PAGE_TEXT}, '(?is)<h[123][^>]*>(.*?)</h[123]>', 1), lambda h: {bare('h')}), lambda h: h <> '')"
+LINKS = f"list_transform(regexp_extract_all({PAGE_TEXT}, '(?i)<a\\s[^>]*href=\"([^\"]+)\"', 1), lambda u: trim({UNESCAPED.format('u')}))"
+
+
+@query(
+    "t11_page_archive",
+    rf"""SELECT page_id, url, 'ok' AS status, {TITLE} AS title, {bare(PAGE_TEXT)} AS plain_text, array_to_string({HEADERS}, '|') AS headers,
+          cast(len(regexp_extract_all({PAGE_TEXT}, '(?i)<(p|li)[ >]')) AS int) AS n_paragraphs, array_to_string({LINKS}, '|') AS links,
+          cast(len(string_split({bare(PAGE_TEXT)}, ' ')) AS int) AS word_count FROM pages""",
+)
 def _(v: Views) -> DataFrame:
     out = pg.page_archive(v.table("pages"))
     return out.select(
@@ -451,16 +473,39 @@ def _(v: Views) -> DataFrame:
         "url",
         "status",
         "title",
-        "markdown_like",
         "plain_text",
         F.concat_ws("|", "headers").alias("headers"),
         F.size("paragraphs").alias("n_paragraphs"),
         F.concat_ws("|", "links").alias("links"),
+        "word_count",
     )
 
 
-PAGE_TEXT = "regexp_replace(html, '(?s)<(script|style|noscript)[^>]*>.*?</(script|style|noscript)>|<!--.*?-->', '', 'g')"
-UNESCAPED = "replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&amp;', '&')"
+@query(
+    "t11_archive_document",
+    rf"""SELECT url, {TITLE} AS title, array_to_string({HEADERS}, '|') AS headers, array_to_string(({LINKS})[1:120], '|') AS links FROM pages""",
+)
+def _(v: Views) -> DataFrame:
+    out = pg.archive_document(pg.page_archive(v.table("pages")), limits=pg.SHORT_ARCHIVE)
+    return out.select("url", "title", F.concat_ws("|", "headers").alias("headers"), F.concat_ws("|", "links").alias("links"))
+
+
+PAGE_RULES = {"fields": [{"name": "amount", "patterns": [r"([0-9]+\.[0-9]+)", "([0-9]{2,})"], "cast": "float"}, {"name": "word", "patterns": ["the ([a-z]+)"]}]}
+
+
+@query(
+    "t10_fields_of_pages",
+    f"""WITH t AS (SELECT page_id, {bare(PAGE_TEXT)} AS x FROM pages)
+        SELECT page_id, 'amount' AS field, CASE WHEN regexp_matches(x, '[0-9]+\\.[0-9]+') THEN regexp_extract(x, '[0-9]+\\.[0-9]+') ELSE regexp_extract(x, '[0-9]{{2,}}') END AS raw
+        FROM t WHERE regexp_matches(x, '[0-9]+\\.[0-9]+|[0-9]{{2,}}')
+        UNION ALL SELECT page_id, 'word', regexp_extract(x, 'the ([a-z]+)', 1) FROM t WHERE regexp_matches(x, 'the ([a-z]+)')""",
+)
+def _(v: Views) -> DataFrame:
+    rules = ex.parse_field_rules(PAGE_RULES)
+    archive = pg.page_archive(v.table("pages")).where("status = 'ok'")
+    wide = archive.select("page_id", ex.extract_fields("plain_text", rules).alias("f"))
+    named = F.array(*[F.struct(F.lit(r.name).alias("field"), F.col(f"f.{r.name}.raw").alias("raw")) for r in rules])
+    return wide.select("page_id", F.inline(named)).where(F.col("raw").isNotNull())
 
 
 @query(
