@@ -471,6 +471,37 @@ def _(v: Views) -> DataFrame:
     return sc.evidence_records(v.panel, v.registry).select("row_index", F.size("values").alias("n_values"))
 
 
+def _pack(v: Views) -> tuple[DataFrame, str]:
+    path = scratch_path(v.spark, "pack")
+    return sc.evidence_pack(v.panel, v.registry, path, ["province", "year"], VALUES, "stock_10k"), path
+
+
+@query("e2_dataset", "SELECT _row, province, year, stock_10k FROM (SELECT row_number() OVER (ORDER BY _row) AS _row, province, year, stock_10k FROM panel)")
+def _(v: Views) -> DataFrame:
+    from evidencepanel.sources.readers import read_panel
+
+    return read_panel(v.spark, f"{_pack(v)[1]}/dataset").select("_row", "province", "year", "stock_10k")
+
+
+@query("e2_source_registry", "SELECT source_id, source_name, source_url FROM reg", REG_SCOPED)
+def _(v: Views) -> DataFrame:
+    from evidencepanel.sources.readers import read_panel
+
+    return read_panel(v.spark, f"{_pack(v)[1]}/source_registry").select("source_id", "source_name", "source_url")
+
+
+@query("e2_source_ids", f"SELECT DISTINCT r_id AS source_id FROM resolved WHERE {VALUED} AND coalesce(r_id, '') <> ''", REG_SCOPED)
+def _(v: Views) -> DataFrame:
+    return v.spark.read.schema("source_id string").json(f"{_pack(v)[1]}/source_ids")
+
+
+@query("e2_records", f"SELECT _row + 1 AS row_index, match_mode, {s('year')} AS key_year FROM resolved WHERE {VALUED}", REG_SCOPED)
+def _(v: Views) -> DataFrame:
+    schema = "row_index bigint, row_key map<string,string>, provenance struct<match_mode:string>"
+    back = v.spark.read.schema(schema).json(f"{_pack(v)[1]}/evidence_records")
+    return back.select("row_index", "provenance.match_mode", F.col("row_key")["year"].alias("key_year"))
+
+
 @query(
     "e2_evidence_pack",
     f"""SELECT (SELECT count(*) FROM panel) AS total_dataset_rows, (SELECT count(*) FROM registry) AS total_registry_rows,
@@ -481,9 +512,7 @@ def _(v: Views) -> DataFrame:
     REG_SCOPED,
 )
 def _(v: Views) -> DataFrame:
-    out = sc.evidence_pack(
-        v.panel, v.registry, scratch_path(v.spark, "pack"), ["province", "year"], VALUES, "stock_10k"
-    )
+    out, _path = _pack(v)
     return out.select(
         "total_dataset_rows",
         "total_registry_rows",

@@ -361,6 +361,16 @@ def _(v: Views) -> DataFrame:
     return out.select("province", "value_10k_person", "source_url", "confidence", "evidence_sentence", "rule_flags")
 
 
+@query(
+    "w7_shortlist_missing",
+    """SELECT full_name AS "full" FROM dim WHERE full_name NOT IN (SELECT entity FROM scored WHERE why IS NULL GROUP BY 1 HAVING max(conf) >= 28)""",
+    SHORT,
+)
+def _(v: Views) -> DataFrame:
+    rows = rk.shortlist(_population(v), "value_10k_person", SOURCE_YEAR)["rows"]
+    return rk.shortlist_missing(v.sql("SELECT full_name AS full FROM dim"), rows)
+
+
 @query(
     "w7_shortlist_status",
     """SELECT entity, count(*) FILTER (why IS NOT NULL) AS n_rejected, coalesce(max(conf) FILTER (why IS NULL) >= 28, false) AS accepted
@@ -698,7 +708,7 @@ def _(v: Views) -> DataFrame:
     writers.write_panel(
         v.panel.withColumn("q", quoted), path, ["province", "year", "series", "stock_10k", "source_url", "q"]
     )
-    return readers.read_panel(v.spark, path)
+    return readers.read_panel(v.spark, path, multi_line=True)
 
 
 def discovery_documents(v: Views) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from pathlib import PurePosixPath
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -261,43 +260,41 @@ def evidence_pack(
     write_panel(panel, at("dataset"), [c for c in panel.columns if c != order], order=order, keep_empty=True)
     write_panel(scope, at("source_registry"), [c for c in reg.columns if c != order], order=order, keep_empty=True)
     records = evidence_records(panel, reg, keys, value_cols, variable, order)
-    records = records.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_evidence(records, at("evidence_records"))
-        used = records.select(F.col("provenance.resolved_source_id").alias("source_id")).where("source_id <> ''")
-        used = used.distinct()
-        used.orderBy("source_id").write.mode("overwrite").json(at("source_ids"))
-        slim = records.select(F.col("provenance.match_mode").alias("match_mode"), "provenance")
-        summary = match_summary(slim, level="own")
-        # Levels are free text, so their full counts are a table; the manifest has
-        # the known ones and the rest as one number.
-        summary.write.mode("overwrite").json(at("summary"))
-        kind, name, count = F.col("kind"), F.col("name"), F.col("count")
-
-        def counted(test: Column) -> Column:
-            return F.coalesce(F.sum(F.when(test, count)), F.lit(0))
-
-        modes = [counted((kind == "match_mode") & (name == m)).alias(m) for m in MATCH_MODES]
-        known = [counted((kind == "source_level") & (name == n)).alias(n) for n in LEVEL_SCORES]
-        rest = counted((kind == "source_level") & ~name.isin(*LEVEL_SCORES)).alias("other")
-        manifest = summary.agg(
-            F.struct(*modes).alias("match_summary"), F.struct(*known, rest).alias("source_level_summary")
-        ).select(
-            F.current_timestamp().alias("generated_at_utc"),
-            F.lit(variable).alias("variable_filter"),
-            F.array(*[F.lit(k) for k in keys]).alias("key_columns"),
-            (F.array(*[F.lit(c) for c in value_cols]) if value_cols else F.array().cast("array<string>")).alias(
-                "value_columns"
-            ),
-            panel.agg(F.count(F.lit(1)).alias("n")).scalar().alias("total_dataset_rows"),
-            reg.agg(F.count(F.lit(1)).alias("n")).scalar().alias("total_registry_rows"),
-            scope.agg(F.count(F.lit(1)).alias("n")).scalar().alias("registry_rows_in_scope"),
-            records.agg(F.count(F.lit(1)).alias("n")).scalar().alias("evidence_record_count"),
-            "match_summary",
-            "source_level_summary",
-            used.agg(F.count(F.lit(1)).alias("n")).scalar().alias("unique_source_id_count"),
-        )
-        write_report(manifest, at("manifest"))
-    finally:
-        records.unpersist()
+    # Records are computed once, into the pack; all that follows reads them there.
+    write_evidence(records, at("evidence_records"))
+    records = panel.sparkSession.read.schema(records.schema).json(at("evidence_records"))
+    used = records.select(F.col("provenance.resolved_source_id").alias("source_id")).where("source_id <> ''")
+    used = used.distinct()
+    used.orderBy("source_id").write.mode("overwrite").json(at("source_ids"))
+    slim = records.select(F.col("provenance.match_mode").alias("match_mode"), "provenance")
+    summary = match_summary(slim, level="own")
+    # Levels are free text, so their full counts are a table; the manifest has
+    # the known ones and the rest as one number.
+    summary.write.mode("overwrite").json(at("summary"))
+    kind, name, count = F.col("kind"), F.col("name"), F.col("count")
+
+    def counted(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, count)), F.lit(0))
+
+    modes = [counted((kind == "match_mode") & (name == m)).alias(m) for m in MATCH_MODES]
+    known = [counted((kind == "source_level") & (name == n)).alias(n) for n in LEVEL_SCORES]
+    rest = counted((kind == "source_level") & ~name.isin(*LEVEL_SCORES)).alias("other")
+    manifest = summary.agg(
+        F.struct(*modes).alias("match_summary"), F.struct(*known, rest).alias("source_level_summary")
+    ).select(
+        F.current_timestamp().alias("generated_at_utc"),
+        F.lit(variable).alias("variable_filter"),
+        F.array(*[F.lit(k) for k in keys]).alias("key_columns"),
+        (F.array(*[F.lit(c) for c in value_cols]) if value_cols else F.array().cast("array<string>")).alias(
+            "value_columns"
+        ),
+        panel.agg(F.count(F.lit(1)).alias("n")).scalar().alias("total_dataset_rows"),
+        reg.agg(F.count(F.lit(1)).alias("n")).scalar().alias("total_registry_rows"),
+        scope.agg(F.count(F.lit(1)).alias("n")).scalar().alias("registry_rows_in_scope"),
+        records.agg(F.count(F.lit(1)).alias("n")).scalar().alias("evidence_record_count"),
+        "match_summary",
+        "source_level_summary",
+        used.agg(F.count(F.lit(1)).alias("n")).scalar().alias("unique_source_id_count"),
+    )
+    write_report(manifest, at("manifest"))
     return panel.sparkSession.read.json(at("manifest"))

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from evidencepanel.functions.entity import ENGLISH_NAMES, alias_to_entity
 from evidencepanel.functions.text import is_http, strip, to_int, to_number
 from evidencepanel.operators.groups import ROW, keep_last, key_hash, need, same_key
+from evidencepanel.plans.session import written_once
 
 
-def read_panel(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
+def read_panel(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
     """CSV with a header: all text, byte-order mark dropped, empty cells ``""``.
 
     Adds ``_row``, the 1-based data row, in file-name order over several files.
-    ``multi_line=False`` lets big files be split when no cell holds a line
-    break; rows are then numbered per split, so no task reads a whole file.
+    Big files are split and numbered per split, so no task reads a whole file.
+    ``multi_line=True`` is for cells that hold line breaks; each file is then one task.
+    The files are scanned once: rows and their places are written below the shared
+    folder, and counted and numbered from there.
     """
     table = spark.read.csv(
         path if isinstance(path, str) else list(path),
@@ -38,6 +41,7 @@ def read_panel(spark: SparkSession, path: str | Sequence[str], multi_line: bool
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
     )
+    placed = written_once(placed, "csv-rows")
     # One row per file split: first id, size, and the rows of all splits before.
     splits = placed.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)

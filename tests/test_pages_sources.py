@@ -63,7 +63,7 @@ def test_page_summary_keeps_failures(spark):
 def test_csv_with_mark_quotes_and_breaks(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text('﻿province,year,note\n北京, 2023 ,"a ""b"", c\nd"\n上海,,\n', encoding="utf-8")
-    rows = readers.read_panel(spark, str(path)).orderBy("_row").collect()
+    rows = readers.read_panel(spark, str(path), multi_line=True).orderBy("_row").collect()
     assert [tuple(r) for r in rows] == [("北京", " 2023 ", 'a "b", c\nd', 1), ("上海", "", "", 2)]
 
 
@@ -84,7 +84,7 @@ def test_rows_are_numbered_over_files_and_splits(spark, tmp_path):
 def test_write_panel_skips_empty_tables(spark, tmp_path, table):
     rows = table([{"a": "1", "b": ""}, {"a": " 2 ", "b": 'x"y'}])
     assert writers.write_panel(rows, str(tmp_path / "out"), ["b", "a"])
-    back = readers.read_panel(spark, str(tmp_path / "out")).orderBy("_row")
+    back = readers.read_panel(spark, str(tmp_path / "out"), multi_line=True).orderBy("_row")
     assert back.columns[:2] == ["b", "a"] and [tuple(r)[:2] for r in back.collect()] == [("", "1"), ('x"y', " 2 ")]
     assert not writers.write_panel(rows.where("false"), str(tmp_path / "none"))
     assert not (tmp_path / "none").exists()
