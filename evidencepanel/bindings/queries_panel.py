@@ -295,17 +295,31 @@ def _(v: Views) -> DataFrame:
     )
 
 
+PANEL_ONLY = ("source_id", "source_level", "source_name", "source_url", "cross_check_url", "access_date", "note")
+
+
+def _column_rows(kind: str, columns, table: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, '{c}' AS \"column\", count(*) FILTER ({has(c)}) AS non_blank FROM {table}" for c in columns
+    )
+
+
 @query(
     "u3_shared_columns",
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", count(*) FILTER ({has(c)}) AS non_blank, count(*) AS total FROM panel" for c in VALUES
-    ),
+    f"""{_column_rows("shared", VALUES, "panel")} UNION ALL {_column_rows("right_only", ["extra"], "(SELECT 'x' AS extra FROM panel)")}
+        UNION ALL {_column_rows("left_only", PANEL_ONLY, "panel")}""",
 )
 def _(v: Views) -> DataFrame:
     from evidencepanel.operators.quality import column_coverage
 
-    shared = pan.shared_columns(v.panel, _other_panel(v), [*KEYS, "_row"])["shared"]
-    return column_coverage(v.panel, shared).select("column", "non_blank", "total")
+    other = _other_panel(v)
+    found = pan.shared_columns(v.panel, other, [*KEYS, "_row"])
+    out = None
+    for kind, columns in found.items():
+        table = other if kind == "right_only" else v.panel
+        rows = column_coverage(table, columns).select(F.lit(kind).alias("kind"), "column", "non_blank")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 PATTERN = r"新能源汽车保有量(?:达到|约为|为)? ?([0-9]+(?:\.[0-9]+)?) ?万?辆"

@@ -85,14 +85,15 @@ VIEWS: dict[str, str] = {
           'n' || cast(ck % 3 AS string) AS note
         FROM base""",
     "registry": f"""
-        SELECT s_suppkey + 1 AS _row, CASE WHEN s_suppkey % 13 = 5 THEN '' ELSE {_SID.format('s_suppkey')} END AS source_id,
+        SELECT s_suppkey + 1 AS _row, CASE WHEN s_suppkey % 13 = 5 THEN '' WHEN s_suppkey % 11 = 7 THEN 'SRC_N' || cast(s_suppkey AS string) ELSE {_SID.format('s_suppkey')} END AS source_id,
           CASE WHEN s_suppkey % 5 = 4 THEN 'other' ELSE 'stock_10k' END AS variable,
-          {_LEVEL.format('s_suppkey')} AS source_level, {_NAME.format('s_suppkey')} AS source_name,
+          {_LEVEL.format('s_suppkey')} AS source_level,
+          CASE WHEN s_suppkey % 11 = 7 THEN 'unused' ELSE '' END || {_NAME.format('s_suppkey')} AS source_name,
           {_URL.format('s_suppkey')} AS source_url,
           CASE WHEN s_suppkey % 8 = 2 THEN 'https://check.example/' || cast(s_suppkey AS string) ELSE '' END AS cross_check_url,
           '2024-01-01' AS publish_date, '2024-02-02' AS access_date, 'f.csv' AS evidence_file, '1' AS is_primary,
           'first' AS note
-        FROM {{supplier}} WHERE s_suppkey % 11 <> 7
+        FROM {{supplier}}
         UNION ALL
         SELECT s_suppkey + 1000000001 AS _row, {_SID.format('s_suppkey')} AS source_id, 'stock_10k' AS variable,
           'B' AS source_level, 'second' || cast(s_suppkey AS string) AS source_name, 'http://b.example/' AS source_url,
@@ -108,14 +109,13 @@ VIEWS: dict[str, str] = {
         SELECT p.ck * 64 + (p.yr - 1990) * 4 + dup AS _row,
           CASE p.ck % 3 WHEN 0 THEN d.full_name WHEN 1 THEN d.short_name ELSE d.code END AS province,
           cast(p.yr AS string) AS year,
-          cast(p.ck - CASE WHEN p.ck % 10 = 9 THEN 1 ELSE 0 END AS string) AS series,
+          CASE WHEN p.ck % 5 = 3 THEN 'P' ELSE '' END || cast(p.ck - CASE WHEN p.ck % 10 = 9 THEN 1 ELSE 0 END AS string) AS series,
           CASE WHEN (p.ck + p.yr + dup) % 5 = 0 THEN ' ' ELSE cast(p.qty + dup AS string) END AS stock_10k,
           CASE WHEN (p.ck + dup) % 4 = 0 THEN '' ELSE cast(p.n AS string) END AS aux_value,
           'SRC_P' || cast(p.ck % 40 AS string) AS source_id, 'A' AS source_level, '补录' AS source_name,
           'https://patch.example/' || cast(p.ck % 40 AS string) AS source_url, '2024-06-01' AS access_date
         FROM (SELECT *, 0 AS dup FROM shipped UNION ALL SELECT *, 1 AS dup FROM shipped WHERE ck % 4 = 0) p
-          JOIN {customer} ON c_custkey = p.ck JOIN dim d ON d.ordinal = c_nationkey
-        WHERE p.ck % 5 <> 3""",
+          JOIN {customer} ON c_custkey = p.ck JOIN dim d ON d.ordinal = c_nationkey""",
     "results": """
         SELECT event_id AS ord, d.full_name AS entity, 'q' || cast(user_id % 37 AS string) AS query,
           CASE event_type WHEN 'view' THEN 'google' WHEN 'click' THEN 'tavily' WHEN 'signup' THEN 'bing'
