@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidencepanel.llm.common import id_and_text, stored, text_slices
+from evidencepanel.operators.groups import same_key
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -84,8 +85,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _grouped(prints: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row with its group's keeper and size; a hot group can be split over tasks."""
     groups = prints.groupBy(*keys).agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    return prints.join(groups, keys)
+    groups = groups.withColumnsRenamed({k: f"_{k}" for k in keys})
+    joined = prints.join(groups, same_key((prints[k], groups[f"_{k}"]) for k in keys))
+    return joined.drop(*[f"_{k}" for k in keys])
 
 
 def unequal_groups(docs: DataFrame, grouped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

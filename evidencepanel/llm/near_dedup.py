@@ -234,6 +234,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     key = ["n_shingles", "set_a", "set_b"]
     classes = stored(named.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     firsts = named.join(classes.where("copies > 1").withColumnRenamed("rep", "first"), key, "left")
+    repeated = not named.groupBy("doc_id").count().where("count > 1").isEmpty()
+    if repeated:
+        firsts = firsts.dropDuplicates(["doc_id"])
     reps = firsts.where("first IS NULL OR first = doc_id").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("buckets").alias("bucket"))
     members = stars(reps)
 
@@ -241,7 +244,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     # The list of numbers grows with the documents: it is dealt out, never sent whole.
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     texts = given.join(used.hint("merge"), "doc_id", "left_semi")
-    if not named.groupBy("doc_id").count().where("count > 1").isEmpty():
+    if repeated:
         texts = texts.dropDuplicates(["doc_id"])
     sets = stored(shingle_sets(texts, "doc_id", "text", width), "sets")
 

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidencepanel.llm.common import stored
+from evidencepanel.operators.groups import same_key
 from evidencepanel.plans.session import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -49,7 +50,8 @@ def record_kinds(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     )
     large = digests.where(F.col("payload_bytes") >= least)
     first = large.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    joined = digests.join(first, "payload_digest", "left")
+    first = first.withColumnRenamed("payload_digest", "_digest")
+    joined = digests.join(first, same_key([(digests["payload_digest"], first["_digest"])]), "left")
     again = (F.col("payload_bytes") >= least) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select(
         "page_id",
