@@ -712,8 +712,8 @@ def _(v: Views) -> DataFrame:
 
 
 def discovery_documents(v: Views) -> DataFrame:
-    """One document per 16 results, rendered as JSON."""
-    rows = v.results.withColumn("doc_no", F.floor(F.col("ord") / 16))
+    """One document per 128 results, rendered as JSON."""
+    rows = v.results.withColumn("doc_no", F.floor(F.col("ord") / 128))
     listed = F.col("engine").isin("google", "tavily")
     candidate = F.struct("url", F.lit("s").alias("sentence"), F.col("ord").alias("score"))
     records = rows.groupBy("doc_no", "entity").agg(
@@ -734,7 +734,7 @@ def discovery_documents(v: Views) -> DataFrame:
     return records.groupBy("doc_no").agg(F.to_json(F.map_from_entries(entries)).alias("value"))
 
 
-PLACED = """placed AS (SELECT *, cast(floor(ord / 16) AS bigint) AS doc, CASE WHEN engine IN ('google', 'tavily') THEN 'selected' ELSE 'candidate' END AS kind FROM results),
+PLACED = """placed AS (SELECT *, cast(floor(ord / 128) AS bigint) AS doc, CASE WHEN engine IN ('google', 'tavily') THEN 'selected' ELSE 'candidate' END AS kind FROM results),
     numbered AS (SELECT *, cast(row_number() OVER (PARTITION BY doc, entity, kind ORDER BY ord) - 1 AS int) AS pos FROM placed)"""
 
 
@@ -745,14 +745,10 @@ PLACED = """placed AS (SELECT *, cast(floor(ord / 16) AS bigint) AS doc, CASE WH
 )
 def _(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "discovery")
-    docs = discovery_documents(v)
-    docs.select("value").write.text(path)
-    # Files hold many documents here, one per line; read_discovery is for one per file.
-    back = v.spark.read.text(path).join(docs, "value")
-    urls = readers.discovery_urls(readers.parse_discovery(back))
-    return urls.select(
-        F.col("ord.doc").alias("doc"), "entity", "kind", F.col("ord._p").alias("pos"), "url"
-    )
+    discovery_documents(v).write.partitionBy("doc_no").text(path)  # one file per document
+    urls = readers.discovery_urls(readers.read_discovery(v.spark, path))
+    doc = F.regexp_extract(F.col("ord.doc"), "doc_no=([0-9]+)", 1).cast("bigint")
+    return urls.select(doc.alias("doc"), "entity", "kind", F.col("ord._p").alias("pos"), "url")
 
 
 @query(

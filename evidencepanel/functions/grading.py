@@ -119,6 +119,7 @@ def score_population_result(
 ) -> Column:
     own = explicit_name(entity, dim) if own is None else own
     text = F.concat(raw(title), F.lit(" "), raw(snippet))
+    # The points of the population rules.
     return total(
         [
             weight_when(text.contains(own) | text.contains(raw(entity)), 4),
@@ -180,6 +181,7 @@ def score_shortlist(
     def points(c: ColumnLike) -> Column:
         return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("int"), F.lit(0))
 
+    # The points for scope, name and bulletin.
     base = (
         points(score)
         + points(search_score)

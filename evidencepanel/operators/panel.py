@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from evidencepanel.functions.entity import PROVINCES, Dim, EntityDim, resolve_entity
 from evidencepanel.functions.text import has_text, is_blank, raw, strip, to_int, to_number
-from evidencepanel.operators.groups import ROW, need, pick_by, same_key
+from evidencepanel.operators.groups import ROW, key_hash, need, pick_by, same_key
 from evidencepanel.plans.session import written_once
 
 # CO2 factors per ton of fuel.
@@ -200,7 +200,7 @@ def upsert(
         F.lit(1).alias("_side"),
     )
     both = old.unionByName(fresh)
-    picked = both.groupBy("_e", "_y").agg(F.max_by(F.struct(*cols), F.struct("_side", order)).alias("_pick"))
+    picked = both.groupBy(key_hash(["_e", "_y"]), "_e", "_y").agg(F.max_by(F.struct(*cols), F.struct("_side", order)).alias("_pick"))
     return picked.orderBy("_e", "_y").select(*[F.col("_pick")[c].alias(c) for c in cols])
 
 

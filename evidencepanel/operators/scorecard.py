@@ -219,7 +219,8 @@ def evidence_records(
 ) -> DataFrame:
     """Valued rows as nested records: key, values, provenance and the whole row.
 
-    ``row_index`` counts from 2 over all rows, valued or not.
+    ``row_index`` counts from 2 over all rows, valued or not, where ``order`` numbers the
+    rows from 1 as ``read_panel`` does; else it is the order value plus one.
     """
     columns = [c for c in panel.columns if c != order]
     chosen = list(value_cols) or [c for c in columns if c not in (*keys, *PROVENANCE_COLUMNS)]

@@ -38,6 +38,11 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, name: str =
     )
 
 
+def missing_settings(spark: SparkSession) -> dict[str, str]:
+    """Settings the operators count on that the session has otherwise."""
+    return {k: v for k, v in SETTINGS.items() if str(spark.conf.get(k, "")).lower() != v.lower()}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: the session's checkpoint folder.
 
