@@ -6,7 +6,7 @@ the same for every document, until a filled one is met (optimal densification).
 of the signature name buckets.
 
 Candidates never are all pairs of a bucket.  Each member meets the head of its bucket (a
-star), and the exact overlap is kept.  Links found merge documents into components.
+star; see ``stars``), and the exact overlap is kept.  Links found merge documents into components.
 Where a bucket still holds several, only pairs meet that the overlaps with the head do
 not rule out (see ``open_pairs``).  Every candidate is confirmed on the full shingle sets.
 """
@@ -168,14 +168,19 @@ def components(links: DataFrame) -> DataFrame:
 def stars(reps: DataFrame) -> DataFrame:
     """``bucket, doc, n, head`` of the buckets with several members.
 
-    The head is the member whose buckets hold most documents in all, then the least: in
-    a group of copies that is the text that the others were made from, if it is there.
+    The degree of a document is the number of documents in all its buckets.  A bucket's
+    head is the document of highest degree, then least number, among its members and
+    those that share a bucket with them: in a group of copies that is the text that the
+    others were made from, if it is there, also for buckets that it is not in itself.
     """
     sizes = reps.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(reps.join(sizes, "bucket"), "members")
     degree = members.groupBy("doc").agg(F.sum("size").alias("degree"))
-    heads = members.join(degree, "doc").groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("doc")).alias("least"))).alias("top"))
-    return stored(members.join(heads, "bucket").select("bucket", "doc", "n", (-F.col("top.least")).alias("head")), "stars")
+    own = F.struct("degree", (-F.col("doc")).alias("least"))
+    top = members.join(degree, "doc").groupBy("bucket").agg(F.max(own).alias("top"))
+    hub = members.join(top, "bucket").groupBy("doc").agg(F.max("top").alias("hub"))
+    heads = members.join(hub, "doc").groupBy("bucket").agg(F.max("hub").alias("head"))
+    return stored(members.join(heads, "bucket").select("bucket", "doc", "n", (-F.col("head.least")).alias("head")), "stars")
 
 
 def _pairs(rows: DataFrame, keys: list[str], percent: int, more: str = "true") -> DataFrame:
@@ -190,7 +195,7 @@ def _pairs(rows: DataFrame, keys: list[str], percent: int, more: str = "true") -
 def open_pairs(members: DataFrame, facts: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket that may still link two components; no link of a bucket is missed.
 
-    Every member's overlap with the head is known.  Two members can share only what both
+    Every member's overlap with the head is known, be the head in the bucket or not.  Two members can share only what both
     share with the head, and shingles outside it.  So a pair that may be linked either
     has enough in common with the head on both sides, or shares a shingle that the head
     lacks, and then one among the first ``outside - needed + 1`` on both sides (prefix
@@ -248,7 +253,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
         texts = texts.dropDuplicates(["doc_id"])
     sets = stored(shingle_sets(texts, "doc_id", "text", width), "sets")
 
-    sizes = members.where("doc = head").selectExpr("doc AS a", "n AS n_a").distinct()
+    sizes = members.selectExpr("doc AS a", "n AS n_a").distinct()
     edges = members.where("doc <> head").selectExpr("head AS a", "doc AS b", "n AS n_b").distinct().join(sizes, "a")
     facts = stored(compared(edges, sets), "facts")
     links = linked(facts, percent)
