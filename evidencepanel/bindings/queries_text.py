@@ -35,7 +35,9 @@ def sentences(x: str, enders: str) -> str:
           parts[1] AS first_sentence, parts[-1] AS last_sentence FROM (SELECT doc_id, {sentences('text', '.!?;')} AS parts FROM documents) WHERE len(parts) > 0""",
 )
 def _(v: Views) -> DataFrame:
-    rows = v.table("documents").select("doc_id", text.split_sentences("text", ".!?;").alias("p"))
+    # The outer explode of one value keeps the filter above from running the split again.
+    parts = F.explode_outer(F.array(text.split_sentences("text", ".!?;")))
+    rows = v.table("documents").select("doc_id", parts.alias("p"))
     return rows.where(F.size("p") > 0).select(
         "doc_id",
         F.size("p").alias("n_sentences"),
@@ -393,8 +395,8 @@ AT = "instr(text, m)"
 )
 def _(v: Views) -> DataFrame:
     rows = v.table("documents").withColumn("p", F.when(F.col("doc_id") % 2 == 0, F.lit(T9)).otherwise(F.lit("of ([^ ]+) ")))
-    rows = rows.withColumn("_w", ex.extract_with_window("text", "p")).where(F.col("_w").isNotNull())
-    return rows.select("doc_id", "_w.value", "_w.evidence")
+    rows = rows.select("doc_id", F.explode_outer(F.array(ex.extract_with_window("text", "p"))).alias("_w"))
+    return rows.where(F.col("_w").isNotNull()).select("doc_id", "_w.value", "_w.evidence")
 
 
 NEAR = "[^。]*新能源汽车保有量(?:达到|达|为)? ?([0-9.]+) ?万?辆，?"

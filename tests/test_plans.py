@@ -42,6 +42,12 @@ def test_top_per_group_is_cut_below_the_shuffle(spark, builds):
     assert text.count("WindowGroupLimit") >= 4
 
 
+def test_costly_expressions_run_once(spark, builds):
+    for name, text in (("t1_split_sentences", "split("), ("t6_extract_candidates", "split("), ("w7_shortlist", "split("), ("t9_extract_with_window", "regexp_instr")):
+        shown = builds[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert shown.lower().count(text) == 1, name
+
+
 def test_columns_are_pruned_at_the_scan(spark, builds):
     text = plan(builds["a3_coverage_summary"](spark, SMALL))
     schemas = [line for line in text.splitlines() if "FileScan parquet" in line]
