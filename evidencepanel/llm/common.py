@@ -54,6 +54,19 @@ def text_slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> I
             at = end
 
 
+def batch_slices(batches: Iterator[pa.RecordBatch], text_col: str, most: int = 4 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of rows with at most ``most`` bytes of text (or one row)."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes.astype(np.int64))
+        at = 0
+        while at < len(ends):
+            before = int(ends[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def worker_cache(key: str, make):
     """A value that one Python worker makes once and keeps between its tasks."""
     kept = sys.__dict__.setdefault("_evidencepanel_llm", {})

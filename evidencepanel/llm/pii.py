@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidencepanel.llm.common import id_and_text, mix64, span_hashes, stored, text_slices, words_of
+from evidencepanel.llm.common import batch_slices, id_and_text, mix64, span_hashes, stored, text_slices, words_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -322,7 +322,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     wide = docs.join(mine, F.col(id_col).cast("long").eqNullSafe(F.col("_doc")), "left").select(*(F.col(f"`{n}`") for n in names), "_more")
 
     def run(batches):
-        for batch in batches:
+        for batch in batch_slices(batches, text_col):
             texts, extra = batch.column(text_col).to_pylist(), batch.column(len(names)).to_pylist()
             new = []
             for text, given in zip(texts, extra, strict=True):

@@ -17,7 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidencepanel.llm.common import SLICE_BYTES, span_hashes
+from evidencepanel.llm.common import SLICE_BYTES, batch_slices, span_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -257,7 +257,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, label_
     model = learn_quality(docs, labels, label_col, id_col, text_col, meta)
 
     def run(batches):
-        for batch in batches:
+        for batch in batch_slices(batches, text_col):
             texts = [t.encode() if t is not None else b"" for t in batch.column(text_col).to_pylist()]
             given = list(zip(*(batch.column(m).to_pylist() for m in meta), strict=True)) if meta else [()] * len(texts)
             scores = [model.scores([features(t, m)])[0] for t, m in zip(texts, given, strict=True)]
