@@ -4,7 +4,8 @@ The vocabulary is counted over all documents.  A small window network reads the
 words before and the two after a masked place; a two-level softmax (class, word in
 class) gives a proper distribution.  Training is data-parallel: in each round every
 partition trains numpy parameters on its share of the windows of *all* its documents,
-and the parameters are averaged in a tree.  A document's score is the sum of the
+and the parameters are averaged in a tree.  The rounds share out the places of every
+document, so that each place is a training target once.  A document's score is the sum of the
 conditional log-probabilities of all its words.
 """
 
@@ -31,10 +32,11 @@ VOCABULARY = 4096
 OFFSETS = (-2, -1, 1, 2)
 WIDTH, HIDDEN = 16, 32
 ROUNDS = 2
-EVERY = 16  # one window in so many is trained on, per document and round
+EVERY = ROUNDS  # one place in so many is trained on, per document and round; as many rounds take all
 BATCH = 2048
 FAN_IN = 16
 TOKENS_AT_ONCE = 1 << 17
+ROWS_AT_ONCE = 1 << 11  # rows of an output layer worked on together, to stay in cache
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -85,7 +87,7 @@ class WindowNetwork:
         self.class_bias = np.zeros(count, np.float32)
         self.words = normal(count, HIDDEN, self.span, scale=0.05)
         self.word_bias = np.zeros((count, self.span), np.float32)
-        self.unused = np.arange(count * self.span).reshape(count, self.span) >= size
+        self.word_bias[np.arange(count * self.span).reshape(count, self.span) >= size] = -1e9  # no such words
 
     def parameters(self) -> list[np.ndarray]:
         return [getattr(self, n) for n in self.NAMES]
@@ -98,23 +100,21 @@ class WindowNetwork:
         x = self.embedding[window].reshape(len(window), -1)
         return x, np.tanh(x @ self.inner + self.inner_bias)
 
-    def log_classes(self, hidden: np.ndarray) -> np.ndarray:
-        return log_softmax(hidden @ self.classes + self.class_bias)
-
-    def log_words(self, hidden: np.ndarray, group: int) -> np.ndarray:
-        out = hidden @ self.words[group] + self.word_bias[group]
-        out[:, self.unused[group]] = -1e9
-        return log_softmax(out)
-
     def log_probability(self, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Of the words at the places of a padded id array, each given its neighbours."""
         tables = [self.embedding @ self.inner[k * WIDTH : (k + 1) * WIDTH] for k in range(len(OFFSETS))]
-        total = self.inner_bias + sum(t[padded[places + o]] for t, o in zip(tables, OFFSETS, strict=True))
-        hidden = np.tanh(total)
         group, slot = np.divmod(padded[places].astype(np.int64), self.span)
-        out = self.log_classes(hidden)[np.arange(len(places)), group]
+        hidden = np.empty((len(places), HIDDEN), np.float32)
+        out = np.empty(len(places), np.float32)
+        for at in range(0, len(places), ROWS_AT_ONCE):
+            rows = slice(at, at + ROWS_AT_ONCE)
+            total = self.inner_bias + sum(t[padded[places[rows] + o]] for t, o in zip(tables, OFFSETS, strict=True))
+            hidden[rows] = np.tanh(total)
+            out[rows] = softmax_at(hidden[rows] @ self.classes + self.class_bias, group[rows])[0]
         for which, chosen in by_group(group):
-            out[chosen] += self.log_words(hidden[chosen], which)[np.arange(len(chosen)), slot[chosen]]
+            for at in range(0, len(chosen), ROWS_AT_ONCE):
+                some = chosen[at : at + ROWS_AT_ONCE]
+                out[some] += softmax_at(hidden[some] @ self.words[which] + self.word_bias[which], slot[some])[0]
         return out
 
     def train_batch(self, window: np.ndarray, target: np.ndarray, seen: list[np.ndarray], rate: float) -> float:
@@ -122,35 +122,44 @@ class WindowNetwork:
         n = len(target)
         x, hidden = self.hidden(window)
         group, slot = np.divmod(target.astype(np.int64), self.span)
-        log_class = self.log_classes(hidden)
-        total = float(log_class[np.arange(n), group].sum())
-        d_class = np.exp(log_class)
+        order = np.argsort(group, kind="stable")
+        x, hidden, group, slot = x[order], hidden[order], group[order], slot[order]
+        log_class, d_class = softmax_at(hidden @ self.classes + self.class_bias, group)
+        total = float(log_class.sum())
         d_class[np.arange(n), group] -= 1
         d_hidden = d_class @ self.classes.T
         d_words, d_word_bias = np.zeros_like(self.words), np.zeros_like(self.word_bias)
-        for which, chosen in by_group(group):
-            log_word = self.log_words(hidden[chosen], which)
-            total += float(log_word[np.arange(len(chosen)), slot[chosen]].sum())
-            d = np.exp(log_word)
-            d[np.arange(len(chosen)), slot[chosen]] -= 1
-            d_words[which] = hidden[chosen].T @ d
-            d_word_bias[which] = d.sum(axis=0)
-            d_hidden[chosen] += d @ self.words[which].T
+        cut = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
+        for a, b in zip(cut, [*cut[1:], n], strict=True):
+            which = group[a]
+            log_word, d = softmax_at(hidden[a:b] @ self.words[which] + self.word_bias[which], slot[a:b])
+            total += float(log_word.sum())
+            d[np.arange(b - a), slot[a:b]] -= 1
+            np.matmul(hidden[a:b].T, d, out=d_words[which])
+            d.sum(axis=0, out=d_word_bias[which])
+            d_hidden[a:b] += d @ self.words[which].T
         d_inner_out = d_hidden * (1 - hidden * hidden)
-        d_x = (d_inner_out @ self.inner.T).reshape(-1, WIDTH)
-        flat = window.ravel()
-        d_embedding = np.stack([np.bincount(flat, d_x[:, k], self.size + 1) for k in range(WIDTH)], axis=1).astype(np.float32)
+        d_x = d_inner_out @ self.inner.T
+        cells = (window[order].reshape(-1, 1).astype(np.int64) * WIDTH + np.arange(WIDTH)).ravel()
+        d_embedding = np.bincount(cells, d_x.ravel(), (self.size + 1) * WIDTH).astype(np.float32).reshape(-1, WIDTH)
         slopes = [d_embedding, x.T @ d_inner_out, d_inner_out.sum(axis=0), hidden.T @ d_class, d_class.sum(axis=0), d_words, d_word_bias]
         for value, slope, square in zip(self.parameters(), slopes, seen, strict=True):
-            slope /= n**0.5
+            slope *= n**-0.5
             square += slope * slope
-            value -= rate * slope / np.sqrt(square)
+            slope *= rate
+            slope /= np.sqrt(square)
+            value -= slope
         return total
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def softmax_at(x: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of one column of every row, and all probabilities, in place of ``x``."""
+    x -= x.max(axis=1, keepdims=True)
+    chosen = x[np.arange(len(x)), column]
+    np.exp(x, out=x)
+    total = x.sum(axis=1)
+    x /= total[:, None]
+    return chosen - np.log(total), x
 
 
 def by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -208,7 +217,10 @@ def averaged(parts: DataFrame) -> list[np.ndarray] | None:
 
 
 def train(ids: DataFrame, size: int, rounds: int = ROUNDS, every: int = EVERY, rate: float = 0.1) -> WindowNetwork:
-    """A network trained on one window in ``every`` of every document and round."""
+    """A network trained on one place in ``every`` of every document and round.
+
+    Rounds start at different places: ``every`` rounds take each place of each document,
+    however short, once."""
     network = WindowNetwork(size)
     for number in range(rounds):
         given = network.parameters()
@@ -231,7 +243,7 @@ def train(ids: DataFrame, size: int, rounds: int = ROUNDS, every: int = EVERY, r
             for batch in batches:
                 docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
                 padded, starts, sizes = padded_ids(texts, size)
-                first = [(hash_number(d) + number * 7) % every for d in docs]
+                first = [(hash_number(d) + number) % every for d in docs]
                 places = np.concatenate([np.arange(s + f, s + n, every) for s, f, n in zip(starts.tolist(), first, sizes.tolist(), strict=True)])
                 for at in range(0, len(places), TOKENS_AT_ONCE):
                     some = places[at : at + TOKENS_AT_ONCE]

@@ -381,3 +381,17 @@ def test_pseudo_likelihood_learns_both_sides(spark):
     got = pseudo_likelihood.pseudo_likelihood(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), rounds=2, every=1)
     mean = got.agg({"mean_log_likelihood": "avg"}).first()[0]
     assert mean > -1.2  # knowing only how often each word stands gives about -1.9
+
+
+def test_every_place_is_trained_on(spark, monkeypatch):
+    texts = ["p q r"] * 3 + ["one"] + [" ".join(f"w{i % 7}" for i in range(n)) for n in (2, 15, 16, 17, 100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    weights, mean = [], pseudo_likelihood.averaged
+
+    def averaged(parts):
+        weights.append(sum(r.weight for r in parts.collect()))
+        return mean(parts)
+
+    monkeypatch.setattr(pseudo_likelihood, "averaged", averaged)
+    assert pseudo_likelihood.pseudo_likelihood(docs).count() == len(texts)
+    assert sum(weights) == sum(len(t.split()) for t in texts)
