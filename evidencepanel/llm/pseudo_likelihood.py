@@ -1,6 +1,8 @@
 """Masked pseudo-likelihood: every word predicted from the words on both its sides.
 
-The vocabulary is counted over all documents.  A small window network reads the two
+All words are counted over all documents.  The commonest, a number that grows with the
+distinct words, have outputs of their own; every other word has its share of the counts
+of all others, joined to the documents in Spark.  A small window network reads the two
 words before and the two after a masked place; a two-level softmax (class, word in
 class) gives a proper distribution.  Training is data-parallel: in each round every
 partition trains numpy parameters on its share of the windows of *all* its documents,
@@ -12,6 +14,7 @@ conditional log-probabilities of all its words.
 from __future__ import annotations
 
 import io
+import math
 import sys
 from collections import Counter
 from collections.abc import Iterator
@@ -28,7 +31,8 @@ from evidencepanel.llm.pieces import text_groups
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-VOCABULARY = 4096
+VOCABULARY = 4096  # words with an output of their own, at least
+GROWTH = 4.0  # and so many times the square root of the distinct words
 OFFSETS = (-2, -1, 1, 2)
 WIDTH, HIDDEN = 16, 32
 ROUNDS = 2
@@ -51,19 +55,33 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def word_ids(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids``: 16-bit numbers of the words, 0 for words outside."""
+    """``doc_id, n_tokens, ids, outside``: 32-bit numbers of the words, 0 for words outside;
+    the words outside and how often each stands in the text."""
     names = [w.encode() for w in vocabulary]
 
     def run(batches):
-        number = {w: i for i, w in enumerate(names, 1)}.get
+        numbers = {w: i for i, w in enumerate(names, 1)}
         for ids, texts in text_slices(batches):
-            found = [np.array([number(w, 0) for w in t.lower().split()], "<u2") for t in texts]
+            found, words, times, ends = [], [], [], [0]
+            for t in texts:
+                split = t.lower().split()
+                found.append(np.array([numbers.get(w, 0) for w in split], "<u4"))
+                rare = Counter(w for w in split if w not in numbers)
+                words.extend(rare)
+                times.extend(rare.values())
+                ends.append(len(words))
+            pairs = pa.StructArray.from_arrays([pa.array([w.decode() for w in words], pa.string()), pa.array(times, pa.int64())], names=["word", "times"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(f) for f in found], pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())],
-                names=["doc_id", "n_tokens", "ids"],
+                [
+                    pa.array(ids, pa.int64()),
+                    pa.array([len(f) for f in found], pa.int64()),
+                    pa.array([f.tobytes() for f in found], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
+                ],
+                names=["doc_id", "n_tokens", "ids", "outside"],
             )
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids binary, outside array<struct<word:string,times:long>>")
 
 
 class WindowNetwork:
@@ -172,7 +190,7 @@ def by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def padded_ids(texts: list[bytes], beyond: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All ids with two marks between documents; where each document starts, and lengths."""
-    ids = [np.frombuffer(t, "<u2") for t in texts]
+    ids = [np.frombuffer(t, "<u4") for t in texts]
     sizes = np.array([len(i) for i in ids], np.int64)
     starts = np.cumsum(sizes + 2) - sizes
     out = np.full(int(sizes.sum()) + 2 * len(ids) + 2, beyond, np.int32)
@@ -269,23 +287,35 @@ def hash_number(x: int | None) -> int:
     return ((x or 0) * 0x9E3779B1 & 0xFFFFFFFF) >> 7
 
 
-def pseudo_likelihood(docs: DataFrame, vocabulary_size: int = VOCABULARY, rounds: int = ROUNDS, every: int = EVERY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def vocabulary_for(distinct: int) -> int:
+    """How many outputs a corpus of so many distinct words gets."""
+    return max(VOCABULARY, math.ceil(GROWTH * math.sqrt(distinct)))
+
+
+def pseudo_likelihood(
+    docs: DataFrame, vocabulary_size: int | None = None, rounds: int = ROUNDS, every: int = EVERY, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """``doc_id, n_tokens, log_likelihood, mean_log_likelihood, perplexity`` of every row.
 
     The ``vocabulary_size - 1`` commonest words (ties by the word) have an output of their
-    own.  All others share one, and each of them a like part of it, so that rare words
-    cost what they should.  Null and empty texts have no tokens, a sum of 0 and no mean.
-    Repeated rows are scored alike; a null number is carried through.  An empty table
-    gives no rows; other columns are ignored.
+    own; by default their number grows with the distinct words (``vocabulary_for``).  All
+    others share one, and each has the part of it that its count is of all their counts.
+    Null and empty texts have no tokens, a sum of 0 and no mean.  Repeated rows are scored
+    alike; a null number is carried through.  An empty table gives no rows; other columns
+    are ignored.
     """
-    if not 2 <= vocabulary_size <= 65535:
-        raise ValueError("word numbers are 16 bits wide: 2 to 65535 words")
     counts = stored(word_counts(docs, id_col, text_col), "words")
-    top = [r.word for r in counts.orderBy(F.desc("n"), "word").limit(vocabulary_size - 1).collect()]
-    outside = max(1, counts.count() - len(top))
-    ids = stored(word_ids(docs, top, id_col, text_col), "word-ids")
+    if vocabulary_size is None:
+        vocabulary_size = vocabulary_for(counts.count())
+    if vocabulary_size < 2:
+        raise ValueError("a vocabulary has 2 words at least")
+    rows = counts.orderBy(F.desc("n"), "word").limit(vocabulary_size - 1).collect()
+    top = [r.word for r in rows]
+    least = rows[-1] if rows else None
+    others = counts.where((F.col("n") < least.n) | ((F.col("n") == least.n) & (F.col("word") > least.word))) if rows else counts
+    outside = others.agg(F.sum("n")).first()[0] or 1
+    ids = stored(word_ids(docs, top, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "word-ids")
     network = train(ids, len(top) + 1, rounds, every)
-    share = float(np.log(outside))
 
     def run(batches):
         for batch in batches:
@@ -295,10 +325,16 @@ def pseudo_likelihood(docs: DataFrame, vocabulary_size: int = VOCABULARY, rounds
             value = np.zeros(len(padded))
             for at in range(0, len(inside), TOKENS_AT_ONCE):
                 some = inside[at : at + TOKENS_AT_ONCE]
-                value[some] = network.log_probability(padded, some) - share * (padded[some] == 0)
+                value[some] = network.log_probability(padded, some)
             sums = np.array([value[s : s + n].sum() for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)], np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(docs_in, pa.int64()), pa.array(sizes), pa.array(sums)], names=["doc_id", "n_tokens", "log_likelihood"])
-
-    scored = ids.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double")
+            yield pa.RecordBatch.from_arrays([pa.array(docs_in, pa.int64()), pa.array(sizes), pa.array(sums), batch.column(2)], names=["doc_id", "n_tokens", "log_likelihood", "row"])
+
+    scored = ids.select("doc_id", "ids", "row").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, row long")
+    # Rows of a text and of its outside words meet in one sum, by the row's own number.
+    rare = ids.select("row", F.explode("outside").alias("o")).select("row", "o.word", "o.times").join(others, "word")
+    shares = rare.select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_tokens"), (F.col("times") * F.log(F.col("n") / F.lit(outside))).alias("log_likelihood"), "row"
+    )
+    whole = scored.unionByName(shares).groupBy("row").agg(*(f(c).alias(c) for f, c in ((F.max, "doc_id"), (F.max, "n_tokens"), (F.sum, "log_likelihood"))))
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
-    return scored.select("doc_id", "n_tokens", "log_likelihood", mean.alias("mean_log_likelihood"), F.exp(-mean).alias("perplexity"))
+    return whole.select("doc_id", "n_tokens", "log_likelihood", mean.alias("mean_log_likelihood"), F.exp(-mean).alias("perplexity"))

@@ -395,3 +395,14 @@ def test_every_place_is_trained_on(spark, monkeypatch):
     monkeypatch.setattr(pseudo_likelihood, "averaged", averaged)
     assert pseudo_likelihood.pseudo_likelihood(docs).count() == len(texts)
     assert sum(weights) == sum(len(t.split()) for t in texts)
+
+
+def test_words_outside_the_vocabulary_have_their_share(spark):
+    words = [("the", 300), ("often", 60), ("some", 12), ("once", 1)]
+    texts = [w for w, n in words for _ in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pseudo_likelihood.pseudo_likelihood(docs, vocabulary_size=2).collect()
+    score = {texts[r.doc_id]: r.log_likelihood for r in rows}
+    assert len(rows) == len(texts) and abs(sum(np.exp(v) for v in score.values()) - 1) < 1e-4
+    assert abs(score["often"] - score["some"] - np.log(5)) < 1e-6 and abs(score["often"] - score["once"] - np.log(60)) < 1e-6
+    assert pseudo_likelihood.vocabulary_for(10**4) == 4096 < pseudo_likelihood.vocabulary_for(10**7) < pseudo_likelihood.vocabulary_for(10**9)
