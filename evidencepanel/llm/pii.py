@@ -2,10 +2,10 @@
 
 Seeds are spans of four fixed forms.  The words around them are patterns (two words
 before; one before and one after).  A pattern must be selective: of all places where its
-words occur in the corpus, at least ``SELECTIVE`` are followed by an identifier.  The
-occurrences are counted in two steps: each slice of text counts the contexts of its own
-seeds, which bounds the total from below and settles common word pairs; what is left is
-counted over all texts.  Patterns and the identifiers they stand beside form a graph;
+words occur in the corpus, at least ``SELECTIVE`` are followed by an identifier, seed or
+not.  Copies of a text count once on both sides.  The occurrences are counted in two
+steps: each slice of text counts the contexts of its own seeds, which bounds the total
+from below and settles common word pairs; what is left is counted over all texts.  Patterns and the identifiers they stand beside form a graph;
 Spark scores both in turn from the seeds.  Sure patterns name identifiers of no fixed form.
 """
 
@@ -154,13 +154,20 @@ class Contexts:
         return [int(h.view(np.int64)[0]) for h in out]
 
 
-def _count(known: np.ndarray, contexts: np.ndarray, totals: np.ndarray) -> None:
+def text_mark(raw: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+
+
+def _count(known: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the known contexts stand in a text, and how often."""
+    contexts = contexts_everywhere(raw)
     at = np.minimum(np.searchsorted(known, contexts), len(known) - 1)
-    totals += np.bincount(at[known[at] == contexts], minlength=len(known))
+    which, times = np.unique(at[known[at] == contexts], return_counts=True)
+    return known[which], times
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Base spans, identifier-like tokens with their contexts, and context counts by slice."""
+    """Base spans, identifier-like tokens with their contexts, and counts of the slice's contexts."""
 
     def run(batches):
         for ids, texts in text_slices(batches):
@@ -181,7 +188,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                             seen.update(around)
                 row = (
                     doc,
-                    int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True),
+                    text_mark(raw),
                     *(sum(k == kind for k, _, _ in base) for kind in KINDS),
                     hashlib.sha256(joined_spans(base).encode()).hexdigest(),
                     [{"kind": k, "start": a, "stop": b} for k, a, b in base],
@@ -192,10 +199,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                     column.append(value)
             if seen:
                 known = np.array(sorted(seen), np.int64)
-                totals = np.zeros(len(known), np.int64)
-                for raw in texts:
-                    _count(known, contexts_everywhere(raw), totals)
-                columns[9][0] = [{"context": c, "n": n} for c, n in zip(known.tolist(), totals.tolist(), strict=True)]
+                first = {mark: i for i, mark in reversed(list(enumerate(columns[1])))}
+                for i in first.values():
+                    which, times = _count(known, texts[i])
+                    columns[9][i] = [{"context": c, "n": n} for c, n in zip(which.tolist(), times.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, FOUND_TYPES, strict=True)], names=FOUND_NAMES)
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, FOUND)
@@ -212,24 +219,29 @@ FOUND_TYPES = [
 
 
 def occurrences(docs: DataFrame, contexts: DataFrame, text_col: str = "text") -> DataFrame:
-    """How often each of the contexts stands in all texts; counted in blocks of bounded size."""
+    """How often each of the contexts stands in all different texts; counted in blocks of bounded size."""
     spark = docs.sparkSession
-    out = spark.createDataFrame([], "context long, n long")
+    out = spark.createDataFrame([], "text_hash long, context long, n long")
     texts = id_and_text(docs.select(F.lit(0).alias("_id"), F.col(text_col).alias("_text")), "_id", "_text")
     blocks = contexts.select("context", (F.pmod("context", F.lit(max(1, -(-contexts.count() // (BLOCK // 2)))))).alias("block"))
     for number in sorted(r.block for r in blocks.select("block").distinct().collect()):
         known = np.array(sorted(r.context for r in blocks.where(F.col("block") == number).collect()), np.int64)
 
         def run(batches, known=known):
-            totals = np.zeros(len(known), np.int64)
             for _, part in text_slices(batches):
-                for raw in part:
-                    _count(known, contexts_everywhere(raw), totals)
-            some = totals > 0
-            yield pa.RecordBatch.from_arrays([pa.array(known[some]), pa.array(totals[some])], names=["context", "n"])
+                found = {text_mark(raw): raw for raw in part}
+                counted = [_count(known, raw) for raw in found.values()]
+                marks = np.repeat(np.array(list(found), np.int64), [len(which) for which, _ in counted])
+                which, times = (np.concatenate(c).astype(np.int64) for c in zip(*counted, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(marks), pa.array(which), pa.array(times)], names=["text_hash", "context", "n"])
+
+        out = out.unionByName(texts.mapInArrow(run, "text_hash long, context long, n long"))
+    return once_a_text(out)
+
 
-        out = out.unionByName(texts.mapInArrow(run, "context long, n long"))
-    return out.groupBy("context").agg(F.sum("n").alias("n"))
+def once_a_text(counts: DataFrame) -> DataFrame:
+    """``context, n`` from counts by text, those of copies taken once."""
+    return counts.groupBy("text_hash", "context").agg(F.max("n").alias("n")).groupBy("context").agg(F.sum("n").alias("n"))
 
 
 def learned_spans(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
@@ -237,18 +249,19 @@ def learned_spans(docs: DataFrame, found: DataFrame, text_col: str = "text") ->
     edges = found.select("doc_id", "text_hash", F.explode("candidates").alias("c")).select(
         "doc_id", "text_hash", "c.start", "c.stop", "c.kind", "c.value", F.explode("c.contexts").alias("context")
     )
-    # One fold per context and value first, so that copies and a hot context shrink before they meet.
-    values = edges.groupBy("context", "value").agg(F.max("kind").alias("kind"), F.count("*").alias("times"))
-    seeds = values.groupBy("context").agg(
-        F.count("kind").alias("seeds"), F.sum(F.when(F.col("kind").isNotNull(), F.col("times"))).alias("hits")
-    ).where(F.col("seeds") >= SUPPORT)
-    bound = found.select(F.explode("counts").alias("c")).groupBy(F.col("c.context").alias("context")).agg(F.sum("c.n").alias("n"))
-    able = stored(seeds.join(bound, "context").where(F.col("hits") >= SELECTIVE * F.col("n")).select("context", "hits"), "contexts")
+    # Copies of a text fold first, then each context and value, so that a hot context shrinks before they meet.
+    places = edges.select("text_hash", "start", "kind", "value", "context").distinct()
+    values = places.groupBy("context", "value").agg(F.max("kind").alias("kind"), F.count("*").alias("times"))
+    seeds = values.groupBy("context").agg(F.count("kind").alias("seeds"), F.sum("times").alias("hits")).where(F.col("seeds") >= SUPPORT)
+    bound = once_a_text(found.select("text_hash", F.explode("counts").alias("c")).select("text_hash", "c.context", "c.n"))
+    # Where no single word has the context (seeds of several words), its places are the hits.
+    selective = F.col("hits") >= SELECTIVE * F.coalesce("n", "hits")
+    able = stored(seeds.join(bound, "context", "left").where(selective).select("context", "hits"), "contexts")
     empty = docs.sparkSession.createDataFrame([], "doc_id long, text_hash long, kind string, start int, stop int")
     if able.isEmpty():
         return empty
     exact = occurrences(docs, able, text_col)
-    patterns = stored(able.join(exact, "context").where(F.col("hits") >= SELECTIVE * F.col("n")).select("context"), "patterns")
+    patterns = stored(able.join(exact, "context", "left").where(selective).select("context"), "patterns")
     if patterns.isEmpty():
         return empty
     graph = stored(values.join(patterns, "context"), "graph")

@@ -406,3 +406,29 @@ def test_words_outside_the_vocabulary_have_their_share(spark):
     assert len(rows) == len(texts) and abs(sum(np.exp(v) for v in score.values()) - 1) < 1e-4
     assert abs(score["often"] - score["some"] - np.log(5)) < 1e-6 and abs(score["often"] - score["once"] - np.log(60)) < 1e-6
     assert pseudo_likelihood.vocabulary_for(10**4) == 4096 < pseudo_likelihood.vocabulary_for(10**7) < pseudo_likelihood.vocabulary_for(10**9)
+
+
+def badge_texts(values):
+    random.seed(5)
+    words = "alpha beta gamma delta eps zeta eta theta iota kappa".split()
+    filler = lambda n: " ".join(random.choice(words) for _ in range(n))
+    return [f"{filler(20)} staff badge {v} issued {filler(9)}" for v in values]
+
+
+def check_badges(spark, texts, first):
+    got = pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        start = texts[r.doc_id].find("QX-")
+        assert r.doc_id < first or r.spans == f"email:{start}:{start + 8}"
+
+
+def test_contexts_with_more_unseen_than_seed_values(spark):
+    check_badges(spark, badge_texts([f"a{i}@b.example" for i in range(20)] + [f"QX-{90000 + i}" for i in range(30)]), 20)
+
+
+def test_a_mass_copied_text_does_not_remove_a_pattern(spark):
+    texts = badge_texts([f"a{i}@b.example" for i in range(20)] + ["QX-90000"])
+    plain = "alpha beta staff badge lost again"
+    check_badges(spark, texts[:20] + texts[20:] * 1000, 20)
+    check_badges(spark, texts[:20] + [plain] * 1000 + texts[20:], 1020)
