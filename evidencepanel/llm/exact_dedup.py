@@ -1,8 +1,7 @@
 """Exact duplicates by composable polynomial fingerprints.
 
-A text is cut into chunks.  All chunks are hashed at once (a matrix of 16-bit words
-times a vector of powers, modulo two primes), and chunk hashes combine to the hash of
-the whole: ``hash(a + b) = hash(a) * base ** words(b) + hash(b)``.  Texts whose
+A text is cut into chunks.  Each is hashed (16-bit words times a vector of powers,
+modulo two primes), one after another, and chunk hashes combine to the hash of the whole: ``hash(a + b) = hash(a) * base ** words(b) + hash(b)``.  Texts whose
 fingerprint and length agree are then compared chunk by chunk in a streaming
 aggregate; a group that holds different texts is split by their SHA-256.
 """
