@@ -432,3 +432,13 @@ def test_a_mass_copied_text_does_not_remove_a_pattern(spark):
     plain = "alpha beta staff badge lost again"
     check_badges(spark, texts[:20] + texts[20:] * 1000, 20)
     check_badges(spark, texts[:20] + [plain] * 1000 + texts[20:], 1020)
+
+
+def test_pieces_around_the_long_word_length():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = subwords.vocabulary_path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    random.seed(8)
+    texts = ["".join(random.choice("aetions中é1+/") for _ in range(n)) for n in range(pieces.LONG_WORD - 2, pieces.LONG_WORD + 3)]
+    for text, (ids, back) in zip(texts, pieces.encode_texts(pieces.PieceModel(path), [t.encode() for t in texts])):
+        assert ids.tolist() == [1, *library.encode(text), 2] and back.decode() == library.decode(ids.tolist()), len(text)
