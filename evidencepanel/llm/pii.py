@@ -5,8 +5,9 @@ before; one before and one after).  A pattern must be selective: of all places w
 words occur in the corpus, at least ``SELECTIVE`` are followed by an identifier, seed or
 not.  Copies of a text count once on both sides.  The occurrences are counted in two
 steps: each slice of text counts the contexts of its own seeds, which bounds the total
-from below and settles common word pairs; what is left is counted over all texts.  Patterns and the identifiers they stand beside form a graph;
-Spark scores both in turn from the seeds.  Sure patterns name identifiers of no fixed form.
+from below and settles common word pairs; what is left is counted over all texts.
+Patterns and the identifiers they stand beside form a graph; Spark scores both in turn
+from the seeds.  Sure patterns name identifiers of no fixed form.
 """
 
 from __future__ import annotations
