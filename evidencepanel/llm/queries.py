@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evidencepanel.llm.anchor_simhash import simhash_duplicates
+from evidencepanel.llm.centroids import cluster_digests
 from evidencepanel.llm.exact_dedup import exact_duplicates
 from evidencepanel.llm.near_dedup import near_duplicates
 from evidencepanel.llm.packing import packed_pieces
+from evidencepanel.llm.periodic_runs import run_digests
 from evidencepanel.llm.pieces import piece_digests
 from evidencepanel.llm.pii import personal_data
 from evidencepanel.llm.pseudo_likelihood import pseudo_likelihood
@@ -67,6 +70,43 @@ def op10_web_archive(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_anchor_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_duplicates(_table(spark, folder, "documents"), bits=3)
+
+
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster_digests(_table(spark, folder, "embeddings"), k=8, rounds=10, size=64)
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digests(_table(spark, folder, "documents"), plant=True)
+
+
+def _clusters_sql(k: int, rounds: int, size: int) -> str:
+    """The rounds of the clustering, one after another, over rows (vector, dimension, value)."""
+    parts = [
+        f"""WITH kept AS MATERIALIZED (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS n, embedding FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  x AS MATERIALIZED (SELECT n, d, floor(1024 * embedding[d]::DOUBLE)::BIGINT AS x FROM kept, range(1, {size + 1}) r(d)),
+  firsts AS (SELECT n, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM kept QUALIFY c < {k}),
+  c0 AS MATERIALIZED (SELECT c, d, x AS m FROM firsts JOIN x USING (n))"""
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"d{i} AS MATERIALIZED (SELECT n, c, sum((x - m) * (x - m)) AS s FROM x JOIN c{i} USING (d) GROUP BY n, c)")
+        parts.append(f"a{i} AS MATERIALIZED (SELECT n, min({{'s': s, 'c': c}}).c AS c FROM d{i} GROUP BY n)")
+        if i < rounds:
+            means = f"SELECT c, d, sum(x) AS t, count(*) AS k FROM a{i} JOIN x USING (n) GROUP BY c, d"
+            floor = "CASE WHEN k IS NULL THEN m ELSE ((t - ((t % k) + k) % k) / k)::BIGINT END"
+            parts.append(f"c{i + 1} AS MATERIALIZED (SELECT o.c, o.d, {floor} AS m FROM c{i} o LEFT JOIN ({means}) f ON o.c = f.c AND o.d = f.d)")
+    last = rounds
+    parts.append(f"l AS (SELECT n, a.c, s FROM a{last} a JOIN d{last} e USING (n, c))")
+    parts.append("t AS (SELECT c, sum(s) AS t FROM l GROUP BY c)")
+    parts.append(f"h AS (SELECT c, sha256(string_agg(m::VARCHAR, ',' ORDER BY d)) AS h FROM c{last} GROUP BY c)")
+    return ",\n  ".join(parts) + """
+SELECT vec_id, c::INT AS cluster, s::BIGINT AS distance, t::BIGINT AS cluster_inertia, (SELECT sum(s) FROM l)::BIGINT AS inertia, h AS centroid_sha256
+FROM l JOIN kept USING (n) JOIN t USING (c) JOIN h USING (c)"""
+
+
 QUERIES: dict[str, Build] = {
     f.__name__: f
     for f in (
@@ -80,10 +120,14 @@ QUERIES: dict[str, Build] = {
         op8_contextual_pii,
         op9_exact_dedup,
         op10_web_archive,
+        op11_anchor_simhash,
+        op12_centroid_clusters,
+        op13_periodic_runs,
     )
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op12_centroid_clusters": _clusters_sql(8, 10, 64),
     "op6_exact_top_k": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
