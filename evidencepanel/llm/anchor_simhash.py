@@ -151,7 +151,9 @@ def dealt(classes: DataFrame) -> DataFrame:
                 row, anchor, excess = anchors_of(own.view(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(own[row]), pa.array(excess <= NEAR)], names=["anchor", "fingerprint", "near"])
 
-    return classes.select("fingerprint").mapInArrow(run, "anchor long, fingerprint long, near boolean")
+    # A fingerprint becomes about 120 rows: few input rows a task.
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return classes.select("fingerprint").repartition(tasks, "fingerprint").mapInArrow(run, "anchor long, fingerprint long, near boolean")
 
 
 # --------------------------------------------------------------------- comparing
