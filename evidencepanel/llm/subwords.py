@@ -1,12 +1,14 @@
 """Token ids of whole texts, each distinct word encoded once per batch.
 
 Texts are cut before single spaces, where no token can cross; equal words are found by
-a vectorised hash, only the distinct ones are encoded, and ids are spread back.
+their bytes, only the distinct ones are encoded, and ids are spread back.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import re
 import sys
 from collections.abc import Callable
 from itertools import chain
@@ -15,12 +17,15 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 
-from evidencepanel.llm.common import SLICE_BYTES, span_hashes, worker_cache
+from evidencepanel.llm.common import SLICE_BYTES, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 END_ID = 1
-CACHED_WORDS = 800_000
+#: What the words a worker remembers may take, their ids included.
+CACHE_BYTES = 64 << 20
+#: About what a remembered word takes besides its bytes and ids.
+WORD_OVERHEAD = 150
 
 
 def vocabulary_path(name: str) -> str:
@@ -57,7 +62,8 @@ class DistinctWords:
 
     def __init__(self, texts: list[bytes], any_space: bool = False) -> None:
         """``any_space``: only a space, not other white space, keeps a space from being a cut."""
-        hashes, counts, self._where = [], [], []
+        known: dict[bytes, int] = {}
+        inverse, counts = [], []
         at = 0
         while at < len(texts):
             end, total = at, 0
@@ -75,26 +81,16 @@ class DistinctWords:
             cut[-1] = False
             starts = np.flatnonzero(cut)
             ends = np.append(starts[1:], len(joined)) if len(starts) else starts
-            hashes.append(span_hashes(joined, starts, ends))
+            words = np.empty(len(starts), object)
+            words[:] = [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            codes, distinct = pd.factorize(words)
+            numbers = np.array([known.setdefault(w, len(known)) for w in distinct], np.int64)
+            inverse.append(numbers[codes] if len(codes) else codes)
             counts.append(np.diff(np.searchsorted(starts, bounds)))
-            self._where.append((joined, starts, ends))
             at = end
         self.counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-        flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        self.inverse, self.hashes = pd.factorize(flat)
-        self._first = np.zeros(len(self.hashes), np.int64)
-        self._first[self.inverse[::-1]] = np.arange(len(flat) - 1, -1, -1)
-        self._edges = np.concatenate([[0], np.cumsum([len(h) for h in hashes])]).astype(np.int64)
-
-    def words(self, wanted: np.ndarray) -> list[bytes]:
-        """The bytes of the wanted distinct words (increasing places)."""
-        out = []
-        first = self._first[wanted]
-        cut = np.searchsorted(first, self._edges)
-        for k, (joined, starts, ends) in enumerate(self._where):
-            local = first[cut[k] : cut[k + 1]] - self._edges[k]
-            out += [joined[a:b] for a, b in zip(starts[local].tolist(), ends[local].tolist(), strict=True)]
-        return out
+        self.inverse = np.concatenate(inverse) if inverse else np.zeros(0, np.int64)
+        self.distinct = list(known)
 
     def per_text(self, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
         """For every text, the values of its words (ranges of ``flat``) one after another."""
@@ -107,51 +103,68 @@ class DistinctWords:
 
 
 class WordCache:
-    """Values of words already encoded by this worker, found by hash; starts anew when full."""
+    """Values of words already encoded by this worker, found by their bytes; starts anew
+    when it takes more memory than allowed."""
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], kind: type, size: int = CACHED_WORDS) -> None:
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], kind: type, size: int = CACHE_BYTES) -> None:
         self.encode, self.kind, self.size = encode, kind, size
         self._clear()
 
     def _clear(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)
-        self.starts = self.lengths = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, self.kind)
+        self.place: dict[bytes, int] = {}
+        self.starts, self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.kind)
+        self.used = self.taken = 0
+
+    def _append(self, values: np.ndarray, count: np.ndarray) -> None:
+        need = self.used + len(values)
+        if need > len(self.flat):
+            grown = np.zeros(max(need, 3 * len(self.flat) // 2), self.kind)
+            grown[: self.used] = self.flat[: self.used]
+            self.flat = grown
+        self.flat[self.used : need] = values
+        self.starts = np.concatenate([self.starts, np.cumsum(count) - count + self.used])
+        self.lengths = np.concatenate([self.lengths, count])
+        self.used = need
 
     def values(self, found: DistinctWords) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``flat, starts, lengths`` of the distinct words of a batch."""
-        if len(self.hashes) + len(found.hashes) > self.size:
+        if self.taken > self.size:
             self._clear()
-        at = np.searchsorted(self.hashes, found.hashes)
-        known = np.zeros(len(found.hashes), bool)
-        inside = at < len(self.hashes)
-        known[inside] = self.hashes[at[inside]] == found.hashes[inside]
-        new = np.flatnonzero(~known)
+        known = self.place.get
+        at = np.fromiter((known(w, -1) for w in found.distinct), np.int64, len(found.distinct))
+        new = np.flatnonzero(at < 0)
         if len(new):
-            values, count = self.encode(found.words(new))
-            starts = np.cumsum(count) - count + len(self.flat)
-            self.flat = np.concatenate([self.flat, values.astype(self.kind, copy=False)])
-            hashes = np.concatenate([self.hashes, found.hashes[new]])
-            order = np.argsort(hashes, kind="stable")
-            self.hashes = hashes[order]
-            self.starts, self.lengths = np.concatenate([self.starts, starts])[order], np.concatenate([self.lengths, count])[order]
-            at = np.searchsorted(self.hashes, found.hashes)
+            words = [found.distinct[i] for i in new.tolist()]
+            values, count = self.encode(words)
+            at[new] = np.arange(len(self.place), len(self.place) + len(new))
+            self.place.update(zip(words, at[new].tolist(), strict=True))
+            self._append(values.astype(self.kind, copy=False), count)
+            self.taken += sum(map(len, words)) + WORD_OVERHEAD * len(words) + values.nbytes
         return self.flat, self.starts[at], self.lengths[at]
 
 
 class ByteLevelTokenizer:
-    """Ids of a byte-level BPE vocabulary, special strings taken as ordinary text.
+    """Ids of a byte-level BPE vocabulary file.
 
     The rank file holds the vocabulary of the JSON file of the same stem; both give the
-    same ids, which a test confirms.
+    same ids, which a test confirms.  Strings that the JSON file adds as tokens of their
+    own are found first, longest first, and keep their ids.
     """
 
     def __init__(self, path: str) -> None:
         import public_tokenizers
         import tiktoken
 
-        with open(path.removesuffix(".json").removesuffix(".tiktoken") + ".tiktoken", "rb") as file:
+        stem = path.removesuffix(".json").removesuffix(".tiktoken")
+        with open(stem + ".tiktoken", "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+        with open(stem + ".json", encoding="utf-8") as file:
+            added = json.load(file)["added_tokens"]
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
+            raise ValueError("added tokens that take in their surroundings are not supported")
+        self.added = {t["content"].encode(): t["id"] for t in added}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")") if longest else None
         self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
         self.cache = WordCache(self._encode_words, np.uint32)
@@ -162,10 +175,21 @@ class ByteLevelTokenizer:
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+    def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
         found = DistinctWords(texts)
         return found.per_text(*self.cache.values(found))
 
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        if self.cut is None or not any(self.cut.search(t) for t in texts):
+            return self._plain(texts)
+        parts = [self.cut.split(t) for t in texts]
+        plain = iter(self._plain([p for t in parts for p in t[::2]]))
+        out = []
+        for t in parts:
+            ids = [next(plain) if k % 2 == 0 else np.array([self.added[p]], np.uint32) for k, p in enumerate(t)]
+            out.append(np.concatenate(ids))
+        return out
+
 
 def byte_level(path: str) -> ByteLevelTokenizer:
     return worker_cache(f"byte_level {path}", lambda: ByteLevelTokenizer(path))
