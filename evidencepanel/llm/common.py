@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as make it unlike any column's."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The number and the text (null as empty, UTF-8 bytes) of every document."""
     return docs.select(
@@ -104,7 +113,11 @@ class _Powers:
 
 
 def span_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range: equal bytes give equal hashes wherever they stand."""
+    """A 64-bit hash of each byte range: equal bytes give equal hashes wherever they stand.
+
+    For features, where a chance meeting of two words does no harm: made-up words can be
+    given equal hashes.  What must tell words apart uses ``word_hashes`` or the bytes.
+    """
     up, down = worker_cache("powers", _Powers).upto(len(data) + 1)
     with np.errstate(over="ignore"):
         prefix = np.zeros(len(data) + 1, np.uint64)
@@ -112,6 +125,24 @@ def span_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
         return mix64((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64) * BASE)
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash (XXH3) of each word."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def run_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every run of ``width`` word hashes, scrambled word by word; fewer words are one run."""
+    if not len(words):
+        return words
+    width = min(width, len(words))
+    n = len(words) - width + 1
+    out = np.full(n, width, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(width):
+            out = mix64(out * BASE + words[i : i + n])
+    return out
+
+
 def words_of(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
     """The words between ASCII white space, A-Z lowered, joined by one space; their ranges."""
     joined = b" ".join(text.lower().split())

@@ -14,10 +14,10 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidencepanel.llm.common import id_and_text, stored, text_slices
+from evidencepanel.llm.common import fresh, id_and_text, stored, text_slices
 from evidencepanel.operators.groups import same_key
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -91,6 +91,11 @@ def _grouped(prints: DataFrame, keys: list[str]) -> DataFrame:
     return joined.drop(*[f"_{k}" for k in keys])
 
 
+def lowered(text_col: str) -> Column:
+    """The text with A-Z lowered; null counts as empty."""
+    return F.translate(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def unequal_groups(docs: DataFrame, grouped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint groups whose texts differ in some chunk.
 
@@ -98,9 +103,8 @@ def unequal_groups(docs: DataFrame, grouped: DataFrame, id_col: str = "doc_id",
     the two agree exactly if all copies of that chunk do.  Copies fold before the
     shuffle, so a group of any size is compared without meeting in one task.
     """
-    low = F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     suspects = grouped.where("group_size > 1").select("doc_id", "fingerprint", "n_bytes").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), low.cast("binary").alias("low"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), lowered(text_col).cast("binary").alias("low"))
     pieces = texts.join(suspects, "doc_id").select(
         "fingerprint",
         "n_bytes",
@@ -138,15 +142,22 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, all columns as given; repeated rows of one number fold to one.
+    """The documents that stay, all columns as given.
 
-    A null number cannot be told apart from another; such rows stay.
+    A row stays if its number is the largest of its equal texts; rows of one number and
+    equal texts fold to one.  Two texts under one number are two documents.  Null and empty
+    texts are equal to each other.  A null number cannot be told apart from another; such
+    rows stay.  An empty table gives no rows; other columns, whatever their names, pass
+    through, and of folded rows any one's are kept.
     """
     found = stored(exact_duplicates(docs, id_col, text_col), "kept")
-    kept = found.where("kept AND doc_id IS NOT NULL")
-    repeated = kept.groupBy("doc_id").count().where("count > 1")
-    ids = kept.select(F.col("doc_id").alias("_kept"))
-    one = docs.join(ids, F.col(id_col).cast("long") == F.col("_kept"), "left_semi")
-    if not repeated.isEmpty():
-        one = one.dropDuplicates([id_col])
-    return one.unionByName(docs.where(F.col(id_col).isNull()))
+    number, digest = fresh(docs, "_kept"), fresh(docs, "_digest")
+    kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(number), F.col("text_sha256").alias(digest))
+    given = F.col(f"`{id_col}`")
+    if found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        one = docs.join(kept.select(number), given.cast("long") == F.col(number), "left_semi")
+    else:
+        mine = docs.withColumn(digest, F.sha2(lowered(text_col).cast("binary"), 256))
+        same = [given.cast("long") == F.col(number), mine[digest] == F.col(f"k.{digest}")]
+        one = mine.join(kept.distinct().alias("k"), same, "left_semi").dropDuplicates([id_col, digest]).drop(digest)
+    return one.unionByName(docs.where(given.isNull()))

@@ -6,9 +6,11 @@ the same for every document, until a filled one is met (optimal densification).
 of the signature name buckets.
 
 Candidates never are all pairs of a bucket.  Each member meets the head of its bucket (a
-star; see ``stars``), and the exact overlap is kept.  Links found merge documents into components.
-Where a bucket still holds several, only pairs meet that the overlaps with the head do
-not rule out (see ``open_pairs``).  Every candidate is confirmed on the full shingle sets.
+star; see ``stars``), and the exact overlap is kept.  Links found merge documents into
+components.  Where a bucket still holds several, members meet a few pivots more and found
+components merge.  What the differences from the head do not rule out then (see
+``open_members``) is compared in tiles, which give one edge per member, not the pairs (see
+``tile_links``).  Every link is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -18,16 +20,23 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidencepanel.llm.common import id_and_text, mix64, span_hashes, stored, text_slices, words_of
+from evidencepanel.llm.common import fresh, id_and_text, mix64, run_hashes, stored, text_slices, word_hashes
+from evidencepanel.operators.groups import same_key, top_per_group
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHINGLE_WORDS = 5
 BINS = 192
 MISS = 1e-6
+#: Members that all others under a head are compared with, and how often they are drawn.
+PIVOTS = 8
+PIVOT_ROUNDS = 1
+#: Members, and shingles in which they differ from their head, on one side of a tile.
+TILE = 256
+TILE_SHINGLES = 1 << 20
 
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, buckets array<long>"
 
@@ -45,11 +54,7 @@ def banding(percent: int, bins: int = BINS, miss: float = MISS) -> tuple[int, in
 
 def shingle_set(text: bytes, width: int = SHINGLE_WORDS) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``width`` words; a shorter text is one run."""
-    joined, starts, ends = words_of(text)
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    n = max(1, len(starts) - width + 1)
-    return np.unique(span_hashes(joined, starts[:n], ends[len(ends) - n :]))
+    return np.unique(run_hashes(word_hashes(text.lower().split()), width))
 
 
 def donor(bins: int, attempt: int) -> np.ndarray:
@@ -183,44 +188,144 @@ def stars(reps: DataFrame) -> DataFrame:
     return stored(members.join(heads, "bucket").select("bucket", "doc", "n", (-F.col("head.least")).alias("head")), "stars")
 
 
-def _pairs(rows: DataFrame, keys: list[str], percent: int, more: str = "true") -> DataFrame:
-    """Pairs of rows of different components under equal keys whose sizes allow a link."""
-    left = rows.select(*keys, F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("c_a"), F.col("common").alias("i_a"))
-    right = rows.select(*keys, F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("c_b"), F.col("common").alias("i_b"))
-    able = F.expr(f"a < b AND c_a <> c_b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) AND {more}")
-    same = [left[k] == right[k] for k in keys]
-    return left.join(right, [*same, able]).select("a", "b", "n_a", "n_b").distinct()
-
+def families(members: DataFrame, facts: DataFrame, labels: DataFrame) -> DataFrame:
+    """``head, doc, n, n_h, common`` of the members of buckets with several components,
+    the head left out; ``common`` is what head and member share."""
+    known = labels.select(F.col("doc_id").alias("doc"), F.col("component_id").alias("comp"))
+    labelled = members.join(known, "doc", "left").select("bucket", "head", "doc", "n", F.coalesce("comp", "doc").alias("comp"))
+    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
+    # A head may stand for buckets that it is not in: its component counts as one of theirs.
+    rows = labelled.join(mixed, "bucket").where("doc <> head").select("head", "doc", "n").distinct()
+    shared = facts.select(F.col("a").alias("head"), F.col("b").alias("doc"), F.col("n_a").alias("n_h"), "common")
+    return stored(rows.join(shared, ["head", "doc"]), "families")
 
-def open_pairs(members: DataFrame, facts: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that may still link two components; no link of a bucket is missed.
 
-    Every member's overlap with the head is known, be the head in the bucket or not.  Two members can share only what both
-    share with the head, and shingles outside it.  So a pair that may be linked either
-    has enough in common with the head on both sides, or shares a shingle that the head
-    lacks, and then one among the first ``outside - needed + 1`` on both sides (prefix
-    filter), where ``needed`` shingles outside the head are the least that a link takes.
-    """
+def with_components(family: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of heads under which several components are left, with their components."""
     known = labels.select(F.col("doc_id").alias("doc"), F.col("component_id").alias("comp"))
-    labelled = members.join(known, "doc", "left").select("bucket", "head", "doc", "n", F.coalesce("comp", "doc").alias("comp"))
-    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("n").alias("least_n")).where("x <> y")
-    shared = facts.select(F.col("a").alias("head"), F.col("b").alias("doc"), "common")
-    rows = stored(
-        labelled.join(mixed.select("bucket", "least_n"), "bucket")
-        .join(shared, ["head", "doc"], "left")
-        .select("bucket", "head", "doc", "n", "comp", "least_n", F.coalesce("common", "n").alias("common")),
-        "open",
-    )
-    whole = 100 + percent
-    near = rows.where(f"{whole} * common >= {percent} * (n + greatest(least_n, n * {percent} / 100))")
-    inside = _pairs(near, ["bucket"], percent, f"{whole} * least(i_a, i_b) >= {percent} * (n_a + n_b)")
-
-    edges = rows.where("doc <> head").select(F.col("head").alias("a"), F.col("doc").alias("b"), "n", "comp", "common").distinct()
-    needed = F.greatest(F.ceil(F.col("n") * percent / 100) - F.col("common"), F.lit(1))
-    outside = _with_sets(edges, sets).select("a", "b", "n", "comp", "common", F.array_sort(F.array_except("s_b", "s_a")).alias("outside"), needed.cast("int").alias("needed"))
-    first = F.slice("outside", F.lit(1), F.greatest(F.size("outside") - F.col("needed") + 1, F.lit(0)))
-    spread = outside.select(F.col("a").alias("head"), F.col("b").alias("doc"), "n", "comp", "common", F.explode(first).alias("shingle"))
-    return inside.unionByName(_pairs(spread, ["head", "shingle"], percent)).distinct()
+    tops = known.select(F.col("doc").alias("head"), F.col("comp").alias("comp_h"))
+    rows = family.join(known, "doc", "left").join(tops, "head", "left")
+    rows = rows.select("head", "doc", "n", "n_h", "common", F.coalesce("comp", "doc").alias("comp"), F.coalesce("comp_h", "head").alias("comp_h"))
+    several = rows.groupBy("head").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("head")
+    return rows.join(several, "head")
+
+
+def pivot_pairs(rows: DataFrame, percent: int, turn: int, pivots: int = PIVOTS) -> DataFrame:
+    """Every row with a few pivots of its head: members outside the head's component, drawn
+    by a hash.  Linear in the rows, however many stand under one head."""
+    outside = rows.where("comp <> comp_h").select("head", F.col("doc").alias("pivot"), F.col("n").alias("n_p"), F.col("comp").alias("comp_p"))
+    drawn = top_per_group(outside, ["head"], [F.xxhash64(F.col("pivot"), F.lit(turn)), F.col("pivot")], pivots)
+    able = F.expr(f"comp <> comp_p AND 100 * least(n, n_p) >= {percent} * greatest(n, n_p)")
+    met = rows.join(drawn, "head").where(able)
+    return met.selectExpr("least(doc, pivot) AS a", "greatest(doc, pivot) AS b", "IF(doc < pivot, n, n_p) AS n_a", "IF(doc < pivot, n_p, n) AS n_b").distinct()
+
+
+def open_members(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``head, doc, n, comp, apart`` of the members that may still be linked to one of
+    another component; ``apart`` are the shingles that only one of member and head holds.
+    No link under a head is missed.
+
+    Let ``d`` of a member be the shingles that only one of it and the head holds, and ``c``
+    be ``(100 - percent) / (100 + percent)``.  Two texts are linked exactly if at most
+    ``c * (n_a + n_b)`` shingles are in only one of them, and those are the ones in only one
+    of ``d_a`` and ``d_b``.  If ``|d_a| + |d_b|`` is no more than that, both are linked to the
+    head, so of one component.  So an open pair shares ``(|d_a| + |d_b| - c (n_a + n_b)) / 2``
+    shingles of ``d`` or more, and (prefix filter) one among the rarest
+    ``|d| - shared + 1`` of each.  At most one of the two is linked to the head, which
+    bounds ``shared`` from below for either alone:
+
+    * partner not linked: ``|d_b| > c (n_h + n_b)``, prefix ``(|d_a| + c (n_a - n_h)) / 2 + 1``;
+    * partner linked: ``|d_b| >= |d_a| - c (n_a + n_b)``, prefix ``(100 - percent) / percent * n_a + 1``.
+
+    Rare first: what many members lack or add comes last, and seldom into a prefix.
+    """
+    whole, rest = 100 + percent, 100 - percent
+    own = sets.select(F.col("doc_id").alias("doc"), F.col("shingles").alias("s_d"))
+    top = sets.select(F.col("doc_id").alias("head"), F.col("shingles").alias("s_h"))
+    both = rows.join(own, "doc").join(top, "head")
+    apart = F.concat(F.array_except("s_d", "s_h"), F.array_except("s_h", "s_d"))
+    size = "n + n_h - 2 * common"
+    to_open = f"({whole} * ({size}) + {rest} * (n - n_h)) div {2 * whole} + 1"
+    to_linked = f"({rest} * n) div {percent} + 1"
+    unlinked = f"100 * common < {percent} * (n + n_h - common)"
+    prefix = F.expr(f"IF({unlinked}, greatest({to_open}, {to_linked}), {to_open})")
+    wide = stored(both.select("head", "doc", "n", "comp", prefix.alias("prefix"), apart.alias("apart")), "apart")
+    spread = wide.select("head", "doc", "comp", "prefix", F.explode("apart").alias("shingle"))
+    often = spread.groupBy("head", "shingle").agg(F.count("*").alias("often"))
+    order = Window.partitionBy("head", "doc").orderBy("often", "shingle")
+    first = spread.join(often, ["head", "shingle"]).withColumn("place", F.row_number().over(order)).where("place <= prefix AND often > 1")
+    first = stored(first.select("head", "doc", "comp", "shingle"), "first")
+    shared = first.groupBy("head", "shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("head", "shingle")
+    still = first.join(shared, ["head", "shingle"]).select("head", "doc").distinct()
+    return wide.drop("prefix").join(still, ["head", "doc"])
+
+
+def tile_edges(docs: np.ndarray, sizes: np.ndarray, apart: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of each member of a tile to the least one that it is tied to there."""
+    lengths = np.array([len(x) for x in apart], np.int64)
+    owner = np.repeat(np.arange(len(docs)), lengths)
+    _, code, times = np.unique(np.concatenate(apart), return_inverse=True, return_counts=True)
+    several = times[code] > 1  # what one member alone holds is common to no pair
+    column = (np.cumsum(times > 1) - 1)[code[several]]
+    owner = owner[several]
+    common = np.zeros((len(docs), len(docs)), np.int64)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, [at, at + 4096])
+        held = np.zeros((len(docs), 4096), np.float32)
+        held[owner[a:b], column[a:b] - at] = 1
+        common += np.rint(held @ held.T).astype(np.int64)
+    unlike = lengths[:, None] + lengths[None, :] - 2 * common
+    both = sizes[:, None] + sizes[None, :]
+    near = (100 + percent) * unlike <= (100 - percent) * both
+    label = np.arange(len(docs))
+    while True:
+        after = np.where(near, label[None, :], len(docs)).min(1)
+        after = np.minimum(after, label)
+        after = after[after]
+        if np.array_equal(after, label):
+            break
+        label = after
+    some = label != np.arange(len(docs))
+    return docs[some], docs[label[some]]
+
+
+def tile_links(members: DataFrame, percent: int) -> DataFrame:
+    """Edges ``a, b`` that tie all linked members of each head.
+
+    The members of a head are dealt into parts by hash, so that a part holds a few hundred;
+    every two parts make a tile, compared by itself.  A head with any number of members
+    is compared whole, by many tasks, and no pair leaves a tile.
+    """
+    rows = stored(members, "open")
+    sizes = rows.groupBy("head").agg(F.greatest(F.count("*") / TILE, F.sum(F.size("apart")) / TILE_SHINGLES).alias("load"))
+    parts = sizes.select(F.col("head").alias("top"), F.ceil("load").cast("int").alias("parts"))
+    placed = rows.join(parts, same_key([(rows["head"], parts["top"])])).withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+    spread = placed.select("head", "part", "doc", "n", "apart", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o"))
+    keys = ["head", "one", "other"]
+    tiles = spread.selectExpr("head", "least(part, o) AS one", "greatest(part, o) AS other", "doc", "n", "apart")
+
+    def run(batches):
+        own: list[tuple] = []
+        at = None
+
+        def edges():
+            docs, sizes, apart = zip(*sorted(own, key=lambda r: r[0]), strict=True)
+            found = tile_edges(np.array(docs, np.int64), np.array(sizes, np.int64), list(apart), percent)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b"])
+
+        for batch in batches:
+            for head, one, other, doc, n, apart in zip(*(c if i == 5 else c.to_pylist() for i, c in enumerate(batch.columns)), strict=True):
+                if (head, one, other) != at:
+                    if len(own) > 1:
+                        yield edges()
+                    own, at = [], (head, one, other)
+                own.append((doc, n, apart.values.to_numpy()))
+        if len(own) > 1:
+            yield edges()
+
+    return tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS, bins: int = BINS) -> DataFrame:
@@ -230,18 +335,17 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     distinct runs of ``width`` words, or its whole sequence if shorter.  Documents are
     linked when ``100 * common >= percent * union`` on the full sets;
     ``component_id`` is the least number reachable.  A document without words (null
-    text too) has an empty set and links with nothing.  Repeated rows of one number give
-    repeated equal rows.  A null number links with nothing, its component is null and it
-    is kept.  An empty table gives no rows.
+    text too) has an empty set and links with nothing.  Rows that repeat a number are each
+    placed by their own text; equal rows give equal rows.  A null number links with
+    nothing, its component is null and it is kept.  An empty table gives no rows.
     """
     found = stored(minhash(docs, percent, id_col, text_col, width, bins), "signatures")
+    if not found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return _of_rows(docs, percent, id_col, text_col, width, bins)
     named = found.where("doc_id IS NOT NULL AND n_shingles > 0")
     key = ["n_shingles", "set_a", "set_b"]
     classes = stored(named.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     firsts = named.join(classes.where("copies > 1").withColumnRenamed("rep", "first"), key, "left")
-    repeated = not named.groupBy("doc_id").count().where("count > 1").isEmpty()
-    if repeated:
-        firsts = firsts.dropDuplicates(["doc_id"])
     reps = firsts.where("first IS NULL OR first = doc_id").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("buckets").alias("bucket"))
     members = stars(reps)
 
@@ -249,8 +353,6 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     # The list of numbers grows with the documents: it is dealt out, never sent whole.
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     texts = given.join(used.hint("merge"), "doc_id", "left_semi")
-    if repeated:
-        texts = texts.dropDuplicates(["doc_id"])
     sets = stored(shingle_sets(texts, "doc_id", "text", width), "sets")
 
     sizes = members.selectExpr("doc AS a", "n AS n_a").distinct()
@@ -259,10 +361,18 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     links = linked(facts, percent)
     labels = components(links)
 
-    rest = open_pairs(members, facts, labels, sets, percent)
-    more = stored(linked(compared(rest, sets), percent), "links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    family = families(members, facts, labels)
+    for turn in range(PIVOT_ROUNDS + 1):
+        rows = stored(with_components(family, labels), "rows")
+        if rows.isEmpty():
+            break
+        if turn < PIVOT_ROUNDS:
+            more = stored(linked(compared(pivot_pairs(rows, percent, turn), sets), percent), "links")
+        else:
+            more = stored(tile_links(open_members(rows, sets, percent), percent), "links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = components(links)
 
     own = found.join(classes.where("copies > 1").select(*key, "rep"), key, "left")
     rep = F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id"))
@@ -273,8 +383,39 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     ).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def _rows_told_apart(docs: DataFrame, columns: list, name: str) -> DataFrame:
+    """The rows with a number for each, as a stored table."""
+    return stored(docs.select(*columns, F.monotonically_increasing_id().alias(name)), "rows")
+
+
+def _of_rows(docs: DataFrame, percent: int, id_col: str, text_col: str, width: int, bins: int) -> DataFrame:
+    """As ``near_duplicates`` where numbers repeat: each row is a document of its own."""
+    rows = _rows_told_apart(docs, [F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")], "row")
+    named = rows.where("doc_id IS NOT NULL")
+    found = stored(near_duplicates(named, percent, "row", "text", width, bins), "found").select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("group"))
+    own = named.select("row", "doc_id").join(found, "row")
+    least = own.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    out = own.join(least, "group").select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    bare = near_duplicates(rows.where("doc_id IS NULL"), percent, "doc_id", "text", width, bins)
+    return out.unionByName(bare)
+
+
 def keep_one_of_group(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with the least number of their group, all columns as given."""
-    found = near_duplicates(docs, percent, id_col, text_col)
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    """The documents with the least number of their group, all columns as given.
+
+    Of rows that repeat the least number of a group one stays, any one of them.  Null, empty
+    and wordless texts are in no group and stay, as do rows without a number.  An empty
+    table gives no rows; other columns, whatever their names, pass through.
+    """
+    given, gone_col = F.col(f"`{id_col}`").cast("long"), fresh(docs, "_gone")
+    if docs.where(given.isNotNull()).groupBy(given.alias("n")).count().where("count > 1").isEmpty():
+        found = near_duplicates(docs, percent, id_col, text_col)
+        gone = found.where("NOT kept").select(F.col("doc_id").alias(gone_col))
+        return docs.join(gone, given == F.col(gone_col), "left_anti")
+    row = fresh(docs, "_row_number")
+    rows = _rows_told_apart(docs, [F.col(f"`{c}`") for c in docs.columns], row)
+    found = near_duplicates(rows.where(given.isNotNull()), percent, row, text_col).select(F.col("doc_id").alias(gone_col), "component_id")
+    own = rows.select(F.col(row).alias(gone_col), given.alias("number")).join(stored(found, "found"), gone_col)
+    best = own.groupBy("component_id").agg(F.min(F.struct("number", gone_col))[gone_col].alias("stays"))
+    gone = own.join(best, "component_id").where(F.col(gone_col) != F.col("stays")).select(gone_col)
+    return rows.join(gone, F.col(row) == F.col(gone_col), "left_anti").drop(row)

@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidencepanel.llm.common import batch_slices, id_and_text, mix64, span_hashes, stored, text_slices, words_of
+from evidencepanel.llm.common import batch_slices, fresh, id_and_text, mix64, span_hashes, stored, text_slices, words_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -326,14 +326,16 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     """All rows and columns, personal data in the text replaced by ``[KIND]``.
 
     ``length_col``, where there is one, gets the new length of changed texts.  A null
-    text stays null.
+    text stays null, an empty one empty; texts of any length are searched whole.  Rows that
+    repeat are each returned and blanked alike.  An empty table gives no rows.  Other
+    columns, whatever their names, pass through.
     """
     found = stored(scan(docs, id_col, text_col), "spans")
-    more = _by_document(learned_spans(docs, found, text_col)).withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash", "more": "_more"})
-    names = docs.columns
+    names, doc, more_col = docs.columns, fresh(docs, "_doc"), fresh(docs, "_more")
+    more = _by_document(learned_spans(docs, found, text_col)).withColumnRenamed("doc_id", doc)
     # Joined by number alone; the text hash picks the right row where a number repeats.
-    mine = more.groupBy("_doc").agg(F.collect_list(F.struct("_hash", "_more")).alias("_more"))
-    wide = docs.join(mine, F.col(id_col).cast("long").eqNullSafe(F.col("_doc")), "left").select(*(F.col(f"`{n}`") for n in names), "_more")
+    mine = more.groupBy(doc).agg(F.collect_list(F.struct(F.col("text_hash").alias("_hash"), F.col("more").alias("_more"))).alias(more_col))
+    wide = docs.join(mine, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(doc)), "left").select(*(F.col(f"`{n}`") for n in names), more_col)
 
     def run(batches):
         for batch in batch_slices(batches, text_col):

@@ -119,6 +119,85 @@ def test_near_duplicates_lose_no_link(spark, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got) and len(got) == len(rows)
 
 
+FAMILIES = ["cut", "cut and edited", "line added", "part of a line added"]
+
+
+def one_family(kind, copies, seed=4):
+    """Copies of one text that differ by more than replaced words."""
+    random.seed(seed)
+    base = [f"w{random.randrange(4000)}" for _ in range(200)]
+    line = [f"l{i}" for i in range(60)]
+    out = [base]
+    for _ in range(copies - 1):
+        copy = list(base)
+        if kind.startswith("cut"):
+            copy = copy[: random.randint(100, 200)]
+        if kind != "cut":
+            for _ in range(random.randint(0, 8)):
+                copy[random.randrange(len(copy))] = f"n{random.randrange(10**6)}"
+        if kind == "line added" and random.random() < 0.5:
+            copy += line
+        if kind == "part of a line added":
+            copy += line[: random.randint(0, 60)]
+        out.append(copy)
+    return list(enumerate(" ".join(c) for c in out))
+
+
+@pytest.mark.parametrize("kind", FAMILIES)
+def test_near_duplicates_of_families(spark, monkeypatch, kind):
+    edges = []
+    true = near_dedup.tile_links
+    monkeypatch.setattr(near_dedup, "TILE", 64)
+    monkeypatch.setattr(near_dedup, "tile_links", lambda *a: edges.append(near_dedup.stored(true(*a), "counted")) or edges[-1])
+    rows = one_family(kind, 250)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 80)
+    assert sum(e.count() for e in edges) < 10 * len(rows)  # edges of tiles, never the pairs
+
+
+def thue_morse(letter, other, turns=11):
+    out = letter
+    for _ in range(turns):
+        out += out.translate(str.maketrans(letter + other, other + letter))
+    return out
+
+
+def test_words_made_to_collide_are_told_apart(spark):
+    one, two = thue_morse("a", "b"), thue_morse("b", "a")
+    pair = [one, two]
+    rows = spark.createDataFrame([(1, " ".join([one] * 6)), (2, " ".join([two] * 6))], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(rows, 80).collect()} == {1: 1, 2: 2}
+    found = subwords.ByteLevelTokenizer(subwords.vocabulary_path("byte_bpe_50k.json")).encode([t.encode() for t in pair])
+    assert [ids.tolist() + [1] for ids in found] == [byte_level_ids(t) for t in pair]
+    model = pieces.PieceModel(subwords.vocabulary_path("piece_bpe_32k.model"))
+    assert [back.decode() for _, back in pieces.encode_texts(model, [t.encode() for t in pair])] == pair
+
+
+def test_remembered_words_are_bounded():
+    tokenizer = subwords.ByteLevelTokenizer(subwords.vocabulary_path("byte_bpe_50k.json"))
+    tokenizer.cache.size = 20_000
+    texts = [f"start{i} " + f"x{i}" * 300 for i in range(60)]
+    for text in texts + texts:
+        assert tokenizer.encode([text.encode()])[0].tolist() + [1] == byte_level_ids(text)
+        assert tokenizer.cache.taken < 20_000 + 6 * len(text) + 1000
+
+
+@pytest.mark.parametrize("name", ["_kept", "_digest", "_gone", "_row_number", "_doc", "_more", "_hash"])
+def test_stages_take_clashing_names_and_repeated_numbers(spark, name):
+    long = " ".join(f"t{i}" for i in range(40))
+    rows = [(5, "first text of five", 1), (5, "second text, me@mail.example", 2), (5, "second text, me@mail.example", 2), (7, "second text, me@mail.example", 3), (8, long, 4), (9, long + " more", 5), (9, "nine again", 6), (None, "no number", 7), (4, None, 8), (3, "", 9)]
+    table = spark.createDataFrame(rows, f"doc_id long, text string, `{name}` int")
+    one = exact_dedup.keep_one_copy(table)
+    assert one.columns == table.columns
+    assert sorted((r.doc_id, r.text) for r in one.collect() if r.doc_id) == sorted([(5, rows[0][1]), (7, rows[1][1]), (8, long), (9, long + " more"), (9, "nine again"), (4, None)], key=repr)
+    near = near_dedup.keep_one_of_group(table)
+    assert near.columns == table.columns
+    want = [(5, rows[0][1]), (5, rows[1][1]), (8, long), (9, "nine again"), (None, "no number"), (4, None), (3, "")]
+    assert sorted(((r.doc_id, r.text) for r in near.collect()), key=repr) == sorted(want, key=repr)
+    blank = pii.redact(table)
+    assert blank.columns == table.columns and blank.where("text LIKE '%[EMAIL]%'").count() == 3 and blank.count() == len(rows)
+
+
 def test_near_duplicates_of_awkward_rows(docs, nothing):
     got = near_dedup.near_duplicates(docs, 80)
     want = brute_components([(i, t) for i, t in texts_of(docs)], 80)
@@ -146,7 +225,6 @@ def test_banding_and_densification():
 def byte_level_ids(text):
     tokenizers = pytest.importorskip("tokenizers")
     tok = tokenizers.Tokenizer.from_file(subwords.vocabulary_path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     return tok.encode(text, add_special_tokens=False).ids + [1]
 
 
@@ -154,7 +232,7 @@ def strange_texts(n=400):
     random.seed(5)
     alphabet = "ab cde fgh  \n\t é中あ😀　 ﬁ▁12.,'s<>\x00́ñ​\x85\x1c "
     made = ["".join(random.choice(alphabet) for _ in range(random.randint(0, 50))) for _ in range(n)]
-    return made + ["", " ", "  ", "\n", "▁", "a" * 5000, "中文" * 1500, " " * 3000, "<s> </s> <unk> <|endoftext|>", "don't we'll", "x \n y", "   b", "a  b"]
+    return made + ["", " ", "  ", "\n", "▁", "a" * 5000, "中文" * 1500, " " * 3000, "<s> </s> <unk> <|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext|",  "don't we'll", "x \n y", "   b", "a  b"]
 
 
 def test_byte_level_ids_equal_the_library():
