@@ -838,19 +838,21 @@ OLD = "SELECT _row, 'E' || cast(ck AS string) AS province, cast(yr AS string) AS
 NEW = "SELECT ck * 16 + (yr - 1990) AS _row, CASE WHEN ck % 3 = 0 THEN 'E' ELSE 'N' END || cast(ck AS string) AS province, cast(yr AS string) AS year, cast(qty AS string) AS stock_10k FROM shipped"
 
 
-#: A second file changes half of the keys of the first.
+#: A second patch changes half of the keys of the first.
 AGAIN = f"SELECT _row, province, year, stock_10k || '1' AS stock_10k FROM ({NEW}) WHERE _row % 2 = 0"
 LAST = f"SELECT _row, province, year, CASE WHEN _row % 2 = 0 THEN stock_10k || '1' ELSE stock_10k END AS stock_10k FROM ({NEW})"
 
 
-def _stream(v: Views, files_per_round: int) -> str:
-    """Runs the stream over all patch rows, in two files that share keys; gives its state folder."""
+def _stream(v: Views, rounds: int) -> str:
+    """Runs the stream over two patches that share keys, each in the files of its own
+    partitions, in about as many rounds; gives the state folder."""
     state, incoming = scratch_path(v.spark, "state"), scratch_path(v.spark, "incoming")
     patches.start_panel(v.sql(OLD), state, "stock_10k", buckets=16)
     new = v.sql(NEW)
-    new.coalesce(1).write.parquet(f"{incoming}/a")
-    v.sql(AGAIN).coalesce(1).write.parquet(f"{incoming}/b")
-    query = patches.stream_rounds(v.spark, f"{incoming}/*", state, new.schema, "stock_10k", files_per_round)
+    new.write.parquet(f"{incoming}/a")
+    v.sql(AGAIN).write.parquet(f"{incoming}/b")
+    files = len(v.spark.read.parquet(f"{incoming}/*").inputFiles())
+    query = patches.stream_rounds(v.spark, f"{incoming}/*", state, new.schema, "stock_10k", -(-files // rounds))
     query.awaitTermination()
     return state
 
@@ -861,7 +863,7 @@ def _stream(v: Views, files_per_round: int) -> str:
         FROM ({OLD}) o FULL JOIN ({LAST}) n ON n.province = o.province AND n.year = o.year""",
 )
 def _(v: Views) -> DataFrame:
-    return patches.latest_panel(v.spark, _stream(v, 1)).select("province", "year", "stock_10k")
+    return patches.latest_panel(v.spark, _stream(v, 2)).select("province", "year", "stock_10k")
 
 
 @query(
@@ -870,7 +872,7 @@ def _(v: Views) -> DataFrame:
         FROM ({OLD}) o FULL JOIN ({LAST}) n ON n.province = o.province AND n.year = o.year""",
 )
 def _(v: Views) -> DataFrame:
-    return patches.latest_panel(v.spark, _stream(v, 2)).select("province", "year", "stock_10k")
+    return patches.latest_panel(v.spark, _stream(v, 1)).select("province", "year", "stock_10k")
 
 
 @query(
@@ -880,9 +882,9 @@ def _(v: Views) -> DataFrame:
         FROM ({OLD}) o FULL JOIN ({NEW}) n ON n.province = o.province AND n.year = o.year""",
 )
 def _(v: Views) -> DataFrame:
-    history = patches.round_history(v.spark, _stream(v, 1))
+    history = patches.round_history(v.spark, _stream(v, 2))
     return history.agg(
-        F.max_by("rows", "version").alias("rows"),
-        F.max_by("filled_rows", "version").alias("filled_rows"),
+        F.max_by("rows", "batch").alias("rows"),
+        F.max_by("filled_rows", "batch").alias("filled_rows"),
         F.sum("gained_keys").alias("gained_keys"),
     )

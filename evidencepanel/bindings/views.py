@@ -188,8 +188,8 @@ VIEWS: dict[str, str] = {
     "targets": """
         SELECT DISTINCT 'U' || cast(user_id AS string) AS entity FROM {events}""",
     "progress": """
-        SELECT 'U' || cast(user_id AS string) AS entity, event_type = 'purchase' AS finished
-        FROM {events} WHERE user_id % 3 <> 0""",
+        SELECT CASE WHEN user_id % 3 = 0 THEN 'X' ELSE 'U' END || cast(user_id AS string) AS entity, event_type = 'purchase' AS finished
+        FROM {events}""",
 }
 
 

@@ -1,12 +1,17 @@
 """Patches that arrive as files: each micro-batch is one round on the panel.
 
-The panel lies in parquet, cut into key buckets.  A batch reads only the buckets that
-its keys fall into, as they were before it, folds its rows in and writes these buckets
-anew; all others stay untouched and unread.  Outputs are named by the batch, so a
-replayed batch overwrites its own result and no other.
-
-Layout below the state folder: ``panel/version=N/bucket=B`` (0 is the start),
-``written/version=N`` (which buckets a version wrote) and ``metrics/version=N``.
+What the patches say of a key is a streaming aggregate: the last row of every key, kept
+in Spark's state store and given out in update mode, so a batch holds exactly the keys it
+changed.  The panel itself is plain Parquet partitioned by key bucket.  A batch reads only
+the buckets that its keys fall into and replaces them by dynamic partition overwrite; all
+others stay untouched and unread.
+
+Replacing partitions is not one atomic step.  A batch therefore writes the new buckets
+beside the panel first, then its round metrics, and only then overwrites.  A batch that is
+run again finds its metrics, takes the buckets written before and overwrites once more.
+
+Layout below the state folder: ``panel/bucket=B``, ``next`` (buckets of the batch under
+way), ``metrics/batch=N`` (-1 is the start), and the query's ``checkpoint``.
 """
 
 from __future__ import annotations
@@ -21,31 +26,29 @@ from evidencepanel.operators.groups import ROW, key_hash, need
 
 KEY = ("_e", "_y")
 BUCKETS = 256
-FILE = "_file"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _at(state_dir: str, part: str, version: int | None = None) -> str:
-    folder = f"{state_dir.rstrip('/')}/{part}"
-    return folder if version is None else f"{folder}/version={version}"
+def _at(state_dir: str, part: str) -> str:
+    return f"{state_dir.rstrip('/')}/{part}"
 
 
 def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("int")
 
 
-def _fold(rows: DataFrame, cols: list[str], order: Column) -> DataFrame:
-    """The last row of every key, whole."""
-    last = F.max_by(F.struct(*cols), order).alias("_last")
-    return rows.groupBy(key_hash(KEY), *KEY).agg(last).select(*KEY, *[F.col("_last")[c].alias(c) for c in cols])
+def _replace(rows: DataFrame, path: str, *by: str) -> None:
+    """Replaces the partitions that ``rows`` holds, and no others."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def _write(panel: DataFrame, state_dir: str, version: int, buckets: int) -> None:
-    placed = panel.withColumn("bucket", _bucket(buckets)).repartition("bucket")
-    placed.write.mode("overwrite").partitionBy("bucket").parquet(_at(state_dir, "panel", version))
+def _metrics(changes: DataFrame, batch_id: int, state_dir: str) -> None:
+    _replace(changes.withColumn("batch", F.lit(batch_id).cast("bigint")), _at(state_dir, "metrics"), "batch")
 
 
 def start_panel(panel: DataFrame, state_dir: str, value_col: str, buckets: int = BUCKETS) -> None:
-    """Version 0: the panel's last row per key; rows without entity or year go.
+    """The panel before the first patch: its last row per key; rows without entity or year go.
 
     ``buckets`` is fixed for the life of the state: choose it so that one bucket fits a task.
     """
@@ -53,87 +56,75 @@ def start_panel(panel: DataFrame, state_dir: str, value_col: str, buckets: int =
     cols = panel.columns
     keyed = panel.select(*cols, strip("province").alias("_e"), F.coalesce(to_int("year"), F.lit(0)).alias("_y"))
     keyed = keyed.where((F.col("_e") != "") & (F.col("_y") != 0))
-    _write(_fold(keyed, cols, F.col(ROW)), state_dir, 0, buckets)
-    spark = panel.sparkSession
-    every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"), F.lit(buckets).alias("buckets"))
-    every.write.mode("overwrite").parquet(_at(state_dir, "written", 0))
-    stored = _read(spark, state_dir, 0, None)
-    first = stored.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(has_text(value_col), 1)).alias("filled_rows"))
-    first = first.select(F.lit(-1).cast("bigint").alias("batch_id"), "rows", "filled_rows", F.lit(0).cast("bigint").alias("gained_keys"))
-    first.write.mode("overwrite").parquet(_at(state_dir, "metrics", 0))
-
-
-def _read(spark: SparkSession, state_dir: str, upto: int, touched: DataFrame | None) -> DataFrame:
-    """The panel as of a version; only the ``touched`` buckets if given.
-
-    The driver learns which version last wrote each bucket: one number per bucket.
-    """
-    written = spark.read.parquet(_at(state_dir, "written")).where(F.col("version") <= upto)
-    last = written.groupBy("bucket").agg(F.max("version").alias("version"))
-    if touched is not None:
-        last = last.join(touched, "bucket", "left_semi")
-    wanted: dict[int, list[int]] = {}
-    for r in last.collect():
-        wanted.setdefault(r["version"], []).append(r["bucket"])
-    schema = spark.read.parquet(_at(state_dir, "panel", 0)).schema
-    parts = [
-        spark.read.schema(schema).parquet(_at(state_dir, "panel", v)).where(F.col("bucket").isin(found))
-        for v, found in sorted(wanted.items())
-    ]
-    out = spark.createDataFrame([], schema) if not parts else parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.drop("bucket")
-
-
-def panel_at(spark: SparkSession, state_dir: str, version: int) -> DataFrame:
-    """The panel as of a version."""
-    return _read(spark, state_dir, version, None).drop(*KEY)
-
-
-def apply_patch(spark: SparkSession, batch: DataFrame, batch_id: int, state_dir: str, value_col: str) -> None:
-    """Folds a batch into the buckets it touches and writes its round metrics.
-
-    Of rows with one key, the last of the last file (by path, if ``batch`` has a
-    ``_file`` column) counts.
-    """
-    version = batch_id + 1
-    start = spark.read.parquet(_at(state_dir, "panel", 0))
-    cols = [c for c in start.columns if c not in (*KEY, "bucket")]
-    buckets = spark.read.parquet(_at(state_dir, "written", 0)).first()["buckets"]
-    given = [(F.col(c) if c in batch.columns else F.lit(None).cast("string")).alias(c) for c in cols]
-    file = F.col(FILE) if FILE in batch.columns else F.lit("")
-    keyed = batch.select(*given, raw("province").alias("_e"), to_int("year").alias("_y"), file.alias(FILE))
-    delta = _fold(keyed, cols, F.struct(FILE, ROW))
-    touched = delta.select(_bucket(buckets).alias("bucket"), F.lit(buckets).alias("buckets")).distinct()
-    touched.write.mode("overwrite").parquet(_at(state_dir, "written", version))
-
-    touched = spark.read.parquet(_at(state_dir, "written", version)).select("bucket")
-    old = _read(spark, state_dir, batch_id, touched)
-    both = old.withColumn("_new", F.lit(0)).unionByName(delta.withColumn("_new", F.lit(1)))
-    _write(_fold(both, cols, F.col("_new")), state_dir, version, buckets)
-
-    filled = has_text(value_col)
-    now = spark.read.parquet(_at(state_dir, "panel", version))
-    sides = old.select(*KEY, filled.alias("filled"), F.lit(0).alias("side")).unionByName(
-        now.select(*KEY, filled.alias("filled"), F.lit(1).alias("side"))
-    )
-    per_key = sides.groupBy(*KEY).agg(
-        F.max(F.when(F.col("side") == 0, F.col("filled"))).alias("was"), F.max(F.when(F.col("side") == 1, F.col("filled"))).alias("now")
-    )
-    was = F.coalesce("was", F.lit(False))
-    change = per_key.agg(
-        F.count(F.when(F.col("was").isNull(), 1)).alias("added"),
-        F.count(F.when(F.col("now") & ~was, 1)).alias("gained"),
-        F.count(F.when(~F.col("now") & was, 1)).alias("lost"),
-    )
-    before = spark.read.parquet(_at(state_dir, "metrics", batch_id))
-    change.select(
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-        (before.select("rows").scalar() + F.col("added")).alias("rows"),
-        (before.select("filled_rows").scalar() + F.col("gained") - F.col("lost")).alias("filled_rows"),
-        F.col("gained").alias("gained_keys"),
-    ).write.mode("overwrite").parquet(_at(state_dir, "metrics", version))
+    last = keyed.groupBy(key_hash(KEY), *KEY).agg(F.max_by(F.struct(*cols), ROW).alias("_last"))
+    rows = last.select(*KEY, "_last.*", F.lit(buckets).alias("_buckets")).withColumn("bucket", _bucket(buckets))
+    rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(_at(state_dir, "panel"))
+    now = _panel(panel.sparkSession, state_dir)
+    first = now.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(has_text(value_col), 1)).alias("filled_rows"))
+    _metrics(first.withColumn("gained_keys", F.lit(0).cast("bigint")), -1, state_dir)
+
+
+def _panel(spark: SparkSession, state_dir: str, schema: StructType | None = None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(_at(state_dir, "panel"))
+
+
+def _panel_columns(panel: DataFrame) -> list[str]:
+    return [c for c in panel.columns if c not in (*KEY, "_buckets", "bucket")]
+
+
+def last_rows(arriving: DataFrame, cols: list[str]) -> DataFrame:
+    """The last row per key over all that has arrived: files in the order they were
+    written (then by path), rows in the order of ``_row``.  A streaming aggregate."""
+    given = [(F.col(c) if c in arriving.columns else F.lit(None).cast("string")).alias(c) for c in cols]
+    order = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"), F.col(ROW)).alias("_order")
+    keyed = arriving.select(*given, raw("province").alias("_e"), to_int("year").alias("_y"), order)
+    return keyed.groupBy(*KEY).agg(F.max_by(F.struct(*cols), "_order").alias("_last")).select(*KEY, "_last.*")
+
+
+def deliver(spark: SparkSession, changed: DataFrame, batch_id: int, state_dir: str, value_col: str) -> None:
+    """Puts the changed keys (their last rows, one each) into the panel and writes the
+    round's metrics.  Running a batch again has no further effect."""
+    seen = spark.read.parquet(_at(state_dir, "metrics"))
+    upcoming = _at(state_dir, "next")
+    whole = _panel(spark, state_dir)
+    if not seen.where(F.col("batch") == batch_id).isEmpty():
+        # Buckets and metrics stand already; the state store wants its batch run all the same.
+        changed.write.format("noop").mode("overwrite").save()
+    else:
+        cols = _panel_columns(whole)
+        buckets = whole.select("_buckets").first()["_buckets"] if not whole.isEmpty() else BUCKETS
+        delta = changed.withColumns({"_buckets": F.lit(buckets), "bucket": _bucket(buckets), "_new": F.lit(True)}).persist()
+        # At most one number per bucket reaches the driver.
+        touched = [r["bucket"] for r in delta.select("bucket").distinct().collect()]
+        if not touched:
+            return
+        old = whole.where(F.col("bucket").isin(touched)).withColumn("_new", F.lit(False))
+        rows = old.unionByName(delta).repartition("bucket")
+        keep = ["_buckets", *cols]
+        # One exchange: rows dealt by bucket are dealt by (bucket, key) too.
+        folded = rows.groupBy("bucket", *KEY).agg(
+            F.max_by(F.struct(*keep), "_new").alias("_last"),
+            F.max(F.when(~F.col("_new"), has_text(value_col))).alias("_was"),
+        )
+        folded = folded.select(*KEY, "_last.*", "_was", "bucket")
+        folded.write.mode("overwrite").partitionBy("bucket").parquet(upcoming)
+        delta.unpersist()
+        was, now = F.coalesce("_was", F.lit(False)), has_text(value_col)
+        change = spark.read.parquet(upcoming).agg(
+            F.count(F.when(F.col("_was").isNull(), 1)).alias("added"),
+            F.count(F.when(now & ~was, 1)).alias("gained"),
+            F.count(F.when(~now & was, 1)).alias("lost"),
+        )
+        earlier = seen.where(F.col("batch") < batch_id)
+        rows_before, filled_before = (earlier.agg(F.max_by(c, "batch")).scalar() for c in ("rows", "filled_rows"))
+        after = change.select(
+            (rows_before + F.col("added")).alias("rows"),
+            (filled_before + F.col("gained") - F.col("lost")).alias("filled_rows"),
+            F.col("gained").alias("gained_keys"),
+        )
+        _metrics(after, batch_id, state_dir)
+    _replace(spark.read.parquet(upcoming).drop("_was"), _at(state_dir, "panel"), "bucket")
 
 
 def stream_rounds(
@@ -144,27 +135,37 @@ def stream_rounds(
     value_col: str,
     files_per_round: int = 1,
 ) -> StreamingQuery:
-    """Upserts every waiting patch file into the panel, then stops."""
+    """Upserts every waiting patch file into the panel, then stops.
+
+    The last row of every key that a patch named lies in a RocksDB state store below the
+    checkpoint; a restart goes on from there.
+    """
     arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_round).parquet(source_dir)
-    arriving = arriving.select("*", F.col("_metadata.file_path").alias(FILE))
+    changed = last_rows(arriving.select("*", "_metadata"), _panel_columns(_panel(spark, state_dir)))
 
     def round_of(batch: DataFrame, batch_id: int) -> None:
-        apply_patch(batch.sparkSession, batch, batch_id, state_dir, value_col)
-
-    return (
-        arriving.writeStream.foreachBatch(round_of)
-        .option("checkpointLocation", _at(state_dir, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
+        deliver(batch.sparkSession, batch, batch_id, state_dir, value_col)
+
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        return (
+            changed.writeStream.outputMode("update")
+            .foreachBatch(round_of)
+            .option("checkpointLocation", _at(state_dir, "checkpoint"))
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
 
 
 def round_history(spark: SparkSession, state_dir: str) -> DataFrame:
-    """Metrics of every version: version 0 is the start."""
+    """``batch, rows, filled_rows, gained_keys`` of every round; batch -1 is the start."""
     return spark.read.parquet(_at(state_dir, "metrics"))
 
 
 def latest_panel(spark: SparkSession, state_dir: str) -> DataFrame:
-    """The panel as of the last version with metrics."""
-    done = round_history(spark, state_dir).agg(F.max("version").alias("v")).first()["v"]
-    return panel_at(spark, state_dir, done)
+    """The panel after the last round."""
+    whole = _panel(spark, state_dir)
+    return whole.select(*_panel_columns(whole))

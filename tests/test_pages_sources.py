@@ -3,6 +3,7 @@
 import json
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from evidencepanel.operators import pages as pg
@@ -112,41 +113,74 @@ def test_discovery_documents(spark, tmp_path):
     assert [r["url"] for r in rk.concat_urls(first, listed).collect()] == ["http://b", "http://z", "https://a"]
 
 
-def test_stream_is_replayable(spark, table, tmp_path):
+def _patch_files(table, incoming, *patches_):
+    for rows in patches_:
+        table(rows).coalesce(1).write.mode("append").parquet(str(incoming))
+
+
+def test_stream_goes_on_from_its_checkpoint(spark, table, tmp_path):
     state, incoming = str(tmp_path / "state"), tmp_path / "in"
     panel = table([{"province": "A", "year": "2020", "v": "1"}, {"province": "B", "year": "2020", "v": ""}])
     patches.start_panel(panel, state, "v")
-    one = table([{"province": "B", "year": "2020", "v": "2"}, {"province": "C", "year": "2021", "v": "3"}])
-    one.coalesce(1).write.parquet(str(incoming))
-    patches.stream_rounds(spark, str(incoming), state, one.schema, "v", 10).awaitTermination()
-    two = table([{"province": "A", "year": "2020", "v": " "}, {"province": "B", "year": "2020", "v": "9"}])
-    two.coalesce(1).write.mode("append").parquet(str(incoming))
-    patches.stream_rounds(spark, str(incoming), state, one.schema, "v", 10).awaitTermination()
+
+    def run():
+        patches.stream_rounds(spark, str(incoming), state, panel.schema, "v", 10).awaitTermination()
 
     def rows():
         return sorted((r["province"], r["v"]) for r in patches.latest_panel(spark, state).collect())
 
+    def history():
+        return [tuple(r) for r in patches.round_history(spark, state).orderBy("batch").select("rows", "filled_rows", "gained_keys").collect()]
+
+    _patch_files(table, incoming, [{"province": "B", "year": "2020", "v": "2"}, {"province": "C", "year": "2021", "v": "3"}])
+    run()
+    _patch_files(table, incoming, [{"province": "A", "year": "2020", "v": " "}, {"province": "B", "year": "2020", "v": "9"}])
+    run()
     want = [("A", " "), ("B", "9"), ("C", "3")]
-    assert rows() == want
-    history = [tuple(r) for r in patches.round_history(spark, state).orderBy("version").select("rows", "filled_rows", "gained_keys").collect()]
-    assert history == [(2, 1, 0), (3, 3, 2), (3, 2, 0)]
-    patches.apply_patch(spark, two, 1, state, "v")  # the same batch again
-    assert rows() == want
-    assert rows() == want and patches.panel_at(spark, state, 0).count() == 2
+    assert rows() == want and history() == [(2, 1, 0), (3, 3, 2), (3, 2, 0)]
+    run()  # nothing new
+    again = spark.createDataFrame([("A", 2020, 9, "A", "2020", " "), ("B", 2020, 9, "B", "2020", "9")], "_e string, _y int, _row bigint, province string, year string, v string")
+    patches.deliver(spark, again.drop("_buckets"), 1, state, "v")  # the last batch again
+    assert rows() == want and history() == [(2, 1, 0), (3, 3, 2), (3, 2, 0)]
+    assert sorted(p.name for p in (tmp_path / "state").iterdir()) == ["checkpoint", "metrics", "next", "panel"]
 
 
-def test_stream_reads_only_the_buckets_of_a_batch(spark, table, tmp_path):
-    state = str(tmp_path / "state")
+@pytest.mark.parametrize("step", ["metrics", "panel"])
+def test_stream_survives_a_failure_between_its_writes(spark, table, tmp_path, monkeypatch, step):
+    state, incoming = str(tmp_path / "state"), tmp_path / "in"
+    panel = table([{"province": f"P{i}", "year": "2020", "v": "" if i % 2 else "1"} for i in range(20)])
+    patches.start_panel(panel, state, "v", buckets=4)
+    _patch_files(table, incoming, [{"province": f"P{i}", "year": "2020", "v": f"n{i}"} for i in range(5, 30)], [{"province": "P6", "year": "2020", "v": "later"}])
+    true = patches._replace
+
+    def failing(rows, path, *by):
+        if path.endswith(step):
+            raise RuntimeError("lost")
+        true(rows, path, *by)
+
+    monkeypatch.setattr(patches, "_replace", failing)
+    with pytest.raises(Exception, match="lost"):
+        patches.stream_rounds(spark, str(incoming), state, panel.schema, "v").awaitTermination()
+    monkeypatch.setattr(patches, "_replace", true)
+    patches.stream_rounds(spark, str(incoming), state, panel.schema, "v").awaitTermination()
+    after = {r["province"]: r["v"] for r in patches.latest_panel(spark, state).collect()}
+    want = {f"P{i}": "" if i % 2 else "1" for i in range(20)} | {f"P{i}": f"n{i}" for i in range(5, 30)} | {"P6": "later"}
+    assert after == want and patches.latest_panel(spark, state).count() == 30
+    last = patches.round_history(spark, state).orderBy("batch").collect()
+    assert [r["rows"] for r in last] == [20, 30, 30] and sum(r["gained_keys"] for r in last) == 18
+    assert last[-1]["filled_rows"] == sum(bool(v) for v in want.values())
+
+
+def test_stream_replaces_only_the_buckets_of_a_batch(spark, table, tmp_path):
+    state, incoming = str(tmp_path / "state"), tmp_path / "in"
     panel = table([{"province": f"P{i}", "year": "2020", "v": "1"} for i in range(200)])
     patches.start_panel(panel, state, "v", buckets=32)
-    patch = table([{"province": "P7", "year": "2020", "v": "2"}]).withColumn("_file", F.lit("b"))
-    older = table([{"province": "P7", "year": "2020", "v": "9"}]).withColumn("_file", F.lit("a"))
-    patches.apply_patch(spark, patch.unionByName(older), 0, state, "v")
-    touched = spark.read.parquet(f"{state}/written/version=1").select("bucket")
-    assert touched.count() == 1
-    seen = patches._read(spark, state, 0, touched)
-    assert 0 < seen.count() < 40
-    text = spark._jvm.PythonSQLUtils.explainString(seen._jdf.queryExecution(), "formatted")
-    assert re.search(r"PartitionFilters: \[[^\n]*bucket", text)
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "state/panel").glob("bucket=*/*.parquet")}
+    _patch_files(table, incoming, [{"province": "P7", "year": "2020", "v": "9"}], [{"province": "P7", "year": "2020", "v": "2"}])
+    query = patches.stream_rounds(spark, str(incoming), state, panel.schema, "v", 2)
+    query.awaitTermination()
+    left = [p for p, t in files.items() if p.exists() and p.stat().st_mtime_ns == t]
+    assert len(left) == len(files) - 1
+    assert query.lastProgress is None or all(s["numRowsTotal"] == 1 for s in query.lastProgress["stateOperators"])
     after = {r["province"]: r["v"] for r in patches.latest_panel(spark, state).collect()}
     assert after["P7"] == "2" and after["P8"] == "1" and len(after) == 200
