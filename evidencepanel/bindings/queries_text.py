@@ -9,11 +9,12 @@ from evidencepanel.bindings.catalog import SPACES, any_in, has, host, names_othe
 from evidencepanel.bindings.views import FIRST_YEAR, LAST_YEAR, SOURCE_YEAR, Views
 from evidencepanel.functions import extraction as ex
 from evidencepanel.functions import grading, text
-from evidencepanel.functions.entity import POPULATION_URL_HINTS, URL_HINTS
+from evidencepanel.functions.entity import POPULATION_DIM, POPULATION_URL_HINTS, URL_HINTS, Dim
 from evidencepanel.operators import candidates as cand
 from evidencepanel.operators import pages as pg
 from evidencepanel.operators import ranking as rk
 from evidencepanel.operators import routes
+from evidencepanel.operators.mentions import mentions
 from evidencepanel.plans.session import scratch_path
 from evidencepanel.sources import readers, writers
 from evidencepanel.streaming import patches
@@ -241,6 +242,24 @@ def _(v: Views) -> DataFrame:
     return out.select(*names, F.col("explicit_province_in_sentence").alias("explicit"))
 
 
+PLACES = "places AS (SELECT short_name AS short FROM dim UNION ALL SELECT '地' || lpad(cast(c_custkey AS string), 9, '0') FROM customer)"
+LINES = "lines AS (SELECT 'o' || cast(o_orderkey AS string) AS line, o_orderpriority || ' 经 地' || lpad(cast(o_custkey AS string), 9, '0') || ' 至 地' || lpad(cast(o_custkey * 7 AS string), 9, '0') AS said FROM orders)"
+
+
+@query(
+    "t5_names_in_texts",
+    """SELECT DISTINCT line, '地' || n AS short FROM (SELECT line, unnest(regexp_extract_all(said, '地([0-9]{9})', 1)) AS n FROM lines)
+       WHERE '地' || n IN (SELECT short FROM places)""",
+    f"{PLACES}, {LINES}",
+)
+def _(v: Views) -> DataFrame:
+    number = lambda c: F.concat(F.lit("地"), F.lpad(F.col(c).cast("string"), 9, "0"))
+    orders = v.table("orders").withColumn("seventh", F.col("o_custkey") * 7)
+    said = F.concat("o_orderpriority", F.lit(" 经 "), number("o_custkey"), F.lit(" 至 "), number("seventh"))
+    lines = orders.select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("line"), said.alias("said"))
+    return mentions(lines, "line", "said", many_places(v))
+
+
 @query("t6_extract_population", "SELECT ord, sentence_no, sentence, value_10k_person, score, explicit FROM popc", POP)
 def _(v: Views) -> DataFrame:
     out = cand.extract_population_candidates(v.bulletins, SOURCE_YEAR)
@@ -315,8 +334,8 @@ SHORT = (
 )
 
 
-def _population(v: Views) -> DataFrame:
-    rows = cand.extract_population_candidates(v.bulletins, SOURCE_YEAR)
+def _population(v: Views, dim: Dim = POPULATION_DIM) -> DataFrame:
+    rows = cand.extract_population_candidates(v.bulletins, SOURCE_YEAR, dim)
     return rows.withColumns(
         {
             "value_10k_person": F.when(F.col("sentence_no") % 5 != 4, F.col("value_10k_person")),
@@ -363,6 +382,26 @@ def _(v: Views) -> DataFrame:
     return out.select("province", "value_10k_person", "source_url", "confidence", "evidence_sentence", "rule_flags")
 
 
+# With a table there are no overrides and no address hints; its names are found by the index.
+POP_LARGE = POP.replace(f" AND coalesce({hinted('entity', 'url', POPULATION_URL_HINTS)}, true)", "")
+SHORT_LARGE = SHORT.replace(POP, POP_LARGE)
+
+
+@query(
+    "w7_shortlist_large",
+    f"""SELECT entity AS province, rtrim(rtrim(printf('%.6f', value_10k_person), '0'), '.') AS value_10k_person, url AS source_url,
+          cast(conf AS string) AS confidence, sentence AS evidence_sentence, flags AS rule_flags
+        FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY conf DESC, ord, sentence_no) AS rn FROM scored WHERE why IS NULL)
+        WHERE rn = 1 AND conf >= 28""",
+    SHORT_LARGE,
+)
+def _(v: Views) -> DataFrame:
+    places = many_places(v)
+    rows = _population(v, places).withColumn("place", F.col("ord") * 1000 + F.col("sentence_no"))
+    out = rk.shortlist(rows, "value_10k_person", SOURCE_YEAR, dim=places, order="place")["rows"]
+    return out.select("province", "value_10k_person", "source_url", "confidence", "evidence_sentence", "rule_flags")
+
+
 @query(
     "w7_shortlist_missing",
     """SELECT full_name AS "full" FROM dim WHERE full_name NOT IN (SELECT entity FROM scored WHERE why IS NULL GROUP BY 1 HAVING max(conf) >= 28)""",

@@ -305,7 +305,7 @@ def with_names(df: DataFrame, entity: str, dim: Dim = PROVINCES, own: str = "_ow
     """Adds the explicit name and the scope words of the row's entity."""
     if isinstance(dim, EntityDim):
         return df.withColumns({own: explicit_name(entity, dim), scope: scope_words(entity, dim)})
-    out = resolve_entity(resolve_entity(df, entity, dim, "short", "_short"), entity, dim, "full", "_full")
+    out = _met_names(df.withColumn("_stripped", strip(entity)), "_stripped", dim, {"_short": "short", "_full": "full"}).drop("_stripped")
     named = out.withColumns({own: _explicit(raw(entity), F.col("_short"), {}), scope: _scope(raw(entity), F.col("_full"), {})})
     return named.drop("_short", "_full")
 
@@ -332,30 +332,24 @@ def hinted_url(entity: ColumnLike, url: ColumnLike, dim: EntityDim = PROVINCES)
 def with_other_entity(df: DataFrame, sentence: str, own: str, dim: Dim = PROVINCES, out: str = "_other") -> DataFrame:
     """Adds whether the text holds the short name of an entity other than ``own``.
 
-    For a DataFrame, each distinct text is cut to the lengths that short names have and
-    meets the names on equality.
+    For a DataFrame of any size, distinct texts meet an inverted index of the names.  The
+    first and the last name that a text holds tell whether one of them is another's.
     """
     if isinstance(dim, EntityDim):
         return df.withColumn(out, names_other_entity(F.col(sentence), F.col(own), dim))
     from evidencepanel.operators.groups import same_key
+    from evidencepanel.operators.mentions import mentions
+    from evidencepanel.plans.session import written_once
 
-    texts = df.select(F.col(sentence).alias("_t"), F.col(own).alias("_o")).distinct()
-    sizes = _short_lengths(dim)
-    cuts = F.flatten(
-        F.transform(
-            sizes,
-            lambda n: F.when(
-                F.length("_t") >= n,
-                F.transform(F.sequence(F.lit(1), F.length("_t") - n + 1), lambda i: F.substring(F.col("_t"), i, n)),
-            ).otherwise(F.array().cast("array<string>")),
-        )
-    )
-    probes = texts.select("_t", "_o", F.explode(F.array_distinct(cuts)).alias("_n"))
-    names = dim.select(F.col("short").alias("_s")).distinct()
-    found = probes.join(names, same_key([(probes["_n"], names["_s"])])).where(~F.col("_n").eqNullSafe(F.col("_o")))
-    found = found.select("_t", "_o").distinct().withColumn(out, F.lit(True))
-    same = (df[sentence] == found["_t"]) & df[own].eqNullSafe(found["_o"])
-    return df.join(found, same, "left").withColumn(out, F.coalesce(out, F.lit(False))).drop("_t", "_o")
+    marked = df.withColumn("_mark", F.unhex(F.sha2(F.col(sentence), 256)))
+    # Searched twice: written once.
+    texts = written_once(marked.where(F.col(sentence).isNotNull()).groupBy("_mark").agg(F.any_value(sentence).alias("_t")), "texts")
+    held = mentions(texts, "_mark", "_t", dim).groupBy("_mark").agg(F.min("short").alias("_first"), F.max("short").alias("_last"))
+    held = held.withColumnRenamed("_mark", "_held")
+    own_name = F.col(own)
+    other = F.col("_first").isNotNull() & ~(F.col("_first").eqNullSafe(own_name) & F.col("_last").eqNullSafe(own_name))
+    joined = marked.join(held, same_key([(marked["_mark"], held["_held"])]), "left")
+    return joined.withColumn(out, other).drop("_mark", "_held", "_first", "_last")
 
 
 def _short_lengths(dim: DataFrame) -> Column:
@@ -386,9 +380,15 @@ def normalize_entity_join(df: DataFrame, column: str, dim: DataFrame, out: str =
     dimension on equality; the lowest (tier, ordinal) wins.  Distinct names are
     few next to rows, so the fan-out never touches the fact table.
     """
+    return _met_names(df, column, dim, {out: target})
+
+
+def _met_names(df: DataFrame, column: str, dim: DataFrame, targets: Mapping[str, str]) -> DataFrame:
+    """Adds each target form of the entity that the name means, under its new column name."""
     from evidencepanel.operators.groups import same_key
 
-    form_index(target)
+    for target in targets.values():
+        form_index(target)
     names = df.select(F.col(column).alias("_name")).where(F.col(column).isNotNull()).distinct()
     lengths = F.filter(_short_lengths(dim), lambda n: n <= F.length("_name"))
     starts = names.select("_name", F.explode(lengths).alias("_n"))
@@ -397,7 +397,7 @@ def normalize_entity_join(df: DataFrame, column: str, dim: DataFrame, out: str =
     )
     exact = dim.select(
         "ordinal",
-        F.col(target).alias("target"),
+        F.struct(*[F.col(t).alias(o) for o, t in targets.items()]).alias("target"),
         F.explode(
             F.array(
                 F.struct(F.lit(0).alias("tier"), F.lit(0).alias("form"), F.col("full").alias("probe")),
@@ -410,7 +410,8 @@ def normalize_entity_join(df: DataFrame, column: str, dim: DataFrame, out: str =
     found = (
         probes.join(exact, ["tier", "probe"])
         .groupBy("_name")
-        .agg(F.min_by("target", F.struct("tier", "form", "ordinal")).alias(out))
+        .agg(F.min_by("target", F.struct("tier", "form", "ordinal")).alias("_target"))
+        .select("_name", "_target.*")
     )
     return df.join(found, same_key([(df[column], found["_name"])]), "left").drop("_name")
 

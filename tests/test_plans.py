@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from evidencepanel.bindings.views import Views
+from evidencepanel.functions.entity import with_other_entity
 from evidencepanel.operators import panel as pan
 from evidencepanel.operators import ranking as rk
 from evidencepanel.operators import registry as regs
+from evidencepanel.operators.mentions import mentions
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -54,6 +56,26 @@ def test_columns_are_pruned_at_the_scan(spark, builds):
     assert schemas and all("o_orderpriority" not in s and "c_name" not in s for s in schemas)
 
 
+def test_names_in_texts_are_found_by_one_index_probe_a_gram(spark, builds):
+    for name in ("t5_names_in_texts", "t6_extract_candidates_large", "w7_shortlist_large"):
+        shown = builds[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert "sequence(" not in shown and 1 <= shown.count("explode(array_distinct(concat(regexp_extract_all") <= 2, name
+
+
+def test_names_in_texts_equal_a_plain_search(spark):
+    rng = random.Random(7)
+    letters = "ab😀中 .\n"
+    names = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(60)} | {"a", "中", ".*"}
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 25))) for _ in range(150)] + [None, "", "a", "a.*b"]
+    places = spark.createDataFrame([(n,) for n in names for _ in range(2)] + [("",), (None,)], "short string")
+    said = spark.createDataFrame(list(enumerate(texts)), "id int, said string")
+    got = sorted((r["id"], r["short"]) for r in mentions(said, "id", "said", places).collect())
+    assert got == sorted((i, n) for i, t in enumerate(texts) for n in names if n in (t or ""))
+    owned = spark.createDataFrame([(i, t, rng.choice([*names, None])) for i, t in enumerate(texts)], "id int, said string, own string")
+    for r in with_other_entity(owned, "said", "own", places).collect():
+        assert r["_other"] == any(n in (r["said"] or "") and n != r["own"] for n in names), r
+
+
 def test_hot_keys_are_split(spark):
     left = spark.range(200000).select(
         F.col("id").alias("_row"),
