@@ -115,8 +115,9 @@ class _Powers:
 def span_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte range: equal bytes give equal hashes wherever they stand.
 
-    For features, where a chance meeting of two words does no harm: made-up words can be
-    given equal hashes.  What must tell words apart uses ``word_hashes`` or the bytes.
+    For features, where a chance meeting of two words does no harm, and as a first sieve:
+    made-up words can be given equal hashes.  What must tell words apart uses
+    ``word_hashes`` or compares the bytes as well.
     """
     up, down = worker_cache("powers", _Powers).upto(len(data) + 1)
     with np.errstate(over="ignore"):

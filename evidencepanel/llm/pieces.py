@@ -25,7 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SPACE = "▁"
 NO_RANK = np.int32(2**31 - 1)
 LONG_WORD = 2048  # symbols; beyond, a heap merges one word in n log n
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 
 
 class PieceModel:

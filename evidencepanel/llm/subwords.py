@@ -1,7 +1,8 @@
 """Token ids of whole texts, each distinct word encoded once per batch.
 
 Texts are cut before single spaces, where no token can cross; equal words are found by
-their bytes, only the distinct ones are encoded, and ids are spread back.
+hash and told apart by their bytes, only the distinct ones are encoded, and ids are
+spread back.
 """
 
 from __future__ import annotations
@@ -17,13 +18,13 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 
-from evidencepanel.llm.common import SLICE_BYTES, worker_cache
+from evidencepanel.llm.common import SLICE_BYTES, span_hashes, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 END_ID = 1
 #: What the words a worker remembers may take, their ids included.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 24 << 20
 #: About what a remembered word takes besides its bytes and ids.
 WORD_OVERHEAD = 150
 
@@ -44,9 +45,9 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def after_white_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Which of the places (of spaces) follow a white space character or the start."""
-    one = data[at - 1]
-    two = np.where(at > 1, data[at - 2], 0)
-    three = np.where(at > 2, data[at - 3], 0)
+    one = data[np.maximum(at - 1, 0)]
+    two = np.where(at > 1, data[np.maximum(at - 2, 0)], 0)
+    three = np.where(at > 2, data[np.maximum(at - 3, 0)], 0)
     wide = (
         ((two == 0xC2) & ((one == 0x85) | (one == 0xA0)))
         | ((three == 0xE1) & (two == 0x9A) & (one == 0x80))
@@ -57,6 +58,27 @@ def after_white_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (at == 0) | ((one >= 9) & (one <= 13)) | ((one >= 28) & (one <= 32)) | ((one >= 0x80) & wide)
 
 
+def equal_spans(joined: bytes, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every byte range the number of its class of equal ranges, and the place of the
+    first of each class.  Ranges of one hash are compared byte by byte with the first of
+    them; where one differs, the bytes themselves decide for all."""
+    codes, distinct = pd.factorize(span_hashes(joined, starts, ends))
+    first = np.zeros(len(distinct), np.int64)
+    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+    again = np.flatnonzero(first[codes] != np.arange(len(codes)))
+    model = first[codes[again]]
+    lengths = (ends - starts)[again]
+    same = np.array_equal(lengths, (ends - starts)[model])
+    if same and np.array_equal(data[spread(starts[again], lengths)], data[spread(starts[model], lengths)]):
+        return codes, first
+    words = np.empty(len(starts), object)
+    words[:] = [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    codes, distinct = pd.factorize(words)
+    first = np.zeros(len(distinct), np.int64)
+    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+    return codes, first
+
+
 class DistinctWords:
     """The words of a batch of texts: the distinct ones, and which one stands where."""
 
@@ -81,10 +103,9 @@ class DistinctWords:
             cut[-1] = False
             starts = np.flatnonzero(cut)
             ends = np.append(starts[1:], len(joined)) if len(starts) else starts
-            words = np.empty(len(starts), object)
-            words[:] = [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            codes, distinct = pd.factorize(words)
-            numbers = np.array([known.setdefault(w, len(known)) for w in distinct], np.int64)
+            codes, first = equal_spans(joined, data, starts, ends)
+            spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
+            numbers = np.array([known.setdefault(joined[a:b], len(known)) for a, b in spans], np.int64)
             inverse.append(numbers[codes] if len(codes) else codes)
             counts.append(np.diff(np.searchsorted(starts, bounds)))
             at = end
