@@ -512,6 +512,71 @@ def test_a_mass_copied_text_does_not_remove_a_pattern(spark):
     check_badges(spark, texts[:20] + [plain] * 1000 + texts[20:], 1020)
 
 
+def test_found_identifiers_induce_patterns(spark):
+    """Codes found beside seeds stand in a second context that no seed shares, where they name others."""
+    random.seed(6)
+    words = "alpha beta gamma delta eps zeta eta theta iota kappa".split()
+    filler = lambda n: " ".join(random.choice(words) for _ in range(n))
+    seeds = [f"staff badge a{i}@b.example issued" for i in range(30)]
+    both = [f"staff badge QX-{90000 + i} issued" for i in range(12)]
+    again = [f"locker card QX-{90000 + i} lost" for i in range(12)]
+    unseen = [f"locker card QX-{91000 + i} lost" for i in range(4)]
+    loose = [f"{random.choice(words)} {95000 + i} {random.choice(words)}" for i in range(40)]
+    texts = [f"{filler(12)} {x} {filler(12)}" for x in seeds + both + again + unseen + loose]
+    for r in pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        start = texts[r.doc_id].find("QX-")
+        if 30 <= r.doc_id < 58:
+            assert r.spans == f"email:{start}:{start + 8}", r
+        else:
+            assert r.spans.count(":") == (2 if r.doc_id < 30 else 0), r
+
+
+def test_slots_of_random_strings_are_found_without_seeds(spark):
+    rng = random.Random(7)
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    slots = [f'set the token = "{key()}" before {i} starts' for i in range(12)]
+    few = [f"see commit {key()} please" for _ in range(4)]  # too few of them to say
+    counts = [f"a total of {100000 + i} rows" for i in range(50)]  # numbers, not random strings
+    texts = slots + few + counts + ["nothing here", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.personal_data(docs).collect()}
+    for i, text in enumerate(slots):
+        start = text.index('"') + 1
+        assert got[i] == f"token:{start}:{start + 40}"
+    assert all(got[i] == "" for i in range(12, len(texts)))
+    new = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert all(new[i] == f'set the token = "[TOKEN]" before {i} starts' for i in range(12))
+    assert all(new[i] == texts[i] for i in range(12, len(texts)))
+    assert all(s == "" for s in (r.spans for r in pii.personal_data(docs, trust=pii.Trust(slot_values=13)).collect()))
+
+
+def test_identifiers_join_neighbouring_digits():
+    def found(text):
+        return [text[a:b] for _, a, b in pii.identifiers(text, pii.base_spans(text))]
+
+    assert found("call (555) 123-4567 now") == ["(555) 123-4567"]
+    assert found("or 020 7946 0958, 12 of them") == ["020 7946 0958"]
+    assert found("card 4111 1111 1111 1112.") == ["4111 1111 1111 1112"]
+    assert found("iban DE89 3704 0044 0532 0130 00 end") == ["DE89 3704 0044 0532 0130 00"]
+    assert found("mail a@b and 12 34") == ["a@b"] and found("1 2\t3 4 5 6") == [] and found("") == []
+    assert found("a@b.example 12345\n678901") == ["12345", "678901"]
+    long = " ".join(str(100 + i) for i in range(50))
+    assert found(long) == [] and found(f"{long} 12345") == ["12345"]
+    assert pii.random_looking("04dbebab91ab85687d33eeaaf9ac699e1188f962") and pii.random_looking("123e4567-e89b-12d3-a456-426614174000")
+    assert not any(map(pii.random_looking, ["2019-2020-annual-report", "12345678901234567890", "antidisestablishmentarianism", "", "short1a2b3c"]))
+
+
+def test_counting_filter_is_exact_when_bits_are_shared(spark, docs, monkeypatch):
+    """Whatever the filter's size, counts are those of the contexts asked for."""
+    rows = docs.select("doc_id", "text")
+    wanted = spark.createDataFrame(
+        [(int(c),) for c in np.unique(pii.contexts_everywhere(rows.where("doc_id = 5").first().text.encode()))[::2]], "context long"
+    )
+    plain = {tuple(r) for r in pii.occurrences(rows, wanted).collect()}
+    monkeypatch.setattr(pii, "FILTER_BITS", 7)
+    assert {tuple(r) for r in pii.occurrences(rows, wanted).collect()} == plain and len(plain) == wanted.count()
+
+
 def test_pieces_around_the_long_word_length():
     sentencepiece = pytest.importorskip("sentencepiece")
     path = subwords.vocabulary_path("piece_bpe_32k.model")
