@@ -3,53 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidencepanel.functions.entity import PROVINCES, Dim, entity_count, norm_key, resolve_entity
 from evidencepanel.functions.text import has_text, has_value, to_int
-from evidencepanel.operators.coverage import gap_matrix, universe_size
+from evidencepanel.operators.coverage import universe_size
 from evidencepanel.operators.groups import need
 from evidencepanel.operators.panel import merge_panel, reference_fill
 from evidencepanel.operators.quality import round_passes, validate_round
-from evidencepanel.plans.session import shared_dir
+from evidencepanel.plans.session import shared_dir, written_once
 
 
-def round_metrics(
-    before: DataFrame,
-    after: DataFrame,
-    keys: Sequence[str],
-    value_cols: Sequence[str],
-    first_year: int,
-    last_year: int,
-    dim: Dim = PROVINCES,
+def _ids(
+    df: DataFrame, keys: Sequence[str], value_cols: Sequence[str], first_year: int, last_year: int, dim: Dim, new: Column
 ) -> DataFrame:
-    """Keys gained, gaps before and after, and the two fill rates, as one row.
+    """What every row speaks for: its key and, through the first value column, the
+    (entity, year) pair it covers."""
+    need(df, *keys, *value_cols, "province", "year")
+    df = resolve_entity(df.withColumn("_new", new), "province", dim)
+    entity, year = F.col("_entity"), to_int("year")
+    covers = has_text(value_cols[0]) & entity.isNotNull() & year.between(first_year, last_year)
+    key = F.array(*[norm_key(k, known=entity) for k in keys])
+    pair = F.when(covers, F.array(entity, year.cast("string")))
+    ids = F.array(
+        F.struct(F.lit(True).alias("is_key"), key.alias("id")), F.struct(F.lit(False).alias("is_key"), pair.alias("id"))
+    )
+    rows = df.select(F.explode(ids).alias("i"), has_value(value_cols).alias("filled"), F.col("_new").alias("new"))
+    return rows.select("i.is_key", "i.id", "filled", "new").where(F.col("id").isNotNull())
 
-    Each panel is read once: its keys and covered pairs go through one aggregate
-    with map-side combine, and everything follows from the folded ids.
-    """
-    for side in (before, after):
-        need(side, *keys, *value_cols, "province", "year")
-
-    def side(df: DataFrame, new: bool) -> DataFrame:
-        # A row speaks for its key and, through the first value column, for the
-        # (entity, year) pair it covers.
-        df = resolve_entity(df, "province", dim)
-        entity, year = F.col("_entity"), to_int("year")
-        covers = has_text(value_cols[0]) & entity.isNotNull() & year.between(first_year, last_year)
-        key = F.array(*[norm_key(k, known=entity) for k in keys])
-        pair = F.when(covers, F.array(entity, year.cast("string")))
-        ids = F.array(
-            F.struct(F.lit(True).alias("is_key"), key.alias("id")), F.struct(F.lit(False).alias("is_key"), pair.alias("id"))
-        )
-        return df.select(F.explode(ids).alias("i"), has_value(value_cols).alias("filled"), F.lit(new).alias("new"))
-
-    rows = side(before, False).unionByName(side(after, True)).where(F.col("i.id").isNotNull())
+
+def _compared(rows: DataFrame) -> DataFrame:
+    """One row of counts from the ids of an old and a new panel."""
     new = F.col("new")
-    folded = rows.groupBy("i.is_key", "i.id").agg(
+    folded = rows.groupBy("is_key", "id").agg(
         F.max(~new).alias("in_old"),
         F.max(new).alias("in_new"),
         F.max(~new & F.col("filled")).alias("old"),
@@ -60,12 +49,93 @@ def round_metrics(
         return F.count(F.when(test, 1))
 
     is_key = F.col("is_key")
-    whole = folded.agg(
+    return folded.agg(
         count(is_key & F.col("now") & ~F.col("old")).alias("gained_keys"),
         *[count(is_key & F.col(c)).alias(c) for c in ("in_old", "in_new", "old", "now")],
         count(~is_key & F.col("in_old")).alias("covered_old"),
         count(~is_key & F.col("in_new")).alias("covered_new"),
     )
+
+
+@dataclass
+class Counters:
+    """What is known of a panel: keys, filled keys, covered (entity, year) pairs, and the sizes they are held against."""
+
+    keys: int
+    filled: int
+    covered: int
+    grid: int
+    size: int | None
+
+    @property
+    def missing(self) -> int:
+        return self.grid - self.covered
+
+    @property
+    def fill_rate(self) -> float:
+        total = self.keys if self.size is None else self.size
+        return self.filled / total * 100 if total else 0.0
+
+
+def panel_counters(
+    panel: DataFrame, keys: Sequence[str], value_cols: Sequence[str], first_year: int, last_year: int, dim: Dim = PROVINCES
+) -> Counters:
+    """The counters of a whole panel, in one pass."""
+    years = range(first_year, last_year + 1)
+    size = universe_size(keys, years, dim)
+    row = _compared(_ids(panel, keys, value_cols, first_year, last_year, dim, F.lit(True))).select(
+        "in_new", "now", "covered_new", (entity_count(dim) * len(years)).alias("grid"), (F.lit(None) if size is None else size).alias("size")
+    ).first()
+    return Counters(*row)
+
+
+def count_round(
+    counters: Counters,
+    before: DataFrame,
+    after: DataFrame,
+    changed: str,
+    keys: Sequence[str],
+    value_cols: Sequence[str],
+    first_year: int,
+    last_year: int,
+    dim: Dim = PROVINCES,
+) -> tuple[int, Counters]:
+    """Keys gained and the new counters, from the ids of changed rows alone.
+
+    ``after`` is ``before`` with some cells written, ``changed`` its column that marks the
+    rows this touched.  Cells are only written with text, so no row stops covering its pair.  All other ids count in both panels alike, so only the marked rows'
+    ids are folded: as a written table of known size they are broadcast to both scans
+    where they are small, and neither panel is exchanged.
+    """
+    scope = (keys, value_cols, first_year, last_year, dim)
+    here = _ids(after.where(changed), *scope, F.lit(True)).select("is_key", "id")
+    touched = written_once(here.distinct(), "touched-ids")
+    rows = _ids(before, *scope, F.lit(False)).unionByName(_ids(after, *scope, F.lit(True)))
+    row = _compared(rows.join(touched, ["is_key", "id"], "left_semi")).first()
+    return row.gained_keys, replace(
+        counters,
+        keys=counters.keys + row.in_new - row.in_old,
+        filled=counters.filled + row.now - row.old,
+        covered=counters.covered + row.covered_new - row.covered_old,
+    )
+
+
+def round_metrics(
+    before: DataFrame,
+    after: DataFrame,
+    keys: Sequence[str],
+    value_cols: Sequence[str],
+    first_year: int,
+    last_year: int,
+    dim: Dim = PROVINCES,
+) -> DataFrame:
+    """Keys gained, gaps before and after, and the two fill rates, as one row.
+
+    Each panel is read once: its keys and covered pairs go through one aggregate
+    with map-side combine, and everything follows from the folded ids.
+    """
+    scope = (keys, value_cols, first_year, last_year, dim)
+    whole = _compared(_ids(before, *scope, F.lit(False)).unionByName(_ids(after, *scope, F.lit(True))))
     grid = entity_count(dim) * max(0, last_year - first_year + 1)
     size = universe_size(keys, range(first_year, last_year + 1), dim)
 
@@ -147,33 +217,42 @@ def run_rounds(
     """Applies one patch table per round until nothing is missing or gained.
 
     Each round's panel is checkpointed to the shared folder, which cuts the
-    lineage and survives lost executors.  Only one summary row per round reaches
-    the driver.
+    lineage and survives lost executors.  The panel is counted once before the first
+    round; later counts come from the ids of changed rows.  Only one summary row per
+    round reaches the driver.
     """
     shared_dir(panel.sparkSession)
     run = RoundRun(panel)
-    gaps: int | None = None
+    scope = (keys, value_cols, first_year, last_year, dim)
+    known = panel_counters(panel, *scope) if patches else None
     streak = 0
     for number, patch in enumerate(patches, start=1):
-        if gaps is None:
-            gaps = gap_matrix(panel, value_cols[0], first_year, last_year, dim).count()
-        if gaps == 0:
+        if known.missing == 0:
             run.stopped = "no gaps left"
             break
         if fill_only:
-            changed = reference_fill(run.panel, patch, keys, value_cols[0]).drop("_scanned", "_filled")
+            filled = reference_fill(run.panel, patch, keys, value_cols[0])
+            marked = filled.withColumn("_changed", F.col("_filled")).drop("_scanned", "_filled")
         else:
-            changed = merge_panel(run.panel, patch, keys, value_cols, entity_form, dim).drop("_written")
-        changed = changed.checkpoint()
+            merged = merge_panel(run.panel, patch, keys, value_cols, entity_form, dim)
+            marked = merged.withColumn("_changed", F.col("_written") > 0).drop("_written")
+        marked = marked.checkpoint()
+        changed = marked.drop("_changed")
         if registry is not None and not round_passes(
             validate_round(changed, registry, variable, keys, value_cols=value_cols)
         ):
             run.panel, run.stopped = changed, "checks failed"
             break
-        row = round_metrics(run.panel, changed, keys, value_cols, first_year, last_year, dim).first().asDict()
-        gained = row.pop("gained_keys")
-        run.rounds.append({"round": number, "gained": gained, **row})
-        run.panel, gaps = changed, row["missing_after"]
+        gained, after = count_round(known, run.panel, marked, "_changed", *scope)
+        run.rounds.append({
+            "round": number,
+            "gained": gained,
+            "missing_before": known.missing,
+            "missing_after": after.missing,
+            "fill_rate_before": known.fill_rate,
+            "fill_rate_after": after.fill_rate,
+        })
+        run.panel, known = changed, after
         streak = streak + 1 if gained < min_gain else 0
         if streak >= patience:
             run.stopped = f"{streak} low-gain rounds"

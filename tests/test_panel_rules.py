@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from evidencepanel.functions.entity import PROVINCES
 from evidencepanel.operators import coverage as cov
 from evidencepanel.operators import panel as pan
 from evidencepanel.operators import quality as qc
@@ -10,6 +11,7 @@ from evidencepanel.operators import registry as regs
 from evidencepanel.operators import scorecard as sc
 from evidencepanel.operators.groups import number_rows, top_per_group
 from evidencepanel.plans import rounds
+from evidencepanel.plans.session import written_once
 
 KEYS = ["province", "year"]
 
@@ -277,3 +279,38 @@ def test_large_k_uses_slices_and_stays_exact(spark):
     rows = spark.range(0, 6000).select((F.col("id") % 2).alias("g"), F.col("id"))
     got = top_per_group(rows, ["g"], [F.col("id").desc()], 1500)
     assert got.groupBy("g").agg(F.min("id").alias("m"), F.max("_rank").alias("r")).orderBy("g").collect() == [(0, 3000, 1500), (1, 3001, 1500)]
+
+
+def test_counts_of_changed_rows_equal_counts_of_whole_panels(spark):
+    """Rows that share a key or a pair with a changed one count as well; spellings of a name are one key."""
+    names = ["江苏", "江苏省", "上海", "上海市", "Nowhere", "", None]
+    rows = [(i, names[i % 7], str(2020 + i % 4), f"s{i % 3}", ["", "5", None, " "][i % 4], "") for i in range(80)]
+    panel = spark.createDataFrame(rows, "_row long, province string, year string, series string, v string, w string")
+    patches = [
+        spark.createDataFrame([(j, names[(3 * j + k) % 7], str(2020 + j % 4), f"s{j % 3}", ["9", ""][j % 2], ["", "x"][k % 2]) for j in range(12)], panel.schema)
+        for k in range(3)
+    ]
+    for keys in (["province", "year"], ["province", "year", "series"]):
+        for more in ({}, {"entity_form": "short"}, {"fill_only": True}):
+            run = rounds.run_rounds(panel, patches, ["v", "w"], 2020, 2022, keys, min_gain=-1, **more)
+            assert len(run.rounds) == 3
+            before = panel
+            for patch, got in zip(patches, run.rounds):
+                if "fill_only" in more:
+                    after = pan.reference_fill(before, patch, keys, "v").drop("_scanned", "_filled")
+                else:
+                    after = pan.merge_panel(before, patch, keys, ["v", "w"], more.get("entity_form")).drop("_written")
+                want = rounds.round_metrics(before, after, keys, ["v", "w"], 2020, 2022).first().asDict()
+                assert got == {"round": got["round"], "gained": want.pop("gained_keys"), **want}
+                before = after
+
+
+def test_counting_a_round_exchanges_no_panel(spark):
+    """Ids that changed are broadcast to both scans; only folded counts are exchanged."""
+    panel = spark.range(1000).selectExpr(
+        "id AS _row", "'江苏' AS province", "CAST(2000 + id % 20 AS string) AS year", "CAST(id AS string) AS v", "id < 3 AS _changed"
+    )
+    ids = rounds._ids(panel, ["province", "year"], ["v"], 2000, 2020, PROVINCES, F.lit(True))
+    touched = written_once(ids.where("new").select("is_key", "id").distinct(), "ids")
+    plan = ids.join(touched, ["is_key", "id"], "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
