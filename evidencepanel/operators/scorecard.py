@@ -14,6 +14,7 @@ from evidencepanel.functions.text import has_text, has_value, raw, strip
 from evidencepanel.operators.coverage import universe_size, with_key_columns
 from evidencepanel.operators.groups import ROW, need
 from evidencepanel.operators.registry import UNMATCHED, match_registry, registry_scope, resolve_provenance
+from evidencepanel.plans.session import written_once
 
 # Weights of the overall score and the provenance columns.
 SCORE_WEIGHTS: dict[str, float] = {
@@ -54,7 +55,11 @@ def match_summary(resolved: DataFrame, level: str = "resolved") -> DataFrame:
     after the registry filled it.  Blank levels are not counted.
     """
     field = {"own": "provenance.source_level", "resolved": "provenance.resolved_source_level"}[level]
-    rows = resolved.groupBy("match_mode", F.col(field).alias("_level")).agg(F.count(F.lit(1)).alias("_n"))
+    return _summed(resolved.groupBy("match_mode", F.col(field).alias("_level")).agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    """(kind, name, count) from numbers ``_n`` of rows by match mode and level."""
     pairs = F.array(
         F.struct(F.lit("match_mode").alias("kind"), F.col("match_mode").alias("name")),
         F.struct(F.lit("source_level").alias("kind"), F.col("_level").alias("name")),
@@ -264,11 +269,18 @@ def evidence_pack(
     # Records are computed once, into the pack; all that follows reads them there.
     write_evidence(records, at("evidence_records"))
     records = panel.sparkSession.read.schema(records.schema).json(at("evidence_records"))
-    used = records.select(F.col("provenance.resolved_source_id").alias("source_id")).where("source_id <> ''")
-    used = used.distinct()
+    # One scan folds them to a row per source, mode and level; ids, summary and counts come from that.
+    folded = written_once(
+        records.groupBy(
+            F.col("provenance.match_mode").alias("match_mode"),
+            F.col("provenance.source_level").alias("_level"),
+            F.col("provenance.resolved_source_id").alias("source_id"),
+        ).agg(F.count(F.lit(1)).alias("_n")),
+        "folded-records",
+    )
+    used = folded.where("source_id <> ''").select("source_id").distinct()
     used.orderBy("source_id").write.mode("overwrite").json(at("source_ids"))
-    slim = records.select(F.col("provenance.match_mode").alias("match_mode"), "provenance")
-    summary = match_summary(slim, level="own")
+    summary = _summed(folded)
     # Levels are free text, so their full counts are a table; the manifest has
     # the known ones and the rest as one number.
     summary.write.mode("overwrite").json(at("summary"))
@@ -292,7 +304,7 @@ def evidence_pack(
         panel.agg(F.count(F.lit(1)).alias("n")).scalar().alias("total_dataset_rows"),
         reg.agg(F.count(F.lit(1)).alias("n")).scalar().alias("total_registry_rows"),
         scope.agg(F.count(F.lit(1)).alias("n")).scalar().alias("registry_rows_in_scope"),
-        records.agg(F.count(F.lit(1)).alias("n")).scalar().alias("evidence_record_count"),
+        folded.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar().alias("evidence_record_count"),
         "match_summary",
         "source_level_summary",
         used.agg(F.count(F.lit(1)).alias("n")).scalar().alias("unique_source_id_count"),
