@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +11,13 @@ from evidencepanel.bindings.catalog import ENT, KEYED, has, number, query, s, ye
 from evidencepanel.bindings.views import FIRST_YEAR, LAST_YEAR, Views
 from evidencepanel.functions import entity as ent
 from evidencepanel.functions.entity import norm_key
-from evidencepanel.functions.text import has_value
+from evidencepanel.functions.text import has_value, strip
 from evidencepanel.operators import coverage as cov
 from evidencepanel.operators import panel as pan
+from evidencepanel.operators import stored
 from evidencepanel.operators.groups import keep_last
 from evidencepanel.plans import rounds
+from evidencepanel.plans.session import scratch_path
 
 KEYS = ["province", "year", "series"]
 VALUES = ["stock_10k", "aux_value"]
@@ -265,6 +269,59 @@ def _(v: Views) -> DataFrame:
     return out.select("_row", *COLS, F.col("_updated").alias("updated"))
 
 
+STORED_KEYS = ", ".join(s(k) for k in KEYS)
+STORED = f"""last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {STORED_KEYS} ORDER BY _row DESC) AS rn FROM panel) WHERE rn = 1),
+  news AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {STORED_KEYS} ORDER BY _row DESC) AS rn FROM patch) WHERE rn = 1)"""
+ON_KEYS = " AND ".join(f"{s('p.' + k)} = {s('w.' + k)}" for k in KEYS)
+STORED_COLS = COLS[:-1]
+
+
+def _stored(v: Views) -> stored.StoredPanel:
+    """The panel as a table of its own."""
+    at = stored.StoredPanel(f"panel_{uuid.uuid4().hex}", {k: strip for k in KEYS}, parts=4, buckets=16)
+    stored.store_panel(v.panel, at, scratch_path(v.spark, "stored-panel"))
+    return at
+
+
+@query(
+    "j1_merge_stored",
+    f"SELECT p._row, p.province, CASE WHEN {has('w.stock_10k')} THEN w.stock_10k ELSE p.stock_10k END AS stock_10k "
+    f"FROM last p LEFT JOIN news w ON {ON_KEYS}",
+    STORED,
+)
+def _(v: Views) -> DataFrame:
+    at = _stored(v)
+    stored.merge_stored(v.patch, at, ["stock_10k"])
+    return stored.stored_rows(v.spark, at).select("_row", "province", "stock_10k")
+
+
+@query(
+    "j10_upsert_stored",
+    f"SELECT _row, province, year, stock_10k, NULL AS note FROM news UNION ALL "
+    f"SELECT p._row, p.province, p.year, p.stock_10k, p.note FROM last p LEFT JOIN news w ON {ON_KEYS} WHERE w._row IS NULL",
+    STORED,
+)
+def _(v: Views) -> DataFrame:
+    at = _stored(v)
+    stored.upsert_stored(v.patch.select("_row", *KEYS, "stock_10k"), at)
+    return stored.stored_rows(v.spark, at).select("_row", "province", "year", "stock_10k", "note")
+
+
+@query(
+    "j11_overwrite_stored",
+    "SELECT p._row, "
+    + ", ".join(f"CASE WHEN u THEN coalesce(w_{c}, '') ELSE {c} END AS {c}" for c in STORED_COLS)
+    + f""" FROM (SELECT p.*, {", ".join(f"w.{c} AS w_{c}" for c in STORED_COLS)},
+          w._row IS NOT NULL AND {s('p.year')} IN ('1997', '1999') AND {has('w.stock_10k')} AS u
+        FROM last p LEFT JOIN news w ON {ON_KEYS}) p""",
+    STORED,
+)
+def _(v: Views) -> DataFrame:
+    at = _stored(v)
+    stored.overwrite_stored(v.patch, at, STORED_COLS, [1997, 1999], require="stock_10k")
+    return stored.stored_rows(v.spark, at).select("_row", *STORED_COLS)
+
+
 def _other_panel(v: Views) -> DataFrame:
     """The panel after a fill, with some cells changed."""
     return v.sql(
