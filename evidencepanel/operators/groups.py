@@ -6,8 +6,8 @@
   the same filter leaves of slices of each group;
 * lookups against one row per key: ``same_key`` joins, whose hot keys the
   adaptive planner splits;
-* numbering all rows: quantile buckets numbered in parallel, plus the running
-  size of the buckets before.
+* numbering all rows: ranges sorted and written in parallel, plus the running size of
+  the ranges before.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidencepanel.functions.text import all_of
+from evidencepanel.plans.session import written_once
 
 ROW = "_row"
 SLICES = 64
@@ -90,31 +91,24 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     return cut.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
-def _slot_of(key: Column, bounds: Sequence[float], first: int = 0) -> Column:
-    """Number of bounds below the key, by halving: few comparisons per row."""
-    if not bounds:
-        return F.lit(first)
-    middle = len(bounds) // 2
-    above = _slot_of(key, bounds[middle + 1 :], first + middle + 1)
-    return F.when(key > bounds[middle], above).otherwise(_slot_of(key, bounds[:middle], first))
-
-
 def number_rows(df: DataFrame, order: str, out: str = "_n", buckets: int | None = None) -> DataFrame:
     """Consecutive numbers from 1 over the whole table by a unique numeric column.
 
-    No task ever sees the whole table: quantile bounds cut it into even buckets
-    (as many as shuffle partitions, which are set by the size of the data), each bucket
-    is numbered on its own, and the bucket sizes give the offsets.
+    No task ever sees the whole table: rows are dealt by ranges of the order (as many as
+    shuffle partitions, which are set by the size of the data), sorted there and written
+    once below the shared folder.  The place of a row in its range is known as it is
+    written; what lies before its range is a running sum over one row per range.
     """
     need(df, order)
     if buckets is None:
         buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 8)
-    points = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.approxQuantile(order, points, 0.25 / buckets)))
-    placed = df.withColumn("_slot", _slot_of(F.col(order), bounds))
-    sizes = placed.groupBy("_slot").count()
+    dealt = df.repartitionByRange(buckets, order).sortWithinPartitions(order)
+    # The id is the number of the range and, in its lower 33 bits, the place in it.
+    kept = written_once(dealt.withColumn("_range_place", F.monotonically_increasing_id()), "numbered")
+    slot = F.shiftright("_range_place", 33)
+    sizes = kept.groupBy(slot.alias("_slot")).count()
     before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_slot", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_slot").orderBy(order))
-    numbered = placed.withColumn("_in", inside).join(offsets, "_slot")
-    return numbered.select(*df.columns, (F.col("_in") + F.col("_before")).cast("bigint").alias(out))
+    numbered = kept.join(offsets, slot == F.col("_slot"))
+    place = F.col("_range_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.select(*df.columns, (place + F.col("_before") + 1).cast("bigint").alias(out))
