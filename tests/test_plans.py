@@ -11,7 +11,7 @@ from evidencepanel.functions.entity import with_other_entity
 from evidencepanel.operators import panel as pan
 from evidencepanel.operators import ranking as rk
 from evidencepanel.operators import registry as regs
-from evidencepanel.operators.mentions import mentions
+from evidencepanel.operators.mentions import mentions, name_index
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -76,6 +76,18 @@ def test_names_in_texts_equal_a_plain_search(spark):
         assert r["_other"] == any(n in (r["said"] or "") and n != r["own"] for n in names), r
 
 
+def test_names_that_begin_alike_share_one_entry_of_the_index(spark):
+    numbers = spark.range(3000).select(F.format_string("地%09d", F.col("id") * 7).alias("short"))
+    odd = ["地\\E", "\\Ea.", "ab\\Q\\Ec", "a\\", "地00"]
+    places = numbers.unionByName(spark.createDataFrame([(n,) for n in odd], "short string"))
+    assert name_index(numbers, "short").collect() == [("地00", 10)]
+    lines = [f"从地{i * 21:09d}至地{i * 5:09d}" for i in range(50)] + [n + "x" + n for n in odd] + ["地00000000", None]
+    said = spark.createDataFrame(list(enumerate(lines)), "id int, said string")
+    names = [r["short"] for r in places.collect()]
+    got = sorted((r["id"], r["short"]) for r in mentions(said, "id", "said", places).collect())
+    assert got == sorted((i, n) for i, t in enumerate(lines) for n in names if n in (t or ""))
+
+
 def test_hot_keys_are_split(spark):
     left = spark.range(200000).select(
         F.col("id").alias("_row"),
