@@ -385,7 +385,7 @@ def normalize_entity_join(df: DataFrame, column: str, dim: DataFrame, out: str =
 
 def _met_names(df: DataFrame, column: str, dim: DataFrame, targets: Mapping[str, str]) -> DataFrame:
     """Adds each target form of the entity that the name means, under its new column name."""
-    from evidencepanel.operators.groups import same_key
+    from evidencepanel.operators.groups import never_broadcast, same_key
 
     for target in targets.values():
         form_index(target)
@@ -408,7 +408,7 @@ def _met_names(df: DataFrame, column: str, dim: DataFrame, targets: Mapping[str,
         ).alias("d"),
     ).select("ordinal", "target", "d.tier", "d.form", "d.probe")
     found = (
-        probes.join(exact, ["tier", "probe"])
+        probes.join(never_broadcast(exact), ["tier", "probe"])
         .groupBy("_name")
         .agg(F.min_by("target", F.struct("tier", "form", "ordinal")).alias("_target"))
         .select("_name", "_target.*")

@@ -46,6 +46,16 @@ def same_key(pairs: Iterable[tuple[Column, Column]]) -> Column:
     return all_of(a == b for a, b in pairs) & (left == right)
 
 
+def never_broadcast(df: DataFrame) -> DataFrame:
+    """The side of an equality join that is exchanged, whatever its size seems to be.
+
+    The planner goes by the size of the files a side is read from.  Well packed columns, or
+    rows made of them by ``explode`` and ``concat``, are many times that in memory, and a
+    broadcast table passes through the driver.
+    """
+    return df.hint("merge")
+
+
 def key_hash(keys: Sequence[str]) -> Column:
     """A leading group key that sorts fast.
 

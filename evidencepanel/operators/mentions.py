@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidencepanel.operators.groups import need, same_key
+from evidencepanel.operators.groups import need, never_broadcast, same_key
 from evidencepanel.plans.session import written_once
 
 GRAM_CHARS = 3
@@ -51,8 +51,8 @@ def mentions(texts: DataFrame, key: str, text: str, names: DataFrame, name: str
     # Written, its size is known: where it is small, the many probes are not exchanged.
     index = written_once(name_index(names, name, size), "name-index")
     called = probes.join(index, probes["_p"] == index["_g"]).select("_k", "_g", "_n")
-    met = called.join(given.withColumnRenamed("_k", "_id"), same_key([(F.col("_k"), F.col("_id"))]))
+    met = called.join(never_broadcast(given.withColumnRenamed("_k", "_id")), same_key([(F.col("_k"), F.col("_id"))]))
     pieces = met.select("_k", F.explode(_pieces(F.col("_t"), F.col("_g"), F.col("_n"))).alias("_piece"))
     listed = names.select(F.col(name).alias("_name")).where(F.length("_name") > 0).distinct()
-    found = pieces.join(listed, same_key([(pieces["_piece"], listed["_name"])]))
+    found = pieces.join(never_broadcast(listed), same_key([(pieces["_piece"], listed["_name"])]))
     return found.select(F.col("_k").alias(key), F.col("_name").alias(name))

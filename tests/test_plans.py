@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from evidencepanel.bindings.views import Views
-from evidencepanel.functions.entity import with_other_entity
+from evidencepanel.functions.entity import normalize_entity_join, with_other_entity
 from evidencepanel.operators import panel as pan
 from evidencepanel.operators import ranking as rk
 from evidencepanel.operators import registry as regs
@@ -88,6 +88,18 @@ def test_names_that_begin_alike_share_one_entry_of_the_index(spark):
     assert got == sorted((i, n) for i, t in enumerate(lines) for n in names if n in (t or ""))
 
 
+def test_dimensions_given_as_tables_are_not_broadcast(spark, tmp_path):
+    spark.range(500).select(F.format_string("地%09d", "id").alias("short")).write.parquet(str(tmp_path / "d"))
+    name = F.col("short")
+    dim = spark.read.parquet(str(tmp_path / "d")).select(F.lit(1).alias("ordinal"), name, F.concat(name, F.lit("县")).alias("full"), name.alias("code"))
+    rows = spark.createDataFrame([("地000000007县", "a"), ("地000000008北", "b")], "entity string, x string")
+    met = normalize_entity_join(rows, "entity", dim, "named")
+    assert "SortMergeJoin [tier" in plan(met)
+    assert sorted(r["named"] for r in met.select("named").collect()) == ["地000000007", "地000000008"]
+    found = plan(mentions(rows, "x", "entity", dim))
+    assert "SortMergeJoin [_piece" in found and "SortMergeJoin [_k" in found
+
+
 def test_hot_keys_are_split(spark):
     left = spark.range(200000).select(
         F.col("id").alias("_row"),
