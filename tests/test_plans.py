@@ -100,6 +100,11 @@ def test_dimensions_given_as_tables_are_not_broadcast(spark, tmp_path):
     assert "SortMergeJoin [_piece" in found and "SortMergeJoin [_k" in found
 
 
+def test_shortlist_keeps_its_names_from_the_driver(spark, builds):
+    shown = plan(builds["w7_shortlist_large"](spark, SMALL))
+    assert "SortMergeJoin [tier" in shown and "BroadcastHashJoin [tier" not in shown
+
+
 def test_hot_keys_are_split(spark):
     left = spark.range(200000).select(
         F.col("id").alias("_row"),
