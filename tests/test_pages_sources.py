@@ -3,6 +3,7 @@
 import json
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,3 +185,11 @@ def test_stream_replaces_only_the_buckets_of_a_batch(spark, table, tmp_path):
     assert query.lastProgress is None or all(s["numRowsTotal"] == 1 for s in query.lastProgress["stateOperators"])
     after = {r["province"]: r["v"] for r in patches.latest_panel(spark, state).collect()}
     assert after["P7"] == "2" and after["P8"] == "1" and len(after) == 200
+
+
+def test_parsed_pages_leave_the_worker_by_their_size():
+    html = "<p>" + "word " * 60000 + "</p>"
+    many = pd.Series([html] * 9 + [None, "<p>end</p>"])
+    parts = list(pg._page_udf(pg.EVERYTHING, ["plain_text", "status"]).func(iter([many, pd.Series(["<p>b</p>"])])))
+    assert [len(p) for p in parts] == [4, 4, 3, 1]
+    assert list(parts[2]["status"]) == ["ok", "error", "ok"] and parts[3]["plain_text"][0] == "b"
