@@ -305,7 +305,12 @@ def with_names(df: DataFrame, entity: str, dim: Dim = PROVINCES, own: str = "_ow
     """Adds the explicit name and the scope words of the row's entity."""
     if isinstance(dim, EntityDim):
         return df.withColumns({own: explicit_name(entity, dim), scope: scope_words(entity, dim)})
-    out = _met_names(df.withColumn("_stripped", strip(entity)), "_stripped", dim, {"_short": "short", "_full": "full"}).drop("_stripped")
+    from evidencepanel.plans.session import written_once
+
+    # Names are met by a join of the table with its own distinct names: written once, what it
+    # comes from is planned and run once.
+    given = written_once(df.withColumn("_stripped", strip(entity)), "named")
+    out = _met_names(given, "_stripped", dim, {"_short": "short", "_full": "full"}).drop("_stripped")
     named = out.withColumns({own: _explicit(raw(entity), F.col("_short"), {}), scope: _scope(raw(entity), F.col("_full"), {})})
     return named.drop("_short", "_full")
 

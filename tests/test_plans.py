@@ -105,6 +105,13 @@ def test_shortlist_keeps_its_names_from_the_driver(spark, builds):
     assert "SortMergeJoin [tier" in shown and "BroadcastHashJoin [tier" not in shown
 
 
+def test_steps_of_a_large_shortlist_are_planned_once(spark, builds):
+    # Planned anew in every use, the candidates alone read their tables 16 times.
+    for name in ("w7_shortlist_large", "t6_extract_candidates_large"):
+        shown = plan(builds[name](spark, SMALL))
+        assert "orders.parquet" not in shown and shown.count("customer.parquet") <= 4, name
+
+
 def test_hot_keys_are_split(spark):
     left = spark.range(200000).select(
         F.col("id").alias("_row"),
