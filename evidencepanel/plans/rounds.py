@@ -11,27 +11,41 @@ from pyspark.sql import functions as F
 from evidencepanel.functions.entity import PROVINCES, Dim, entity_count, norm_key, resolve_entity
 from evidencepanel.functions.text import has_text, has_value, to_int
 from evidencepanel.operators.coverage import universe_size
-from evidencepanel.operators.groups import need
+from evidencepanel.operators.groups import ROW, need
 from evidencepanel.operators.panel import merge_panel, reference_fill
 from evidencepanel.operators.quality import round_passes, validate_round
 from evidencepanel.plans.session import shared_dir, written_once
 
 
+def _with_ids(df: DataFrame, keys: Sequence[str], first_year: int, last_year: int, dim: Dim) -> DataFrame:
+    """Adds ``_id_key``, the row's key, and ``_id_pair``, the (entity, year) pair it can cover."""
+    need(df, *keys, "province", "year")
+    df = resolve_entity(df, "province", dim)
+    entity, year = F.col("_entity"), to_int("year")
+    pair = F.when(entity.isNotNull() & year.between(first_year, last_year), F.array(entity, year.cast("string")))
+    key = F.array(*[norm_key(k, known=entity) for k in keys])
+    return df.withColumns({"_id_key": key, "_id_pair": pair}).drop("_entity")
+
+
+def _with_flags(df: DataFrame, value_cols: Sequence[str]) -> DataFrame:
+    """Adds ``_had`` and ``_stood``: whether the row holds values and covers its pair, as of now."""
+    return df.withColumns({"_had": has_value(value_cols), "_stood": has_text(value_cols[0])})
+
+
 def _ids(
-    df: DataFrame, keys: Sequence[str], value_cols: Sequence[str], first_year: int, last_year: int, dim: Dim, new: Column
+    df: DataFrame, keys: Sequence[str], value_cols: Sequence[str], first_year: int, last_year: int, dim: Dim, new: Column, was: bool = False
 ) -> DataFrame:
     """What every row speaks for: its key and, through the first value column, the
-    (entity, year) pair it covers."""
-    need(df, *keys, *value_cols, "province", "year")
-    df = resolve_entity(df.withColumn("_new", new), "province", dim)
-    entity, year = F.col("_entity"), to_int("year")
-    covers = has_text(value_cols[0]) & entity.isNotNull() & year.between(first_year, last_year)
-    key = F.array(*[norm_key(k, known=entity) for k in keys])
-    pair = F.when(covers, F.array(entity, year.cast("string")))
+    (entity, year) pair it covers; on request as it was before the round (``_with_flags``)."""
+    need(df, *value_cols)
+    if "_id_key" not in df.columns:
+        df = _with_ids(df, keys, first_year, last_year, dim)
+    stands, filled = (F.col("_stood"), F.col("_had")) if was else (has_text(value_cols[0]), has_value(value_cols))
+    pair = F.when(stands, F.col("_id_pair"))
     ids = F.array(
-        F.struct(F.lit(True).alias("is_key"), key.alias("id")), F.struct(F.lit(False).alias("is_key"), pair.alias("id"))
+        F.struct(F.lit(True).alias("is_key"), F.col("_id_key").alias("id")), F.struct(F.lit(False).alias("is_key"), pair.alias("id"))
     )
-    rows = df.select(F.explode(ids).alias("i"), has_value(value_cols).alias("filled"), F.col("_new").alias("new"))
+    rows = df.select(F.explode(ids).alias("i"), filled.alias("filled"), new.alias("new"))
     return rows.select("i.is_key", "i.id", "filled", "new").where(F.col("id").isNotNull())
 
 
@@ -78,12 +92,12 @@ class Counters:
 
 
 def panel_counters(
-    panel: DataFrame, keys: Sequence[str], value_cols: Sequence[str], first_year: int, last_year: int, dim: Dim = PROVINCES
+    panel: DataFrame, keys: Sequence[str], value_cols: Sequence[str], first_year: int, last_year: int, dim: Dim = PROVINCES, was: bool = False
 ) -> Counters:
-    """The counters of a whole panel, in one pass."""
+    """The counters of a whole panel, in one pass; on request as it was before the round."""
     years = range(first_year, last_year + 1)
     size = universe_size(keys, years, dim)
-    row = _compared(_ids(panel, keys, value_cols, first_year, last_year, dim, F.lit(True))).select(
+    row = _compared(_ids(panel, keys, value_cols, first_year, last_year, dim, F.lit(True), was)).select(
         "in_new", "now", "covered_new", (entity_count(dim) * len(years)).alias("grid"), (F.lit(None) if size is None else size).alias("size")
     ).first()
     return Counters(*row)
@@ -99,18 +113,20 @@ def count_round(
     first_year: int,
     last_year: int,
     dim: Dim = PROVINCES,
+    was: bool = False,
 ) -> tuple[int, Counters]:
     """Keys gained and the new counters, from the ids of changed rows alone.
 
     ``after`` is ``before`` with some cells written, ``changed`` its column that marks the
     rows this touched.  Cells are only written with text, so no row stops covering its pair.  All other ids count in both panels alike, so only the marked rows'
     ids are folded: as a written table of known size they are broadcast to both scans
-    where they are small, and neither panel is exchanged.
+    where they are small, and neither panel is exchanged.  With ``was``, ``before`` is
+    ``after`` too and carries what it was (``_with_flags``).
     """
     scope = (keys, value_cols, first_year, last_year, dim)
     here = _ids(after.where(changed), *scope, F.lit(True)).select("is_key", "id")
     touched = written_once(here.distinct(), "touched-ids")
-    rows = _ids(before, *scope, F.lit(False)).unionByName(_ids(after, *scope, F.lit(True)))
+    rows = _ids(before, *scope, F.lit(False), was).unionByName(_ids(after, *scope, F.lit(True)))
     row = _compared(rows.join(touched, ["is_key", "id"], "left_semi")).first()
     return row.gained_keys, replace(
         counters,
@@ -216,34 +232,50 @@ def run_rounds(
 ) -> RoundRun:
     """Applies one patch table per round until nothing is missing or gained.
 
-    Each round's panel is checkpointed to the shared folder, which cuts the
-    lineage and survives lost executors.  The panel is counted once before the first
-    round; later counts come from the ids of changed rows.  Only one summary row per
-    round reaches the driver.
+    Each round's panel is written below the shared folder, which cuts the lineage and
+    survives lost executors.  No round changes the ids of a row, so they are found once and
+    carried along, with what the row held before the round: the first round's file gives the
+    first counts too, and later counts come from the ids of changed rows.  A patch given for
+    several rounds is written once.  Only one summary row per round reaches the driver.
     """
     shared_dir(panel.sparkSession)
     run = RoundRun(panel)
     scope = (keys, value_cols, first_year, last_year, dim)
-    known = panel_counters(panel, *scope) if patches else None
+    # Where a round writes key columns, ids change with it and are found anew.
+    carried = not set(value_cols) & {*keys, "province", "year"}
+    current = _with_ids(panel, keys, first_year, last_year, dim) if carried else panel
+    used = list(dict.fromkeys([*keys, ROW, *value_cols]))
+    again: dict[int, DataFrame] = {}
+    known = None
     streak = 0
     for number, patch in enumerate(patches, start=1):
-        if known.missing == 0:
+        if known and known.missing == 0:
             run.stopped = "no gaps left"
             break
+        if sum(p is patch for p in patches) > 1:
+            if id(patch) not in again:
+                again[id(patch)] = written_once(patch.select(*[c for c in used if c in patch.columns]), "round-patch")
+            patch = again[id(patch)]
+        before = _with_flags(current, value_cols)
         if fill_only:
-            filled = reference_fill(run.panel, patch, keys, value_cols[0])
+            filled = reference_fill(before, patch, keys, value_cols[0])
             marked = filled.withColumn("_changed", F.col("_filled")).drop("_scanned", "_filled")
         else:
-            merged = merge_panel(run.panel, patch, keys, value_cols, entity_form, dim)
+            merged = merge_panel(before, patch, keys, value_cols, entity_form, dim)
             marked = merged.withColumn("_changed", F.col("_written") > 0).drop("_written")
-        marked = marked.checkpoint()
-        changed = marked.drop("_changed")
+        marked = written_once(marked, "round-panel")
+        known = known or panel_counters(marked if carried else current, *scope, was=carried)
+        if known.missing == 0:
+            run.stopped = "no gaps left"
+            break
+        following = marked.drop("_changed", "_had", "_stood")
+        changed = following.drop("_id_key", "_id_pair")
         if registry is not None and not round_passes(
             validate_round(changed, registry, variable, keys, value_cols=value_cols)
         ):
             run.panel, run.stopped = changed, "checks failed"
             break
-        gained, after = count_round(known, run.panel, marked, "_changed", *scope)
+        gained, after = count_round(known, marked if carried else current, marked, "_changed", *scope, was=carried)
         run.rounds.append({
             "round": number,
             "gained": gained,
@@ -252,7 +284,7 @@ def run_rounds(
             "fill_rate_before": known.fill_rate,
             "fill_rate_after": after.fill_rate,
         })
-        run.panel, known = changed, after
+        run.panel, current, known = changed, following, after
         streak = streak + 1 if gained < min_gain else 0
         if streak >= patience:
             run.stopped = f"{streak} low-gain rounds"

@@ -314,3 +314,17 @@ def test_counting_a_round_exchanges_no_panel(spark):
     touched = written_once(ids.where("new").select("is_key", "id").distinct(), "ids")
     plan = ids.join(touched, ["is_key", "id"], "left_semi")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_rounds_resolve_names_and_write_a_repeated_patch_once(table, monkeypatch):
+    resolved, written = [], []
+    resolve, write = rounds.resolve_entity, rounds.written_once
+    monkeypatch.setattr(rounds, "resolve_entity", lambda *a, **k: resolved.append(1) or resolve(*a, **k))
+    monkeypatch.setattr(rounds, "written_once", lambda df, name: written.append(name) or write(df, name))
+    rows = [{"province": p, "year": "2023", "v": v} for p, v in (("北京市", ""), ("上海", "1"), ("上海市", ""), ("火星省", ""))]
+    patch = table([{"province": "北京", "year": "2023", "v": "7"}, {"province": "火星省", "year": "2023", "v": "9"}])
+    run = rounds.run_rounds(table(rows), [patch, patch], ["v"], 2023, 2023, min_gain=0, entity_form="full")
+    assert [(r["gained"], r["missing_before"], r["missing_after"]) for r in run.rounds] == [(2, 29, 28), (0, 28, 28)]
+    assert run.panel.columns == table(rows).columns
+    assert sorted((r["province"], r["v"]) for r in run.panel.collect()) == [("上海", "1"), ("上海市", ""), ("北京市", "7"), ("火星省", "9")]
+    assert len(resolved) == 1 and written.count("round-patch") == 1
