@@ -877,8 +877,8 @@ OLD = "SELECT _row, 'E' || cast(ck AS string) AS province, cast(yr AS string) AS
 NEW = "SELECT ck * 16 + (yr - 1990) AS _row, CASE WHEN ck % 3 = 0 THEN 'E' ELSE 'N' END || cast(ck AS string) AS province, cast(yr AS string) AS year, cast(qty AS string) AS stock_10k FROM shipped"
 
 
-#: A second patch changes half of the keys of the first.
-AGAIN = f"SELECT _row, province, year, stock_10k || '1' AS stock_10k FROM ({NEW}) WHERE _row % 2 = 0"
+#: A second patch changes half of the keys of the first, whose rows it takes as they were written.
+AGAIN = "SELECT _row, province, year, stock_10k || '1' AS stock_10k FROM {rows} WHERE _row % 2 = 0"
 LAST = f"SELECT _row, province, year, CASE WHEN _row % 2 = 0 THEN stock_10k || '1' ELSE stock_10k END AS stock_10k FROM ({NEW})"
 
 
@@ -889,7 +889,8 @@ def _stream(v: Views, rounds: int) -> str:
     patches.start_panel(v.sql(OLD), state, "stock_10k", buckets=16)
     new = v.sql(NEW)
     new.write.parquet(f"{incoming}/a")
-    v.sql(AGAIN).write.parquet(f"{incoming}/b")
+    written = v.spark.read.schema(new.schema).parquet(f"{incoming}/a")
+    v.spark.sql(AGAIN, rows=written).write.parquet(f"{incoming}/b")
     files = len(v.spark.read.parquet(f"{incoming}/*").inputFiles())
     query = patches.stream_rounds(v.spark, f"{incoming}/*", state, new.schema, "stock_10k", -(-files // rounds))
     query.awaitTermination()

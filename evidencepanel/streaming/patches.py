@@ -16,6 +16,8 @@ way), ``metrics/batch=N`` (-1 is the start), and the query's ``checkpoint``.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,8 +28,11 @@ from evidencepanel.operators.groups import ROW, key_hash, need
 
 KEY = ("_e", "_y")
 BUCKETS = 256
+PIECE_ROWS = 100_000
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# A batch writes what it changed in the store; whole copies are made between batches.
+STORE = {PROVIDER: ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
 
 
 def _at(state_dir: str, part: str) -> str:
@@ -38,6 +43,11 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("int")
 
 
+def _piece(pieces: int) -> Column:
+    """A part of a bucket, so that a bucket of any size is work for several tasks."""
+    return F.pmod(F.hash(*KEY), F.lit(max(1, pieces)))
+
+
 def _replace(rows: DataFrame, path: str, *by: str) -> None:
     """Replaces the partitions that ``rows`` holds, and no others."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
@@ -50,7 +60,8 @@ def _metrics(changes: DataFrame, batch_id: int, state_dir: str) -> None:
 def start_panel(panel: DataFrame, state_dir: str, value_col: str, buckets: int = BUCKETS) -> None:
     """The panel before the first patch: its last row per key; rows without entity or year go.
 
-    ``buckets`` is fixed for the life of the state: choose it so that one bucket fits a task.
+    ``buckets`` is fixed for the life of the state.  Tasks share a bucket where there are
+    fewer buckets than cores.
     """
     need(panel, "province", "year", value_col, ROW)
     cols = panel.columns
@@ -58,7 +69,8 @@ def start_panel(panel: DataFrame, state_dir: str, value_col: str, buckets: int =
     keyed = keyed.where((F.col("_e") != "") & (F.col("_y") != 0))
     last = keyed.groupBy(key_hash(KEY), *KEY).agg(F.max_by(F.struct(*cols), ROW).alias("_last"))
     rows = last.select(*KEY, "_last.*", F.lit(buckets).alias("_buckets")).withColumn("bucket", _bucket(buckets))
-    rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(_at(state_dir, "panel"))
+    pieces = ceil(2 * panel.sparkSession.sparkContext.defaultParallelism / buckets)
+    rows.repartition("bucket", _piece(pieces)).write.mode("overwrite").partitionBy("bucket").parquet(_at(state_dir, "panel"))
     now = _panel(panel.sparkSession, state_dir)
     first = now.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(has_text(value_col), 1)).alias("filled_rows"))
     _metrics(first.withColumn("gained_keys", F.lit(0).cast("bigint")), -1, state_dir)
@@ -95,15 +107,19 @@ def deliver(spark: SparkSession, changed: DataFrame, batch_id: int, state_dir: s
         cols = _panel_columns(whole)
         buckets = whole.select("_buckets").first()["_buckets"] if not whole.isEmpty() else BUCKETS
         delta = changed.withColumns({"_buckets": F.lit(buckets), "bucket": _bucket(buckets), "_new": F.lit(True)}).persist()
-        # At most one number per bucket reaches the driver.
-        touched = [r["bucket"] for r in delta.select("bucket").distinct().collect()]
+        earlier = seen.where(F.col("batch") < batch_id)
+        rows_before, filled_before = (earlier.agg(F.max_by(c, "batch")).scalar() for c in ("rows", "filled_rows"))
+        # At most one row per bucket reaches the driver, and the number of rows before.
+        touched = delta.groupBy("bucket").count().collect()
         if not touched:
             return
-        old = whole.where(F.col("bucket").isin(touched)).withColumn("_new", F.lit(False))
-        rows = old.unionByName(delta).repartition("bucket")
+        known = earlier.agg(F.max_by("rows", "batch")).first()[0] or 0
+        pieces = ceil((known / buckets + max(r["count"] for r in touched)) / PIECE_ROWS)
+        old = whole.where(F.col("bucket").isin([r["bucket"] for r in touched])).withColumn("_new", F.lit(False))
+        rows = old.unionByName(delta).withColumn("_piece", _piece(pieces)).repartition("bucket", "_piece")
         keep = ["_buckets", *cols]
-        # One exchange: rows dealt by bucket are dealt by (bucket, key) too.
-        folded = rows.groupBy("bucket", *KEY).agg(
+        # One exchange: rows dealt by bucket and piece are dealt by (bucket, piece, key) too.
+        folded = rows.groupBy("bucket", "_piece", *KEY).agg(
             F.max_by(F.struct(*keep), "_new").alias("_last"),
             F.max(F.when(~F.col("_new"), has_text(value_col))).alias("_was"),
         )
@@ -116,8 +132,6 @@ def deliver(spark: SparkSession, changed: DataFrame, batch_id: int, state_dir: s
             F.count(F.when(now & ~was, 1)).alias("gained"),
             F.count(F.when(~now & was, 1)).alias("lost"),
         )
-        earlier = seen.where(F.col("batch") < batch_id)
-        rows_before, filled_before = (earlier.agg(F.max_by(c, "batch")).scalar() for c in ("rows", "filled_rows"))
         after = change.select(
             (rows_before + F.col("added")).alias("rows"),
             (filled_before + F.col("gained") - F.col("lost")).alias("filled_rows"),
@@ -146,8 +160,9 @@ def stream_rounds(
     def round_of(batch: DataFrame, batch_id: int) -> None:
         deliver(batch.sparkSession, batch, batch_id, state_dir, value_col)
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STORE}
+    for k, v in STORE.items():
+        spark.conf.set(k, v)
     try:
         return (
             changed.writeStream.outputMode("update")
@@ -157,7 +172,8 @@ def stream_rounds(
             .start()
         )
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
 
 
 def round_history(spark: SparkSession, state_dir: str) -> DataFrame:

@@ -187,6 +187,31 @@ def test_stream_replaces_only_the_buckets_of_a_batch(spark, table, tmp_path):
     assert after["P7"] == "2" and after["P8"] == "1" and len(after) == 200
 
 
+def test_tasks_share_a_bucket(spark, table, tmp_path, monkeypatch):
+    state, incoming = str(tmp_path / "state"), tmp_path / "in"
+    panel = table([{"province": f"P{i}", "year": "2020", "v": "1" if i % 2 else ""} for i in range(200)])
+    patches.start_panel(panel, state, "v", buckets=1)
+    _patch_files(table, incoming, [{"province": f"P{i}", "year": "2020", "v": "2"} for i in range(100, 300)])
+    monkeypatch.setattr(patches, "PIECE_ROWS", 10)
+    patches.stream_rounds(spark, str(incoming), state, panel.schema, "v").awaitTermination()
+    assert len(list((tmp_path / "state/next/bucket=0").glob("*.parquet"))) > 1
+    after = {r["province"]: r["v"] for r in patches.latest_panel(spark, state).collect()}
+    assert after == {f"P{i}": "2" if i >= 100 else "1" if i % 2 else "" for i in range(300)}
+    last = patches.round_history(spark, state).orderBy("batch").collect()[-1]
+    assert (last["rows"], last["filled_rows"], last["gained_keys"]) == (300, 250, 150)
+    assert all(spark.conf.get(k, None) is None or k != patches.PROVIDER for k in patches.STORE)
+
+
+def test_the_second_patch_takes_the_rows_of_the_first(spark, monkeypatch):
+    from evidencepanel.bindings import queries_text
+    from evidencepanel.bindings.views import Views
+
+    asked, true = [], Views.sql
+    monkeypatch.setattr(Views, "sql", lambda self, query: asked.append(query) or true(self, query))
+    queries_text._stream(Views(spark, "/root/testdata/sf0.001"), 1)
+    assert sum("FROM shipped" in q for q in asked) == 1
+
+
 def test_parsed_pages_leave_the_worker_by_their_size():
     html = "<p>" + "word " * 60000 + "</p>"
     many = pd.Series([html] * 9 + [None, "<p>end</p>"])
