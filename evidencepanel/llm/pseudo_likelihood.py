@@ -18,7 +18,7 @@ import math
 import sys
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -65,8 +65,9 @@ def word_ids(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id", tex
             found, words, times, ends = [], [], [], [0]
             for t in texts:
                 split = t.lower().split()
-                found.append(np.array([numbers.get(w, 0) for w in split], "<u4"))
-                rare = Counter(w for w in split if w not in numbers)
+                known = np.fromiter(map(numbers.get, split, repeat(0)), "<u4", len(split))
+                found.append(known)
+                rare = Counter(compress(split, (known == 0).tolist()))
                 words.extend(rare)
                 times.extend(rare.values())
                 ends.append(len(words))
@@ -114,75 +115,135 @@ class WindowNetwork:
         for name, value in zip(self.NAMES, values, strict=True):
             setattr(self, name, value)
 
-    def hidden(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = self.embedding[window].reshape(len(window), -1)
-        return x, np.tanh(x @ self.inner + self.inner_bias)
-
     def log_probability(self, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Of the words at the places of a padded id array, each given its neighbours."""
         tables = [self.embedding @ self.inner[k * WIDTH : (k + 1) * WIDTH] for k in range(len(OFFSETS))]
         group, slot = np.divmod(padded[places].astype(np.int64), self.span)
         hidden = np.empty((len(places), HIDDEN), np.float32)
         out = np.empty(len(places), np.float32)
+        some_rows = min(len(places), ROWS_AT_ONCE)
+        near, by_class, by_word = (np.empty((some_rows, k), np.float32) for k in (HIDDEN, self.classes.shape[1], self.span))
         for at in range(0, len(places), ROWS_AT_ONCE):
-            rows = slice(at, at + ROWS_AT_ONCE)
-            total = self.inner_bias + sum(t[padded[places[rows] + o]] for t, o in zip(tables, OFFSETS, strict=True))
-            hidden[rows] = np.tanh(total)
-            out[rows] = softmax_at(hidden[rows] @ self.classes + self.class_bias, group[rows])[0]
+            here = places[at : at + ROWS_AT_ONCE]
+            rows, n = slice(at, at + len(here)), len(here)
+            total = hidden[rows]
+            total[:] = 0
+            for table, o in zip(tables, OFFSETS, strict=True):
+                total += np.take(table, padded[here + o], axis=0, out=near[:n], mode="clip")
+            total += self.inner_bias
+            np.tanh(total, out=total)
+            x = np.matmul(total, self.classes, out=by_class[:n])
+            x += self.class_bias
+            out[rows] = log_softmax_at(x, group[rows])[0]
         for which, chosen in by_group(group):
             for at in range(0, len(chosen), ROWS_AT_ONCE):
                 some = chosen[at : at + ROWS_AT_ONCE]
-                out[some] += softmax_at(hidden[some] @ self.words[which] + self.word_bias[which], slot[some])[0]
+                x = np.matmul(hidden[some], self.words[which], out=by_word[: len(some)])
+                x += self.word_bias[which]
+                out[some] += log_softmax_at(x, slot[some])[0]
         return out
 
-    def train_batch(self, window: np.ndarray, target: np.ndarray, seen: list[np.ndarray], rate: float) -> float:
-        """One Adagrad step; returns the summed log-probability before it."""
+    def train_batch(self, window: np.ndarray, target: np.ndarray, seen: list[np.ndarray], rate: float, room: dict | None = None) -> float:
+        """One Adagrad step; returns the summed log-probability before it.
+
+        ``room`` keeps the work arrays from one step to the next."""
+        room = {} if room is None else room
         n = len(target)
-        x, hidden = self.hidden(window)
-        group, slot = np.divmod(target.astype(np.int64), self.span)
-        order = np.argsort(group, kind="stable")
-        x, hidden, group, slot = x[order], hidden[order], group[order], slot[order]
-        log_class, d_class = softmax_at(hidden @ self.classes + self.class_bias, group)
+
+        def array(name: str, *shape: int, kind: type = np.float32) -> np.ndarray:
+            if name not in room or len(room[name]) < shape[0]:
+                room[name] = np.empty(shape, kind)
+            return room[name][: shape[0]]
+
+        group, slot = np.divmod(target, self.span)
+        order = np.argsort(group.astype(np.uint16), kind="stable")
+        x = np.take(self.embedding, window.ravel(), axis=0, out=array("x", n * len(OFFSETS), WIDTH), mode="clip").reshape(n, -1)
+        given = np.matmul(x, self.inner, out=array("given", n, HIDDEN))
+        given += self.inner_bias
+        np.tanh(given, out=given)
+        window, group, slot, rows = window[order], group[order], slot[order], np.arange(n)
+        np.take(self.embedding, window.ravel(), axis=0, out=x.reshape(-1, WIDTH), mode="clip")
+        hidden = np.take(given, order, axis=0, out=array("hidden", n, HIDDEN), mode="clip")
+        d_class = np.matmul(hidden, self.classes, out=array("classes", n, self.classes.shape[1]))
+        d_class += self.class_bias
+        log_class, d_class = softmax_at(d_class, group)
         total = float(log_class.sum())
-        d_class[np.arange(n), group] -= 1
-        d_hidden = d_class @ self.classes.T
-        d_words, d_word_bias = np.zeros_like(self.words), np.zeros_like(self.word_bias)
-        cut = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
-        for a, b in zip(cut, [*cut[1:], n], strict=True):
-            which = group[a]
-            log_word, d = softmax_at(hidden[a:b] @ self.words[which] + self.word_bias[which], slot[a:b])
-            total += float(log_word.sum())
-            d[np.arange(b - a), slot[a:b]] -= 1
-            np.matmul(hidden[a:b].T, d, out=d_words[which])
-            d.sum(axis=0, out=d_word_bias[which])
-            d_hidden[a:b] += d @ self.words[which].T
-        d_inner_out = d_hidden * (1 - hidden * hidden)
-        d_x = d_inner_out @ self.inner.T
-        cells = (window[order].reshape(-1, 1).astype(np.int64) * WIDTH + np.arange(WIDTH)).ravel()
-        d_embedding = np.bincount(cells, d_x.ravel(), (self.size + 1) * WIDTH).astype(np.float32).reshape(-1, WIDTH)
-        slopes = [d_embedding, x.T @ d_inner_out, d_inner_out.sum(axis=0), hidden.T @ d_class, d_class.sum(axis=0), d_words, d_word_bias]
-        for value, slope, square in zip(self.parameters(), slopes, seen, strict=True):
+        d_class[rows, group] -= 1
+        d_hidden = np.matmul(d_class, self.classes.T, out=array("d_hidden", n, HIDDEN))
+        # Rows of one class lie together: a product each, all else over all rows at once.
+        starts = np.flatnonzero(np.diff(group, prepend=-1))
+        which, cut = group[starts], [*starts.tolist(), n]
+        spans = [(w, slice(a, b)) for w, a, b in zip(which.tolist(), cut, cut[1:])]
+        d = array("d", n, self.span)
+        for w, at in spans:
+            np.matmul(hidden[at], self.words[w], out=d[at])
+        d += np.take(self.word_bias, group, axis=0, out=array("bias", n, self.span), mode="clip")
+        log_word, d = softmax_at(d, slot)
+        total += float(log_word.sum())
+        d[rows, slot] -= 1
+        d_words, d_word_bias, back = array("d_words", *self.words.shape), array("d_word_bias", *self.word_bias.shape), array("back", n, HIDDEN)
+        for k, (w, at) in enumerate(spans):
+            np.matmul(hidden[at].T, d[at], out=d_words[k])
+            np.add.reduce(d[at], axis=0, out=d_word_bias[k])
+            np.matmul(d[at], self.words[w].T, out=back[at])
+        d_hidden += back
+        slope = np.multiply(hidden, hidden, out=array("slope", n, HIDDEN))
+        d_inner_out = np.multiply(d_hidden, np.subtract(1, slope, out=slope), out=d_hidden)
+        d_x = np.matmul(d_inner_out, self.inner.T, out=array("d_x", n, len(OFFSETS) * WIDTH)).reshape(-1, WIDTH)
+        words_at, d_embedding = summed_by(window.ravel(), d_x)
+        every = slice(None)
+        classes = every if len(which) == len(self.words) else which
+        steps = [
+            (words_at, d_embedding),
+            (every, x.T @ d_inner_out),
+            (every, d_inner_out.sum(axis=0)),
+            (every, hidden.T @ d_class),
+            (every, d_class.sum(axis=0)),
+            (classes, d_words[: len(which)]),
+            (classes, d_word_bias[: len(which)]),
+        ]
+        # Rows that no place of the batch touches have no slope: the step leaves them as they are.
+        most = max(p.size for p in self.parameters())
+        for value, (at, slope), square in zip(self.parameters(), steps, seen, strict=True):
+            spare = array("spare", most)[: slope.size].reshape(slope.shape)
             slope *= n**-0.5
-            square += slope * slope
+            some = square[at]
+            some += np.multiply(slope, slope, out=spare)
+            if at is not every:
+                square[at] = some
             slope *= rate
-            slope /= np.sqrt(square)
-            value -= slope
+            slope /= np.sqrt(some, out=spare)
+            value[at] -= slope
         return total
 
 
-def softmax_at(x: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-probability of one column of every row, and all probabilities, in place of ``x``."""
+def summed_by(number: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that occur, and the sum of the rows of each, added as doubles."""
+    order = np.argsort(number.astype(np.min_scalar_type(int(number.max()))), kind="stable")  # short numbers sort faster
+    starts = np.flatnonzero(np.diff(number[order], prepend=-1))
+    return number[order[starts]], np.add.reduceat(rows[order].astype(np.float64), starts, axis=0).astype(np.float32)
+
+
+def log_softmax_at(x: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of one column of every row; ``x`` becomes what is in proportion to all
+    probabilities, and the second result its sums."""
     x -= x.max(axis=1, keepdims=True)
     chosen = x[np.arange(len(x)), column]
     np.exp(x, out=x)
     total = x.sum(axis=1)
+    return chosen - np.log(total), total
+
+
+def softmax_at(x: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of one column of every row, and all probabilities, in place of ``x``."""
+    found, total = log_softmax_at(x, column)
     x /= total[:, None]
-    return chosen - np.log(total), x
+    return found, x
 
 
 def by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The places of every group number that occurs."""
-    order = np.argsort(group, kind="stable")
+    order = np.argsort(group.astype(np.uint16), kind="stable")  # classes are few: the root of the words
     cut = np.flatnonzero(np.diff(group[order], prepend=-1))
     for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(order)], strict=True):
         yield int(group[order[a]]), order[a:b]
@@ -247,13 +308,13 @@ def train(ids: DataFrame, size: int, rounds: int = ROUNDS, every: int = EVERY, r
             local = WindowNetwork(size)
             local.set_parameters([g.copy() for g in given])
             seen = [np.full_like(p, 1.0) for p in local.parameters()]
-            held_windows, held_targets, held, weight = [], [], 0, 0
+            held_windows, held_targets, held, weight, room = [], [], 0, 0, {}
 
             def step(last: bool) -> int:
                 windows, targets = np.concatenate(held_windows), np.concatenate(held_targets)
                 done = 0
                 while len(targets) - done >= (1 if last else BATCH):
-                    local.train_batch(windows[done : done + BATCH], targets[done : done + BATCH], seen, rate)
+                    local.train_batch(windows[done : done + BATCH], targets[done : done + BATCH], seen, rate, room)
                     done = min(len(targets), done + BATCH)
                 held_windows[:], held_targets[:] = [windows[done:]], [targets[done:]]
                 return len(targets) - done

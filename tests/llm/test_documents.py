@@ -461,6 +461,40 @@ def test_pseudo_likelihood_learns_both_sides(spark):
     assert mean > -1.2  # knowing only how often each word stands gives about -1.9
 
 
+def test_a_training_step_follows_the_slope():
+    def steps(network, room):
+        random_ = np.random.default_rng(2)
+        seen = [np.full_like(p, 1.0) for p in network.parameters()]
+        batches = [(random_.integers(0, 51, (n, 4)).astype(np.int32), random_.integers(0, 50, n).astype(np.int32)) for n in (40, 25, 40)]
+        return [network.train_batch(w, t, seen, 0.1, room) for w, t in batches], batches
+
+    kept, new = pseudo_likelihood.WindowNetwork(50), pseudo_likelihood.WindowNetwork(50)
+    room = {}
+    (found, batches), (again, _) = steps(kept, room), steps(new, None)
+    assert found == again and all((a == b).all() for a, b in zip(kept.parameters(), new.parameters()))
+    assert max(a.shape[0] for name, a in room.items() if name != "spare") == 160  # work arrays are made once, for the largest batch
+
+    # A step of Adagrad from squares of 1: slopes as small differences give them, in double precision.
+    network, (window, target) = pseudo_likelihood.WindowNetwork(50), batches[0]
+    before = [p.copy() for p in network.parameters()]
+    padded = np.concatenate([np.r_[w[:2], t, w[2:]] for w, t in zip(window, target)]).astype(np.int32)
+    places = np.arange(2, len(padded), 5)
+    total = lambda: float(network.log_probability(padded, places).astype(np.float64).sum())
+    first = total()
+    network.train_batch(window, target, [np.full_like(p, 1.0) for p in before], 0.1)
+    after = [p.copy() for p in network.parameters()]
+    for k, at in ((0, (int(window[0, 0]), 3)), (1, (5, 7)), (2, (4,)), (3, (2, 1)), (4, (1,)), (5, (int(target[0]) // network.span, 3, int(target[0]) % network.span))):
+        ends = []
+        for by in (-0.01, 0.01):
+            network.set_parameters([b.copy() for b in before])
+            network.parameters()[k][at] += by
+            ends.append(total())
+        slope = -(ends[1] - ends[0]) / 0.02 / len(target) ** 0.5
+        assert abs(before[k][at] - 0.1 * slope / (1 + slope * slope) ** 0.5 - after[k][at]) < 2e-4
+    network.set_parameters(after)
+    assert total() > first
+
+
 def test_every_place_is_trained_on(spark, monkeypatch):
     texts = ["p q r"] * 3 + ["one"] + [" ".join(f"w{i % 7}" for i in range(n)) for n in (2, 15, 16, 17, 100)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
