@@ -2,7 +2,8 @@
 
 All words are counted over all documents.  The commonest, a number that grows with the
 distinct words, have outputs of their own; every other word has its share of the counts
-of all others, joined to the documents in Spark.  A small window network reads the two
+of all others: a multiple of the vocabulary is looked up in the tasks, the rest is
+joined to the documents in Spark.  A small window network reads the two
 words before and the two after a masked place; a two-level softmax (class, word in
 class) gives a proper distribution.  Training is data-parallel: in each round every
 partition trains numpy parameters on its share of the windows of *all* its documents,
@@ -16,73 +17,110 @@ from __future__ import annotations
 import io
 import math
 import sys
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from evidencepanel.llm.common import id_and_text, stored, text_slices
-from evidencepanel.llm.pieces import text_groups
+from evidencepanel.llm.common import batch_slices, id_and_text, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VOCABULARY = 4096  # words with an output of their own, at least
 GROWTH = 4.0  # and so many times the square root of the distinct words
+NEAR = 16  # times as many words are looked up in the tasks; only rarer ones are joined
 OFFSETS = (-2, -1, 1, 2)
 WIDTH, HIDDEN = 16, 32
 ROUNDS = 2
 EVERY = ROUNDS  # one place in so many is trained on, per document and round; as many rounds take all
 BATCH = 2048
 FAN_IN = 16
+COUNTED_BYTES = 1 << 24  # text whose words are counted together before Spark adds the counts
 TOKENS_AT_ONCE = 1 << 17
 ROWS_AT_ONCE = 1 << 11  # rows of an output layer worked on together, to stay in cache
+CLASSES_AT_ONCE = 8  # neighbouring classes whose words are moved together, likewise
+COMMON = 64  # rows of one number that are worth a product of their own
+EXPONENT = 60.0  # powers of e up to this, and their sums, are far inside the range of floats
+
+
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, between ASCII white space, A-Z lowered; how many each text has."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    words, sizes = parts.flatten(), pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+    real = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+    if not real.all():  # white space at the end of a text leaves an empty one
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[real], minlength=len(sizes))
+        words = words.filter(pa.array(real))
+    return words, sizes
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return id_and_text(docs, id_col, text_col).withColumn("text", F.col("text").cast("string"))
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``word, n`` over all documents; words lie between ASCII white space, A-Z lowered."""
 
     def run(batches):
-        for _, texts in text_groups(batches):
-            found = Counter(chain.from_iterable(t.lower().split() for t in texts))
-            yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in found], pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+        for batch in batch_slices(batches, "text", COUNTED_BYTES):
+            found = pc.value_counts(words_in(batch.column(1))[0])
+            yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "n"])
+
+    return _texts(docs, id_col, text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def commonest(counts: DataFrame, least: int, most: int) -> list[Row]:
+    """Rows of ``word, n`` from the commonest word down (ties by the word): ``least`` of them, if there
+    are so many, and up to ``most`` where equal counts need not be parted for it.
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    Only the numbers of words of each count are ordered in the driver, not the words themselves."""
+    floor, found, below = None, 0, None
+    for row in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        if found + row.words > max(least, most):
+            below = row.n
+            break
+        floor, found = row.n, found + row.words
+    rows = [] if floor is None else sorted(counts.where(F.col("n") >= floor).collect(), key=lambda r: (-r.n, r.word))
+    if found < least and below is not None:
+        rows += counts.where(F.col("n") == below).orderBy("word").limit(least - found).collect()
+    return rows
 
 
-def word_ids(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids, outside``: 32-bit numbers of the words, 0 for words outside;
-    the words outside and how often each stands in the text."""
-    names = [w.encode() for w in vocabulary]
+def word_ids(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id", text_col: str = "text", near: list[str] | None = None, shares: list[float] | None = None) -> DataFrame:
+    """``doc_id, n_tokens, ids, share, outside``: 32-bit numbers of the words, 0 for words outside
+    the vocabulary; the sum of the shares of those that are near it; the other words outside
+    and how often each stands in the text."""
+    known = pa.array([*vocabulary, *(near or [])], pa.string())
+    size, given = len(vocabulary), np.concatenate([np.zeros(len(vocabulary) + 1), shares or []])
 
     def run(batches):
-        numbers = {w: i for i, w in enumerate(names, 1)}
-        for ids, texts in text_slices(batches):
-            found, words, times, ends = [], [], [], [0]
-            for t in texts:
-                split = t.lower().split()
-                known = np.fromiter(map(numbers.get, split, repeat(0)), "<u4", len(split))
-                found.append(known)
-                rare = Counter(compress(split, (known == 0).tolist()))
-                words.extend(rare)
-                times.extend(rare.values())
-                ends.append(len(words))
-            pairs = pa.StructArray.from_arrays([pa.array([w.decode() for w in words], pa.string()), pa.array(times, pa.int64())], names=["word", "times"])
+        for batch in batch_slices(batches, "text"):
+            words, sizes = words_in(batch.column(1))
+            numbers = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False) + 1
+            text, rare = np.repeat(np.arange(len(sizes)), sizes), numbers == 0
+            ids = np.where(numbers > size, 0, numbers).astype("<u4")
+            ends = np.cumsum(sizes)
+            # Words outside, once a text: a text and a word are one number.
+            coded = words.filter(pa.array(rare)).dictionary_encode()
+            pair, times = np.unique(text[rare] * (len(coded.dictionary) + 1) + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            where, code = np.divmod(pair, len(coded.dictionary) + 1)
+            pairs = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(code)), pa.array(times, pa.int64())], names=["word", "times"])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()),
-                    pa.array([len(f) for f in found], pa.int64()),
-                    pa.array([f.tobytes() for f in found], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
+                    batch.column(0),
+                    pa.array(sizes),
+                    pa.array([ids[a:b].tobytes() for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)], pa.binary()),
+                    pa.array(np.bincount(text, given[numbers], len(sizes)), pa.float64()),
+                    pa.ListArray.from_arrays(pa.array(np.searchsorted(where, np.arange(len(sizes) + 1)), pa.int32()), pairs),
                 ],
-                names=["doc_id", "n_tokens", "ids", "outside"],
+                names=["doc_id", "n_tokens", "ids", "share", "outside"],
             )
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids binary, outside array<struct<word:string,times:long>>")
+    return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids binary, share double, outside array<struct<word:string,times:long>>")
 
 
 class WindowNetwork:
@@ -102,45 +140,49 @@ class WindowNetwork:
         self.embedding = normal(size + 1, WIDTH, scale=0.1)  # the last row stands beyond the text
         self.inner = normal(len(OFFSETS) * WIDTH, HIDDEN, scale=(len(OFFSETS) * WIDTH) ** -0.5)
         self.inner_bias = np.zeros(HIDDEN, np.float32)
-        self.classes = normal(HIDDEN, count, scale=0.05)
-        self.class_bias = np.zeros(count, np.float32)
-        self.words = normal(count, HIDDEN, self.span, scale=0.05)
-        self.word_bias = np.zeros((count, self.span), np.float32)
+        # Biases are the last row of their weights, met by a 1 after the hidden values.
+        self.class_rows = np.zeros((HIDDEN + 1, count), np.float32)
+        self.class_rows[:HIDDEN] = normal(HIDDEN, count, scale=0.05)
+        self.word_rows = np.zeros((count, HIDDEN + 1, self.span), np.float32)
+        self.word_rows[:, :HIDDEN] = normal(count, HIDDEN, self.span, scale=0.05)
         self.word_bias[np.arange(count * self.span).reshape(count, self.span) >= size] = -1e9  # no such words
 
+    classes = property(lambda self: self.class_rows[:HIDDEN])
+    class_bias = property(lambda self: self.class_rows[HIDDEN])
+    words = property(lambda self: self.word_rows[:, :HIDDEN])
+    word_bias = property(lambda self: self.word_rows[:, HIDDEN])
+
     def parameters(self) -> list[np.ndarray]:
         return [getattr(self, n) for n in self.NAMES]
 
     def set_parameters(self, values: list[np.ndarray]) -> None:
-        for name, value in zip(self.NAMES, values, strict=True):
-            setattr(self, name, value)
+        for held, value in zip(self.parameters(), values, strict=True):
+            held[...] = value
 
     def log_probability(self, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Of the words at the places of a padded id array, each given its neighbours."""
         tables = [self.embedding @ self.inner[k * WIDTH : (k + 1) * WIDTH] for k in range(len(OFFSETS))]
         group, slot = np.divmod(padded[places].astype(np.int64), self.span)
-        hidden = np.empty((len(places), HIDDEN), np.float32)
+        hidden = np.empty((len(places), HIDDEN + 1), np.float32)
+        hidden[:, HIDDEN] = 1
         out = np.empty(len(places), np.float32)
         some_rows = min(len(places), ROWS_AT_ONCE)
-        near, by_class, by_word = (np.empty((some_rows, k), np.float32) for k in (HIDDEN, self.classes.shape[1], self.span))
+        shapes = (HIDDEN, HIDDEN, HIDDEN + 1, self.class_rows.shape[1], self.span)
+        near, total, chosen_rows, by_class, by_word = (np.empty((some_rows, k), np.float32) for k in shapes)
         for at in range(0, len(places), ROWS_AT_ONCE):
             here = places[at : at + ROWS_AT_ONCE]
             rows, n = slice(at, at + len(here)), len(here)
-            total = hidden[rows]
-            total[:] = 0
-            for table, o in zip(tables, OFFSETS, strict=True):
-                total += np.take(table, padded[here + o], axis=0, out=near[:n], mode="clip")
-            total += self.inner_bias
-            np.tanh(total, out=total)
-            x = np.matmul(total, self.classes, out=by_class[:n])
-            x += self.class_bias
-            out[rows] = log_softmax_at(x, group[rows])[0]
+            given = np.take(tables[0], padded[here + OFFSETS[0]], axis=0, out=total[:n], mode="clip")
+            for table, o in zip(tables[1:], OFFSETS[1:], strict=True):
+                given += np.take(table, padded[here + o], axis=0, out=near[:n], mode="clip")
+            given += self.inner_bias
+            hidden[rows, :HIDDEN] = np.tanh(given, out=given)
+            out[rows] = log_softmax_at(np.matmul(hidden[rows], self.class_rows, out=by_class[:n]), group[rows])[0]
         for which, chosen in by_group(group):
             for at in range(0, len(chosen), ROWS_AT_ONCE):
                 some = chosen[at : at + ROWS_AT_ONCE]
-                x = np.matmul(hidden[some], self.words[which], out=by_word[: len(some)])
-                x += self.word_bias[which]
-                out[some] += log_softmax_at(x, slot[some])[0]
+                x = np.take(hidden, some, axis=0, out=chosen_rows[: len(some)], mode="clip")
+                out[some] += log_softmax_at(np.matmul(x, self.word_rows[which], out=by_word[: len(some)]), slot[some])[0]
         return out
 
     def train_batch(self, window: np.ndarray, target: np.ndarray, seen: list[np.ndarray], rate: float, room: dict | None = None) -> float:
@@ -157,94 +199,121 @@ class WindowNetwork:
 
         group, slot = np.divmod(target, self.span)
         order = np.argsort(group.astype(np.uint16), kind="stable")
-        x = np.take(self.embedding, window.ravel(), axis=0, out=array("x", n * len(OFFSETS), WIDTH), mode="clip").reshape(n, -1)
+        group, slot, rows = group[order], slot[order], np.arange(n)
+        near = window[order].ravel()
+        x = np.take(self.embedding, near, axis=0, out=array("x", len(near), WIDTH), mode="clip").reshape(n, -1)
         given = np.matmul(x, self.inner, out=array("given", n, HIDDEN))
         given += self.inner_bias
         np.tanh(given, out=given)
-        window, group, slot, rows = window[order], group[order], slot[order], np.arange(n)
-        np.take(self.embedding, window.ravel(), axis=0, out=x.reshape(-1, WIDTH), mode="clip")
-        hidden = np.take(given, order, axis=0, out=array("hidden", n, HIDDEN), mode="clip")
-        d_class = np.matmul(hidden, self.classes, out=array("classes", n, self.classes.shape[1]))
-        d_class += self.class_bias
-        log_class, d_class = softmax_at(d_class, group)
+        hidden, weighted = array("hidden", n, HIDDEN + 1), array("weighted", n, HIDDEN + 1)
+        hidden[:, :HIDDEN] = given
+        hidden[:, HIDDEN] = 1
+        # Slopes are left in proportion to the probabilities: what they meet is divided by the sums instead.
+        d_class = np.matmul(hidden, self.class_rows, out=array("classes", n, self.class_rows.shape[1]))
+        log_class, sums = log_softmax_at(d_class, group)
         total = float(log_class.sum())
-        d_class[rows, group] -= 1
+        d_class[rows, group] -= sums
+        share = (n**-0.5 / sums)[:, None]
+        d_class_rows = np.multiply(hidden, share, out=weighted).T @ d_class
         d_hidden = np.matmul(d_class, self.classes.T, out=array("d_hidden", n, HIDDEN))
+        d_hidden *= share
         # Rows of one class lie together: a product each, all else over all rows at once.
-        starts = np.flatnonzero(np.diff(group, prepend=-1))
+        starts = starts_of(group)
         which, cut = group[starts], [*starts.tolist(), n]
-        spans = [(w, slice(a, b)) for w, a, b in zip(which.tolist(), cut, cut[1:])]
+        spans = [slice(a, b) for a, b in zip(cut, cut[1:])]
         d = array("d", n, self.span)
-        for w, at in spans:
-            np.matmul(hidden[at], self.words[w], out=d[at])
-        d += np.take(self.word_bias, group, axis=0, out=array("bias", n, self.span), mode="clip")
-        log_word, d = softmax_at(d, slot)
+        parts = [(at, self.word_rows[w], d[at]) for w, at in zip(which.tolist(), spans, strict=True)]
+        for at, weights, here in parts:
+            np.dot(hidden[at], weights, out=here)
+        log_word, sums = log_softmax_at(d, slot)
         total += float(log_word.sum())
-        d[rows, slot] -= 1
-        d_words, d_word_bias, back = array("d_words", *self.words.shape), array("d_word_bias", *self.word_bias.shape), array("back", n, HIDDEN)
-        for k, (w, at) in enumerate(spans):
-            np.matmul(hidden[at].T, d[at], out=d_words[k])
-            np.add.reduce(d[at], axis=0, out=d_word_bias[k])
-            np.matmul(d[at], self.words[w].T, out=back[at])
-        d_hidden += back
-        slope = np.multiply(hidden, hidden, out=array("slope", n, HIDDEN))
-        d_inner_out = np.multiply(d_hidden, np.subtract(1, slope, out=slope), out=d_hidden)
-        d_x = np.matmul(d_inner_out, self.inner.T, out=array("d_x", n, len(OFFSETS) * WIDTH)).reshape(-1, WIDTH)
-        words_at, d_embedding = summed_by(window.ravel(), d_x)
-        every = slice(None)
-        classes = every if len(which) == len(self.words) else which
-        steps = [
-            (words_at, d_embedding),
-            (every, x.T @ d_inner_out),
-            (every, d_inner_out.sum(axis=0)),
-            (every, hidden.T @ d_class),
-            (every, d_class.sum(axis=0)),
-            (classes, d_words[: len(which)]),
-            (classes, d_word_bias[: len(which)]),
-        ]
-        # Rows that no place of the batch touches have no slope: the step leaves them as they are.
-        most = max(p.size for p in self.parameters())
-        for value, (at, slope), square in zip(self.parameters(), steps, seen, strict=True):
-            spare = array("spare", most)[: slope.size].reshape(slope.shape)
-            slope *= n**-0.5
-            some = square[at]
-            some += np.multiply(slope, slope, out=spare)
-            if at is not every:
-                square[at] = some
+        d[rows, slot] -= sums
+        share = (n**-0.5 / sums)[:, None]
+        np.multiply(hidden, share, out=weighted)
+        back, d_word_bias = array("back", n, HIDDEN + 1), array("d_word_bias", *self.word_bias.shape)[: len(which)]
+        d_words = array("d_words", CLASSES_AT_ONCE, HIDDEN + 1, self.span)
+
+        def move(value: np.ndarray, square: np.ndarray, slope: np.ndarray) -> None:
+            spare = array("spare", max(slope.size, d_words.size))[: slope.size].reshape(slope.shape)
+            square += np.multiply(slope, slope, out=spare)
             slope *= rate
-            slope /= np.sqrt(some, out=spare)
-            value[at] -= slope
+            slope /= np.sqrt(square, out=spare)
+            value -= slope
+
+        # Neighbouring classes move together, few enough to stay in cache.
+        first = 0
+        while first < len(which):
+            last = first + 1
+            while last < len(which) and last - first < CLASSES_AT_ONCE and which[last] == which[last - 1] + 1:
+                last += 1
+            for (at, weights, here), slope in zip(parts[first:last], d_words):
+                np.dot(weighted[at].T, here, out=slope)
+                np.dot(here, weights.T, out=back[at])
+            slopes, at = d_words[: last - first], slice(which[first], which[last - 1] + 1)
+            d_word_bias[first:last] = slopes[:, HIDDEN]
+            move(self.words[at], seen[5][at], slopes[:, :HIDDEN])
+            first = last
+        back *= share
+        d_hidden += back[:, :HIDDEN]
+        slope = np.multiply(given, given, out=given)
+        d_hidden *= np.subtract(1, slope, out=slope)
+        d_x = np.matmul(d_hidden, self.inner.T, out=array("d_x", n, len(OFFSETS) * WIDTH)).reshape(-1, WIDTH)
+        words_at, d_embedding = summed_by(near, d_x)
+        # Rows that no place of the batch touches have no slope: the step leaves them as they are.
+        for number, at, slope in ((0, words_at, d_embedding), (6, which, d_word_bias)):
+            some, square = self.parameters()[number], seen[number]
+            value, squares = some[at], square[at]
+            move(value, squares, slope)
+            some[at], square[at] = value, squares
+        for number, slope in ((1, x.T @ d_hidden), (2, np.ones(n, np.float32) @ d_hidden), (3, d_class_rows[:HIDDEN]), (4, d_class_rows[HIDDEN])):
+            move(self.parameters()[number], seen[number], slope)
         return total
 
 
+def starts_of(run: np.ndarray) -> np.ndarray:
+    """Where equal neighbours begin."""
+    first = np.empty(len(run), bool)
+    first[:1] = True
+    np.not_equal(run[1:], run[:-1], out=first[1:])
+    return np.flatnonzero(first)
+
+
 def summed_by(number: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers that occur, and the sum of the rows of each, added as doubles."""
+    """The numbers that occur, and the sum of the rows of each; those of common numbers by a product."""
     order = np.argsort(number.astype(np.min_scalar_type(int(number.max()))), kind="stable")  # short numbers sort faster
-    starts = np.flatnonzero(np.diff(number[order], prepend=-1))
-    return number[order[starts]], np.add.reduceat(rows[order].astype(np.float64), starts, axis=0).astype(np.float32)
+    run = number[order]
+    starts = starts_of(run)
+    sizes = np.diff(starts, append=len(run))
+    common = sizes >= COMMON
+    found, rare = run[starts], ~common
+    out = np.empty((len(found), rows.shape[1]), np.float32)
+    if rare.any():
+        # Two floats are added at once as one complex number.
+        rows_of_rare = np.take(rows.view(np.complex64), order[np.repeat(rare, sizes)], axis=0)
+        out[rare] = np.add.reduceat(rows_of_rare, np.cumsum(sizes[rare]) - sizes[rare], axis=0).view(np.float32)
+    for k in np.flatnonzero(common).tolist():
+        at, n = int(starts[k]), int(sizes[k])
+        np.dot(np.ones(n, np.float32), np.take(rows, order[at : at + n], axis=0), out=out[k])
+    return found, out
 
 
 def log_softmax_at(x: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log-probability of one column of every row; ``x`` becomes what is in proportion to all
     probabilities, and the second result its sums."""
-    x -= x.max(axis=1, keepdims=True)
     chosen = x[np.arange(len(x)), column]
+    if x.max() > EXPONENT or chosen.min() < -EXPONENT:  # else no power and no sum leaves the range of floats
+        most = x.max(axis=1)
+        x -= most[:, None]
+        chosen -= most
     np.exp(x, out=x)
-    total = x.sum(axis=1)
+    total = x @ np.ones(x.shape[1], x.dtype)
     return chosen - np.log(total), total
 
 
-def softmax_at(x: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-probability of one column of every row, and all probabilities, in place of ``x``."""
-    found, total = log_softmax_at(x, column)
-    x /= total[:, None]
-    return found, x
-
-
 def by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The places of every group number that occurs."""
     order = np.argsort(group.astype(np.uint16), kind="stable")  # classes are few: the root of the words
-    cut = np.flatnonzero(np.diff(group[order], prepend=-1))
+    cut = starts_of(group[order])
     for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(order)], strict=True):
         yield int(group[order[a]]), order[a:b]
 
@@ -370,12 +439,14 @@ def pseudo_likelihood(
         vocabulary_size = vocabulary_for(counts.count())
     if vocabulary_size < 2:
         raise ValueError("a vocabulary has 2 words at least")
-    rows = counts.orderBy(F.desc("n"), "word").limit(vocabulary_size - 1).collect()
-    top = [r.word for r in rows]
+    rows = commonest(counts, vocabulary_size - 1, NEAR * vocabulary_size)
+    top, near = [r.word for r in rows[: vocabulary_size - 1]], rows[vocabulary_size - 1 :]
     least = rows[-1] if rows else None
     others = counts.where((F.col("n") < least.n) | ((F.col("n") == least.n) & (F.col("word") > least.word))) if rows else counts
-    outside = others.agg(F.sum("n")).first()[0] or 1
-    ids = stored(word_ids(docs, top, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "word-ids")
+    outside = sum(r.n for r in near) + (others.agg(F.sum("n")).first()[0] or 0) or 1
+    # The commonest words outside go with the vocabulary, so that few are left for the join.
+    found = word_ids(docs, top, id_col, text_col, [r.word for r in near], [math.log(r.n / outside) for r in near])
+    ids = stored(found.withColumn("row", F.monotonically_increasing_id()), "word-ids")
     network = train(ids, len(top) + 1, rounds, every)
 
     def run(batches):
@@ -388,9 +459,10 @@ def pseudo_likelihood(
                 some = inside[at : at + TOKENS_AT_ONCE]
                 value[some] = network.log_probability(padded, some)
             sums = np.array([value[s : s + n].sum() for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)], np.float64)
+            sums += batch.column(3).to_numpy()
             yield pa.RecordBatch.from_arrays([pa.array(docs_in, pa.int64()), pa.array(sizes), pa.array(sums), batch.column(2)], names=["doc_id", "n_tokens", "log_likelihood", "row"])
 
-    scored = ids.select("doc_id", "ids", "row").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, row long")
+    scored = ids.select("doc_id", "ids", "row", "share").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, row long")
     # Rows of a text and of its outside words meet in one sum, by the row's own number.
     rare = ids.select("row", F.explode("outside").alias("o")).select("row", "o.word", "o.times").join(others, "word")
     shares = rare.select(

@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -520,6 +520,49 @@ def test_words_outside_the_vocabulary_have_their_share(spark):
     assert pseudo_likelihood.vocabulary_for(10**4) == 4096 < pseudo_likelihood.vocabulary_for(10**7) < pseudo_likelihood.vocabulary_for(10**9)
 
 
+def test_few_words_outside_are_joined(spark, monkeypatch):
+    texts = ["A b\x0bB\tc\x0c b\r\n", " \x1cb\x85 ÄA a\u00a0a ", "", None, "c rare a rare once", "b " * 70]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    words = [(t or "").encode().lower().split() for t in texts]
+    counts = Counter(w.decode() for ws in words for w in ws)
+    assert {r.word: r.n for r in pseudo_likelihood.word_counts(docs).collect()} == counts
+    order = sorted(counts, key=lambda w: (-counts[w], w))
+    for least, most in ((0, 0), (2, 2), (3, 5), (4, 4), (50, 50)):
+        got = [r.word for r in pseudo_likelihood.commonest(pseudo_likelihood.word_counts(docs), least, most)]
+        assert got == order[: len(got)] and min(least, len(order)) <= len(got) <= most
+    # The two commonest have numbers, the next two shares; only others are left for the join.
+    rows = {r.doc_id: r for r in pseudo_likelihood.word_ids(docs, order[:2], near=order[2:4], shares=[-0.5, -0.25]).collect()}
+    for i, ws in enumerate(words):
+        names = [w.decode() for w in ws]
+        assert rows[i].n_tokens == len(ws)
+        assert np.frombuffer(rows[i].ids, "<u4").tolist() == [order.index(w) + 1 if w in order[:2] else 0 for w in names]
+        assert rows[i].share == sum({order[2]: -0.5, order[3]: -0.25}.get(w, 0) for w in names)
+        assert {o.word: o.times for o in rows[i].outside} == Counter(w for w in names if w not in order[:4])
+    # Scores are the same whether shares come from the tasks or from the join.
+    scores = []
+    for near in (16, 0):
+        monkeypatch.setattr(pseudo_likelihood, "NEAR", near)
+        scores.append({r.doc_id: r.log_likelihood for r in pseudo_likelihood.pseudo_likelihood(docs, vocabulary_size=2).collect()})
+    assert scores[0] == pytest.approx(scores[1], rel=1e-6)  # training is in single precision
+
+
+def test_probabilities_and_sums_in_single_precision():
+    random_ = np.random.default_rng(4)
+    for scale in (1, 30, 300, 3000):  # beyond 60 the largest of each row is taken off first
+        x = (random_.normal(size=(50, 9)) * scale).astype(np.float32)
+        column = random_.integers(0, 9, 50)
+        exact = x.astype(np.float64) - x.max(axis=1, keepdims=True)
+        exact -= np.log(np.exp(exact).sum(axis=1, keepdims=True))
+        found, total = pseudo_likelihood.log_softmax_at(given := x.copy(), column)
+        assert np.allclose(found, exact[np.arange(50), column], rtol=1e-5, atol=1e-4) and np.allclose(given / total[:, None], np.exp(exact), atol=1e-4)
+    number = np.concatenate([np.zeros(300, np.int32), random_.integers(0, 40, 100).astype(np.int32)])
+    random_.shuffle(number)
+    rows = random_.normal(size=(400, 16)).astype(np.float32)
+    at, sums = pseudo_likelihood.summed_by(number, rows)
+    assert at.tolist() == sorted(set(number.tolist()))
+    assert np.allclose(sums, [rows[number == k].astype(np.float64).sum(axis=0) for k in at], atol=1e-4)
+
+
 def badge_texts(values):
     random.seed(5)
     words = "alpha beta gamma delta eps zeta eta theta iota kappa".split()
