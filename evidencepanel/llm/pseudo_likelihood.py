@@ -161,20 +161,19 @@ class WindowNetwork:
 
     def log_probability(self, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Of the words at the places of a padded id array, each given its neighbours."""
-        tables = [self.embedding @ self.inner[k * WIDTH : (k + 1) * WIDTH] for k in range(len(OFFSETS))]
+        offsets = np.array(OFFSETS)
         group, slot = np.divmod(padded[places].astype(np.int64), self.span)
         hidden = np.empty((len(places), HIDDEN + 1), np.float32)
         hidden[:, HIDDEN] = 1
         out = np.empty(len(places), np.float32)
         some_rows = min(len(places), ROWS_AT_ONCE)
-        shapes = (HIDDEN, HIDDEN, HIDDEN + 1, self.class_rows.shape[1], self.span)
+        shapes = (len(OFFSETS) * WIDTH, HIDDEN, HIDDEN + 1, self.class_rows.shape[1], self.span)
         near, total, chosen_rows, by_class, by_word = (np.empty((some_rows, k), np.float32) for k in shapes)
         for at in range(0, len(places), ROWS_AT_ONCE):
             here = places[at : at + ROWS_AT_ONCE]
             rows, n = slice(at, at + len(here)), len(here)
-            given = np.take(tables[0], padded[here + OFFSETS[0]], axis=0, out=total[:n], mode="clip")
-            for table, o in zip(tables[1:], OFFSETS[1:], strict=True):
-                given += np.take(table, padded[here + o], axis=0, out=near[:n], mode="clip")
+            np.take(self.embedding, padded[here[:, None] + offsets], axis=0, out=near[:n].reshape(n, len(OFFSETS), WIDTH), mode="clip")
+            given = np.matmul(near[:n], self.inner, out=total[:n])
             given += self.inner_bias
             hidden[rows, :HIDDEN] = np.tanh(given, out=given)
             out[rows] = log_softmax_at(np.matmul(hidden[rows], self.class_rows, out=by_class[:n]), group[rows])[0]
