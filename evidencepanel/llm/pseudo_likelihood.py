@@ -2,8 +2,8 @@
 
 All words are counted over all documents.  The commonest, a number that grows with the
 distinct words, have outputs of their own; every other word has its share of the counts
-of all others: a multiple of the vocabulary is looked up in the tasks, the rest is
-joined to the documents in Spark.  A small window network reads the two
+of all others: the commoner ones are looked up in the tasks, the rest is joined to the
+documents in Spark.  A small window network reads the two
 words before and the two after a masked place; a two-level softmax (class, word in
 class) gives a proper distribution.  Training is data-parallel: in each round every
 partition trains numpy parameters on its share of the windows of *all* its documents,
@@ -32,14 +32,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VOCABULARY = 4096  # words with an output of their own, at least
 GROWTH = 4.0  # and so many times the square root of the distinct words
-NEAR = 16  # times as many words are looked up in the tasks; only rarer ones are joined
+NEAR = 4  # times as many words are looked up in the tasks; only rarer ones are joined
+LOOKED_UP = 1 << 18  # and so many at least
 OFFSETS = (-2, -1, 1, 2)
 WIDTH, HIDDEN = 16, 32
 ROUNDS = 2
 EVERY = ROUNDS  # one place in so many is trained on, per document and round; as many rounds take all
 BATCH = 2048
 FAN_IN = 16
-COUNTED_BYTES = 1 << 24  # text whose words are counted together before Spark adds the counts
+BYTES_AT_ONCE = 1 << 24  # text whose words are counted or looked up together
 TOKENS_AT_ONCE = 1 << 17
 ROWS_AT_ONCE = 1 << 11  # rows of an output layer worked on together, to stay in cache
 CLASSES_AT_ONCE = 8  # neighbouring classes whose words are moved together, likewise
@@ -66,7 +67,7 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``word, n`` over all documents; words lie between ASCII white space, A-Z lowered."""
 
     def run(batches):
-        for batch in batch_slices(batches, "text", COUNTED_BYTES):
+        for batch in batch_slices(batches, "text", BYTES_AT_ONCE):
             found = pc.value_counts(words_in(batch.column(1))[0])
             yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "n"])
 
@@ -98,15 +99,16 @@ def word_ids(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id", tex
     size, given = len(vocabulary), np.concatenate([np.zeros(len(vocabulary) + 1), shares or []])
 
     def run(batches):
-        for batch in batch_slices(batches, "text"):
+        for batch in batch_slices(batches, "text", BYTES_AT_ONCE):
             words, sizes = words_in(batch.column(1))
             numbers = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False) + 1
-            text, rare = np.repeat(np.arange(len(sizes)), sizes), numbers == 0
-            ids = np.where(numbers > size, 0, numbers).astype("<u4")
+            text, rare, listed = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), numbers == 0, numbers > size
+            share = np.bincount(text[listed], given[numbers[listed]], len(sizes))
+            ids = np.where(listed, 0, numbers).astype("<u4")
             ends = np.cumsum(sizes)
             # Words outside, once a text: a text and a word are one number.
             coded = words.filter(pa.array(rare)).dictionary_encode()
-            pair, times = np.unique(text[rare] * (len(coded.dictionary) + 1) + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            pair, times = np.unique(text[rare].astype(np.int64) * (len(coded.dictionary) + 1) + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
             where, code = np.divmod(pair, len(coded.dictionary) + 1)
             pairs = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(code)), pa.array(times, pa.int64())], names=["word", "times"])
             yield pa.RecordBatch.from_arrays(
@@ -114,7 +116,7 @@ def word_ids(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id", tex
                     batch.column(0),
                     pa.array(sizes),
                     pa.array([ids[a:b].tobytes() for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)], pa.binary()),
-                    pa.array(np.bincount(text, given[numbers], len(sizes)), pa.float64()),
+                    pa.array(share, pa.float64()),
                     pa.ListArray.from_arrays(pa.array(np.searchsorted(where, np.arange(len(sizes) + 1)), pa.int32()), pairs),
                 ],
                 names=["doc_id", "n_tokens", "ids", "share", "outside"],
@@ -438,7 +440,7 @@ def pseudo_likelihood(
         vocabulary_size = vocabulary_for(counts.count())
     if vocabulary_size < 2:
         raise ValueError("a vocabulary has 2 words at least")
-    rows = commonest(counts, vocabulary_size - 1, NEAR * vocabulary_size)
+    rows = commonest(counts, vocabulary_size - 1, max(LOOKED_UP, NEAR * vocabulary_size))
     top, near = [r.word for r in rows[: vocabulary_size - 1]], rows[vocabulary_size - 1 :]
     least = rows[-1] if rows else None
     others = counts.where((F.col("n") < least.n) | ((F.col("n") == least.n) & (F.col("word") > least.word))) if rows else counts

@@ -540,8 +540,8 @@ def test_few_words_outside_are_joined(spark, monkeypatch):
         assert {o.word: o.times for o in rows[i].outside} == Counter(w for w in names if w not in order[:4])
     # Scores are the same whether shares come from the tasks or from the join.
     scores = []
-    for near in (16, 0):
-        monkeypatch.setattr(pseudo_likelihood, "NEAR", near)
+    for name in ("NEAR", "LOOKED_UP"):
+        monkeypatch.setattr(pseudo_likelihood, name, 0)
         scores.append({r.doc_id: r.log_likelihood for r in pseudo_likelihood.pseudo_likelihood(docs, vocabulary_size=2).collect()})
     assert scores[0] == pytest.approx(scores[1], rel=1e-6)  # training is in single precision
 
