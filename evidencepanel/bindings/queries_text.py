@@ -534,10 +534,10 @@ def _(v: Views) -> DataFrame:
 
 @query(
     "t11_archive_document",
-    rf"""SELECT url, {TITLE} AS title, array_to_string({HEADERS}, '|') AS headers, array_to_string(({LINKS})[1:120], '|') AS links FROM pages""",
+    rf"""SELECT url, {TITLE} AS title, array_to_string({HEADERS}, '|') AS headers, array_to_string({LINKS}, '|') AS links FROM pages""",
 )
 def _(v: Views) -> DataFrame:
-    out = pg.archive_document(pg.page_archive(v.table("pages")), limits=pg.SHORT_ARCHIVE)
+    out = pg.archive_document(pg.page_archive(v.table("pages")))
     return out.select("url", "title", F.concat_ws("|", "headers").alias("headers"), F.concat_ws("|", "links").alias("links"))
 
 

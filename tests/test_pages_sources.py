@@ -218,3 +218,24 @@ def test_parsed_pages_leave_the_worker_by_their_size():
     parts = list(pg._page_udf(pg.EVERYTHING, ["plain_text", "status"]).func(iter([many, pd.Series(["<p>b</p>"])])))
     assert [len(p) for p in parts] == [4, 4, 3, 1]
     assert list(parts[2]["status"]) == ["ok", "error", "ok"] and parts[3]["plain_text"][0] == "b"
+
+
+def test_archived_pages_keep_all_links_and_headers(spark, tmp_path):
+    import duckdb
+
+    import __spark_entry__ as entry
+    from oracle import difference
+
+    counts = {"http://none": 0, "http://at": 120, "http://over": 121, "http://many": 1500}
+    html = {u: "<title>t</title>" + "".join(f'<h2>head {i}</h2><p>text <a href="/{i}?a=1&amp;b=2">l</a></p>' for i in range(n)) for u, n in counts.items()}
+    rows = [(i, u, html[u]) for i, u in enumerate([*counts, "http://over"])]  # an address may come twice
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").toPandas().to_parquet(tmp_path / "pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet')")
+    name = "t11_archive_document"
+    out = entry.queries()[name](spark, str(tmp_path))
+    for r in out.collect():
+        n = counts[r["url"]]
+        assert r["headers"] == "|".join(f"head {i}" for i in range(n))
+        assert r["links"] == "|".join(f"/{i}?a=1&b=2" for i in range(n))
+    assert out.count() == 5 and difference(out, con, entry.oracle_sql()[name]) == ""
